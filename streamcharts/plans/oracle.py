@@ -184,3 +184,155 @@ SELECT * FROM (
   SELECT 'global', CAST(NULL AS VARCHAR), minute, max(written_at) + INTERVAL 1800 SECOND
   FROM b GROUP BY minute)
 WHERE expires_at > {ASOF}"""
+
+# ------------------------------------------------------------ catalog
+CARDS = """cards AS (
+  SELECT s.id, s.title, s.genre, s.duration_sec, s.audio_key, s.cover_url, s.premium_only, a.name AS artist
+  FROM songs s JOIN artists a ON a.id = s.artist_id)"""
+
+PS = """ps AS (
+  SELECT CAST(l_orderkey AS BIGINT) AS playlist_id, CAST(l_partkey AS BIGINT) AS song_id,
+         CAST(min(l_linenumber) AS INTEGER) AS position
+  FROM lineitem GROUP BY l_orderkey, l_partkey)"""
+
+PL = """pl AS (
+  SELECT CAST(o_orderkey AS BIGINT) AS id, CAST(o_custkey AS BIGINT) AS user_id, o_orderpriority AS name,
+         CAST(o_orderdate AS TIMESTAMP) AS created_at
+  FROM orders)"""
+
+ORACLE["list_songs"] = _with(SONGS, ARTISTS, CARDS) + "SELECT * FROM cards ORDER BY id LIMIT 100"
+
+ORACLE["search_songs"] = _with(SONGS, ARTISTS, CARDS) + f"""
+SELECT * FROM cards WHERE genre = '{P.SEARCH_GENRE}'
+  AND (title ILIKE '%{P.SEARCH_TEXT}%' OR artist ILIKE '%{P.SEARCH_TEXT}%')
+ORDER BY id LIMIT 200"""
+
+ORACLE["get_song"] = _with(SONGS, ARTISTS, CARDS) + f"SELECT * FROM cards WHERE id = {P.SONG_ID}"
+
+ORACLE["list_artists"] = _with(SONGS, ARTISTS) + "SELECT id, name, genre FROM artists ORDER BY name, id"
+
+ORACLE["genre_counts"] = _with(SONGS) + """
+SELECT genre, CAST(count(*) AS INTEGER) AS count FROM songs GROUP BY genre ORDER BY genre"""
+
+ORACLE["duration_text"] = _with(SONGS) + """
+SELECT id, duration_sec,
+       CAST(duration_sec // 60 AS VARCHAR) || ':' || lpad(CAST(duration_sec % 60 AS VARCHAR), 2, '0')
+         AS duration_text
+FROM songs"""
+
+ORACLE["playlists"] = _with(PS, PL) + """
+SELECT p.id, p.user_id, p.name, p.created_at,
+       CAST(to_json(coalesce(list(ps.song_id ORDER BY ps.position, ps.song_id)
+                              FILTER (WHERE ps.song_id IS NOT NULL), CAST([] AS BIGINT[]))) AS VARCHAR)
+         AS song_ids
+FROM pl p LEFT JOIN ps ON ps.playlist_id = p.id
+GROUP BY p.id, p.user_id, p.name, p.created_at"""
+
+ORACLE["playlist_owner_check"] = _with(EV, PL) + """
+SELECT e.event_id, e.user_id, e.event_id AS playlist_id, e.song_id, coalesce(p.user_id = e.user_id, false) AS owned
+FROM ev e LEFT JOIN pl p ON p.id = e.event_id
+WHERE e.type = 'like'"""
+
+ORACLE["playlist_insert_new"] = _with(EV, PL, PS, """newest AS (
+  SELECT user_id, id AS playlist_id FROM pl
+  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY created_at DESC, id DESC) = 1)""", """req AS (
+  SELECT DISTINCT n.playlist_id, e.song_id FROM ev e JOIN newest n ON n.user_id = e.user_id
+  WHERE e.type = 'like')""") + """
+SELECT r.playlist_id, r.song_id, CAST(0 AS INTEGER) AS position FROM req r
+WHERE NOT EXISTS (SELECT 1 FROM ps WHERE ps.playlist_id = r.playlist_id AND ps.song_id = r.song_id)"""
+
+ORACLE["playlist_create"] = _with(EV, PL) + """
+SELECT CAST((SELECT coalesce(max(id), 0) FROM pl) + row_number() OVER (ORDER BY c_custkey) AS BIGINT) AS id,
+       CAST(c_custkey AS BIGINT) AS user_id, 'Liked songs' AS name
+FROM customer WHERE c_custkey IN (SELECT user_id FROM ev WHERE type = 'like')"""
+
+NEIGHBOURS = """nb AS (
+  SELECT playlist_id, song_id,
+         CAST(row_number() OVER w AS INTEGER) AS track_no,
+         coalesce(lead(song_id) OVER w, first_value(song_id) OVER w) AS next_song_id
+  FROM ps WINDOW w AS (PARTITION BY playlist_id ORDER BY position, song_id))"""
+
+ORACLE["next_track"] = _with(PS, NEIGHBOURS) + "SELECT playlist_id, song_id, next_song_id FROM nb"
+ORACLE["numbered_listing"] = _with(PS, NEIGHBOURS) + """
+SELECT playlist_id, song_id, track_no, lpad(CAST(track_no AS VARCHAR), 2, '0') AS label FROM nb"""
+
+REGS = """regs AS (
+  SELECT 's1-' || CAST(s_suppkey AS VARCHAR) AS request_id, lower(s_name) || '@x.io' AS email, s_name AS password
+  FROM supplier
+  UNION ALL
+  SELECT 's2-' || CAST(s_suppkey AS VARCHAR), upper(s_name) || '@X.IO', repeat('p', s_nationkey) FROM supplier
+  UNION ALL
+  SELECT 'c-' || CAST(c_custkey AS VARCHAR), c_name || '@X.io', repeat('p', c_nationkey) FROM customer)"""
+
+ORACLE["register_split"] = _with(USERS, REGS, r"""r AS (
+  SELECT request_id, lower(email) AS email,
+         coalesce(regexp_matches(email, '^[^@\s]+@[^@\s]+\.[^@\s]+$'), false)
+           AND coalesce(length(password) >= 8, false) AS valid
+  FROM regs)""", """f AS (SELECT email, min(request_id) AS first_id FROM r WHERE valid GROUP BY email)""",
+    """t AS (SELECT DISTINCT lower(email) AS email FROM users)""") + """
+SELECT r.request_id, r.email, o.outcome, CASE WHEN o.outcome = 'accepted' THEN 'free' END AS role
+FROM r LEFT JOIN f ON f.email = r.email LEFT JOIN t ON t.email = r.email,
+LATERAL (SELECT CASE WHEN NOT r.valid THEN 'invalid'
+                     WHEN t.email IS NOT NULL OR r.request_id <> f.first_id THEN 'conflict'
+                     ELSE 'accepted' END AS outcome) o"""
+
+ORACLE["role_at_least"] = _with(USERS) + """
+SELECT id, role, CAST(CASE role WHEN 'free' THEN 1 WHEN 'premium' THEN 2 WHEN 'admin' THEN 3 END AS INTEGER) AS rank,
+       role IN ('free', 'premium', 'admin') AS at_least_free,
+       role IN ('premium', 'admin') AS at_least_premium,
+       role = 'admin' AS at_least_admin
+FROM users"""
+
+ERASE = """er AS (SELECT CAST(c_custkey AS BIGINT) AS id FROM customer WHERE c_acctbal < 0)"""
+
+ORACLE["erase_user_cascade"] = _with(USERS, PL, PS, ERASE) + """
+SELECT 'users' AS "table", CAST(count(*) FILTER (WHERE id NOT IN (SELECT id FROM er)) AS BIGINT) AS kept,
+       CAST(count(*) FILTER (WHERE id IN (SELECT id FROM er)) AS BIGINT) AS erased FROM users
+UNION ALL
+SELECT 'playlists', CAST(count(*) FILTER (WHERE user_id NOT IN (SELECT id FROM er)) AS BIGINT),
+       CAST(count(*) FILTER (WHERE user_id IN (SELECT id FROM er)) AS BIGINT) FROM pl
+UNION ALL
+SELECT 'playlist_songs',
+       CAST(count(*) FILTER (WHERE playlist_id NOT IN (SELECT id FROM pl WHERE user_id IN (SELECT id FROM er))) AS BIGINT),
+       CAST(count(*) FILTER (WHERE playlist_id IN (SELECT id FROM pl WHERE user_id IN (SELECT id FROM er))) AS BIGINT)
+FROM ps"""
+
+ORACLE["erase_artist_cascade"] = _with(SONGS, ARTISTS, PS, """ea AS (
+  SELECT CAST(s_suppkey AS BIGINT) AS id FROM supplier WHERE s_acctbal < 0)""") + """
+SELECT 'artists' AS "table", CAST(count(*) FILTER (WHERE id NOT IN (SELECT id FROM ea)) AS BIGINT) AS kept,
+       CAST(count(*) FILTER (WHERE id IN (SELECT id FROM ea)) AS BIGINT) AS erased FROM artists
+UNION ALL
+SELECT 'songs', CAST(count(*) FILTER (WHERE artist_id NOT IN (SELECT id FROM ea)) AS BIGINT),
+       CAST(count(*) FILTER (WHERE artist_id IN (SELECT id FROM ea)) AS BIGINT) FROM songs
+UNION ALL
+SELECT 'playlist_songs',
+       CAST(count(*) FILTER (WHERE song_id NOT IN (SELECT id FROM songs WHERE artist_id IN (SELECT id FROM ea))) AS BIGINT),
+       CAST(count(*) FILTER (WHERE song_id IN (SELECT id FROM songs WHERE artist_id IN (SELECT id FROM ea))) AS BIGINT)
+FROM ps"""
+
+ORACLE["export_user"] = _with(USERS, PL, PS, ERASE, """tr AS (
+  SELECT playlist_id, list(song_id ORDER BY position, song_id) AS song_ids FROM ps GROUP BY playlist_id)""") + """
+SELECT u.id AS user_id, p.id AS playlist_id,
+       CAST(json_object('user_id', u.id, 'email', u.email, 'role', u.role, 'playlist_id', p.id,
+                        'playlist_name', p.name, 'created', strftime(p.created_at, '%Y-%m-%d'),
+                        'song_ids', CASE WHEN p.id IS NULL THEN NULL
+                                         ELSE coalesce(tr.song_ids, CAST([] AS BIGINT[])) END) AS VARCHAR)
+         AS document
+FROM users u LEFT JOIN pl p ON p.user_id = u.id LEFT JOIN tr ON tr.playlist_id = p.id
+WHERE u.id IN (SELECT id FROM er)"""
+
+ACCEPT = """acc AS (
+  SELECT e.event_id, e.type, e.user_id, e.song_id, s.genre, u.role,
+         CASE WHEN NOT coalesce(e.song_id > 0, false) THEN 'invalid_song_id'
+              WHEN e.type IS NULL OR e.type NOT IN ('play', 'skip', 'like') THEN 'invalid_type'
+              WHEN s.id IS NULL THEN 'song_not_found'
+              WHEN e.type = 'play' AND s.premium_only AND coalesce(u.role = 'free', false) THEN 'premium_required'
+         END AS reject_reason
+  FROM ev e LEFT JOIN songs s ON s.id = e.song_id LEFT JOIN users u ON u.id = e.user_id)"""
+
+ORACLE["accept_events"] = _with(SONGS, USERS, EV, ACCEPT) + """
+SELECT event_id, type, user_id, song_id, genre, role FROM acc WHERE reject_reason IS NULL"""
+
+ORACLE["reject_reasons"] = _with(SONGS, USERS, EV, ACCEPT) + """
+SELECT reject_reason, CAST(count(*) AS BIGINT) AS rejected FROM acc WHERE reject_reason IS NOT NULL
+GROUP BY reject_reason"""

@@ -181,3 +181,182 @@ def user_genre_affinity(spark, sf):
 def ttl_live_buckets(spark, sf):
     rows = ru.leaderboard_rows(ru.minute_deltas(_plays(spark, sf)))
     return ru.live_buckets(rows, tr.asof_column(P.ASOF))
+
+
+# ------------------------------------------------------------ catalog
+from streamcharts.operators import catalog as cat  # noqa: E402
+from streamcharts.operators import privacy as pv  # noqa: E402
+
+
+@register("list_songs")
+def list_songs(spark, sf):
+    return cat.list_songs(tb.songs(spark, sf), tb.artists(spark, sf))
+
+
+@register("search_songs")
+def search_songs(spark, sf):
+    return cat.list_songs(tb.songs(spark, sf), tb.artists(spark, sf), genre=P.SEARCH_GENRE,
+                          q=P.SEARCH_TEXT, limit=200)
+
+
+@register("get_song")
+def get_song(spark, sf):
+    return cat.get_song(tb.songs(spark, sf), tb.artists(spark, sf), P.SONG_ID)
+
+
+@register("list_artists")
+def list_artists(spark, sf):
+    return cat.list_artists(tb.artists(spark, sf))
+
+
+@register("genre_counts")
+def genre_counts(spark, sf):
+    return cat.genre_counts(tb.songs(spark, sf))
+
+
+@register("duration_text")
+def duration_text(spark, sf):
+    return cat.song_durations(tb.songs(spark, sf))
+
+
+@register("playlists")
+def playlists(spark, sf):
+    out = cat.user_playlists(tb.playlists(spark, sf), tb.playlist_songs(spark, sf))
+    return out.withColumn("song_ids", F.to_json("song_ids"))
+
+
+def _playlist_requests(spark, sf):
+    """Add-track requests: each like names a playlist id taken from the event id."""
+    e = tb.events(spark, sf).filter(F.col("type") == "like")
+    return e.select("event_id", "user_id", F.col("event_id").alias("playlist_id"), "song_id")
+
+
+@register("playlist_owner_check")
+def playlist_owner_check(spark, sf):
+    return cat.owner_check(_playlist_requests(spark, sf), tb.playlists(spark, sf)).select(
+        "event_id", "user_id", "playlist_id", "song_id", "owned"
+    )
+
+
+@register("playlist_insert_new")
+def playlist_insert_new(spark, sf):
+    """Each like adds the song to the user's newest playlist unless already there."""
+    pl = tb.playlists(spark, sf)
+    likes = tb.events(spark, sf).filter(F.col("type") == "like").select("user_id", "song_id")
+    reqs = likes.join(cat.newest_playlist(pl), "user_id", "inner")
+    return cat.add_playlist_songs(reqs, pl, tb.playlist_songs(spark, sf))
+
+
+@register("playlist_create")
+def playlist_create(spark, sf):
+    """Every user who liked a song gets a new "Liked songs" playlist."""
+    u, pl = tb.users(spark, sf), tb.playlists(spark, sf)
+    likers = tb.events(spark, sf).filter(F.col("type") == "like").select(F.col("user_id").alias("id"))
+    new = u.join(likers, "id", "left_semi").select(
+        F.col("id").alias("user_id"), F.lit("Liked songs").alias("name")
+    )
+    return cat.create_playlists(new, pl)
+
+
+@register("next_track")
+def next_track(spark, sf):
+    return cat.track_neighbours(tb.playlist_songs(spark, sf)).select(
+        "playlist_id", "song_id", "next_song_id"
+    )
+
+
+@register("numbered_listing")
+def numbered_listing(spark, sf):
+    return cat.track_neighbours(tb.playlist_songs(spark, sf)).select(
+        "playlist_id", "song_id", "track_no", "label"
+    )
+
+
+def _registrations(spark, sf):
+    """Sign-ups derived from the tables: suppliers register (twice, the second time
+    with an upper-cased address), customers re-register with a mixed-case address."""
+    s = tb.read(spark, sf, "supplier")
+    c = tb.read(spark, sf, "customer")
+    first = s.select(
+        F.concat(F.lit("s1-"), s.s_suppkey.cast("string")).alias("request_id"),
+        F.concat(F.lower(s.s_name), F.lit("@x.io")).alias("email"),
+        s.s_name.alias("password"),
+    )
+    again = s.select(
+        F.concat(F.lit("s2-"), s.s_suppkey.cast("string")).alias("request_id"),
+        F.concat(F.upper(s.s_name), F.lit("@X.IO")).alias("email"),
+        F.repeat(F.lit("p"), s.s_nationkey).alias("password"),
+    )
+    cust = c.select(
+        F.concat(F.lit("c-"), c.c_custkey.cast("string")).alias("request_id"),
+        F.concat(c.c_name, F.lit("@X.io")).alias("email"),
+        F.repeat(F.lit("p"), c.c_nationkey).alias("password"),
+    )
+    return first.unionByName(again).unionByName(cust)
+
+
+@register("register_split")
+def register_split(spark, sf):
+    return cat.register_users(_registrations(spark, sf), tb.users(spark, sf))
+
+
+@register("role_at_least")
+def role_at_least(spark, sf):
+    return cat.role_flags(tb.users(spark, sf))
+
+
+def _erase_ids(spark, sf):
+    """Erasure requests: customers with a negative balance close their accounts."""
+    c = tb.read(spark, sf, "customer")
+    return c.filter(c.c_acctbal < 0).select(c.c_custkey.cast("long").alias("id"))
+
+
+@register("erase_user_cascade")
+def erase_user_cascade(spark, sf):
+    before = {
+        "users": tb.users(spark, sf),
+        "playlists": tb.playlists(spark, sf),
+        "playlist_songs": tb.playlist_songs(spark, sf),
+    }
+    after = pv.erase_users(_erase_ids(spark, sf), **before)
+    return pv.cascade_counts(before, after)
+
+
+@register("erase_artist_cascade")
+def erase_artist_cascade(spark, sf):
+    """Artists with a negative balance are taken down with their songs."""
+    s = tb.read(spark, sf, "supplier")
+    ids = s.filter(s.s_acctbal < 0).select(s.s_suppkey.cast("long").alias("id"))
+    before = {
+        "artists": tb.artists(spark, sf),
+        "songs": tb.songs(spark, sf),
+        "playlist_songs": tb.playlist_songs(spark, sf),
+    }
+    return pv.cascade_counts(before, pv.erase_artists(ids, **before))
+
+
+@register("export_user")
+def export_user(spark, sf):
+    tracks = cat.playlist_track_ids(tb.playlist_songs(spark, sf))
+    return pv.export_users(_erase_ids(spark, sf), tb.users(spark, sf), tb.playlists(spark, sf), tracks)
+
+
+# ------------------------------------------------------------- intake
+def _requests(spark, sf):
+    return tb.events(spark, sf).select("event_id", "type", "user_id", "song_id")
+
+
+@register("accept_events")
+def accept_events(spark, sf):
+    out = ev.accept_events(_requests(spark, sf), tb.songs(spark, sf), tb.users(spark, sf))
+    return out.filter(F.col("reject_reason").isNull()).select(
+        "event_id", "type", "user_id", "song_id", "genre", "role"
+    )
+
+
+@register("reject_reasons")
+def reject_reasons(spark, sf):
+    out = ev.accept_events(_requests(spark, sf), tb.songs(spark, sf), tb.users(spark, sf))
+    return out.filter(F.col("reject_reason").isNotNull()).groupBy("reject_reason").agg(
+        F.count(F.lit(1)).alias("rejected")
+    )
