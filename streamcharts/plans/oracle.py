@@ -336,3 +336,111 @@ SELECT event_id, type, user_id, song_id, genre, role FROM acc WHERE reject_reaso
 ORACLE["reject_reasons"] = _with(SONGS, USERS, EV, ACCEPT) + """
 SELECT reject_reason, CAST(count(*) AS BIGINT) AS rejected FROM acc WHERE reject_reason IS NOT NULL
 GROUP BY reject_reason"""
+
+# ------------------------------------------------------- observability
+from streamcharts.constants import LATENCY_BUCKETS_SECONDS, SLO_THRESHOLDS  # noqa: E402
+
+REQ = """req AS (
+  SELECT event_id, CAST(ts AS TIMESTAMP) AS ts, 'svc-' || CAST(user_id % 5 AS VARCHAR) AS service,
+         'GET' AS method, event_type AS route,
+         CASE WHEN event_type = 'error' THEN 500 ELSE 200 END AS status,
+         value / CAST(1000.0 AS DOUBLE) AS duration_seconds, CAST(user_id AS BIGINT) AS client
+  FROM events)"""
+
+_LABELS = [f"{b:g}" for b in LATENCY_BUCKETS_SECONDS] + ["+Inf"]
+
+ORACLE["requests_by_route"] = _with(REQ) + """
+SELECT method, route, status, service, CAST(count(*) AS BIGINT) AS requests FROM req
+GROUP BY method, route, status, service"""
+
+ORACLE["latency_histogram"] = _with(REQ) + "\nUNION ALL\n".join(
+    f"SELECT service, '{lab}' AS le, CAST(count(*) FILTER (WHERE duration_seconds <= CAST({b} AS DOUBLE)) AS BIGINT)"
+    f" AS count FROM req GROUP BY service"
+    for lab, b in zip(_LABELS, LATENCY_BUCKETS_SECONDS)
+) + "\nUNION ALL\nSELECT service, '+Inf', CAST(count(*) AS BIGINT) FROM req GROUP BY service"
+
+
+def _quantile_sql(q: float) -> str:
+    b = LATENCY_BUCKETS_SECONDS
+    rank = f"(CAST({q} AS DOUBLE) * c_inf)"
+    parts = []
+    for i in range(len(b)):
+        lower = b[i - 1] if i else 0.0
+        below = f"c{i - 1}" if i else "0"
+        parts.append(
+            f"WHEN c{i} >= {rank} THEN CAST({lower} AS DOUBLE) + (CAST({b[i]} AS DOUBLE) - CAST({lower} AS DOUBLE))"
+            f" * (({rank} - {below}) / (c{i} - {below}))"
+        )
+    return f"CASE WHEN c_inf > 0 THEN CASE {' '.join(parts)} ELSE CAST({b[-1]} AS DOUBLE) END END"
+
+
+_COUNTS = ", ".join(
+    f"count(*) FILTER (WHERE duration_seconds <= CAST({v} AS DOUBLE)) AS c{i}"
+    for i, v in enumerate(LATENCY_BUCKETS_SECONDS)
+)
+
+ORACLE["histogram_p95"] = _with(REQ, f"""h AS (
+  SELECT service, date_trunc('hour', ts) AS window_start, {_COUNTS}, count(*) AS c_inf
+  FROM req GROUP BY ALL)""") + f"""
+SELECT service, window_start, round({_quantile_sql(0.95)}, 6) AS p95_seconds FROM h"""
+
+ORACLE["throughput_rate"] = _with(REQ) + """
+SELECT service, date_trunc('minute', ts) AS window_start, round(count(*) / 60.0, 6) AS rate
+FROM req GROUP BY ALL"""
+
+ORACLE["error_rate"] = _with(REQ) + """
+SELECT service, date_trunc('minute', ts) AS window_start, round(count(*) / 60.0, 6) AS error_rate
+FROM req WHERE status BETWEEN 500 AND 599 GROUP BY ALL"""
+
+ORACLE["latest_up"] = _with(REQ) + """
+SELECT service, arg_max(CASE WHEN status < 500 THEN 1 ELSE 0 END,
+                        {'t': ts, 'u': CASE WHEN status < 500 THEN 1 ELSE 0 END}) AS up,
+       max(ts) AS last_seen
+FROM req GROUP BY service"""
+
+SUMMARY = """summary AS (
+  SELECT service, CAST(count(*) AS BIGINT) AS requests,
+         round(count(*) / nullif((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6, 0), 6) AS req_per_s,
+         round(count(*) FILTER (WHERE status >= 400) / count(*), 6) AS error_rate,
+         round(avg(duration_seconds * 1000.0), 6) AS avg_ms,
+         round(quantile_cont(duration_seconds * 1000.0, 0.5), 6) AS p50_ms,
+         round(quantile_cont(duration_seconds * 1000.0, 0.9), 6) AS p90_ms,
+         round(quantile_cont(duration_seconds * 1000.0, 0.95), 6) AS p95_ms,
+         round(quantile_cont(duration_seconds * 1000.0, 0.99), 6) AS p99_ms,
+         round(max(duration_seconds * 1000.0), 6) AS max_ms
+  FROM req GROUP BY service)"""
+
+ORACLE["load_summary"] = _with(REQ, SUMMARY) + "SELECT * FROM summary"
+
+
+def _slo_sql() -> str:
+    flags, per = [], {}
+    for profile, metric, op, bound in SLO_THRESHOLDS:
+        name = f"{profile}_{metric}_ok"
+        flags.append(f"coalesce({metric} {op} {bound}, false) AS {name}")
+        per.setdefault(profile, []).append(name)
+    verdicts = [f"({' AND '.join(ns)}) AS {p}_passed" for p, ns in per.items()]
+    return f"SELECT service, {', '.join(flags)} FROM summary", verdicts
+
+
+_slo_inner, _slo_verdicts = _slo_sql()
+ORACLE["slo_check"] = _with(REQ, SUMMARY, f"f AS ({_slo_inner})") + f"SELECT *, {', '.join(_slo_verdicts)} FROM f"
+
+ORACLE["run_compare"] = _with(REQ, """r AS (
+  SELECT service, date_trunc('day', ts) AS run, CAST(count(*) AS BIGINT) AS requests,
+         quantile_cont(duration_seconds * 1000.0, 0.95) AS p95
+  FROM req GROUP BY ALL)""") + """
+SELECT service, run, requests, round(p95, 6) AS p95_ms,
+       round(requests / lag(requests) OVER w, 6) AS throughput_ratio,
+       round((p95 - lag(p95) OVER w) / lag(p95) OVER w * 100.0, 6) AS p95_change_pct
+FROM r WINDOW w AS (PARTITION BY service ORDER BY run)"""
+
+ORACLE["upstream_share"] = _with(REQ) + f"""
+SELECT upstream, CAST(count(*) AS BIGINT) AS requests, round(count(*) / sum(count(*)) OVER (), 6) AS share
+FROM (SELECT service || ':' || CAST(4000 + event_id % {P.UPSTREAM_REPLICAS} AS VARCHAR) AS upstream FROM req)
+GROUP BY upstream"""
+
+ORACLE["throttled_clients"] = _with(REQ) + """
+SELECT client, date_trunc('day', ts) AS window_start, CAST(count(*) AS BIGINT) AS attempts,
+       count(*) > 20 AS throttled
+FROM req GROUP BY ALL"""

@@ -15,3 +15,6 @@ SLIDING_SLIDE = "1 day"
 ATTEMPT_WINDOW = "1 day"
 # Batches simulated for the merge checks: events are dealt round-robin by id.
 MERGE_BATCHES = 3
+HISTOGRAM_GRAIN = "1 hour"
+RUN_GRAIN = "1 day"
+UPSTREAM_REPLICAS = 3

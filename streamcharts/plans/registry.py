@@ -360,3 +360,75 @@ def reject_reasons(spark, sf):
     return out.filter(F.col("reject_reason").isNotNull()).groupBy("reject_reason").agg(
         F.count(F.lit(1)).alias("rejected")
     )
+
+
+# ------------------------------------------------------- observability
+from streamcharts.operators import observability as ob  # noqa: E402
+from streamcharts.sources import logs as lg  # noqa: E402
+
+
+@register("requests_by_route")
+def requests_by_route(spark, sf):
+    return ob.requests_by_route(tb.request_log(spark, sf))
+
+
+@register("latency_histogram")
+def latency_histogram(spark, sf):
+    return ob.latency_histogram(tb.request_log(spark, sf))
+
+
+@register("histogram_p95")
+def histogram_p95(spark, sf):
+    return ob.histogram_p95(tb.request_log(spark, sf), P.HISTOGRAM_GRAIN)
+
+
+@register("throughput_rate")
+def throughput_rate(spark, sf):
+    return ob.throughput_rate(tb.request_log(spark, sf))
+
+
+@register("error_rate")
+def error_rate(spark, sf):
+    return ob.throughput_rate(tb.request_log(spark, sf), status_filter=ob.server_errors()).withColumnRenamed(
+        "rate", "error_rate"
+    )
+
+
+@register("latest_up")
+def latest_up(spark, sf):
+    return ob.latest_up(tb.request_log(spark, sf))
+
+
+@register("load_summary")
+def load_summary(spark, sf):
+    return ob.load_summary(tb.request_log(spark, sf))
+
+
+@register("slo_check")
+def slo_check(spark, sf):
+    return ob.slo_check(ob.load_summary(tb.request_log(spark, sf)))
+
+
+@register("run_compare")
+def run_compare(spark, sf):
+    return ob.run_compare(tb.request_log(spark, sf), P.RUN_GRAIN)
+
+
+def _access_lines(spark, sf):
+    """Gateway lines rendered from the request log; replicas take requests round-robin."""
+    r = tb.request_log(spark, sf)
+    addr = F.format_string("10.0.%d.%d", (r.client / 256).cast("long") % 256, r.client % 256)
+    upstream = F.concat(r.service, F.lit(":"), (F.lit(4000) + r.event_id % P.UPSTREAM_REPLICAS).cast("string"))
+    line = lg.format_access_line(addr, r.method, F.concat(F.lit("/api/"), r.route), r.status,
+                                 r.duration_seconds, upstream)
+    return r.select(line.alias("value"))
+
+
+@register("upstream_share")
+def upstream_share(spark, sf):
+    return ob.upstream_share(lg.parse_access_lines(_access_lines(spark, sf)))
+
+
+@register("throttled_clients")
+def throttled_clients(spark, sf):
+    return ob.throttled_clients(tb.request_log(spark, sf), P.ATTEMPT_WINDOW)

@@ -143,6 +143,7 @@ def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Request samples: one row per request with service, route, status, seconds."""
     e = read(spark, sf_dir, "events")
     return e.select(
+        e.event_id,
         e.ts.cast("timestamp_ntz").alias("ts"),
         F.concat(F.lit("svc-"), (e.user_id % SERVICE_MODULUS).cast("string")).alias("service"),
         F.lit("GET").alias("method"),
