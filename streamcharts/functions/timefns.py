@@ -9,7 +9,8 @@ ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 
 
 def minute_floor(ts: Column) -> Column:
-    return F.date_trunc("minute", ts)
+    """Minute start as a zone-less UTC timestamp (session zone pinned to UTC)."""
+    return F.date_trunc("minute", ts).cast("timestamp_ntz")
 
 
 def epoch_minute(ts: Column) -> Column:

@@ -1,0 +1,26 @@
+"""Join helpers: broadcast only behind a size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Largest row count we hint as a broadcast; beyond it Spark/AQE choose the join.
+MAX_BROADCAST_ROWS = 200_000
+
+
+def broadcast_if_bounded(df: DataFrame, row_bound: int, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Hint ``df`` as the broadcast side when ``row_bound`` (a proven upper bound
+    on its rows) is within ``max_rows``; otherwise return it unchanged and let
+    the optimizer (and AQE's runtime statistics, skew-join splitting) decide."""
+    return F.broadcast(df) if row_bound <= max_rows else df
+
+
+def distinct_count_bound(df: DataFrame, column: str, cap: int = MAX_BROADCAST_ROWS) -> int:
+    """Number of distinct values of ``column``, counted only up to ``cap + 1``.
+
+    Used to bound per-group top-n lists (n x groups rows). The distinct runs as
+    a partial aggregate and the count stops early, so the check stays cheap on
+    a dimension table.
+    """
+    return df.select(column).distinct().limit(cap + 1).count()

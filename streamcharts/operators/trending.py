@@ -1,7 +1,9 @@
 """Trending now, per-genre top lists, for-you.
 
-Input is any frame of minute buckets ``(song_id, genre, window_start, plays)``:
-the rollup deltas, the stored delta log, or raw plays with ``plays = 1``.
+Input is any frame of minute buckets ``(song_id, [genre,] window_start, plays[, ts])``:
+the rollup deltas or the stored delta log (genre as published with the event),
+or raw plays with ``plays = 1`` and no genre, which are summed per song before
+the catalog supplies the genre.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from streamcharts.constants import (
 )
 from streamcharts.functions.privacy import pseudonym
 from streamcharts.functions.scalars import clamp_limit
+from streamcharts.operators.joins import broadcast_if_bounded, distinct_count_bound
 
 
 def asof_column(asof: str | dt.datetime | Column | None) -> Column:
@@ -36,7 +39,7 @@ def asof_column(asof: str | dt.datetime | Column | None) -> Column:
 
 def in_window(window_start: Column, asof: Column, window_minutes: int) -> Column:
     """Current (incomplete) minute and the ``window_minutes - 1`` before it."""
-    hi = F.date_trunc("minute", asof)
+    hi = F.date_trunc("minute", asof).cast("timestamp_ntz")
     lo = hi - F.expr(f"INTERVAL {int(window_minutes) - 1} MINUTES")
     return (window_start >= lo) & (window_start <= hi)
 
@@ -46,21 +49,55 @@ def leaderboard_order() -> list[Column]:
     return [F.col("plays").desc(), F.col("song_id").cast("string").desc()]
 
 
+def in_time_window(buckets: DataFrame, asof=None, window_minutes: int = TRENDING_WINDOW_MINUTES) -> DataFrame:
+    """Rows whose minute is in the window. When raw event times are present the
+    equivalent ``ts`` range is added too, so the predicate reaches the parquet scan."""
+    a = asof_column(asof)
+    b = buckets.filter(in_window(F.col("window_start"), a, window_minutes))
+    if "ts" in buckets.columns:
+        hi = F.date_trunc("minute", a).cast("timestamp_ntz")
+        lo = hi - F.expr(f"INTERVAL {int(window_minutes) - 1} MINUTES")
+        b = b.filter((F.col("ts") >= lo) & (F.col("ts") < hi + F.expr("INTERVAL 1 MINUTE")))
+    return b
+
+
+def per_song_genre(buckets: DataFrame, songs: DataFrame | None) -> DataFrame:
+    """Plays per (genre, song_id) in an already filtered frame.
+
+    Stored buckets carry the genre the event was published with. Raw plays
+    without one are summed per song *first* and only then joined to the
+    catalog for the genre: the join sees one row per song instead of one per
+    event, and unknown songs drop out before any ranking (the intake would
+    have refused them).
+    """
+    if "genre" in buckets.columns:
+        return buckets.groupBy("genre", "song_id").agg(F.sum("plays").cast("long").alias("plays"))
+    if songs is None:
+        raise ValueError("buckets without a genre column need the songs table")
+    per_song = buckets.groupBy("song_id").agg(F.sum("plays").cast("long").alias("plays"))
+    return per_song.join(songs.select(F.col("id").alias("song_id"), "genre"), "song_id", "inner")
+
+
 def windowed_plays(buckets: DataFrame, asof=None, window_minutes: int = TRENDING_WINDOW_MINUTES,
-                   genre: str | None = None) -> DataFrame:
-    """Sum of plays per song over the trailing window (U1/A4); filters reach the scan."""
-    b = buckets.filter(in_window(F.col("window_start"), asof_column(asof), window_minutes))
+                   genre: str | None = None, songs: DataFrame | None = None) -> DataFrame:
+    """Sum of plays per song over the trailing window."""
+    b = in_time_window(buckets, asof, window_minutes)
+    if "genre" in b.columns:
+        if genre:
+            b = b.filter(F.col("genre") == genre)
+        return b.groupBy("song_id").agg(F.sum("plays").cast("long").alias("plays"))
+    per = per_song_genre(b, songs)
     if genre:
-        b = b.filter(F.col("genre") == genre)
-    return b.groupBy("song_id").agg(F.sum("plays").cast("long").alias("plays"))
+        per = per.filter(F.col("genre") == genre)
+    return per.select("song_id", "plays")
 
 
 def top_songs(buckets: DataFrame, genre: str | None = None, limit=None, asof=None,
-              window_minutes: int = TRENDING_WINDOW_MINUTES) -> DataFrame:
+              window_minutes: int = TRENDING_WINDOW_MINUTES, songs: DataFrame | None = None) -> DataFrame:
     """Top-N song ids with plays and rank (T1). ``orderBy + limit`` plans as a
     TakeOrderedAndProject: each task keeps its own top N, so nothing big moves."""
     n = clamp_limit(limit, TRENDING_DEFAULT_LIMIT, TRENDING_MAX_LIMIT)
-    top = windowed_plays(buckets, asof, window_minutes, genre).orderBy(*leaderboard_order()).limit(n)
+    top = windowed_plays(buckets, asof, window_minutes, genre, songs).orderBy(*leaderboard_order()).limit(n)
     # at most n (<= 50) rows: a single-partition window here is bounded
     return top.withColumn("rank", F.row_number().over(Window.orderBy(*leaderboard_order())))
 
@@ -89,7 +126,7 @@ def enrich(ranked: DataFrame, songs: DataFrame, artists: DataFrame) -> DataFrame
 def trending(buckets: DataFrame, songs: DataFrame, artists: DataFrame, genre: str | None = None,
              limit=None, asof=None, window_minutes: int = TRENDING_WINDOW_MINUTES) -> DataFrame:
     """Q1: ``id, title, genre, cover_url, artist, plays, rank`` ordered by rank."""
-    ranked = top_songs(buckets, genre, limit, asof, window_minutes)
+    ranked = top_songs(buckets, genre, limit, asof, window_minutes, songs)
     return (
         enrich(ranked, songs, artists)
         .select(F.col("song_id").alias("id"), "title", "genre", "cover_url", "artist", "plays", "rank")
@@ -102,7 +139,7 @@ def trending_label(genre: str | None) -> str:
 
 
 def top_per_genre(buckets: DataFrame, limit=None, asof=None,
-                  window_minutes: int = TRENDING_WINDOW_MINUTES) -> DataFrame:
+                  window_minutes: int = TRENDING_WINDOW_MINUTES, songs: DataFrame | None = None) -> DataFrame:
     """Every genre's top N at once: ``genre, song_id, plays, rank``.
 
     ``row_number() <= n`` lets Spark insert a partial WindowGroupLimit before
@@ -110,8 +147,7 @@ def top_per_genre(buckets: DataFrame, limit=None, asof=None,
     genre holds most of the plays.
     """
     n = clamp_limit(limit, TRENDING_DEFAULT_LIMIT, TRENDING_MAX_LIMIT)
-    b = buckets.filter(in_window(F.col("window_start"), asof_column(asof), window_minutes))
-    per_song = b.groupBy("genre", "song_id").agg(F.sum("plays").cast("long").alias("plays"))
+    per_song = per_song_genre(in_time_window(buckets, asof, window_minutes), songs)
     w = Window.partitionBy("genre").orderBy(*leaderboard_order())
     return per_song.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
 
@@ -120,7 +156,9 @@ def trending_by_genre(buckets: DataFrame, songs: DataFrame, artists: DataFrame,
                       window_minutes: int = TRENDING_WINDOW_MINUTES) -> DataFrame:
     """Per-genre trending, enriched. The top lists hold n x genres rows; the
     joins are left to AQE, which broadcasts them once their real size is known."""
-    top = top_per_genre(buckets, limit, asof, window_minutes)
+    n = clamp_limit(limit, TRENDING_DEFAULT_LIMIT, TRENDING_MAX_LIMIT)
+    top = top_per_genre(buckets, n, asof, window_minutes, songs)
+    top = broadcast_if_bounded(top, n * distinct_count_bound(songs, "genre"))
     s = songs.select(F.col("id").alias("song_id"), "title", "cover_url", "artist_id")
     a = artists.select(F.col("id").alias("artist_id"), F.col("name").alias("artist"))
     return top.join(s, "song_id", "inner").join(a, "artist_id", "inner").select(
@@ -181,16 +219,23 @@ def for_you(users: DataFrame, affinity: DataFrame, buckets: DataFrame, songs: Da
     picked = u.join(fav, "user_hash", "left").select(
         "user_id", F.coalesce(F.col("fav_genre"), F.lit(GLOBAL_TRENDING)).alias("based_on")
     )
-    per_genre = top_per_genre(buckets, FOR_YOU_LIMIT, asof, window_minutes).select(
+    per_genre = top_per_genre(buckets, FOR_YOU_LIMIT, asof, window_minutes, songs).select(
         F.col("genre").alias("based_on"), "song_id", "rank"
     )
-    global_top = top_songs(buckets, None, FOR_YOU_LIMIT, asof, window_minutes).select(
+    global_top = top_songs(buckets, None, FOR_YOU_LIMIT, asof, window_minutes, songs).select(
         F.lit(GLOBAL_TRENDING).alias("based_on"), "song_id", "rank"
     )
     lists = per_genre.unionByName(global_top)
+    # n x (genres + 1) rows at most; checked against the catalog's genre count
+    bound = FOR_YOU_LIMIT * (distinct_count_bound(songs, "genre") + 1)
+    lists = broadcast_if_bounded(lists, bound)
     s = songs.select(F.col("id").alias("song_id"), "title", "genre", "cover_url", "artist_id")
     a = artists.select(F.col("id").alias("artist_id"), F.col("name").alias("artist"))
-    cards = lists.join(s, "song_id", "inner").join(a, "artist_id", "inner").drop("artist_id")
+    cards = broadcast_if_bounded(
+        lists.join(s, "song_id", "inner").join(a, "artist_id", "inner").drop("artist_id"), bound
+    )
+    # few distinct `based_on` keys: a shuffle join would pile users onto a handful of
+    # reducers, so the bounded lists are broadcast and users are never shuffled here
     return picked.join(cards, "based_on", "inner").select(
         "user_id", "based_on", "rank", F.col("song_id").alias("id"), "title", "genre", "cover_url", "artist"
     )

@@ -14,6 +14,7 @@ from streamcharts.operators import events as ev
 from streamcharts.operators import rollups as ru
 from streamcharts.operators import trending as tr
 from streamcharts.plans import params as P
+from streamcharts.functions.timefns import minute_floor
 from streamcharts.sources import tables as tb
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,12 +30,16 @@ def register(name: str):
 
 # ---------------------------------------------------------------- helpers
 def _plays(spark, sf):
-    return ev.play_events(tb.events(spark, sf), tb.songs(spark, sf))
+    return ev.play_events(tb.events(spark, sf, types=("play",)), tb.songs(spark, sf))
 
 
 def _buckets(spark, sf):
-    """Raw plays as one-play buckets; the trending aggregate sums them."""
-    return _plays(spark, sf).withColumn("plays", F.lit(1).cast("long"))
+    """Raw plays as one-play buckets without a genre: the trending reads sum
+    them per song and look the genre up in the catalog afterwards."""
+    e = tb.events(spark, sf, types=("play",))
+    return e.select(
+        "song_id", "ts", minute_floor(F.col("ts")).alias("window_start"), F.lit(1).cast("long").alias("plays")
+    )
 
 
 def _batch_epoch():
@@ -89,10 +94,8 @@ def favourite_genre(spark, sf):
 
 @register("for_you_all")
 def for_you_all(spark, sf):
-    plays = _plays(spark, sf)
-    aff = ru.user_genre_affinity(ru.user_genre_deltas(plays))
-    buckets = plays.withColumn("plays", F.lit(1).cast("long"))
-    return tr.for_you(tb.users(spark, sf), aff, buckets, tb.songs(spark, sf), tb.artists(spark, sf),
+    aff = ru.user_genre_affinity(ru.user_genre_deltas(_plays(spark, sf)))
+    return tr.for_you(tb.users(spark, sf), aff, _buckets(spark, sf), tb.songs(spark, sf), tb.artists(spark, sf),
                       asof=P.ASOF, window_minutes=P.WINDOW_MINUTES)
 
 

@@ -127,9 +127,17 @@ def domain_type(event_type: Column) -> Column:
     return expr.otherwise(event_type)
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Interaction events: type, user, song, event time (UTC, no zone)."""
+def events(spark: SparkSession, sf_dir: str, types: tuple[str, ...] | None = None) -> DataFrame:
+    """Interaction events: type, user, song, event time (UTC, no zone).
+
+    ``types`` keeps only those domain types, as a predicate on the stored
+    column so that it reaches the parquet scan (the mapped CASE would not).
+    """
     e = read(spark, sf_dir, "events")
+    if types is not None:
+        back = {v: k for k, v in EVENT_TYPE_MAP.items()}
+        raw = [back.get(t, t) for t in types]
+        e = e.filter(e.event_type.isin(*raw))
     return e.select(
         e.event_id,
         domain_type(e.event_type).alias("type"),
