@@ -40,19 +40,21 @@ def erase_artists(erase_ids: DataFrame, artists: DataFrame, songs: DataFrame,
 
 
 def cascade_counts(before: dict[str, DataFrame], after: dict[str, DataFrame]) -> DataFrame:
-    """Rows kept and erased per table (each count is a separate partial aggregate)."""
-    parts = []
+    """Rows kept and erased per table.
+
+    Before and after rows are tagged and counted in one aggregate per table
+    (partial counts per task), so no join between the counts is needed.
+    """
+    out = None
     for name, frame in after.items():
-        b = before[name].agg(F.count(F.lit(1)).alias("n")).withColumn("table", F.lit(name))
-        a = frame.agg(F.count(F.lit(1)).alias("k")).withColumn("table", F.lit(name))
-        parts.append(
-            b.join(a, "table").select(  # one row each side, keyed by table name
-                "table", F.col("k").alias("kept"), (F.col("n") - F.col("k")).alias("erased")
-            )
+        tagged = before[name].select(F.lit(True).alias("_before")).unionByName(
+            frame.select(F.lit(False).alias("_before"))
         )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        counts = tagged.agg(
+            F.count_if(~F.col("_before")).alias("kept"),
+            (F.count_if(F.col("_before")) - F.count_if(~F.col("_before"))).alias("erased"),
+        ).select(F.lit(name).alias("table"), "kept", "erased")
+        out = counts if out is None else out.unionByName(counts)
     return out
 
 
