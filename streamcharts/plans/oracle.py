@@ -444,3 +444,13 @@ ORACLE["throttled_clients"] = _with(REQ) + """
 SELECT client, date_trunc('day', ts) AS window_start, CAST(count(*) AS BIGINT) AS attempts,
        count(*) > 20 AS throttled
 FROM req GROUP BY ALL"""
+
+ORACLE["service_overview"] = _with(REQ, f"""h AS (
+  SELECT service, date_trunc('minute', ts) AS window_start, {_COUNTS}, count(*) AS c_inf,
+         count(*) FILTER (WHERE status BETWEEN 500 AND 599) AS errors,
+         arg_max(CASE WHEN status < 500 THEN 1 ELSE 0 END,
+                 {{'t': ts, 'u': CASE WHEN status < 500 THEN 1 ELSE 0 END}}) AS up
+  FROM req GROUP BY ALL)""") + f"""
+SELECT service, window_start, round(c_inf / 60.0, 6) AS req_rate, round(errors / 60.0, 6) AS error_rate,
+       round({_quantile_sql(0.95)}, 6) AS p95_seconds, up
+FROM h"""

@@ -435,3 +435,8 @@ def upstream_share(spark, sf):
 @register("throttled_clients")
 def throttled_clients(spark, sf):
     return ob.throttled_clients(tb.request_log(spark, sf), P.ATTEMPT_WINDOW)
+
+
+@register("service_overview")
+def service_overview(spark, sf):
+    return ob.service_overview(tb.request_log(spark, sf))
