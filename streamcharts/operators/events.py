@@ -160,3 +160,21 @@ def play_events(events: DataFrame, songs: DataFrame, salt: str | bytes | None =
         "ts",
         minute_floor(F.col("ts")).alias("window_start"),
     )
+
+
+def play_rows(events: DataFrame, salt: str | bytes | None = None) -> DataFrame:
+    """Plays from the event table, hashed, without the catalog lookup.
+
+    ``event_id, song_id, user_hash, ts, window_start``. Rollups built from this
+    aggregate first and join the catalog per song afterwards (see
+    ``rollups.*_from_plays``), so the catalog join never sees one row per event.
+    """
+    kwargs = {} if salt is None else {"salt": salt}
+    keep = ["event_id"] if "event_id" in events.columns else []
+    return events.filter(F.col("type") == "play").select(
+        *keep,
+        "song_id",
+        pseudonym(F.col("user_id"), **kwargs).alias("user_hash"),
+        "ts",
+        minute_floor(F.col("ts")).alias("window_start"),
+    )

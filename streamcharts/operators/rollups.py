@@ -49,6 +49,49 @@ def user_genre_deltas(plays: DataFrame, epoch: Column | int = 0, written_at: Col
     ).withColumn("epoch", epoch_col)
 
 
+def _catalog_genre(songs: DataFrame) -> DataFrame:
+    return songs.select(F.col("id").alias("song_id"), "genre")
+
+
+def minute_deltas_from_plays(plays: DataFrame, songs: DataFrame, epoch: Column | str | int = 0) -> DataFrame:
+    """``minute_deltas`` for plays that carry no genre (the batch event table).
+
+    Aggregated per (song, minute) first -- the genre is a function of the song --
+    then joined to the catalog, which also drops songs the intake would have
+    refused. ``epoch`` may name a column of ``plays`` to keep batches apart.
+    """
+    keys = ["song_id", "window_start"] + ([epoch] if isinstance(epoch, str) else [])
+    per = plays.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("plays"),
+        F.approx_count_distinct("user_hash").alias("uniq_approx"),
+        F.hll_sketch_agg("user_hash", HLL_LG_K).alias("uniq_sketch"),
+        F.max("ts").alias("written_at"),
+    )
+    if not isinstance(epoch, str):
+        epoch_col = epoch if isinstance(epoch, Column) else F.lit(epoch).cast("long")
+        per = per.withColumn("epoch", epoch_col)
+    return per.join(_catalog_genre(songs), "song_id", "inner")
+
+
+def user_genre_deltas_from_plays(plays: DataFrame, songs: DataFrame, epoch: int = 0) -> DataFrame:
+    """``user_genre_deltas`` for plays without genre: per (user, song) first, then
+    catalog genre, then per (user, genre); both aggregates combine map-side."""
+    per_song = plays.groupBy("user_hash", "song_id").agg(
+        F.count(F.lit(1)).alias("plays"), F.max("ts").alias("written_at")
+    )
+    return (
+        per_song.join(_catalog_genre(songs), "song_id", "inner")
+        .groupBy("user_hash", "genre")
+        .agg(F.sum("plays").cast("long").alias("plays"), F.max("written_at").alias("written_at"))
+        .withColumn("epoch", F.lit(epoch).cast("long"))
+    )
+
+
+def known_songs(df: DataFrame, songs: DataFrame) -> DataFrame:
+    """Keep rows whose song is in the catalog (a semi-join on already aggregated rows)."""
+    return df.join(songs.select(F.col("id").alias("song_id")), "song_id", "left_semi")
+
+
 def minute_play_counts(deltas: DataFrame) -> DataFrame:
     """``song_play_counts``: key (song, minute), additive over epochs (K5).
 

@@ -30,7 +30,8 @@ def register(name: str):
 
 # ---------------------------------------------------------------- helpers
 def _plays(spark, sf):
-    return ev.play_events(tb.events(spark, sf, types=("play",)), tb.songs(spark, sf))
+    """Hashed plays without genre; rollups aggregate them before the catalog join."""
+    return ev.play_rows(tb.events(spark, sf, types=("play",)))
 
 
 def _buckets(spark, sf):
@@ -83,18 +84,22 @@ def trending_share(spark, sf):
 
 @register("sliding_trending")
 def sliding_trending(spark, sf):
-    return tr.sliding_trending(_plays(spark, sf), P.SLIDING_WINDOW, P.SLIDING_SLIDE)
+    out = tr.sliding_trending(_plays(spark, sf), P.SLIDING_WINDOW, P.SLIDING_SLIDE)
+    return ru.known_songs(out, tb.songs(spark, sf))
+
+
+def _affinity(spark, sf):
+    return ru.user_genre_affinity(ru.user_genre_deltas_from_plays(_plays(spark, sf), tb.songs(spark, sf)))
 
 
 @register("favourite_genre")
 def favourite_genre(spark, sf):
-    aff = ru.user_genre_affinity(ru.user_genre_deltas(_plays(spark, sf)))
-    return tr.favourite_genre(aff)
+    return tr.favourite_genre(_affinity(spark, sf))
 
 
 @register("for_you_all")
 def for_you_all(spark, sf):
-    aff = ru.user_genre_affinity(ru.user_genre_deltas(_plays(spark, sf)))
+    aff = _affinity(spark, sf)
     return tr.for_you(tb.users(spark, sf), aff, _buckets(spark, sf), tb.songs(spark, sf), tb.artists(spark, sf),
                       asof=P.ASOF, window_minutes=P.WINDOW_MINUTES)
 
@@ -128,61 +133,52 @@ def events_by_type(spark, sf):
 # ------------------------------------------------------------ rollups
 @register("minute_play_counts")
 def minute_play_counts(spark, sf):
-    return ru.minute_play_counts(ru.minute_deltas(_plays(spark, sf)))
+    return ru.minute_play_counts(ru.minute_deltas_from_plays(_plays(spark, sf), tb.songs(spark, sf)))
 
 
 @register("minute_unique_exact")
 def minute_unique_exact(spark, sf):
-    return ru.unique_listeners_exact(_plays(spark, sf))
+    return ru.known_songs(ru.unique_listeners_exact(_plays(spark, sf)), tb.songs(spark, sf))
 
 
 @register("minute_unique_approx")
 def minute_unique_approx(spark, sf):
-    return ru.unique_listeners(ru.minute_deltas(_plays(spark, sf)), mode="max")
+    return ru.unique_listeners(ru.minute_deltas_from_plays(_plays(spark, sf), tb.songs(spark, sf)), mode="max")
+
+
+def _epoch_deltas(spark, sf):
+    """Minute deltas per simulated batch: one delta row per (batch, song, minute)."""
+    plays = _plays(spark, sf).withColumn("epoch", _batch_epoch())
+    return ru.minute_deltas_from_plays(plays, tb.songs(spark, sf), epoch="epoch")
 
 
 @register("unique_union_sketch")
 def unique_union_sketch(spark, sf):
-    return ru.unique_listeners(_epoch_deltas(_plays(spark, sf)), mode="union")
-
-
-def _epoch_deltas(plays, exact: bool = False):
-    """Minute deltas per simulated batch: one delta row per (batch, song, genre, minute).
-
-    ``exact`` swaps the per-batch estimate for an exact per-batch distinct count,
-    which is what the max-merge oracle can reproduce.
-    """
-    with_epoch = plays.withColumn("epoch", _batch_epoch())
-    if exact:
-        uniq = [F.countDistinct("user_hash").alias("uniq_approx")]
-    else:
-        uniq = [
-            F.approx_count_distinct("user_hash").alias("uniq_approx"),
-            F.hll_sketch_agg("user_hash", ru.HLL_LG_K).alias("uniq_sketch"),
-        ]
-    return with_epoch.groupBy("epoch", "song_id", "genre", "window_start").agg(
-        F.count(F.lit(1)).alias("plays"), *uniq, F.max("ts").alias("written_at")
-    )
+    return ru.unique_listeners(_epoch_deltas(spark, sf), mode="union")
 
 
 @register("unique_max_merge")
 def unique_max_merge(spark, sf):
-    return ru.unique_listeners(_epoch_deltas(_plays(spark, sf), exact=True), mode="max")
+    """Reference merge (max across batches) of exact per-batch distinct counts."""
+    per_batch = _plays(spark, sf).withColumn("epoch", _batch_epoch()).groupBy(
+        "epoch", "song_id", "window_start"
+    ).agg(F.countDistinct("user_hash").alias("uniq_approx"))
+    return ru.unique_listeners(ru.known_songs(per_batch, tb.songs(spark, sf)), mode="max")
 
 
 @register("merge_additive")
 def merge_additive(spark, sf):
-    return ru.minute_play_counts(_epoch_deltas(_plays(spark, sf)))
+    return ru.minute_play_counts(_epoch_deltas(spark, sf))
 
 
 @register("user_genre_affinity")
 def user_genre_affinity(spark, sf):
-    return ru.user_genre_affinity(ru.user_genre_deltas(_plays(spark, sf)))
+    return _affinity(spark, sf)
 
 
 @register("ttl_live_buckets")
 def ttl_live_buckets(spark, sf):
-    rows = ru.leaderboard_rows(ru.minute_deltas(_plays(spark, sf)))
+    rows = ru.leaderboard_rows(ru.minute_deltas_from_plays(_plays(spark, sf), tb.songs(spark, sf)))
     return ru.live_buckets(rows, tr.asof_column(P.ASOF))
 
 
