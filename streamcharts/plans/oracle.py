@@ -454,3 +454,8 @@ ORACLE["service_overview"] = _with(REQ, f"""h AS (
 SELECT service, window_start, round(c_inf / 60.0, 6) AS req_rate, round(errors / 60.0, 6) AS error_rate,
        round({_quantile_sql(0.95)}, 6) AS p95_seconds, up
 FROM h"""
+
+# The streaming job's read views must equal the batch rollups over the same events.
+ORACLE["stream_minute_counts"] = ORACLE["minute_play_counts"]
+ORACLE["stream_affinity"] = _with(*BASE, AFFINITY) + "SELECT user_hash, genre, play_count FROM aff"
+ORACLE["stream_trending"] = ORACLE["trending_global"]

@@ -436,3 +436,43 @@ def throttled_clients(spark, sf):
 @register("service_overview")
 def service_overview(spark, sf):
     return ob.service_overview(tb.request_log(spark, sf))
+
+
+# ------------------------------------------------- streaming job, end to end
+from streamcharts.session import scratch_path  # noqa: E402
+from streamcharts.sources.streams import message_stream  # noqa: E402
+from streamcharts.streaming import views as sv  # noqa: E402
+from streamcharts.streaming.processor import start_rollups  # noqa: E402
+
+STREAM_FILES = 6       # the event log is written as this many record files ...
+STREAM_PER_TRIGGER = 2  # ... and consumed this many files per micro-batch
+
+
+def _run_stream(spark, sf) -> str:
+    """Publish the whole event log as keyed records, run the rollup job over it in
+    several micro-batches (availableNow) and return the output root."""
+    src = scratch_path(spark, "stream-in")
+    _messages(spark, sf).repartition(STREAM_FILES).write.json(src)
+    out, ck = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
+    q = start_rollups(message_stream(spark, "json", src, max_per_trigger=STREAM_PER_TRIGGER), out, ck,
+                      trigger={"availableNow": True})
+    q.awaitTermination()
+    return out
+
+
+@register("stream_minute_counts")
+def stream_minute_counts(spark, sf):
+    return sv.minute_play_counts(spark, _run_stream(spark, sf)).withColumn(
+        "window_start", F.col("window_start").cast("timestamp_ntz")
+    ).withColumn("window_end", F.col("window_end").cast("timestamp_ntz"))
+
+
+@register("stream_affinity")
+def stream_affinity(spark, sf):
+    return sv.user_genre_affinity(spark, _run_stream(spark, sf)).select("user_hash", "genre", "play_count")
+
+
+@register("stream_trending")
+def stream_trending(spark, sf):
+    return tr.trending(sv.buckets(spark, _run_stream(spark, sf)), tb.songs(spark, sf), tb.artists(spark, sf),
+                       asof=P.ASOF, window_minutes=P.WINDOW_MINUTES)

@@ -49,7 +49,8 @@ def live_buckets(spark: SparkSession, root: str, asof=None, ttl_seconds: int = T
 
 def reject_counts(spark: SparkSession, root: str) -> DataFrame:
     """Rejected records by reason over all batches."""
-    return deltas(spark, root, "rejects").groupBy("decode_error").agg(F.sum("rows").alias("rows"))
+    per_batch = deltas(spark, root, "batches").select(F.explode("rejected_by_reason").alias("decode_error", "n"))
+    return per_batch.groupBy("decode_error").agg(F.sum("n").alias("rows"))
 
 
 def batch_log(spark: SparkSession, root: str) -> DataFrame:
