@@ -16,6 +16,7 @@ from streamcharts.functions.scalars import (
     valid_password,
 )
 from streamcharts.operators.trending import song_cards
+from streamcharts.session import checkpoint_root
 
 
 # ----------------------------------------------------------------- songs
@@ -141,17 +142,51 @@ def create_playlists(new_rows: DataFrame, playlists: DataFrame) -> DataFrame:
     )
 
 
-def track_neighbours(playlist_songs: DataFrame) -> DataFrame:
-    """Per playlist, the 1-based number (``01``), and the next track, wrapping around."""
-    order = Window.partitionBy("playlist_id").orderBy("position", "song_id")
-    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    n = F.row_number().over(order)
-    return playlist_songs.select(
+def track_neighbours(playlist_songs: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Per playlist, the 1-based track number (``01``) and the next track, wrapping around.
+
+    Skew-safe: a window partitioned by playlist would put a playlist holding a
+    third of all rows into one task. Instead the rows are range-partitioned on
+    (playlist, position, song), so a large playlist is cut into contiguous
+    chunks across many tasks; numbering and ``lead`` run inside each
+    (partition, playlist) chunk, and chunks are stitched together with a window
+    over one summary row per chunk (at most ``partitions`` rows per playlist).
+    """
+    spark = playlist_songs.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = ["position", "song_id"]
+    ranged = playlist_songs.repartitionByRange(n, "playlist_id", *order).withColumn(
+        "_chunk", F.spark_partition_id()
+    )
+    in_chunk = Window.partitionBy("_chunk", "playlist_id").orderBy(*order)
+    # Chunk ids come from sampled range bounds; the rows are read twice below, so they are
+    # materialised once (reliable checkpoint under spark.checkpoint.dir) and both readers see
+    # the same ids -- also after an executor loss.
+    checkpoint_root(spark)
+    local = (
+        ranged.withColumn("_rn", F.row_number().over(in_chunk))
+        .withColumn("_next", F.lead("song_id").over(in_chunk))
+        .checkpoint(eager=True)
+    )
+    # one row per (chunk, playlist); range partitions are ordered, so chunk id order = track order
+    chunks = local.groupBy("_chunk", "playlist_id").agg(
+        F.count(F.lit(1)).alias("_n"), F.min_by("song_id", F.struct(*order)).alias("_head")
+    )
+    by_chunk = Window.partitionBy("playlist_id").orderBy("_chunk")
+    chunks = chunks.select(
+        "_chunk",
+        "playlist_id",
+        F.coalesce(F.sum("_n").over(by_chunk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+        F.lead("_head").over(by_chunk).alias("_next_head"),
+        F.first("_head").over(by_chunk).alias("_first_head"),
+    )
+    track_no = (F.col("_before") + F.col("_rn")).cast("int")
+    return local.join(chunks, ["_chunk", "playlist_id"], "inner").select(
         "playlist_id",
         "song_id",
-        n.alias("track_no"),
-        numbered(n).alias("label"),
-        F.coalesce(F.lead("song_id").over(order), F.first("song_id").over(whole)).alias("next_song_id"),
+        track_no.alias("track_no"),
+        numbered(track_no).alias("label"),
+        F.coalesce(F.col("_next"), F.col("_next_head"), F.col("_first_head")).alias("next_song_id"),
     )
 
 

@@ -86,3 +86,24 @@ def test_track_neighbours_wraps(spark):
     ps = spark.createDataFrame([(1, 10, 1), (1, 20, 2), (1, 30, 3), (2, 5, 0)], "playlist_id bigint, song_id bigint, position int")
     got = {(r.playlist_id, r.song_id): (r.label, r.next_song_id) for r in cat.track_neighbours(ps).collect()}
     assert got == {(1, 10): ("01", 20), (1, 20): ("02", 30), (1, 30): ("03", 10), (2, 5): ("01", 5)}
+
+
+def test_track_neighbours_hot_playlist_matches_brute_force(spark):
+    """One playlist holds most rows and spans many range partitions."""
+    import random
+
+    rnd = random.Random(7)
+    rows = [(1, sid, rnd.randint(0, 50)) for sid in range(3000)]           # the hot playlist
+    rows += [(p, 10_000 + p * 10 + k, k % 3) for p in range(2, 60) for k in range(rnd.randint(1, 6))]
+    ps = spark.createDataFrame(rows, "playlist_id bigint, song_id bigint, position int")
+    got = {(r.playlist_id, r.song_id): (r.track_no, r.next_song_id)
+           for r in cat.track_neighbours(ps, partitions=16).collect()}
+    expected = {}
+    by = {}
+    for p, s, pos in rows:
+        by.setdefault(p, []).append((pos, s))
+    for p, items in by.items():
+        items.sort()
+        for i, (_, s) in enumerate(items):
+            expected[(p, s)] = (i + 1, items[(i + 1) % len(items)][1])
+    assert got == expected
