@@ -459,3 +459,13 @@ FROM h"""
 ORACLE["stream_minute_counts"] = ORACLE["minute_play_counts"]
 ORACLE["stream_affinity"] = _with(*BASE, AFFINITY) + "SELECT user_hash, genre, play_count FROM aff"
 ORACLE["stream_trending"] = ORACLE["trending_global"]
+
+ORACLE["stream_intake_rejects"] = ORACLE["reject_reasons"]
+
+# Only accepted plays (premium gate, catalog lookup) reach the log; event times keep millisecond precision.
+ORACLE["stream_end_to_end"] = _with(SONGS, USERS, EV, ACCEPT) + """
+SELECT acc.song_id, min(acc.genre) AS genre, date_trunc('minute', e.ts) AS window_start,
+       CAST(count(*) AS BIGINT) AS play_count
+FROM acc JOIN ev e ON e.event_id = acc.event_id
+WHERE acc.reject_reason IS NULL AND acc.type = 'play'
+GROUP BY acc.song_id, date_trunc('minute', e.ts)"""

@@ -476,3 +476,36 @@ def stream_affinity(spark, sf):
 def stream_trending(spark, sf):
     return tr.trending(sv.buckets(spark, _run_stream(spark, sf)), tb.songs(spark, sf), tb.artists(spark, sf),
                        asof=P.ASOF, window_minutes=P.WINDOW_MINUTES)
+
+
+from streamcharts.streaming import intake as si  # noqa: E402
+
+REQUEST_SCHEMA = "event_id bigint, type string, user_id bigint, song_id bigint, ts timestamp_ntz"
+
+
+def _run_intake(spark, sf) -> str:
+    """Requests (every event, as a client call) through the intake stream; returns its output root."""
+    src = scratch_path(spark, "requests-in")
+    _requests(spark, sf).join(tb.events(spark, sf).select("event_id", "ts"), "event_id").repartition(
+        STREAM_FILES
+    ).write.json(src)
+    reqs = spark.readStream.schema(REQUEST_SCHEMA).option("maxFilesPerTrigger", STREAM_PER_TRIGGER).json(src)
+    out, ck = scratch_path(spark, "intake-out"), scratch_path(spark, "intake-ckpt")
+    si.start_intake(reqs, tb.songs(spark, sf), tb.users(spark, sf), out, ck,
+                    trigger={"availableNow": True}).awaitTermination()
+    return out
+
+
+@register("stream_intake_rejects")
+def stream_intake_rejects(spark, sf):
+    return si.refused_counts(spark, _run_intake(spark, sf))
+
+
+@register("stream_end_to_end")
+def stream_end_to_end(spark, sf):
+    """Requests -> intake stream -> keyed log -> rollup stream -> minute play counts."""
+    published = si.published_messages_path(_run_intake(spark, sf))
+    out, ck = scratch_path(spark, "e2e-out"), scratch_path(spark, "e2e-ckpt")
+    start_rollups(message_stream(spark, "json", published, max_per_trigger=STREAM_PER_TRIGGER), out, ck,
+                  trigger={"availableNow": True}).awaitTermination()
+    return sv.minute_play_counts(spark, out).select("song_id", "genre", "window_start", "play_count")

@@ -93,3 +93,15 @@ def test_stateful_windowed_counts(spark, scratch):
                     "max(plays) AS plays FROM wm_counts GROUP BY ALL) GROUP BY ALL")
     expected = R.minute_play_counts(spark, SF_SMALL)
     assert got.count() == expected.count()
+
+
+def test_intake_stream_matches_batch_acceptance(spark):
+    out = R._run_intake(spark, SF_SMALL)
+    from streamcharts.streaming import intake as si
+
+    got = sorted(map(tuple, si.refused_counts(spark, out).collect()))
+    expected = sorted(map(tuple, R.QUERIES["reject_reasons"](spark, SF_SMALL).collect()))
+    assert got == expected
+    published = spark.read.json(si.published_messages_path(out))
+    assert published.count() == R.QUERIES["accept_events"](spark, SF_SMALL).count()
+    assert set(published.columns) >= {"key", "value"}
