@@ -95,17 +95,21 @@ def decode_messages(messages: DataFrame, salt: str | bytes | None = None) -> Dat
     """Decode log records (P1-P7) and pseudonymize before anything else.
 
     Output columns: ``type, songId, genre, role, ts, window_start, user_hash``,
-    plus ``song_id`` (bigint) and ``decode_error`` (null for good rows). The raw
+    plus ``song_id`` (bigint) and ``decode_error`` (null for good rows); other
+    message columns (log offsets, an event id) pass through. The raw
     user id is dropped in the same projection that hashes it. Bad input is
     flagged, never raised: ANSI mode would otherwise stop the stream.
     """
     kwargs = {} if salt is None else {"salt": salt}
     schema = T.StructType(EVENT_SCHEMA.fields + [T.StructField(_CORRUPT, T.StringType())])
+    extra = [c for c in messages.columns if c not in ("key", "value")]  # offsets, ids, log time
     decoded = messages.select(
+        *extra,
         F.from_json(
             F.col("value").cast("string"), schema, {"columnNameOfCorruptRecord": _CORRUPT}
-        ).alias("e")
+        ).alias("e"),
     ).select(
+        *extra,
         F.col("e.type").alias("type"),
         F.col("e.songId").alias("songId"),
         F.col("e.genre").alias("genre"),
