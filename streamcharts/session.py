@@ -19,6 +19,21 @@ RUNTIME_CONF = {
 }
 
 
+# Starting points for a large cluster (set by the launcher; not applied automatically).
+# AQE coalesces the generous shuffle partition count down to the advisory size, and
+# splits skewed join partitions; the broadcast threshold is Spark's own size check.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",             # ~2-3x total cores at 1000 executors
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
+
 def ensure_conf(spark: SparkSession) -> SparkSession:
     """Pin the runtime settings the queries rely on (UTC above all)."""
     for k, v in RUNTIME_CONF.items():

@@ -14,6 +14,16 @@ from pyspark.sql import functions as F
 from streamcharts.operators.events import good_plays
 from streamcharts.operators.rollups import HLL_LG_K
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_rocksdb_state(spark) -> None:
+    """Keep window state in RocksDB on local disk instead of the executor heap.
+
+    Must be set before the query's first start (a checkpoint keeps its provider).
+    """
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+
 
 def _event_time(decoded: DataFrame, watermark: str, dedupe_on: str | None) -> DataFrame:
     plays = good_plays(decoded).withColumn("event_time", F.col("ts").cast("timestamp"))
