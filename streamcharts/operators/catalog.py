@@ -25,16 +25,21 @@ def list_songs(songs: DataFrame, artists: DataFrame, genre: str | None = None, q
     """Q3: optional genre equality AND title/artist substring (case-insensitive), by id, top n.
 
     ``%``/``_`` in ``q`` act as wildcards, as in the reference. ``orderBy + limit``
-    becomes a per-task top-n, so the catalog is never sorted as a whole.
+    becomes a per-task top-n, so the catalog is never sorted as a whole; without
+    ``q`` the page is taken before the artist join.
     """
     n = clamp_limit(limit, CATALOG_DEFAULT_LIMIT, CATALOG_MAX_LIMIT)
-    cards = song_cards(songs, artists)
     if genre:
-        cards = cards.filter(F.col("genre") == genre)
+        songs = songs.filter(F.col("genre") == genre)
     if q:
+        # the text may match the artist name, so the join has to come first
         pattern = f"%{q}%"
-        cards = cards.filter(F.col("title").ilike(pattern) | F.col("artist").ilike(pattern))
-    return cards.orderBy("id").limit(n)
+        cards = song_cards(songs, artists)
+        return cards.filter(F.col("title").ilike(pattern) | F.col("artist").ilike(pattern)).orderBy("id").limit(n)
+    # artist_id is a foreign key (erasure cascades keep it so): the join drops no song, so the
+    # page is cut from the songs alone (per-task top-n) and only its n rows meet the artists
+    page = F.broadcast(songs.orderBy("id").limit(n))
+    return song_cards(page, artists).orderBy("id")
 
 
 def get_song(songs: DataFrame, artists: DataFrame, song_id) -> DataFrame:
@@ -47,7 +52,8 @@ def get_song(songs: DataFrame, artists: DataFrame, song_id) -> DataFrame:
         raise ValueError(f"invalid song id {song_id!r}") from None
     if sid <= 0:
         raise ValueError(f"invalid song id {song_id!r}")
-    return song_cards(songs.filter(F.col("id") == sid), artists)
+    # id is the primary key: at most one row, a safe broadcast into the artists scan
+    return song_cards(F.broadcast(songs.filter(F.col("id") == sid)), artists)
 
 
 def list_artists(artists: DataFrame) -> DataFrame:
