@@ -59,13 +59,21 @@ def cascade_counts(before: dict[str, DataFrame], after: dict[str, DataFrame]) ->
 
 
 def export_users(export_ids: DataFrame, users: DataFrame, playlists: DataFrame,
-                 track_ids: DataFrame) -> DataFrame:
+                 playlist_songs: DataFrame) -> DataFrame:
     """Q12 export: JSON lines, one per (user, playlist), plus one for a user without playlists.
 
-    ``track_ids`` is ``playlist_track_ids`` output (playlist_id, song_ids).
+    The requested users narrow playlists, and those narrow the tracks, by
+    semi-joins *before* the per-playlist aggregation, so an export touches the
+    requested users' data only (beyond the scans).
     """
+    from streamcharts.operators.catalog import playlist_track_ids
+
     u = users.join(export_ids.select("id").distinct(), "id", "left_semi")
-    p = playlists.join(track_ids, playlists["id"] == track_ids["playlist_id"], "left").select(
+    mine = playlists.join(u.select(F.col("id").alias("user_id")), "user_id", "left_semi")
+    tracks = playlist_track_ids(
+        playlist_songs.join(mine.select(F.col("id").alias("playlist_id")), "playlist_id", "left_semi")
+    )
+    p = mine.join(tracks, mine["id"] == tracks["playlist_id"], "left").select(
         F.col("user_id"),
         F.col("id").alias("playlist_id"),
         "name",

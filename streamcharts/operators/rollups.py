@@ -165,13 +165,16 @@ def live_buckets(rows: DataFrame, asof: Column, ttl_seconds: int = TREND_TTL_SEC
     are both reported, with ``scope`` telling them apart.
     """
     ttl = F.expr(f"INTERVAL {int(ttl_seconds)} SECONDS")
-    per_genre = rows.groupBy("minute", "genre").agg(
-        (F.max("written_at") + ttl).alias("expires_at")
-    ).select(F.lit("genre").alias("scope"), "genre", "minute", "expires_at")
-    per_minute = rows.groupBy("minute").agg(
-        (F.max("written_at") + ttl).alias("expires_at")
-    ).select(F.lit("global").alias("scope"), F.lit(None).cast("string").alias("genre"), "minute", "expires_at")
-    return per_genre.unionByName(per_minute).filter(F.col("expires_at") > asof)
+    # one pass: rollup gives (minute, genre) = genre keys and (minute) = global keys
+    keys = rows.rollup("minute", "genre").agg(
+        (F.max("written_at") + ttl).alias("expires_at"), F.grouping_id().alias("_gid")
+    )
+    return keys.filter((F.col("_gid") <= 1) & (F.col("expires_at") > asof)).select(
+        F.when(F.col("_gid") == 0, F.lit("genre")).otherwise(F.lit("global")).alias("scope"),
+        "genre",
+        "minute",
+        "expires_at",
+    )
 
 
 def events_by_type(events: DataFrame) -> DataFrame:

@@ -336,8 +336,8 @@ def erase_artist_cascade(spark, sf):
 
 @register("export_user")
 def export_user(spark, sf):
-    tracks = cat.playlist_track_ids(tb.playlist_songs(spark, sf))
-    return pv.export_users(_erase_ids(spark, sf), tb.users(spark, sf), tb.playlists(spark, sf), tracks)
+    return pv.export_users(_erase_ids(spark, sf), tb.users(spark, sf), tb.playlists(spark, sf),
+                           tb.playlist_songs(spark, sf))
 
 
 # ------------------------------------------------------------- intake
