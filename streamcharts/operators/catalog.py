@@ -202,6 +202,16 @@ OUTCOME_CONFLICT = "conflict"
 OUTCOME_ACCEPTED = "accepted"
 
 
+def find_users(users: DataFrame, emails: DataFrame) -> DataFrame:
+    """Accounts for the given addresses (any case), minimal projection ``id, email, role``.
+
+    ``emails`` is a frame with an ``email`` column, so a batch of logins is one
+    equi-join on the lower-cased address rather than a lookup per address.
+    """
+    wanted = emails.select(F.lower(F.col("email")).alias("_key")).distinct()
+    return users.join(wanted, F.lower(users["email"]) == wanted["_key"], "left_semi").select("id", "email", "role")
+
+
 def register_users(requests: DataFrame, users: DataFrame) -> DataFrame:
     """Classify registrations ``(request_id, email, password)``.
 

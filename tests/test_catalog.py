@@ -107,3 +107,9 @@ def test_track_neighbours_hot_playlist_matches_brute_force(spark):
         for i, (_, s) in enumerate(items):
             expected[(p, s)] = (i + 1, items[(i + 1) % len(items)][1])
     assert got == expected
+
+
+def test_find_users_any_case(spark):
+    users = spark.createDataFrame([(1, "a@x.io", "free"), (2, "b@x.io", "admin")], "id bigint, email string, role string")
+    emails = spark.createDataFrame([("A@X.IO",), ("nobody@x.io",), ("a@x.io",)], "email string")
+    assert [tuple(r) for r in cat.find_users(users, emails).collect()] == [(1, "a@x.io", "free")]
