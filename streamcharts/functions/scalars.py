@@ -13,7 +13,8 @@ from streamcharts.constants import EMAIL_PATTERN, MIN_PASSWORD_LENGTH, ROLE_RANK
 def clamp_limit(limit, default: int, maximum: int) -> int:
     """``min(Number(limit) || default, maximum)``: 0, None, NaN or text -> default.
 
-    Negative values are rejected instead of being passed to the top-k.
+    Negative values are rejected instead of being passed to the top-k; a
+    fraction below 1 becomes 1.
     """
     try:
         n = float(limit) if limit is not None else 0.0
@@ -23,7 +24,7 @@ def clamp_limit(limit, default: int, maximum: int) -> int:
         n = default
     if n < 0:
         raise ValueError(f"limit must be positive, got {limit!r}")
-    return int(min(math.floor(n), maximum))
+    return int(max(1, min(math.floor(n), maximum)))  # a fraction below 1 still returns one row
 
 
 def role_rank(role: Column) -> Column:
