@@ -18,7 +18,6 @@ CATALOG_MAX_LIMIT = 200
 
 # --- fixed values: event types and roles --------------------------------
 EVENT_TYPES = ("play", "skip", "like")
-CLIENT_EVENT_TYPES = ("skip", "like")       # accepted by the generic event call
 ROLE_RANK = {"free": 1, "premium": 2, "admin": 3}
 ROLES = ("free", "premium", "admin")
 ANON_USER = "anon"

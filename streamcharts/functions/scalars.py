@@ -24,7 +24,7 @@ def clamp_limit(limit, default: int, maximum: int) -> int:
         n = default
     if n < 0:
         raise ValueError(f"limit must be positive, got {limit!r}")
-    return int(max(1, min(math.floor(n), maximum)))  # a fraction below 1 still returns one row
+    return int(max(1, math.floor(min(n, maximum))))  # +inf -> maximum; a fraction below 1 -> 1
 
 
 def role_rank(role: Column) -> Column:

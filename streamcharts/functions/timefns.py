@@ -18,10 +18,6 @@ def epoch_minute(ts: Column) -> Column:
     return F.floor(F.unix_micros(ts.cast("timestamp")) / F.lit(60_000_000)).cast("long")
 
 
-def minute_from_epoch(minute: Column) -> Column:
-    return F.timestamp_seconds(minute * 60).cast("timestamp_ntz")
-
-
 def to_iso(ts: Column) -> Column:
     return F.date_format(ts, ISO_FORMAT)
 

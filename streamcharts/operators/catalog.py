@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from streamcharts.constants import CATALOG_DEFAULT_LIMIT, CATALOG_MAX_LIMIT
@@ -15,8 +15,8 @@ from streamcharts.functions.scalars import (
     valid_email,
     valid_password,
 )
+from streamcharts.operators.ranking import ranked
 from streamcharts.operators.trending import song_cards
-from streamcharts.session import checkpoint_root
 
 
 # ----------------------------------------------------------------- songs
@@ -134,65 +134,29 @@ def newest_playlist(playlists: DataFrame) -> DataFrame:
 def create_playlists(new_rows: DataFrame, playlists: DataFrame) -> DataFrame:
     """Give new ``(user_id, name)`` rows ids after the current maximum.
 
-    Rows are range-sorted by (user_id, name) and numbered with ``zipWithIndex``,
-    which counts each partition in parallel and then offsets it: dense ids
-    without funnelling the rows through a single-partition window.
+    Dense ids in (user_id, name) order come from ``ranking.ranked`` over the
+    whole frame (range chunks, no single-partition window); the current
+    maximum is a scalar subquery.
     """
-    spark = new_rows.sparkSession
-    ordered = new_rows.select("user_id", "name").orderBy("user_id", "name")
-    indexed = ordered.rdd.zipWithIndex().map(lambda r: (r[0][0], r[0][1], r[1]))
-    numbered_rows = spark.createDataFrame(indexed, "user_id bigint, name string, _idx bigint")
+    r = ranked(new_rows.select("user_id", "name"), ["user_id", "name"])
     base = playlists.select(F.coalesce(F.max("id"), F.lit(0)).alias("m")).scalar()
-    return numbered_rows.select(
-        (base + 1 + F.col("_idx")).cast("long").alias("id"), "user_id", "name"
-    )
+    return r.select((base + F.col("_rank")).cast("long").alias("id"), "user_id", "name")
 
 
 def track_neighbours(playlist_songs: DataFrame, partitions: int | None = None) -> DataFrame:
     """Per playlist, the 1-based track number (``01``) and the next track, wrapping around.
 
-    Skew-safe: a window partitioned by playlist would put a playlist holding a
-    third of all rows into one task. Instead the rows are range-partitioned on
-    (playlist, position, song), so a large playlist is cut into contiguous
-    chunks across many tasks; numbering and ``lead`` run inside each
-    (partition, playlist) chunk, and chunks are stitched together with a window
-    over one summary row per chunk (at most ``partitions`` rows per playlist).
+    A window partitioned by playlist would put a playlist holding a third of all
+    rows into one task; ``ranking.ranked`` cuts large playlists into range chunks.
     """
-    spark = playlist_songs.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = ["position", "song_id"]
-    ranged = playlist_songs.repartitionByRange(n, "playlist_id", *order).withColumn(
-        "_chunk", F.spark_partition_id()
-    )
-    in_chunk = Window.partitionBy("_chunk", "playlist_id").orderBy(*order)
-    # Chunk ids come from sampled range bounds; the rows are read twice below, so they are
-    # materialised once (reliable checkpoint under spark.checkpoint.dir) and both readers see
-    # the same ids -- also after an executor loss.
-    checkpoint_root(spark)
-    local = (
-        ranged.withColumn("_rn", F.row_number().over(in_chunk))
-        .withColumn("_next", F.lead("song_id").over(in_chunk))
-        .checkpoint(eager=True)
-    )
-    # one row per (chunk, playlist); range partitions are ordered, so chunk id order = track order
-    chunks = local.groupBy("_chunk", "playlist_id").agg(
-        F.count(F.lit(1)).alias("_n"), F.min_by("song_id", F.struct(*order)).alias("_head")
-    )
-    by_chunk = Window.partitionBy("playlist_id").orderBy("_chunk")
-    chunks = chunks.select(
-        "_chunk",
-        "playlist_id",
-        F.coalesce(F.sum("_n").over(by_chunk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
-        F.lead("_head").over(by_chunk).alias("_next_head"),
-        F.first("_head").over(by_chunk).alias("_first_head"),
-    )
-    track_no = (F.col("_before") + F.col("_rn")).cast("int")
-    return local.join(chunks, ["_chunk", "playlist_id"], "inner").select(
+    r = ranked(playlist_songs, ["position", "song_id"], ["playlist_id"], next_of="song_id", partitions=partitions)
+    track_no = F.col("_rank").cast("int")
+    return r.select(
         "playlist_id",
         "song_id",
         track_no.alias("track_no"),
         numbered(track_no).alias("label"),
-        F.coalesce(F.col("_next"), F.col("_next_head"), F.col("_first_head")).alias("next_song_id"),
+        F.col("_next").alias("next_song_id"),
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from streamcharts.constants import CLIENT_EVENT_TYPES, EVENT_TYPES
+from streamcharts.constants import EVENT_TYPES
 from streamcharts.functions.privacy import pseudonym
 from streamcharts.functions.scalars import premium_allowed
 from streamcharts.functions.timefns import minute_floor, parse_iso, to_iso
@@ -61,11 +61,6 @@ def accept_events(requests: DataFrame, songs: DataFrame, users: DataFrame) -> Da
     )
 
 
-def client_event_allowed(type_col: Column) -> Column:
-    """The generic interaction call only takes skip/like; plays go through play."""
-    return F.coalesce(type_col.isin(*CLIENT_EVENT_TYPES), F.lit(False))
-
-
 def event_struct(accepted: DataFrame, ts: Column | None = None) -> Column:
     """The wire event (P19): type, raw user id, song id, catalog genre, role, ISO time."""
     ts = ts if ts is not None else F.col("ts")
@@ -139,33 +134,6 @@ def good_plays(decoded: DataFrame) -> DataFrame:
     return decoded.filter(F.col("decode_error").isNull() & (F.col("type") == "play"))
 
 
-def play_events(events: DataFrame, songs: DataFrame, salt: str | bytes | None = None) -> DataFrame:
-    """Batch shortcut from the event table to the decoded play shape.
-
-    Same columns as ``good_plays(decode_messages(...))`` without the JSON round
-    trip: the song's catalog genre comes from an equi-join, the user id is
-    hashed and dropped in one projection. Unknown songs have no genre and are
-    left out, as the intake would have refused them.
-    """
-    kwargs = {} if salt is None else {"salt": salt}
-    keep = ["event_id"] if "event_id" in events.columns else []
-    plays = events.filter(F.col("type") == "play").select(
-        *keep,
-        "song_id",
-        "ts",
-        pseudonym(F.col("user_id"), **kwargs).alias("user_hash"),
-    )
-    s = songs.select(F.col("id").alias("song_id"), "genre")
-    return plays.join(s, "song_id", "inner").select(
-        *keep,
-        "song_id",
-        "genre",
-        "user_hash",
-        "ts",
-        minute_floor(F.col("ts")).alias("window_start"),
-    )
-
-
 def play_rows(events: DataFrame, salt: str | bytes | None = None) -> DataFrame:
     """Plays from the event table, hashed, without the catalog lookup.
 

@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from streamcharts.constants import (
-    ALL_GENRES,
     FOR_YOU_LIMIT,
     GLOBAL_TRENDING,
     TRENDING_DEFAULT_LIMIT,
@@ -134,10 +133,6 @@ def trending(buckets: DataFrame, songs: DataFrame, artists: DataFrame, genre: st
     )
 
 
-def trending_label(genre: str | None) -> str:
-    return genre or ALL_GENRES
-
-
 def top_per_genre(buckets: DataFrame, limit=None, asof=None,
                   window_minutes: int = TRENDING_WINDOW_MINUTES, songs: DataFrame | None = None) -> DataFrame:
     """Every genre's top N at once: ``genre, song_id, plays, rank``.

@@ -35,7 +35,8 @@ def test_pseudonym_stays_in_codegen(spark):
 @pytest.mark.parametrize(
     "limit,default,maximum,expected",
     [(None, 10, 50, 10), (0, 10, 50, 10), ("abc", 10, 50, 10), (float("nan"), 10, 50, 10),
-     (5, 10, 50, 5), (500, 10, 50, 50), ("7", 100, 200, 7), (3.9, 10, 50, 3)],
+     (5, 10, 50, 5), (500, 10, 50, 50), ("7", 100, 200, 7), (3.9, 10, 50, 3), ("Infinity", 10, 50, 50),
+     (0.5, 10, 50, 1)],
 )
 def test_clamp_limit(limit, default, maximum, expected):
     assert clamp_limit(limit, default, maximum) == expected
