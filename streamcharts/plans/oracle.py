@@ -469,3 +469,7 @@ SELECT acc.song_id, min(acc.genre) AS genre, date_trunc('minute', e.ts) AS windo
 FROM acc JOIN ev e ON e.event_id = acc.event_id
 WHERE acc.reject_reason IS NULL AND acc.type = 'play'
 GROUP BY acc.song_id, date_trunc('minute', e.ts)"""
+
+ORACLE["stream_windowed_counts"] = _with(*BASE) + """
+SELECT window_start, song_id, genre, CAST(count(*) AS BIGINT) AS plays
+FROM plays GROUP BY window_start, song_id, genre"""

@@ -509,3 +509,20 @@ def stream_end_to_end(spark, sf):
     start_rollups(message_stream(spark, "json", published, max_per_trigger=STREAM_PER_TRIGGER), out, ck,
                   trigger={"availableNow": True}).awaitTermination()
     return sv.minute_play_counts(spark, out).select("song_id", "genre", "window_start", "play_count")
+
+
+from streamcharts.operators.events import decode_messages  # noqa: E402
+from streamcharts.streaming import stateful as st  # noqa: E402
+
+
+@register("stream_windowed_counts")
+def stream_windowed_counts(spark, sf):
+    """Watermarked windowed counts (state kept by Spark), update mode, latest value per window."""
+    src = scratch_path(spark, "stateful-in")
+    _messages(spark, sf).repartition(STREAM_FILES).write.json(src)
+    decoded = decode_messages(message_stream(spark, "json", src, max_per_trigger=STREAM_PER_TRIGGER))
+    out, ck = scratch_path(spark, "stateful-out"), scratch_path(spark, "stateful-ckpt")
+    # a watermark longer than the data's span: every event is on time, as in the batch rollup
+    st.start_windowed_counts(decoded, out, ck, watermark="3650 days",
+                             trigger={"availableNow": True}).awaitTermination()
+    return st.latest_windows(spark, out)

@@ -53,3 +53,33 @@ def sliding_trending_counts(decoded: DataFrame, length: str = "10 minutes", slid
     return plays.groupBy(F.window("event_time", length, slide).alias("w"), "song_id").agg(
         F.count(F.lit(1)).alias("plays")
     ).select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "song_id", "plays")
+
+
+def start_windowed_counts(decoded: DataFrame, output_root: str, checkpoint: str, watermark: str = "10 minutes",
+                          trigger: dict | None = None, dedupe_on: str | None = None):
+    """Run ``windowed_minute_counts`` in update mode; each micro-batch writes the windows it
+    changed under ``epoch=<batch>`` (dynamic overwrite, so a replay rewrites its own files).
+    Nothing goes through the driver; ``latest_windows`` reads the current value per window."""
+
+    def sink(batch: DataFrame, epoch_id: int) -> None:
+        (
+            batch.drop("uniq_sketch").withColumn("epoch", F.lit(int(epoch_id)).cast("long"))
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("epoch").parquet(output_root)
+        )
+
+    counts = windowed_minute_counts(decoded, watermark, dedupe_on)
+    return (
+        counts.writeStream.outputMode("update").foreachBatch(sink)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": "5 seconds"}))
+        .start()
+    )
+
+
+def latest_windows(spark, output_root: str) -> DataFrame:
+    """Current count of every emitted window: the value from the latest batch that updated it."""
+    rows = spark.read.parquet(output_root)
+    return rows.groupBy("window_start", "song_id", "genre").agg(
+        F.max_by("plays", "epoch").alias("plays")
+    ).select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "song_id", "genre", "plays")

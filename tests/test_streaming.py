@@ -137,3 +137,16 @@ def test_dedupe_within_watermark(spark, scratch):
          .outputMode("update").trigger(availableNow=True).start())
     q.awaitTermination()
     assert spark.sql("SELECT max(plays) FROM dedupe_counts").first()[0] == 3
+
+
+def test_windowed_counts_latest_value_across_batches(spark, scratch):
+    ev = '{"type":"play","userId":"%d","songId":"5","genre":"pop","ts":"2024-01-01T00:00:%02dZ"}'
+    for i in range(2):  # two files -> two micro-batches updating the same window
+        spark.createDataFrame([("5", ev % (u, u)) for u in range(i * 3, i * 3 + 3)], "key string, value string") \
+            .coalesce(1).write.mode("append").json(f"{scratch}/in")
+    decoded = decode_messages(message_stream(spark, "json", f"{scratch}/in", max_per_trigger=1))
+    stateful.start_windowed_counts(decoded, f"{scratch}/out", f"{scratch}/ck", watermark="1 hour",
+                                   trigger={"availableNow": True}).awaitTermination()
+    assert spark.read.parquet(f"{scratch}/out").select("epoch").distinct().count() == 2
+    rows = stateful.latest_windows(spark, f"{scratch}/out").collect()
+    assert [(r.song_id, r.plays) for r in rows] == [(5, 6)]
