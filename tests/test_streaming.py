@@ -150,3 +150,35 @@ def test_windowed_counts_latest_value_across_batches(spark, scratch):
     assert spark.read.parquet(f"{scratch}/out").select("epoch").distinct().count() == 2
     rows = stateful.latest_windows(spark, f"{scratch}/out").collect()
     assert [(r.song_id, r.plays) for r in rows] == [(5, 6)]
+
+
+def _ev_json(user, song, genre, ts):
+    return '{"type":"play","userId":"%s","songId":"%s","genre":"%s","ts":"%s"}' % (user, song, genre, ts)
+
+
+def test_two_genres_same_minute_keep_earliest_batch(spark, scratch):
+    sink = RollupSink(f"{scratch}/out", "r")
+    first = spark.createDataFrame([("7", _ev_json(1, 7, "rock", "2024-01-01T00:00:05Z"))], "key string, value string")
+    second = spark.createDataFrame([("7", _ev_json(2, 7, "pop", "2024-01-01T00:00:30Z")),
+                                    ("7", _ev_json(3, 7, "pop", "2024-01-01T00:00:40Z"))], "key string, value string")
+    sink(decode_messages(first), 0)
+    sink(decode_messages(second), 1)
+    (row,) = V.minute_play_counts(spark, f"{scratch}/out").collect()
+    assert (row.song_id, row.genre, row.play_count) == (7, "rock", 3)  # one row per (song, minute)
+
+
+def test_late_and_future_events(spark, scratch):
+    from streamcharts.operators import trending as tr
+
+    sink = RollupSink(f"{scratch}/out", "r")
+    now = spark.createDataFrame([("1", _ev_json(1, 1, "pop", "2024-01-01T12:00:10Z"))], "key string, value string")
+    late = spark.createDataFrame([("1", _ev_json(2, 1, "pop", "2024-01-01T09:00:10Z"))], "key string, value string")
+    future = spark.createDataFrame([("2", _ev_json(3, 2, "pop", "2024-01-02T12:00:00Z"))], "key string, value string")
+    sink(decode_messages(now), 0)
+    sink(decode_messages(late), 1)     # hours late: still added to its own old minute
+    sink(decode_messages(future), 2)   # future-dated: stored, invisible until its minute comes
+    counts = {(str(r.window_start), r.play_count) for r in V.minute_play_counts(spark, f"{scratch}/out").collect()}
+    assert ("2024-01-01 09:00:00", 1) in counts and ("2024-01-01 12:00:00", 1) in counts
+    b = V.buckets(spark, f"{scratch}/out")
+    assert [r.song_id for r in tr.windowed_plays(b, asof="2024-01-01 12:05:00").collect()] == [1]
+    assert [r.song_id for r in tr.windowed_plays(b, asof="2024-01-02 12:00:30").collect()] == [2]
