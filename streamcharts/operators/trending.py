@@ -50,13 +50,16 @@ def leaderboard_order() -> list[Column]:
 
 def in_time_window(buckets: DataFrame, asof=None, window_minutes: int = TRENDING_WINDOW_MINUTES) -> DataFrame:
     """Rows whose minute is in the window. When raw event times are present the
-    equivalent ``ts`` range is added too, so the predicate reaches the parquet scan."""
+    equivalent ``ts`` range is added too, so the predicate reaches the parquet scan;
+    on stored deltas the ``day`` range prunes partitions."""
     a = asof_column(asof)
     b = buckets.filter(in_window(F.col("window_start"), a, window_minutes))
+    hi = F.date_trunc("minute", a).cast("timestamp_ntz")
+    lo = hi - F.expr(f"INTERVAL {int(window_minutes) - 1} MINUTES")
     if "ts" in buckets.columns:
-        hi = F.date_trunc("minute", a).cast("timestamp_ntz")
-        lo = hi - F.expr(f"INTERVAL {int(window_minutes) - 1} MINUTES")
         b = b.filter((F.col("ts") >= lo) & (F.col("ts") < hi + F.expr("INTERVAL 1 MINUTE")))
+    if "day" in buckets.columns:  # stored deltas: prune day partitions
+        b = b.filter((F.col("day") >= F.to_date(lo)) & (F.col("day") <= F.to_date(hi)))
     return b
 
 

@@ -38,7 +38,7 @@ def user_genre_affinity(spark: SparkSession, root: str) -> DataFrame:
 def buckets(spark: SparkSession, root: str) -> DataFrame:
     """Minute buckets for the trending reads (song_id, genre, window_start, plays)."""
     return deltas(spark, root, "song_minute").select(
-        "song_id", "genre", F.col("window_start").cast("timestamp_ntz").alias("window_start"), "plays"
+        "song_id", "genre", F.col("window_start").cast("timestamp_ntz").alias("window_start"), "plays", "day"
     )
 
 
