@@ -37,8 +37,12 @@ CLUSTER_CONF = {
 def ensure_conf(spark: SparkSession) -> SparkSession:
     """Pin the runtime settings the queries rely on (UTC above all)."""
     for k, v in RUNTIME_CONF.items():
-        if spark.conf.get(k, None) != v:
-            spark.conf.set(k, v)
+        try:
+            if spark.conf.get(k, None) != v:
+                spark.conf.set(k, v)
+        except Exception:  # noqa: BLE001 - a locked setting: keep the session's value
+            if k == "spark.sql.session.timeZone":
+                raise  # results depend on it
     return spark
 
 
@@ -76,7 +80,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     Only when it is unset (tests, a laptop) do we pick one, and we record it
     back on the session so every later caller agrees on it.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server owns the checkpoint dir
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if not root:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder") from None
+        return root
     root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
         import tempfile
