@@ -117,12 +117,14 @@ def start_rollups(
     trigger: dict | None = None,
     salt: str | bytes | None = None,
     query_name: str | None = None,
+    event_types: tuple[str, ...] = ("play",),
 ) -> StreamingQuery:
     """Start the rollup job on a ``key, value`` message stream.
 
     ``trigger`` is passed to ``DataStreamWriter.trigger`` (default: every 5 s;
     tests use ``{"availableNow": True}``). ``checkpoint`` defaults to a folder
-    under the session's shared checkpoint root.
+    under the session's shared checkpoint root. ``event_types`` selects what is
+    rolled up (the reference counted plays only; skips and likes were ignored).
     """
     spark = messages.sparkSession
     ensure_conf(spark)
@@ -130,7 +132,7 @@ def start_rollups(
     run_id = run_id_for(spark, checkpoint)
     decoded = decode_messages(messages, salt)
     writer = (
-        decoded.writeStream.foreachBatch(RollupSink(output_root, run_id))
+        decoded.writeStream.foreachBatch(RollupSink(output_root, run_id, event_types))
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
         .trigger(**(trigger or {"processingTime": "5 seconds"}))

@@ -182,3 +182,13 @@ def test_late_and_future_events(spark, scratch):
     b = V.buckets(spark, f"{scratch}/out")
     assert [r.song_id for r in tr.windowed_plays(b, asof="2024-01-01 12:05:00").collect()] == [1]
     assert [r.song_id for r in tr.windowed_plays(b, asof="2024-01-02 12:00:30").collect()] == [2]
+
+
+def test_rollups_can_count_other_event_types(spark, scratch):
+    src = f"{scratch}/in"
+    rows = [("1", '{"type":"%s","userId":"1","songId":"1","genre":"pop","ts":"2024-01-01T00:00:10Z"}' % t)
+            for t in ("play", "like", "like", "skip")]
+    spark.createDataFrame(rows, "key string, value string").coalesce(1).write.json(src)
+    start_rollups(message_stream(spark, "json", src), f"{scratch}/out", f"{scratch}/ck",
+                  trigger={"availableNow": True}, event_types=("like",)).awaitTermination()
+    assert [r.play_count for r in V.minute_play_counts(spark, f"{scratch}/out").collect()] == [2]
