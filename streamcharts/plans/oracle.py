@@ -6,7 +6,7 @@ code with the Spark plans except the pseudonym key pads.
 
 from __future__ import annotations
 
-from streamcharts.constants import DEFAULT_SALT
+from streamcharts.constants import DEFAULT_SALT, LATENCY_BUCKETS_SECONDS, SLO_THRESHOLDS
 from streamcharts.functions.privacy import pseudonym_sql
 from streamcharts.plans import params as P
 
@@ -338,7 +338,6 @@ SELECT reject_reason, CAST(count(*) AS BIGINT) AS rejected FROM acc WHERE reject
 GROUP BY reject_reason"""
 
 # ------------------------------------------------------- observability
-from streamcharts.constants import LATENCY_BUCKETS_SECONDS, SLO_THRESHOLDS  # noqa: E402
 
 REQ = """req AS (
   SELECT event_id, CAST(ts AS TIMESTAMP) AS ts, 'svc-' || CAST(user_id % 5 AS VARCHAR) AS service,

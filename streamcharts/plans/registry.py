@@ -10,12 +10,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from streamcharts.functions.privacy import pseudonym
+from streamcharts.functions.timefns import minute_floor
+from streamcharts.operators import catalog as cat
 from streamcharts.operators import events as ev
+from streamcharts.operators import observability as ob
+from streamcharts.operators import privacy as pv
 from streamcharts.operators import rollups as ru
 from streamcharts.operators import trending as tr
 from streamcharts.plans import params as P
-from streamcharts.functions.timefns import minute_floor
+from streamcharts.session import scratch_path
+from streamcharts.sources import logs as lg
 from streamcharts.sources import tables as tb
+from streamcharts.sources.streams import message_stream
+from streamcharts.streaming import intake as si
+from streamcharts.streaming import stateful as st
+from streamcharts.streaming import views as sv
+from streamcharts.streaming.processor import start_rollups
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -119,8 +130,6 @@ def decode_events(spark, sf):
 
 @register("pseudonymize")
 def pseudonymize(spark, sf):
-    from streamcharts.functions.privacy import pseudonym
-
     e = tb.events(spark, sf)
     return e.select("event_id", pseudonym(F.col("user_id")).alias("user_hash"))
 
@@ -183,8 +192,6 @@ def ttl_live_buckets(spark, sf):
 
 
 # ------------------------------------------------------------ catalog
-from streamcharts.operators import catalog as cat  # noqa: E402
-from streamcharts.operators import privacy as pv  # noqa: E402
 
 
 @register("list_songs")
@@ -362,8 +369,6 @@ def reject_reasons(spark, sf):
 
 
 # ------------------------------------------------------- observability
-from streamcharts.operators import observability as ob  # noqa: E402
-from streamcharts.sources import logs as lg  # noqa: E402
 
 
 @register("requests_by_route")
@@ -439,10 +444,6 @@ def service_overview(spark, sf):
 
 
 # ------------------------------------------------- streaming job, end to end
-from streamcharts.session import scratch_path  # noqa: E402
-from streamcharts.sources.streams import message_stream  # noqa: E402
-from streamcharts.streaming import views as sv  # noqa: E402
-from streamcharts.streaming.processor import start_rollups  # noqa: E402
 
 STREAM_FILES = 6       # the event log is written as this many record files ...
 STREAM_PER_TRIGGER = 2  # ... and consumed this many files per micro-batch
@@ -478,8 +479,6 @@ def stream_trending(spark, sf):
                        asof=P.ASOF, window_minutes=P.WINDOW_MINUTES)
 
 
-from streamcharts.streaming import intake as si  # noqa: E402
-
 REQUEST_SCHEMA = "event_id bigint, type string, user_id bigint, song_id bigint, ts timestamp_ntz"
 
 
@@ -511,16 +510,12 @@ def stream_end_to_end(spark, sf):
     return sv.minute_play_counts(spark, out).select("song_id", "genre", "window_start", "play_count")
 
 
-from streamcharts.operators.events import decode_messages  # noqa: E402
-from streamcharts.streaming import stateful as st  # noqa: E402
-
-
 @register("stream_windowed_counts")
 def stream_windowed_counts(spark, sf):
     """Watermarked windowed counts (state kept by Spark), update mode, latest value per window."""
     src = scratch_path(spark, "stateful-in")
     _messages(spark, sf).repartition(STREAM_FILES).write.json(src)
-    decoded = decode_messages(message_stream(spark, "json", src, max_per_trigger=STREAM_PER_TRIGGER))
+    decoded = ev.decode_messages(message_stream(spark, "json", src, max_per_trigger=STREAM_PER_TRIGGER))
     out, ck = scratch_path(spark, "stateful-out"), scratch_path(spark, "stateful-ckpt")
     # a watermark longer than the data's span: every event is on time, as in the batch rollup
     st.start_windowed_counts(decoded, out, ck, watermark="3650 days",
