@@ -64,3 +64,17 @@ def test_role_hierarchy(spark):
     df = spark.createDataFrame([("free",), ("premium",), ("admin",), ("root",)], "r string")
     got = [tuple(x) for x in df.select(role_at_least(F.col("r"), "premium"), role_at_least(F.col("r"), "admin")).collect()]
     assert got == [(False, False), (True, False), (True, True), (False, False)]
+
+
+def test_key_pads_are_redacted_in_plan_text(spark):
+    import contextlib
+    import io
+    import re
+
+    df = spark.range(2).select(pseudonym(F.col("id")).alias("h"))
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    text = buf.getvalue()
+    assert "sha2" in text and "redacted" in text
+    assert not re.search(r"0x[0-9A-Fa-f]{64,}", text)
