@@ -1,9 +1,9 @@
 """Streaming intake (Q10 as a stream: P13, P14, P19, J4, K12, A10, A11).
 
-Play/skip/like requests arrive as a stream; the song and account lookups are
-stream-static joins planned in the streaming query itself, and each
-micro-batch publishes the accepted events as keyed records and writes the
-refused ones, counted by reason and type. File output goes under
+Play/skip/like requests arrive as a stream; each micro-batch joins them to
+the (static) song and account tables -- inside ``foreachBatch``, where adaptive
+execution applies -- publishes the accepted events as keyed records and writes
+the refused ones, counted by reason and type. File output goes under
 ``run=<id>/epoch=<batch>`` (dynamic overwrite: a replayed batch rewrites its
 own files); a Kafka sink is at-least-once, as the reference's producer was.
 """
@@ -20,10 +20,12 @@ from streamcharts.streaming.processor import run_id_for
 
 
 class IntakeSink:
-    """``foreachBatch`` callback for checked requests (``reject_reason`` null = accepted)."""
+    """``foreachBatch`` callback: look requests up, publish the accepted, count the refused."""
 
-    def __init__(self, root: str, run_id: str, fmt: str = "json", topic: str | None = None,
-                 bootstrap_servers: str | None = None):
+    def __init__(self, root: str, run_id: str, songs: DataFrame, users: DataFrame, fmt: str = "json",
+                 topic: str | None = None, bootstrap_servers: str | None = None):
+        self.songs = songs
+        self.users = users
         self.root = root.rstrip("/")
         self.run_id = run_id
         self.fmt = fmt
@@ -41,8 +43,11 @@ class IntakeSink:
             .save(f"{self.root}/{table}")
         )
 
-    def __call__(self, checked: DataFrame, epoch_id: int) -> None:
-        checked = checked.persist()
+    def __call__(self, requests: DataFrame, epoch_id: int) -> None:
+        # The lookups run here, per micro-batch, rather than in the streaming plan: inside
+        # foreachBatch AQE is active, so a small lookup side is broadcast at run time and a
+        # song holding most of a batch is split by skew-join handling.
+        checked = accept_events(requests, self.songs, self.users).persist()
         try:
             if checked.isEmpty():
                 return
@@ -74,9 +79,9 @@ def start_intake(requests: DataFrame, songs: DataFrame, users: DataFrame, output
     ensure_conf(spark)
     checkpoint = checkpoint or scratch_path(spark, "intake-checkpoint")
     run_id = run_id_for(spark, checkpoint)
-    checked = accept_events(requests, songs, users)  # stream-static joins (J4)
+    sink = IntakeSink(output_root, run_id, songs, users, fmt, topic, bootstrap_servers)
     return (
-        checked.writeStream.foreachBatch(IntakeSink(output_root, run_id, fmt, topic, bootstrap_servers))
+        requests.writeStream.foreachBatch(sink)  # stream-static lookups (J4), per micro-batch
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "5 seconds"}))
         .start()
