@@ -72,24 +72,38 @@ def song_durations(songs: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------- playlists
-def playlist_track_ids(playlist_songs: DataFrame) -> DataFrame:
-    """Per playlist, song ids ordered by (position, song id).
+TRACK_CHUNK = 10_000  # tracks per array row; a longer playlist spans several ordered rows
 
-    Tracks are aggregated per playlist *before* meeting the playlists table,
-    so the later join is one-to-one; collect_list runs partial aggregation, and
-    the order is fixed by sorting the (position, id) pairs, not by the shuffle.
+
+def playlist_track_chunks(playlist_songs: DataFrame, chunk_size: int = TRACK_CHUNK) -> DataFrame:
+    """Per playlist, song ids ordered by (position, song id), ``chunk_size`` per row.
+
+    Each track's place comes from the skew-safe ranking, and arrays are built per
+    (playlist, chunk): no group ever exceeds ``chunk_size`` rows, however large a
+    playlist is. Ordinary playlists are one row with ``chunk = 0``. The order inside
+    an array is fixed by sorting the (place, id) pairs, not by the shuffle.
     """
-    return playlist_songs.groupBy("playlist_id").agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("position", "song_id"))), lambda x: x["song_id"]
-        ).alias("song_ids")
+    r = ranked(playlist_songs, ["position", "song_id"], ["playlist_id"])
+    with_chunk = r.withColumn("chunk", ((F.col("_rank") - 1) / F.lit(chunk_size)).cast("int"))
+    return with_chunk.groupBy("playlist_id", "chunk").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("_rank", "song_id"))), lambda x: x["song_id"]).alias(
+            "song_ids"
+        )
     )
 
 
-def user_playlists(playlists: DataFrame, playlist_songs: DataFrame, user_id=None) -> DataFrame:
-    """Playlists (optionally of one user), newest first, with ``song_ids``; empty -> ``[]``."""
+def user_playlists(playlists: DataFrame, playlist_songs: DataFrame, user_id=None,
+                   chunk_size: int = TRACK_CHUNK) -> DataFrame:
+    """Playlists (optionally of one user), newest first, with ``song_ids``; empty -> ``[]``.
+
+    Tracks are chunked per playlist *before* meeting the playlists table, so
+    the join is one playlist row to its chunk rows.
+    """
     p = playlists if user_id is None else playlists.filter(F.col("user_id") == F.lit(user_id))
-    tracks = playlist_track_ids(playlist_songs)
+    songs = playlist_songs
+    if user_id is not None:
+        songs = songs.join(p.select(F.col("id").alias("playlist_id")), "playlist_id", "left_semi")
+    tracks = playlist_track_chunks(songs, chunk_size)
     return (
         p.join(tracks, p["id"] == tracks["playlist_id"], "left")
         .select(
@@ -97,9 +111,10 @@ def user_playlists(playlists: DataFrame, playlist_songs: DataFrame, user_id=None
             "user_id",
             "name",
             "created_at",
+            F.coalesce(F.col("chunk"), F.lit(0)).alias("chunk"),
             F.coalesce(F.col("song_ids"), F.array().cast("array<bigint>")).alias("song_ids"),
         )
-        .orderBy(F.col("created_at").desc(), "id")
+        .orderBy(F.col("created_at").desc(), "id", "chunk")
     )
 
 

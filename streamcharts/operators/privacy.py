@@ -60,17 +60,17 @@ def cascade_counts(before: dict[str, DataFrame], after: dict[str, DataFrame]) ->
 
 def export_users(export_ids: DataFrame, users: DataFrame, playlists: DataFrame,
                  playlist_songs: DataFrame) -> DataFrame:
-    """Q12 export: JSON lines, one per (user, playlist), plus one for a user without playlists.
+    """Q12 export: JSON lines, one per (user, playlist, track chunk), plus one for a user without playlists.
 
     The requested users narrow playlists, and those narrow the tracks, by
     semi-joins *before* the per-playlist aggregation, so an export touches the
     requested users' data only (beyond the scans).
     """
-    from streamcharts.operators.catalog import playlist_track_ids
+    from streamcharts.operators.catalog import playlist_track_chunks
 
     u = users.join(export_ids.select("id").distinct(), "id", "left_semi")
     mine = playlists.join(u.select(F.col("id").alias("user_id")), "user_id", "left_semi")
-    tracks = playlist_track_ids(
+    tracks = playlist_track_chunks(
         playlist_songs.join(mine.select(F.col("id").alias("playlist_id")), "playlist_id", "left_semi")
     )
     p = mine.join(tracks, mine["id"] == tracks["playlist_id"], "left").select(
@@ -78,6 +78,7 @@ def export_users(export_ids: DataFrame, users: DataFrame, playlists: DataFrame,
         F.col("id").alias("playlist_id"),
         "name",
         F.date_format("created_at", "yyyy-MM-dd").alias("created"),
+        F.coalesce(F.col("chunk"), F.lit(0)).alias("chunk"),
         F.coalesce(F.col("song_ids"), F.array().cast("array<bigint>")).alias("song_ids"),
     )
     j = u.join(p, u["id"] == p["user_id"], "left")
@@ -89,8 +90,9 @@ def export_users(export_ids: DataFrame, users: DataFrame, playlists: DataFrame,
             F.col("playlist_id"),
             F.col("name").alias("playlist_name"),
             F.col("created"),
+            F.col("chunk"),
             F.col("song_ids"),
         ),
         {"ignoreNullFields": "false"},
     )
-    return j.select(F.col("id").alias("user_id"), "playlist_id", doc.alias("document"))
+    return j.select(F.col("id").alias("user_id"), "playlist_id", "chunk", doc.alias("document"))

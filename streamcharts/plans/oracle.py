@@ -220,13 +220,19 @@ SELECT id, duration_sec,
          AS duration_text
 FROM songs"""
 
-ORACLE["playlists"] = _with(PS, PL) + """
-SELECT p.id, p.user_id, p.name, p.created_at,
-       CAST(to_json(coalesce(list(ps.song_id ORDER BY ps.position, ps.song_id)
-                              FILTER (WHERE ps.song_id IS NOT NULL), CAST([] AS BIGINT[]))) AS VARCHAR)
-         AS song_ids
-FROM pl p LEFT JOIN ps ON ps.playlist_id = p.id
-GROUP BY p.id, p.user_id, p.name, p.created_at"""
+CHUNKS = """chunks AS (
+  SELECT playlist_id, chunk, list(song_id ORDER BY rn) AS song_ids
+  FROM (SELECT playlist_id, song_id,
+               row_number() OVER (PARTITION BY playlist_id ORDER BY position, song_id) AS rn,
+               CAST((row_number() OVER (PARTITION BY playlist_id ORDER BY position, song_id) - 1) // 10000
+                    AS INTEGER) AS chunk
+        FROM ps)
+  GROUP BY playlist_id, chunk)"""
+
+ORACLE["playlists"] = _with(PS, PL, CHUNKS) + """
+SELECT p.id, p.user_id, p.name, p.created_at, coalesce(c.chunk, 0) AS chunk,
+       CAST(to_json(coalesce(c.song_ids, CAST([] AS BIGINT[]))) AS VARCHAR) AS song_ids
+FROM pl p LEFT JOIN chunks c ON c.playlist_id = p.id"""
 
 ORACLE["playlist_owner_check"] = _with(EV, PL) + """
 SELECT e.event_id, e.user_id, e.event_id AS playlist_id, e.song_id, coalesce(p.user_id = e.user_id, false) AS owned
@@ -310,15 +316,15 @@ SELECT 'playlist_songs',
        CAST(count(*) FILTER (WHERE song_id IN (SELECT id FROM songs WHERE artist_id IN (SELECT id FROM ea))) AS BIGINT)
 FROM ps"""
 
-ORACLE["export_user"] = _with(USERS, PL, PS, ERASE, """tr AS (
-  SELECT playlist_id, list(song_id ORDER BY position, song_id) AS song_ids FROM ps GROUP BY playlist_id)""") + """
-SELECT u.id AS user_id, p.id AS playlist_id,
+ORACLE["export_user"] = _with(USERS, PL, PS, ERASE, CHUNKS) + """
+SELECT u.id AS user_id, p.id AS playlist_id, CASE WHEN p.id IS NULL THEN NULL ELSE coalesce(c.chunk, 0) END AS chunk,
        CAST(json_object('user_id', u.id, 'email', u.email, 'role', u.role, 'playlist_id', p.id,
                         'playlist_name', p.name, 'created', strftime(p.created_at, '%Y-%m-%d'),
+                        'chunk', CASE WHEN p.id IS NULL THEN NULL ELSE coalesce(c.chunk, 0) END,
                         'song_ids', CASE WHEN p.id IS NULL THEN NULL
-                                         ELSE coalesce(tr.song_ids, CAST([] AS BIGINT[])) END) AS VARCHAR)
+                                         ELSE coalesce(c.song_ids, CAST([] AS BIGINT[])) END) AS VARCHAR)
          AS document
-FROM users u LEFT JOIN pl p ON p.user_id = u.id LEFT JOIN tr ON tr.playlist_id = p.id
+FROM users u LEFT JOIN pl p ON p.user_id = u.id LEFT JOIN chunks c ON c.playlist_id = p.id
 WHERE u.id IN (SELECT id FROM er)"""
 
 ACCEPT = """acc AS (

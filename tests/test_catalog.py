@@ -113,3 +113,18 @@ def test_find_users_any_case(spark):
     users = spark.createDataFrame([(1, "a@x.io", "free"), (2, "b@x.io", "admin")], "id bigint, email string, role string")
     emails = spark.createDataFrame([("A@X.IO",), ("nobody@x.io",), ("a@x.io",)], "email string")
     assert [tuple(r) for r in cat.find_users(users, emails).collect()] == [(1, "a@x.io", "free")]
+
+
+def test_playlist_arrays_are_chunked_and_ordered(spark):
+    t = dt.datetime(2024, 1, 1)
+    pl = spark.createDataFrame([(1, 7, "big", t), (2, 7, "small", t), (3, 8, "empty", t)],
+                               "id bigint, user_id bigint, name string, created_at timestamp_ntz")
+    rows = [(1, 1000 - i, i % 4) for i in range(50)] + [(2, 5, 1), (2, 6, 0)]
+    ps = spark.createDataFrame(rows, "playlist_id bigint, song_id bigint, position int")
+    got = cat.user_playlists(pl, ps, chunk_size=8).collect()
+    big = [r for r in got if r.id == 1]
+    assert [r.chunk for r in big] == list(range(7)) and all(len(r.song_ids) <= 8 for r in big)
+    flat = [s for r in big for s in r.song_ids]
+    assert flat == [s for _, s in sorted((pos, s) for _, s, pos in rows[:50])]
+    assert [(r.chunk, r.song_ids) for r in got if r.id == 2] == [(0, [6, 5])]
+    assert [(r.chunk, r.song_ids) for r in got if r.id == 3] == [(0, [])]
