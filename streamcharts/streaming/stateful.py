@@ -26,6 +26,12 @@ def use_rocksdb_state(spark) -> None:
 
 
 def _event_time(decoded: DataFrame, watermark: str, dedupe_on: str | None) -> DataFrame:
+    """Plays with an event-time column and watermark; optional dedupe by an event id.
+
+    Streaming deduplication shuffles every copy of an id to one task before the
+    state store (there is no map-side combine for it). The default delta-log job
+    needs no per-id state: a re-delivered batch overwrites its own epoch.
+    """
     plays = good_plays(decoded).withColumn("event_time", F.col("ts").cast("timestamp"))
     plays = plays.withWatermark("event_time", watermark)
     if dedupe_on:
