@@ -32,15 +32,16 @@ def accept_events(requests: DataFrame, songs: DataFrame, users: DataFrame) -> Da
     """Validate play/skip/like requests against the catalog and the account.
 
     ``requests`` needs ``type, user_id, song_id`` (song id may be any type).
-    Output keeps every request with ``genre``, ``role``, ``allowed`` and a
-    ``reject_reason`` (null when accepted). Song and user lookups are plain
+    Output keeps every request with the song's ``genre``, the account's ``role``
+    and a ``reject_reason`` (null when accepted), checked in the order: id,
+    type, catalog, premium gate (plays only). Song and user lookups are plain
     equi-joins; Spark broadcasts the dimension only when its size estimate is
     under the threshold, and AQE splits hot song keys otherwise.
     """
     sid = requests["song_id"].try_cast("long")
     req = requests.withColumn("_sid", sid)
     s = songs.select(
-        F.col("id").alias("_sid"), F.col("genre"), F.col("premium_only")
+        F.col("id").alias("_sid"), F.col("genre"), F.col("premium_only"), F.lit(True).alias("_found")
     )
     u = users.select(F.col("id").alias("user_id"), F.col("role"))
     joined = req.join(s, "_sid", "left").join(u, "user_id", "left")
@@ -48,7 +49,7 @@ def accept_events(requests: DataFrame, songs: DataFrame, users: DataFrame) -> Da
     reason = (
         F.when(~valid_id, F.lit(REJECT_INVALID_SONG_ID))
         .when(~F.coalesce(F.col("type").isin(*EVENT_TYPES), F.lit(False)), F.lit(REJECT_INVALID_TYPE))
-        .when(F.col("premium_only").isNull(), F.lit(REJECT_SONG_NOT_FOUND))
+        .when(F.col("_found").isNull(), F.lit(REJECT_SONG_NOT_FOUND))
         .when(
             (F.col("type") == "play") & ~premium_allowed(F.col("premium_only"), F.col("role")),
             F.lit(REJECT_PREMIUM_REQUIRED),
@@ -57,7 +58,7 @@ def accept_events(requests: DataFrame, songs: DataFrame, users: DataFrame) -> Da
     return (
         joined.withColumn("reject_reason", reason)
         .withColumn("song_id", F.col("_sid"))
-        .drop("_sid")
+        .drop("_sid", "_found")
     )
 
 
