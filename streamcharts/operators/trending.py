@@ -150,13 +150,23 @@ def top_per_genre(buckets: DataFrame, limit=None, asof=None,
     return per_song.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
 
 
+def genre_count_bound(buckets: DataFrame, songs: DataFrame, asof=None,
+                      window_minutes: int = TRENDING_WINDOW_MINUTES) -> int:
+    """How many genre lists there can be: genres carried by the stored buckets in the
+    window, or else the catalog's genres (counted up to the broadcast cap)."""
+    if "genre" in buckets.columns:
+        return distinct_count_bound(in_time_window(buckets, asof, window_minutes), "genre")
+    return distinct_count_bound(songs, "genre")
+
+
 def trending_by_genre(buckets: DataFrame, songs: DataFrame, artists: DataFrame, limit=None, asof=None,
                       window_minutes: int = TRENDING_WINDOW_MINUTES) -> DataFrame:
-    """Per-genre trending, enriched. The top lists hold n x genres rows; the
-    joins are left to AQE, which broadcasts them once their real size is known."""
+    """Per-genre trending, enriched. The top lists hold n x genres rows; they are
+    broadcast into the catalog joins when that count is within the cap, else the
+    optimizer and AQE choose the join."""
     n = clamp_limit(limit, TRENDING_DEFAULT_LIMIT, TRENDING_MAX_LIMIT)
     top = top_per_genre(buckets, n, asof, window_minutes, songs)
-    top = broadcast_if_bounded(top, n * distinct_count_bound(songs, "genre"))
+    top = broadcast_if_bounded(top, n * genre_count_bound(buckets, songs, asof, window_minutes))
     s = songs.select(F.col("id").alias("song_id"), "title", "cover_url", "artist_id")
     a = artists.select(F.col("id").alias("artist_id"), F.col("name").alias("artist"))
     return top.join(s, "song_id", "inner").join(a, "artist_id", "inner").select(
@@ -209,7 +219,8 @@ def for_you(users: DataFrame, affinity: DataFrame, buckets: DataFrame, songs: Da
     Users are joined through the pseudonym to their favourite genre (J6), then
     to the per-genre top 10 or, with no affinity, to the global top 10. The
     lists hold 10 x (genres + 1) rows; users are never paired with songs
-    beyond those lists.
+    beyond those lists, and when that bound is small (checked) they are
+    broadcast so the user side is neither shuffled nor skewed by genre.
     """
     kwargs = {} if salt is None else {"salt": salt}
     fav = favourite_genre(affinity).select("user_hash", F.col("genre").alias("fav_genre"))
@@ -224,8 +235,8 @@ def for_you(users: DataFrame, affinity: DataFrame, buckets: DataFrame, songs: Da
         F.lit(GLOBAL_TRENDING).alias("based_on"), "song_id", "rank"
     )
     lists = per_genre.unionByName(global_top)
-    # n x (genres + 1) rows at most; checked against the catalog's genre count
-    bound = FOR_YOU_LIMIT * (distinct_count_bound(songs, "genre") + 1)
+    # n x (genres + 1) rows at most, the genre count checked first
+    bound = FOR_YOU_LIMIT * (genre_count_bound(buckets, songs, asof, window_minutes) + 1)
     lists = broadcast_if_bounded(lists, bound)
     s = songs.select(F.col("id").alias("song_id"), "title", "genre", "cover_url", "artist_id")
     a = artists.select(F.col("id").alias("artist_id"), F.col("name").alias("artist"))
