@@ -192,3 +192,20 @@ def test_rollups_can_count_other_event_types(spark, scratch):
     start_rollups(message_stream(spark, "json", src), f"{scratch}/out", f"{scratch}/ck",
                   trigger={"availableNow": True}, event_types=("like",)).awaitTermination()
     assert [r.play_count for r in V.minute_play_counts(spark, f"{scratch}/out").collect()] == [2]
+
+
+def test_command_line_launcher(spark, scratch):
+    from streamcharts.streaming import run
+
+    _write_input(spark, f"{scratch}/in", parts=2)
+    with open(f"{scratch}/salt", "w") as f:
+        f.write("s3cret\n")
+    run.main(["--format", "json", "--path", f"{scratch}/in", "--output", f"{scratch}/out",
+              "--checkpoint", f"{scratch}/ck", "--once", "--max-per-trigger", "1",
+              "--salt-file", f"{scratch}/salt"], spark=spark)
+    assert V.batch_log(spark, f"{scratch}/out").count() == 2
+    from streamcharts.functions.privacy import hmac_sha256_hex
+    hashes = {r.user_hash for r in V.user_genre_affinity(spark, f"{scratch}/out").collect()}
+    uid = R.tb.events(spark, SF_SMALL).filter("type = 'play'").first().user_id
+    expected = spark.range(1).select(hmac_sha256_hex(F.lit(str(uid)), b"s3cret")).first()[0]
+    assert expected in hashes
