@@ -60,3 +60,12 @@ def test_throttle_flag(spark):
     rows = [(i, "a", 200, 0.1, 7) for i in range(21)] + [(i, "a", 200, 0.1, 8) for i in range(20)]
     got = {r.client: r.throttled for r in ob.throttled_clients(_log(spark, rows)).collect()}
     assert got == {7: True, 8: False}
+
+
+def test_summary_with_bounded_percentiles_close_to_exact(spark):
+    rows = [(i, "a", 200, (i % 97) / 100.0, 1) for i in range(2000)]
+    exact = ob.load_summary(_log(spark, rows)).first()
+    approx = ob.load_summary(_log(spark, rows), exact=False).first()
+    for col in ("p50_ms", "p90_ms", "p95_ms", "p99_ms"):
+        assert approx[col] == pytest.approx(exact[col], abs=15.0), col
+    assert approx.requests == exact.requests and approx.max_ms == exact.max_ms
