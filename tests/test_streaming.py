@@ -209,3 +209,16 @@ def test_command_line_launcher(spark, scratch):
     uid = R.tb.events(spark, SF_SMALL).filter("type = 'play'").first().user_id
     expected = spark.range(1).select(hmac_sha256_hex(F.lit(str(uid)), b"s3cret")).first()[0]
     assert expected in hashes
+
+
+def test_live_buckets_expire_after_ttl(spark, scratch):
+    import datetime as _dt
+
+    sink = RollupSink(f"{scratch}/out", "r")
+    msgs = spark.createDataFrame([("1", _ev_json(1, 1, "pop", "2024-01-01T00:00:10Z")),
+                                  ("2", _ev_json(2, 2, "rock", "2024-01-01T00:00:20Z"))], "key string, value string")
+    sink(decode_messages(msgs), 0)
+    written = V.batch_log(spark, f"{scratch}/out").first().written_at
+    live = V.live_buckets(spark, f"{scratch}/out", asof=written + _dt.timedelta(minutes=29))
+    assert sorted((r.scope, r.genre) for r in live.collect()) == [("genre", "pop"), ("genre", "rock"), ("global", None)]
+    assert V.live_buckets(spark, f"{scratch}/out", asof=written + _dt.timedelta(minutes=31)).count() == 0
