@@ -214,7 +214,8 @@ def favourite_genre(affinity: DataFrame) -> DataFrame:
 def for_you(users: DataFrame, affinity: DataFrame, buckets: DataFrame, songs: DataFrame,
             artists: DataFrame, asof=None, window_minutes: int = TRENDING_WINDOW_MINUTES,
             salt: str | bytes | None = None) -> DataFrame:
-    """Q2 for every user at once: ``user_id, based_on, rank, id, title, genre, cover_url, artist``.
+    """Q2 for every user at once: ``user_id, based_on, rank, id, title, genre, cover_url, artist``;
+    a user whose list is empty gets one row with null song columns.
 
     Users are joined through the pseudonym to their favourite genre (J6), then
     to the per-genre top 10 or, with no affinity, to the global top 10. The
@@ -245,6 +246,7 @@ def for_you(users: DataFrame, affinity: DataFrame, buckets: DataFrame, songs: Da
     )
     # few distinct `based_on` keys: a shuffle join would pile users onto a handful of
     # reducers, so the bounded lists are broadcast and users are never shuffled here
-    return picked.join(cards, "based_on", "inner").select(
+    # left: a user whose list is empty still gets one row (null song), like an empty response
+    return picked.join(cards, "based_on", "left").select(
         "user_id", "based_on", "rank", F.col("song_id").alias("id"), "title", "genre", "cover_url", "artist"
     )

@@ -127,9 +127,11 @@ ORACLE["for_you_all"] = _with(
   SELECT u.id AS user_id, coalesce(f.genre, 'global-trending') AS based_on
   FROM users u LEFT JOIN fav f ON f.user_hash = {pseudonym_sql('u.id', DEFAULT_SALT)})""",
 ) + """
-SELECT p.user_id, p.based_on, l.rank, l.song_id AS id, s.title, s.genre, s.cover_url, a.name AS artist
-FROM picked p JOIN lists l ON l.based_on = p.based_on
-JOIN songs s ON s.id = l.song_id JOIN artists a ON a.id = s.artist_id"""
+SELECT p.user_id, p.based_on, c.rank, c.song_id AS id, c.title, c.genre, c.cover_url, c.artist
+FROM picked p LEFT JOIN (
+  SELECT l.based_on, l.rank, l.song_id, s.title, s.genre, s.cover_url, a.name AS artist
+  FROM lists l JOIN songs s ON s.id = l.song_id JOIN artists a ON a.id = s.artist_id) c
+  ON c.based_on = p.based_on"""
 
 MESSAGE_COLS = """SELECT e.*, s.genre, u.role FROM ev e LEFT JOIN songs s ON s.id = e.song_id
   LEFT JOIN users u ON u.id = e.user_id"""

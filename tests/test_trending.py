@@ -79,3 +79,17 @@ def test_top_per_genre_plans_a_group_limit(spark):
     rows = [(i, "pop", T0, i) for i in range(1, 30)]
     plan = tr.top_per_genre(_buckets(spark, rows), limit=5, asof=T0)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_for_you_empty_genre_list_still_answers(spark):
+    from pyspark.sql import functions as F
+
+    from streamcharts.functions.privacy import pseudonym
+
+    users = spark.createDataFrame([(1,)], "id bigint")
+    h1 = users.select(pseudonym(F.col("id"))).first()[0]
+    aff = spark.createDataFrame([(h1, "jazz", 3)], "user_hash string, genre string, play_count bigint")
+    b = _buckets(spark, [(1, "pop", T0, 4)])
+    songs, artists = _catalog(spark, [1])
+    got = [(r.user_id, r.based_on, r.id) for r in tr.for_you(users, aff, b, songs, artists, asof=T0).collect()]
+    assert got == [(1, "jazz", None)]
