@@ -78,7 +78,7 @@ def start_intake(requests: DataFrame, songs: DataFrame, users: DataFrame, output
     spark = requests.sparkSession
     ensure_conf(spark)
     checkpoint = checkpoint or scratch_path(spark, "intake-checkpoint")
-    run_id = run_id_for(spark, checkpoint)
+    run_id = run_id_for(spark, checkpoint, output_root)
     sink = IntakeSink(output_root, run_id, songs, users, fmt, topic, bootstrap_servers)
     return (
         requests.writeStream.foreachBatch(sink)  # stream-static lookups (J4), per micro-batch

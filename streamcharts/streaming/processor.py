@@ -32,17 +32,26 @@ from streamcharts.session import ensure_conf, scratch_path
 TABLES = ("song_minute", "user_genre", "batches")
 
 
-def run_id_for(spark: SparkSession, checkpoint: str) -> str:
-    """The run id bound to a checkpoint folder, created on first use (stored via Spark I/O)."""
+def run_id_for(spark: SparkSession, checkpoint: str, output_root: str | None = None) -> str:
+    """The run id bound to a checkpoint folder, created on first use (stored via Spark I/O).
+
+    The marker also records the output root: reusing a checkpoint with a
+    different output root would split one run's epochs over two places, so it
+    is refused.
+    """
     marker = f"{checkpoint.rstrip('/')}/_streamcharts_run"
     try:
         rows = spark.read.text(marker).take(1)
-        if rows:
-            return rows[0][0]
     except Exception:  # noqa: BLE001 - absent marker: fresh checkpoint
-        pass
+        rows = []
+    if rows:
+        rid, _, root = rows[0][0].partition("\t")
+        if output_root and root and root != output_root.rstrip("/"):
+            raise ValueError(f"checkpoint {checkpoint} belongs to output {root}, not {output_root}")
+        return rid
     rid = "r" + uuid.uuid4().hex[:15]  # a letter first: partition inference keeps it a string
-    spark.createDataFrame([(rid,)], "value string").coalesce(1).write.mode("overwrite").text(marker)
+    line = rid + ("\t" + output_root.rstrip("/") if output_root else "")
+    spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("overwrite").text(marker)
     return rid
 
 
@@ -129,7 +138,7 @@ def start_rollups(
     spark = messages.sparkSession
     ensure_conf(spark)
     checkpoint = checkpoint or scratch_path(spark, "rollups-checkpoint")
-    run_id = run_id_for(spark, checkpoint)
+    run_id = run_id_for(spark, checkpoint, output_root)
     decoded = decode_messages(messages, salt)
     writer = (
         decoded.writeStream.foreachBatch(RollupSink(output_root, run_id, event_types))

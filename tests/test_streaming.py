@@ -222,3 +222,12 @@ def test_live_buckets_expire_after_ttl(spark, scratch):
     live = V.live_buckets(spark, f"{scratch}/out", asof=written + _dt.timedelta(minutes=29))
     assert sorted((r.scope, r.genre) for r in live.collect()) == [("genre", "pop"), ("genre", "rock"), ("global", None)]
     assert V.live_buckets(spark, f"{scratch}/out", asof=written + _dt.timedelta(minutes=31)).count() == 0
+
+
+def test_checkpoint_bound_to_its_output_root(spark, scratch):
+    import pytest
+
+    a = run_id_for(spark, f"{scratch}/ck", f"{scratch}/out1")
+    assert run_id_for(spark, f"{scratch}/ck", f"{scratch}/out1") == a
+    with pytest.raises(ValueError):
+        run_id_for(spark, f"{scratch}/ck", f"{scratch}/out2")
