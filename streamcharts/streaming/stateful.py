@@ -64,14 +64,19 @@ def sliding_trending_counts(decoded: DataFrame, length: str = "10 minutes", slid
 def start_windowed_counts(decoded: DataFrame, output_root: str, checkpoint: str, watermark: str = "10 minutes",
                           trigger: dict | None = None, dedupe_on: str | None = None):
     """Run ``windowed_minute_counts`` in update mode; each micro-batch writes the windows it
-    changed under ``epoch=<batch>`` (dynamic overwrite, so a replay rewrites its own files).
-    Nothing goes through the driver; ``latest_windows`` reads the current value per window."""
+    changed under ``run=<id>/epoch=<batch>`` (dynamic overwrite, so a replay rewrites its own
+    files). Nothing goes through the driver; ``latest_windows`` reads the current values."""
+    from streamcharts.streaming.processor import run_id_for
+
+    run_id = run_id_for(decoded.sparkSession, checkpoint, output_root)
 
     def sink(batch: DataFrame, epoch_id: int) -> None:
         (
-            batch.drop("uniq_sketch").withColumn("epoch", F.lit(int(epoch_id)).cast("long"))
+            batch.drop("uniq_sketch")
+            .withColumn("run", F.lit(run_id))
+            .withColumn("epoch", F.lit(int(epoch_id)).cast("long"))
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("epoch").parquet(output_root)
+            .partitionBy("run", "epoch").parquet(output_root)
         )
 
     counts = windowed_minute_counts(decoded, watermark, dedupe_on)
@@ -84,8 +89,15 @@ def start_windowed_counts(decoded: DataFrame, output_root: str, checkpoint: str,
 
 
 def latest_windows(spark, output_root: str) -> DataFrame:
-    """Current count of every emitted window: the value from the latest batch that updated it."""
+    """Current count of every emitted window.
+
+    Within a run the latest batch that updated a window holds its count; a new
+    run (fresh checkpoint, fresh state) counts only what it read, so runs add up.
+    """
     rows = spark.read.parquet(output_root)
-    return rows.groupBy("window_start", "song_id", "genre").agg(
+    per_run = rows.groupBy("run", "window_start", "song_id", "genre").agg(
         F.max_by("plays", "epoch").alias("plays")
-    ).select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "song_id", "genre", "plays")
+    )
+    return per_run.groupBy("window_start", "song_id", "genre").agg(F.sum("plays").cast("long").alias("plays")).select(
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"), "song_id", "genre", "plays"
+    )

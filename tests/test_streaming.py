@@ -147,7 +147,7 @@ def test_windowed_counts_latest_value_across_batches(spark, scratch):
     decoded = decode_messages(message_stream(spark, "json", f"{scratch}/in", max_per_trigger=1))
     stateful.start_windowed_counts(decoded, f"{scratch}/out", f"{scratch}/ck", watermark="1 hour",
                                    trigger={"availableNow": True}).awaitTermination()
-    assert spark.read.parquet(f"{scratch}/out").select("epoch").distinct().count() == 2
+    assert spark.read.parquet(f"{scratch}/out").select("run", "epoch").distinct().count() == 2
     rows = stateful.latest_windows(spark, f"{scratch}/out").collect()
     assert [(r.song_id, r.plays) for r in rows] == [(5, 6)]
 
