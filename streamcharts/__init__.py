@@ -1,0 +1,3 @@
+"""streamcharts: play-event analytics on Spark DataFrames and Structured Streaming."""
+
+__version__ = "0.1.0"

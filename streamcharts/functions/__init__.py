@@ -1,0 +1 @@
+"""Column-level helpers: pseudonym, time, limits, roles, text formats."""

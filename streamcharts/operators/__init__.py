@@ -1,0 +1 @@
+"""DataFrame operators: intake, rollups, trending, catalog, privacy, observability."""

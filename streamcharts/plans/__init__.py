@@ -1,0 +1 @@
+"""Registered queries, their parameters and the DuckDB oracle SQL."""

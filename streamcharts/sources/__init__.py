@@ -1,0 +1 @@
+"""Readers: parquet tables mapped onto the domain, message streams, logs, schemas."""

@@ -1,0 +1 @@
+"""Structured Streaming jobs: rollups, intake, watermark variant, read views."""
