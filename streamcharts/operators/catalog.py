@@ -133,8 +133,11 @@ def add_playlist_songs(requests: DataFrame, playlists: DataFrame, playlist_songs
     """Rows to append to playlist_songs: owned, new, once per (playlist, song), position 0."""
     owned = owner_check(requests, playlists).filter("owned")
     new = owned.select("playlist_id", "song_id").dropDuplicates(["playlist_id", "song_id"])
-    existing = playlist_songs.select("playlist_id", "song_id")
-    return new.join(existing, ["playlist_id", "song_id"], "left_anti").withColumn(
+    # A left-anti join cannot broadcast its left side, so anti-joining the (small) requests
+    # with the whole track table would shuffle that table. Narrow it first: the requested
+    # pairs that already exist (a semi-join the requests can be broadcast into), then anti-join.
+    present = playlist_songs.select("playlist_id", "song_id").join(new, ["playlist_id", "song_id"], "left_semi")
+    return new.join(present, ["playlist_id", "song_id"], "left_anti").withColumn(
         "position", F.lit(0).cast("int")
     )
 
@@ -205,7 +208,14 @@ def register_users(requests: DataFrame, users: DataFrame) -> DataFrame:
         (valid_email(F.col("email")) & valid_password(F.col("password"))).alias("_valid"),
     )
     first = r.filter("_valid").groupBy("email").agg(F.min("request_id").alias("_first"))
-    taken = users.select(F.lower(F.col("email")).alias("email")).distinct().withColumn("_taken", F.lit(True))
+    # only accounts whose address was asked for; the distinct runs on that matched set
+    wanted = r.select("email").distinct()
+    taken = (
+        users.select(F.lower(F.col("email")).alias("email"))
+        .join(wanted, "email", "left_semi")
+        .distinct()
+        .withColumn("_taken", F.lit(True))
+    )
     j = r.join(first, "email", "left").join(taken, "email", "left")
     outcome = (
         F.when(~F.col("_valid"), F.lit(OUTCOME_INVALID))
