@@ -1,7 +1,9 @@
 """Watermarked stateful variant of the rollups.
 
-Spark keeps the per-window state itself and drops events later than the
-watermark (the reference accepted them forever; the delta-log job in
+Spark keeps the per-window state itself (partitioned into
+``spark.sql.shuffle.partitions`` state partitions, fixed when a checkpoint is
+first used -- size it for the target scale before the first start) and drops
+events later than the watermark (the reference accepted them forever; the delta-log job in
 ``processor`` still does). Distinct listeners use the mergeable HLL sketch,
 since exact distinct is not supported on streams.
 """
