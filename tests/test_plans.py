@@ -60,3 +60,22 @@ def test_scans_prune_columns(spark):
     plan = _plan(spark, "genre_counts")
     scan = next(line for line in plan.splitlines() if "part.parquet" in line)
     assert "p_type" in scan and "p_name" not in scan
+
+
+def test_stored_trending_read_prunes_day_partitions(spark):
+    import contextlib
+    import io
+
+    from streamcharts.operators import trending as tr
+    from streamcharts.plans import registry as R
+    from streamcharts.streaming import views as V
+
+    root = R._run_stream(spark, SF_SMALL)
+    df = tr.trending(V.buckets(spark, root), R.tb.songs(spark, SF_SMALL), R.tb.artists(spark, SF_SMALL),
+                     asof="2024-01-30 23:59:00", window_minutes=1440)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    text = buf.getvalue()
+    assert any(line.startswith("PartitionFilters") and "day" in line for line in text.splitlines())
+    assert "GreaterThanOrEqual(window_start," in text
