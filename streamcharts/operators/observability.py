@@ -136,11 +136,21 @@ def server_errors() -> Column:
     return F.col("status").cast("string").rlike("^5..$")
 
 
+def _up_flag() -> Column:
+    return F.when(F.col("status") < 500, F.lit(1)).otherwise(F.lit(0))
+
+
+def _last_up_key() -> Column:
+    """One bigint ordered like (ts, up): ``max`` of it is the latest sample, a later
+    success winning a tie. A fixed-width max plans as a hash aggregate, where
+    ``max_by(up, struct(ts, up))`` would need a sort aggregate."""
+    return F.max(F.unix_micros(F.col("ts").cast("timestamp")) * 2 + _up_flag())
+
+
 def latest_up(log: DataFrame, by: str = "service") -> DataFrame:
     """The latest ``up`` flag per instance: 1 when its last request did not fail with 5xx."""
-    up = F.when(F.col("status") < 500, F.lit(1)).otherwise(F.lit(0))
-    return log.groupBy(by).agg(
-        F.max_by(up, F.struct("ts", up)).alias("up"), F.max("ts").alias("last_seen")
+    return log.groupBy(by).agg(_last_up_key().alias("_k"), F.max("ts").alias("last_seen")).select(
+        by, (F.col("_k") % 2).cast("int").alias("up"), "last_seen"
     )
 
 
@@ -246,14 +256,13 @@ def service_overview(log: DataFrame, grain: str = "1 minute", q: float = 0.95) -
     """
     w = F.window(F.col("ts").cast("timestamp"), grain)
     d = F.col("duration_seconds")
-    up = F.when(F.col("status") < 500, F.lit(1)).otherwise(F.lit(0))
     seconds = F.unix_micros(F.col("w.end")) - F.unix_micros(F.col("w.start"))
     aggs = [F.count_if(d <= F.lit(b)).alias(f"c{i}") for i, b in enumerate(LATENCY_BUCKETS_SECONDS)]
     wide = log.groupBy("service", w.alias("w")).agg(
         *aggs,
         F.count(F.lit(1)).alias("c_inf"),
         F.count_if(server_errors()).alias("errors"),
-        F.max_by(up, F.struct("ts", up)).alias("up"),
+        _last_up_key().alias("_k"),
     )
     return wide.select(
         "service",
@@ -261,5 +270,5 @@ def service_overview(log: DataFrame, grain: str = "1 minute", q: float = 0.95) -
         F.round(F.col("c_inf") / (seconds / 1e6), 6).alias("req_rate"),
         F.round(F.col("errors") / (seconds / 1e6), 6).alias("error_rate"),
         F.round(quantile_from_buckets(q), 6).alias("p95_seconds"),
-        "up",
+        (F.col("_k") % 2).cast("int").alias("up"),
     )
