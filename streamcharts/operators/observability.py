@@ -72,7 +72,7 @@ def quantile_from_buckets(q: float) -> Column:
         lower = F.lit(bounds[i - 1] if i else 0.0)
         below = F.col(f"c{i - 1}") if i else F.lit(0)
         inside = F.col(f"c{i}") - below
-        value = lower + (upper - lower) * ((rank - below) / inside)
+        value = lower + (upper - lower) * F.try_divide(rank - below, inside)
         expr = F.when(F.col(f"c{i}") >= rank, value).otherwise(expr)
     return F.when(F.col("c_inf") > 0, expr)
 
@@ -223,8 +223,8 @@ def run_compare(log: DataFrame, run: str = "1 day") -> DataFrame:
         "run",
         "requests",
         F.round("p95_ms", 6).alias("p95_ms"),
-        F.round(F.col("requests") / prev_n, 6).alias("throughput_ratio"),
-        F.round((F.col("p95_ms") - prev_p) / prev_p * 100.0, 6).alias("p95_change_pct"),
+        F.round(F.try_divide(F.col("requests"), prev_n), 6).alias("throughput_ratio"),
+        F.round(F.try_divide(F.col("p95_ms") - prev_p, prev_p) * 100.0, 6).alias("p95_change_pct"),
     )
 
 

@@ -69,3 +69,10 @@ def test_summary_with_bounded_percentiles_close_to_exact(spark):
     for col in ("p50_ms", "p90_ms", "p95_ms", "p99_ms"):
         assert approx[col] == pytest.approx(exact[col], abs=15.0), col
     assert approx.requests == exact.requests and approx.max_ms == exact.max_ms
+
+
+def test_zero_latency_runs_do_not_raise(spark):
+    rows = [(i * 86400, "a", 200, 0.0, 1) for i in range(3)]
+    got = ob.run_compare(_log(spark, rows)).orderBy("run").collect()
+    assert [r.p95_change_pct for r in got] == [None, None, None]
+    assert [r.throughput_ratio for r in got] == [None, 1.0, 1.0]
