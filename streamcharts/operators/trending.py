@@ -250,3 +250,12 @@ def for_you(users: DataFrame, affinity: DataFrame, buckets: DataFrame, songs: Da
     return picked.join(cards, "based_on", "left").select(
         "user_id", "based_on", "rank", F.col("song_id").alias("id"), "title", "genre", "cover_url", "artist"
     )
+
+
+def for_user(user_id, users: DataFrame, affinity: DataFrame, buckets: DataFrame, songs: DataFrame,
+             artists: DataFrame, asof=None, window_minutes: int = TRENDING_WINDOW_MINUTES,
+             salt: str | bytes | None = None) -> DataFrame:
+    """Q2 for one user (the service call): ``based_on`` and the ranked songs, same plan as
+    ``for_you`` on a one-row user frame, so the user's pseudonym is never computed apart."""
+    one = users.filter(F.col("id") == F.lit(user_id))
+    return for_you(one, affinity, buckets, songs, artists, asof, window_minutes, salt).orderBy("rank")

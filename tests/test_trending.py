@@ -93,3 +93,16 @@ def test_for_you_empty_genre_list_still_answers(spark):
     songs, artists = _catalog(spark, [1])
     got = [(r.user_id, r.based_on, r.id) for r in tr.for_you(users, aff, b, songs, artists, asof=T0).collect()]
     assert got == [(1, "jazz", None)]
+
+
+def test_for_user_matches_the_batch_rows(spark):
+    from streamcharts.plans import registry as R
+    from conftest import SF_SMALL
+
+    sf = SF_SMALL
+    aff = R._affinity(spark, sf)
+    args = (R.tb.users(spark, sf), aff, R._buckets(spark, sf), R.tb.songs(spark, sf), R.tb.artists(spark, sf))
+    everyone = tr.for_you(*args, asof="2024-01-30 23:59:00", window_minutes=1440)
+    uid = everyone.filter("based_on != 'global-trending'").first().user_id
+    one = tr.for_user(uid, *args, asof="2024-01-30 23:59:00", window_minutes=1440)
+    assert [tuple(r) for r in one.collect()] == [tuple(r) for r in everyone.filter(f"user_id = {uid}").orderBy("rank").collect()]
