@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from streamcharts.constants import (
+    ALL_GENRES,
     FOR_YOU_LIMIT,
     GLOBAL_TRENDING,
     TRENDING_DEFAULT_LIMIT,
@@ -259,3 +260,12 @@ def for_user(user_id, users: DataFrame, affinity: DataFrame, buckets: DataFrame,
     ``for_you`` on a one-row user frame, so the user's pseudonym is never computed apart."""
     one = users.filter(F.col("id") == F.lit(user_id))
     return for_you(one, affinity, buckets, songs, artists, asof, window_minutes, salt).orderBy("rank")
+
+
+def with_request_labels(trending_rows: DataFrame, genre: str | None = None,
+                        window_minutes: int = TRENDING_WINDOW_MINUTES) -> DataFrame:
+    """P20: the response fields of a trending read: the window length and the requested
+    genre, ``all`` when none was given."""
+    return trending_rows.withColumn("window_minutes", F.lit(int(window_minutes))).withColumn(
+        "requested_genre", F.lit(genre or ALL_GENRES)
+    )

@@ -106,3 +106,12 @@ def test_for_user_matches_the_batch_rows(spark):
     uid = everyone.filter("based_on != 'global-trending'").first().user_id
     one = tr.for_user(uid, *args, asof="2024-01-30 23:59:00", window_minutes=1440)
     assert [tuple(r) for r in one.collect()] == [tuple(r) for r in everyone.filter(f"user_id = {uid}").orderBy("rank").collect()]
+
+
+def test_request_labels_default_to_all(spark):
+    b = _buckets(spark, [(1, "pop", T0, 4)])
+    songs, artists = _catalog(spark, [1])
+    r = tr.with_request_labels(tr.trending(b, songs, artists, asof=T0)).first()
+    assert (r.window_minutes, r.requested_genre) == (10, "all")
+    r = tr.with_request_labels(tr.trending(b, songs, artists, genre="pop", asof=T0), "pop", 10).first()
+    assert r.requested_genre == "pop"
