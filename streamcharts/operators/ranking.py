@@ -49,7 +49,11 @@ def ranked(df: DataFrame, order: list[str], group: list[str] | None = None, next
     if next_of:
         cols += [F.lead("_head").over(by_chunk).alias("_next_head"), F.first("_head").over(by_chunk).alias("_first_head")]
     chunks = chunks.select(*cols)
-    out = local.join(chunks, ["_chunk", *group], "inner").withColumn(
+    # null-safe on the group columns: a NULL group is a group too
+    c = chunks.select(*[F.col(x).alias(f"_c_{x}") for x in ["_chunk", *group]], *[x for x in chunks.columns
+                                                                                  if x not in ["_chunk", *group]])
+    cond = [local["_chunk"] == c["_c__chunk"]] + [local[g].eqNullSafe(c[f"_c_{g}"]) for g in group]
+    out = local.join(c, cond, "inner").drop(*[f"_c_{x}" for x in ["_chunk", *group]]).withColumn(
         "_rank", (F.col("_before") + F.col("_rn")).cast("long")
     )
     if next_of:

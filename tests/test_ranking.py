@@ -19,3 +19,9 @@ def test_grouped_ranking_with_one_hot_group(spark):
     out = ranked(df, ["i"], ["g"], partitions=12)
     bad = out.filter("_rank != i + 1").count()
     assert bad == 0 and out.count() == len(rows)
+
+
+def test_null_group_is_ranked_too(spark):
+    df = spark.createDataFrame([(None, 2), (None, 1), ("a", 5)], "g string, i int")
+    got = {(r.g, r.i, r._rank) for r in ranked(df, ["i"], ["g"], partitions=4).collect()}
+    assert got == {(None, 1, 1), (None, 2, 2), ("a", 5, 1)}
