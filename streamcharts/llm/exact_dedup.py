@@ -101,17 +101,17 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that stay, with the columns of ``docs``; of rows equal in identifier and text, one."""
     stay = dedup(docs, id_col, text_col).filter("kept").select(
-        F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    mark = docs.withColumn("_sha2", sha256(lower_ascii(text_of(text_col))))
+        F.col("doc_id").alias("__dup_id"), F.col("text_sha256").alias("__dup_sha"))
+    mark = docs.withColumn("__dup_own", sha256(lower_ascii(text_of(text_col))))
 
     def meet(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
-        return left.join(right, left[id_col].eqNullSafe(right["_id"]) & (left["_sha2"] == right["_sha"]), how)
+        return left.join(right, left[id_col].eqNullSafe(right["__dup_id"]) & (left["__dup_own"] == right["__dup_sha"]), how)
 
     kept = meet(mark, stay, "left_semi")
-    repeats = written(mark.groupBy(F.col(id_col).alias("_id"), F.col("_sha2").alias("_sha")).agg(
-        F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n"), "dedup-repeats")
+    repeats = written(mark.groupBy(F.col(id_col).alias("__dup_id"), F.col("__dup_own").alias("__dup_sha")).agg(
+        F.count(F.lit(1)).alias("__dup_n")).filter("__dup_n > 1").drop("__dup_n"), "dedup-repeats")
     if not repeats.isEmpty():
-        first = Window.partitionBy(id_col, "_sha2").orderBy(*[c for c in docs.columns if c not in (id_col, text_col)] or [id_col])
-        one = meet(kept, repeats, "left_semi").withColumn("_rn", F.row_number().over(first)).filter("_rn = 1")
-        kept = meet(kept, repeats, "left_anti").unionByName(one.drop("_rn"))
-    return kept.drop("_sha2")
+        first = Window.partitionBy(id_col, "__dup_own").orderBy(*[c for c in docs.columns if c not in (id_col, text_col)] or [id_col])
+        one = meet(kept, repeats, "left_semi").withColumn("__dup_rn", F.row_number().over(first)).filter("__dup_rn = 1")
+        kept = meet(kept, repeats, "left_anti").unionByName(one.drop("__dup_rn"))
+    return kept.drop("__dup_own")

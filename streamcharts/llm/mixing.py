@@ -130,12 +130,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **settings) -> DataFrame:
     """The documents of the mix, each as often as it is copied, whole, with the columns of ``docs``."""
-    plan = written(mix(docs, id_col, finish="round", **settings).groupBy(F.col("doc_id").alias("_id")).agg(
-        F.array_sort(F.collect_list("copies")).alias("_copies")).filter("array_max(_copies) > 0"), "mix-plan")
-    left = docs.join(plan, docs[id_col].cast("long").eqNullSafe(plan["_id"]))
-    if plan.filter("size(_copies) > 1").isEmpty():
-        own = F.col("_copies")[0]
+    plan = written(mix(docs, id_col, finish="round", **settings).groupBy(F.col("doc_id").alias("__mix_id")).agg(
+        F.array_sort(F.collect_list("copies")).alias("__mix_copies")).filter("array_max(__mix_copies) > 0"), "mix-plan")
+    left = docs.join(plan, docs[id_col].cast("long").eqNullSafe(plan["__mix_id"]))
+    if plan.filter("size(__mix_copies) > 1").isEmpty():
+        own = F.col("__mix_copies")[0]
     else:  # rows that share an identifier take its copies one after the other
-        own = F.element_at("_copies", F.row_number().over(Window.partitionBy("_id").orderBy(*docs.columns)))
-    return left.withColumn("_n", own).filter("_n > 0").withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*[left[c] for c in docs.columns])
+        own = F.element_at("__mix_copies", F.row_number().over(Window.partitionBy("__mix_id").orderBy(*docs.columns)))
+    return left.withColumn("__mix_n", own).filter("__mix_n > 0").withColumn(
+        "__mix_copy", F.explode(F.sequence(F.lit(1), F.col("__mix_n")))).select(*[left[c] for c in docs.columns])
