@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from streamcharts.llm import exact_dedup, mixing, pii, sharding
+from streamcharts.llm import exact_dedup, mixing, pii, sharding, toxicity
 from streamcharts.llm.common import table
 
 SHARDS = 24
@@ -22,11 +22,16 @@ def op8_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op9_noisy_channel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_stateful_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_pivotal_mixing, op6_weak_supervision_pii, op8_jump_sharding, op10_stateful_dedup)}
+QUERIES = {f.__name__: f for f in (op2_pivotal_mixing, op6_weak_supervision_pii, op8_jump_sharding,
+                                   op9_noisy_channel_toxicity, op10_stateful_dedup)}
 
 ORACLE = {
     "op10_stateful_dedup": """
