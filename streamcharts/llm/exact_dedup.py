@@ -25,8 +25,12 @@ from pyspark.sql import functions as F
 from streamcharts.llm.common import lower_ascii, text_of, written
 from streamcharts.session import scratch_path
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_STORE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # else every state partition reserves a write-ahead log of full size on disk, whatever it holds
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def sha256(text: Column) -> Column:
@@ -46,13 +50,15 @@ def dedup_state(fingerprints: DataFrame, output: str, checkpoint: str, trigger:
     def write(batch: DataFrame, epoch: int) -> None:
         batch.write.mode("overwrite").parquet(f"{output}/epoch={epoch}")
 
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, ROCKSDB)
+    before = {k: spark.conf.get(k, None) for k in _STORE}
+    for k, v in _STORE.items():
+        spark.conf.set(k, v)
     try:
         return state.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(
             write).trigger(**(trigger or {"availableNow": True})).start()
     finally:
-        spark.conf.set(_PROVIDER, before) if before else spark.conf.unset(_PROVIDER)
+        for k, v in before.items():
+            spark.conf.set(k, v) if v else spark.conf.unset(k)
 
 
 def read_state(spark, output: str) -> DataFrame:
