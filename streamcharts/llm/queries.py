@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from streamcharts.llm import exact_dedup, mixing, pii, sharding, toxicity
+from streamcharts.llm import exact_dedup, mixing, pii, secrets, sharding, toxicity
 from streamcharts.llm.common import table
 
 SHARDS = 24
@@ -14,6 +14,10 @@ def op2_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_guess_cost_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 def op6_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
 
@@ -30,7 +34,7 @@ def op10_stateful_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_pivotal_mixing, op6_weak_supervision_pii, op8_jump_sharding,
+QUERIES = {f.__name__: f for f in (op2_pivotal_mixing, op5_guess_cost_secrets, op6_weak_supervision_pii, op8_jump_sharding,
                                    op9_noisy_channel_toxicity, op10_stateful_dedup)}
 
 ORACLE = {

@@ -45,7 +45,8 @@ _HIDDEN = re.compile(rf"(?<![^\W\d_]|[{_SIGNS}])[^\W_{_SIGNS}]*[{_SIGNS}][^\W_]*
 _STRETCHED = re.compile(r"[^\W\d_]*([^\W\d_])\1\1[^\W\d_]*")
 _APART = re.compile(r"(?<![^\W_])[^\W_](?:[ .\-_*][^\W_](?![^\W_])){2,}")
 _WORD = re.compile(r"[^\W\d_]+")
-_SWAP, _STRETCH, _JOIN = -0.7, -0.3, -0.2  # log probabilities of the channel's steps
+_SWAP, _STRETCH, _UNDOUBLE, _JOIN = -0.7, -0.3, -2.0, -0.2  # log probabilities of the channel's steps
+_BEAM, _CLOSE = 3, 4.0  # paths of a token that count: so many, within so much of the likeliest
 
 
 def _code(c: str) -> int:
@@ -93,7 +94,7 @@ class Restorer:
         self.decode = lru_cache(1 << 16)(self._decode)
 
     def _decode(self, token: str) -> tuple[str, ...]:
-        """The words of the likeliest path through the token's lattice."""
+        """The words of the likeliest paths through the token's lattice that end differently."""
         apart = len(token) > 2 and not token[1].isalnum() and token[1] not in STANDS_FOR
         chars = token[::2] if apart else token
         # positions: (letter, length of the run of equal characters)
@@ -107,11 +108,11 @@ class Restorer:
         for c, n in runs:
             options: list[tuple[str, float]] = []
             for letter, cost in [(c, 0.0)] if c.isalpha() else [(x, _SWAP) for x in STANDS_FOR.get(c, "")]:
-                options.append((letter, cost + (2 * _STRETCH if n > 1 else 0.0)))
+                options.append((letter, cost + (0.0 if n == 1 else _UNDOUBLE if n == 2 else 2 * _STRETCH)))
                 if n > 1:
                     options.append((letter * 2, cost + (_STRETCH if n > 2 else 0.0)))
             if not c.isalpha():  # a sign may also just stand there
-                options.append(("", 2 * _SWAP * n))
+                options.append(("", (8 if c.isdigit() else 2) * _SWAP * n))
             new: dict[tuple, tuple[float, str]] = {}
             for ctx, (score, out) in states.items():
                 for add, cost in options:
@@ -125,8 +126,8 @@ class Restorer:
                         if at not in new or new[at][0] < s:
                             new[at] = (s, o + add)
             states = new
-        best = max(states.items(), key=lambda kv: (kv[1][0] + float(self.model[(*kv[0], 0)]), kv[1][1]))
-        return tuple(best[1][1].split())
+        ends = sorted(((score + float(self.model[(*ctx, 0)]), out) for ctx, (score, out) in states.items()), reverse=True)
+        return tuple(w for score, out in ends[:_BEAM] if score > ends[0][0] - _CLOSE for w in out.split())
 
     def words(self, text: str) -> set[str]:
         """The words of a text and the decodings of its suspicious tokens."""
@@ -200,7 +201,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rest = lambda k, m: F.when(k < m, (m - k) * F.log((m - k) / (m * (1 - rate)))).otherwise(0.0)
     a, b = F.col("a"), F.col("b")
     ratio = 2 * (part(a, float(n1)) + part(b, float(n0)) + F.when(rate < 1, rest(a, float(n1)) + rest(b, float(n0))).otherwise(0.0))
-    terms = sorted(r.word for r in c.filter(a / float(n1) > 3 * b / float(n0)).withColumn("g", ratio).filter("g > 20").orderBy(
+    terms = sorted(r.word for r in c.filter(a / float(n1) > 3 * b / float(n0)).withColumn("g", ratio).filter("g > 40").orderBy(
         F.desc("g"), "word").limit(TERMS).collect())
     index = spark.createDataFrame([(w, i) for i, w in enumerate(terms)], "word string, at int")
     rows = seen.join(F.broadcast(index), "word", "left").groupBy("_id", "toxic").agg(  # TERMS rows at most
