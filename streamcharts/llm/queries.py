@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from streamcharts.llm import exact_dedup, mixing, pii, secrets, sharding, toxicity
+from streamcharts.llm import exact_dedup, mixing, near_dedup, pii, secrets, sharding, toxicity
 from streamcharts.llm.common import table
 
 SHARDS = 24
@@ -22,6 +22,10 @@ def op6_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
 
 
+def op7_chosen_path_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), SHARDS)
 
@@ -34,10 +38,31 @@ def op10_stateful_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_pivotal_mixing, op5_guess_cost_secrets, op6_weak_supervision_pii, op8_jump_sharding,
+QUERIES = {f.__name__: f for f in (op2_pivotal_mixing, op5_guess_cost_secrets, op6_weak_supervision_pii, op7_chosen_path_near_dedup, op8_jump_sharding,
                                    op9_noisy_channel_toxicity, op10_stateful_dedup)}
 
 ORACLE = {
+    "op7_chosen_path_near_dedup": r"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+            FROM documents),
+        s AS (
+            SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS g FROM d),
+        c AS (SELECT g, list_sort(g) AS k, min(doc_id) AS id FROM (SELECT doc_id, list_sort(g) AS g FROM s WHERE len(g) > 0) GROUP BY g),
+        x AS (SELECT id, len(g) AS n, unnest(g) AS t FROM c),
+        p AS (SELECT a.id AS a, b.id AS b, count(*) AS m FROM x a JOIN x b ON a.t = b.t AND a.id < b.id
+              AND 100 * least(a.n, b.n) >= 75 * greatest(a.n, b.n) GROUP BY a.id, b.id),
+        l AS (SELECT p.a, p.b FROM p JOIN c ca ON ca.id = p.a JOIN c cb ON cb.id = p.b
+              WHERE 100 * m >= 75 * (len(ca.g) + len(cb.g) - m)),
+        r(id, to_id) AS (SELECT id, id FROM c UNION SELECT r.id, q.v FROM r JOIN
+              (SELECT a AS u, b AS v FROM l UNION ALL SELECT b, a FROM l) q ON q.u = r.to_id),
+        o AS (SELECT id, min(to_id) AS component_id FROM r GROUP BY id)
+        SELECT s.doc_id, CAST(len(s.g) AS BIGINT) AS n_shingles, coalesce(o.component_id, s.doc_id) AS component_id,
+               s.doc_id = coalesce(o.component_id, s.doc_id) AS kept
+        FROM s LEFT JOIN c ON c.g = list_sort(s.g) LEFT JOIN o ON o.id = c.id
+    """,
     "op10_stateful_dedup": """
         WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                                             'abcdefghijklmnopqrstuvwxyz') AS norm FROM documents)
