@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from streamcharts.llm import exact_dedup, mixing, near_dedup, pii, secrets, sharding, toxicity
+from streamcharts.llm import exact_dedup, katz, mixing, near_dedup, pii, secrets, sharding, toxicity
 from streamcharts.llm.common import table
 
 SHARDS = 24
 
 
+def op1_katz_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score(table(spark, sf_dir, "documents"))
+
+
 def op2_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -38,14 +42,14 @@ def op10_stateful_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_pivotal_mixing, op5_guess_cost_secrets, op6_weak_supervision_pii, op7_chosen_path_near_dedup, op8_jump_sharding,
+QUERIES = {f.__name__: f for f in (op1_katz_scoring, op2_pivotal_mixing, op5_guess_cost_secrets, op6_weak_supervision_pii, op7_chosen_path_near_dedup, op8_jump_sharding,
                                    op9_noisy_channel_toxicity, op10_stateful_dedup)}
 
 ORACLE = {
     "op7_chosen_path_near_dedup": r"""
         WITH RECURSIVE d AS (
             SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
-                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
             FROM documents),
         s AS (
             SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]

@@ -13,12 +13,12 @@ from pyspark.sql import functions as F
 PIECE = 4 << 20
 
 
-def pieces(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    """The rows of ``batch`` in runs of about PIECE bytes of text, one row at least."""
+def pieces(batch: pa.RecordBatch, column: int, size: int = PIECE) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batch`` in runs of about ``size`` bytes of text, one row at least."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
     start = held = 0
     for i, n in enumerate(sizes):
-        if held and held + n > PIECE:
+        if held and held + n > size:
             yield batch.slice(start, i - start)
             start, held = i, 0
         held += n
