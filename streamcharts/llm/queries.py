@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from streamcharts.llm import exact_dedup, katz, mixing, near_dedup, pii, secrets, sharding, toxicity
+from streamcharts.llm import cover_tree, exact_dedup, katz, mixing, near_dedup, pii, secrets, sharding, toxicity
 from streamcharts.llm.common import table
 
 SHARDS = 24
@@ -18,6 +18,10 @@ def op2_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_cover_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op5_guess_cost_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
@@ -42,10 +46,21 @@ def op10_stateful_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_katz_scoring, op2_pivotal_mixing, op5_guess_cost_secrets, op6_weak_supervision_pii, op7_chosen_path_near_dedup, op8_jump_sharding,
+QUERIES = {f.__name__: f for f in (op1_katz_scoring, op2_pivotal_mixing, op3_cover_tree_search, op5_guess_cost_secrets, op6_weak_supervision_pii, op7_chosen_path_near_dedup, op8_jump_sharding,
                                    op9_noisy_channel_toxicity, op10_stateful_dedup)}
 
 ORACLE = {
+    "op3_cover_tree_search": """
+        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+                   FROM embeddings WHERE embedding IS NOT NULL
+                   AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+                     CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2])) AS BIGINT) AS score
+              FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+               vec_id, score FROM s
+        QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
+    """,
     "op7_chosen_path_near_dedup": r"""
         WITH RECURSIVE d AS (
             SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
