@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from streamcharts.llm import cover_tree, exact_dedup, katz, mixing, near_dedup, pii, secrets, sharding, toxicity
+from streamcharts.llm import cover_tree, exact_dedup, katz, mixing, near_dedup, pii, secrets, segmentation, sharding, toxicity
 from streamcharts.llm.common import table
 
 SHARDS = 24
@@ -22,6 +23,11 @@ def op3_cover_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cover_tree.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op4_gumbel_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's samples, the identifiers as a digest."""
+    return segmentation.encode(table(spark, sf_dir, "documents")).withColumn("ids_sha256", F.sha2("ids", 256)).drop("ids")
+
+
 def op5_guess_cost_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
@@ -46,7 +52,7 @@ def op10_stateful_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_katz_scoring, op2_pivotal_mixing, op3_cover_tree_search, op5_guess_cost_secrets, op6_weak_supervision_pii, op7_chosen_path_near_dedup, op8_jump_sharding,
+QUERIES = {f.__name__: f for f in (op1_katz_scoring, op2_pivotal_mixing, op3_cover_tree_search, op4_gumbel_segmentation, op5_guess_cost_secrets, op6_weak_supervision_pii, op7_chosen_path_near_dedup, op8_jump_sharding,
                                    op9_noisy_channel_toxicity, op10_stateful_dedup)}
 
 ORACLE = {
