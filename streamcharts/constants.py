@@ -42,6 +42,3 @@ SLO_THRESHOLDS = (
     ("scalability", "p99_ms", "<", 1500.0),
     ("stress", "error_rate", "<", 0.25),
 )
-
-# Salt for the keyed user pseudonym. Deployments pass their own secret.
-DEFAULT_SALT = "streamcharts-salt"

@@ -14,12 +14,12 @@ import hashlib
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from streamcharts.constants import ANON_USER, DEFAULT_SALT
+from streamcharts.constants import ANON_USER
 
 _BLOCK = 64
 
 
-def hmac_pads(salt: str | bytes = DEFAULT_SALT) -> tuple[bytes, bytes]:
+def hmac_pads(salt: str | bytes) -> tuple[bytes, bytes]:
     key = salt.encode() if isinstance(salt, str) else bytes(salt)
     if len(key) > _BLOCK:
         key = hashlib.sha256(key).digest()
@@ -27,7 +27,7 @@ def hmac_pads(salt: str | bytes = DEFAULT_SALT) -> tuple[bytes, bytes]:
     return bytes(b ^ 0x36 for b in key), bytes(b ^ 0x5C for b in key)
 
 
-def hmac_sha256_hex(value: Column, salt: str | bytes = DEFAULT_SALT) -> Column:
+def hmac_sha256_hex(value: Column, salt: str | bytes) -> Column:
     """Lower-case hex HMAC-SHA256 of ``cast(value as string)``; null stays null."""
     ipad, opad = hmac_pads(salt)
     msg = value.cast("string").cast("binary")
@@ -35,12 +35,12 @@ def hmac_sha256_hex(value: Column, salt: str | bytes = DEFAULT_SALT) -> Column:
     return F.sha2(F.concat(F.lit(opad), inner), 256)
 
 
-def pseudonym(user: Column, salt: str | bytes = DEFAULT_SALT) -> Column:
+def pseudonym(user: Column, salt: str | bytes) -> Column:
     """User pseudonym; a missing user id becomes the shared ``anon`` listener."""
     return F.coalesce(hmac_sha256_hex(user, salt), F.lit(ANON_USER))
 
 
-def pseudonym_sql(expr: str, salt: str | bytes = DEFAULT_SALT) -> str:
+def pseudonym_sql(expr: str, salt: str | bytes) -> str:
     """The same pseudonym as DuckDB SQL text (used by the oracle queries)."""
     ipad, opad = hmac_pads(salt)
     return (

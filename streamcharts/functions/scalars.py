@@ -61,4 +61,6 @@ def duration_text(seconds: Column) -> Column:
 
 
 def numbered(n: Column, width: int = 2) -> Column:
-    return F.lpad(n.cast("string"), width, "0")
+    """Filled up with zeros to ``width``; longer numbers stay whole (``lpad`` alone would cut them)."""
+    text = n.cast("string")
+    return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,12 +47,11 @@ def list_songs(songs: DataFrame, artists: DataFrame, genre: str | None = None, q
 def get_song(songs: DataFrame, artists: DataFrame, song_id) -> DataFrame:
     """Q4: one song card; the id must be a positive integer (else ValueError)."""
     try:
-        sid = int(song_id)
-        if sid != float(song_id):
-            raise ValueError
-    except (TypeError, ValueError):
+        number = Decimal(str(song_id))  # exact for every bigint, unlike a float
+        sid = int(number)
+    except (ArithmeticError, ValueError):
         raise ValueError(f"invalid song id {song_id!r}") from None
-    if sid <= 0:
+    if sid != number or not 0 < sid < 2**63:
         raise ValueError(f"invalid song id {song_id!r}")
     # id is the primary key: at most one row, a safe broadcast into the artists scan
     return song_cards(F.broadcast(songs.filter(F.col("id") == sid)), artists)
@@ -72,50 +73,45 @@ def song_durations(songs: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------- playlists
-TRACK_CHUNK = 10_000  # tracks per array row; a longer playlist spans several ordered rows
+def playlist_tracks(playlist_songs: DataFrame) -> DataFrame:
+    """``playlist_id, rank, song_id``: every track's place by (position, song id), from 1."""
+    return ranked(playlist_songs, ["position", "song_id"], ["playlist_id"]).select(
+        "playlist_id", F.col("_rank").alias("rank"), "song_id")
 
 
-def playlist_track_chunks(playlist_songs: DataFrame, chunk_size: int = TRACK_CHUNK) -> DataFrame:
-    """Per playlist, song ids ordered by (position, song id), ``chunk_size`` per row.
+def track_arrays(tracks: DataFrame, chunk_size: int) -> DataFrame:
+    """Tracks as ordered arrays of at most ``chunk_size`` ids, one row per (playlist, chunk).
 
-    Each track's place comes from the skew-safe ranking, and arrays are built per
-    (playlist, chunk): no group ever exceeds ``chunk_size`` rows, however large a
-    playlist is. Ordinary playlists are one row with ``chunk = 0``. The order inside
-    an array is fixed by sorting the (place, id) pairs, not by the shuffle.
+    For callers that want arrays and say how long one may get; no group exceeds that size.
     """
-    r = ranked(playlist_songs, ["position", "song_id"], ["playlist_id"])
-    with_chunk = r.withColumn("chunk", ((F.col("_rank") - 1) / F.lit(chunk_size)).cast("int"))
-    return with_chunk.groupBy("playlist_id", "chunk").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("_rank", "song_id"))), lambda x: x["song_id"]).alias(
-            "song_ids"
-        )
-    )
+    return tracks.withColumn("chunk", F.floor((F.col("rank") - 1) / F.lit(chunk_size)).cast("int")).groupBy(
+        "playlist_id", "chunk").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("rank", "song_id"))), lambda x: x["song_id"]).alias("song_ids"))
 
 
 def user_playlists(playlists: DataFrame, playlist_songs: DataFrame, user_id=None,
-                   chunk_size: int = TRACK_CHUNK) -> DataFrame:
-    """Playlists (optionally of one user), newest first, with ``song_ids``; empty -> ``[]``.
+                   chunk_size: int | None = None) -> DataFrame:
+    """Playlists (optionally of one user), newest first, one row per track in order; a
+    playlist without tracks is one row with a null track.
 
-    Tracks are chunked per playlist *before* meeting the playlists table, so
-    the join is one playlist row to its chunk rows.
+    With ``chunk_size`` the tracks come as arrays of at most that many ids (``chunk``, ``song_ids``),
+    an empty playlist as ``[]``. Tracks are narrowed to the wanted playlists before they are ranked.
     """
     p = playlists if user_id is None else playlists.filter(F.col("user_id") == F.lit(user_id))
     songs = playlist_songs
     if user_id is not None:
         songs = songs.join(p.select(F.col("id").alias("playlist_id")), "playlist_id", "left_semi")
-    tracks = playlist_track_chunks(songs, chunk_size)
-    return (
-        p.join(tracks, p["id"] == tracks["playlist_id"], "left")
-        .select(
-            "id",
-            "user_id",
-            "name",
-            "created_at",
-            F.coalesce(F.col("chunk"), F.lit(0)).alias("chunk"),
-            F.coalesce(F.col("song_ids"), F.array().cast("array<bigint>")).alias("song_ids"),
-        )
-        .orderBy(F.col("created_at").desc(), "id", "chunk")
-    )
+    tracks = playlist_tracks(songs)
+    head = ["id", "user_id", "name", "created_at"]
+    newest = [F.col("created_at").desc(), F.col("id")]
+    if chunk_size is None:
+        return p.join(tracks, p["id"] == tracks["playlist_id"], "left").select(*head, "rank", "song_id").orderBy(*newest, "rank")
+    arrays = track_arrays(tracks, chunk_size)
+    return p.join(arrays, p["id"] == arrays["playlist_id"], "left").select(
+        *head,
+        F.coalesce(F.col("chunk"), F.lit(0)).alias("chunk"),
+        F.coalesce(F.col("song_ids"), F.array().cast("array<bigint>")).alias("song_ids"),
+    ).orderBy(*newest, "chunk")
 
 
 def owner_check(requests: DataFrame, playlists: DataFrame) -> DataFrame:
@@ -195,19 +191,22 @@ def find_users(users: DataFrame, emails: DataFrame) -> DataFrame:
 
 
 def register_users(requests: DataFrame, users: DataFrame) -> DataFrame:
-    """Classify registrations ``(request_id, email, password)``.
+    """Classify registrations ``(request_id, requested_at, email, password)``.
 
     Invalid email or short password -> ``invalid``; an address (lower-cased)
-    already taken, or taken by an earlier request in the same batch ->
-    ``conflict``; otherwise ``accepted`` with ``role = 'free'``. The password
-    never leaves this function.
+    already taken, or taken by an earlier request in the same batch (by request
+    time, then id) -> ``conflict``; otherwise ``accepted`` with ``role = 'free'``.
+    The password never leaves this function.
     """
     r = requests.select(
         "request_id",
+        "requested_at",
         F.lower(F.col("email")).alias("email"),
         (valid_email(F.col("email")) & valid_password(F.col("password"))).alias("_valid"),
     )
-    first = r.filter("_valid").groupBy("email").agg(F.min("request_id").alias("_first"))
+    first = r.filter("_valid").groupBy("email").agg(
+        F.min(F.struct("requested_at", "request_id"))["request_id"].alias("_first")
+    )
     # only accounts whose address was asked for; the distinct runs on that matched set
     wanted = r.select("email").distinct()
     taken = (

@@ -75,19 +75,21 @@ def event_struct(accepted: DataFrame, ts: Column | None = None) -> Column:
     )
 
 
-def to_messages(accepted: DataFrame, ts: Column | None = None) -> DataFrame:
+def to_messages(accepted: DataFrame, ts: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """Keyed JSON records (K12/K13): key = song id, value = the event as JSON.
 
     Keying by song id keeps one song's events in one log partition, as the
     producer does; writing goes through ``write``/``writeStream`` with any sink.
+    ``keep`` names columns to carry along (an event id, a time to order by).
     """
     return accepted.select(
+        *keep,
         F.col("song_id").cast("string").alias("key"),
         F.to_json(event_struct(accepted, ts), {"ignoreNullFields": "false"}).alias("value"),
     )
 
 
-def decode_messages(messages: DataFrame, salt: str | bytes | None = None) -> DataFrame:
+def decode_messages(messages: DataFrame, salt: str | bytes) -> DataFrame:
     """Decode log records (P1-P7) and pseudonymize before anything else.
 
     Output columns: ``type, songId, genre, role, ts, window_start, user_hash``,
@@ -96,7 +98,6 @@ def decode_messages(messages: DataFrame, salt: str | bytes | None = None) -> Dat
     user id is dropped in the same projection that hashes it. Bad input is
     flagged, never raised: ANSI mode would otherwise stop the stream.
     """
-    kwargs = {} if salt is None else {"salt": salt}
     schema = T.StructType(EVENT_SCHEMA.fields + [T.StructField(_CORRUPT, T.StringType())])
     extra = [c for c in messages.columns if c not in ("key", "value")]  # offsets, ids, log time
     decoded = messages.select(
@@ -110,7 +111,7 @@ def decode_messages(messages: DataFrame, salt: str | bytes | None = None) -> Dat
         F.col("e.songId").alias("songId"),
         F.col("e.genre").alias("genre"),
         F.col("e.role").alias("role"),
-        pseudonym(F.col("e.userId"), **kwargs).alias("user_hash"),
+        pseudonym(F.col("e.userId"), salt).alias("user_hash"),
         parse_iso(F.col("e.ts")).cast("timestamp_ntz").alias("ts"),
         (F.col(f"e.{_CORRUPT}").isNotNull() | F.col("e").isNull()).alias("_malformed"),
     )
@@ -135,19 +136,18 @@ def good_plays(decoded: DataFrame) -> DataFrame:
     return decoded.filter(F.col("decode_error").isNull() & (F.col("type") == "play"))
 
 
-def play_rows(events: DataFrame, salt: str | bytes | None = None) -> DataFrame:
+def play_rows(events: DataFrame, salt: str | bytes) -> DataFrame:
     """Plays from the event table, hashed, without the catalog lookup.
 
     ``event_id, song_id, user_hash, ts, window_start``. Rollups built from this
     aggregate first and join the catalog per song afterwards (see
     ``rollups.*_from_plays``), so the catalog join never sees one row per event.
     """
-    kwargs = {} if salt is None else {"salt": salt}
     keep = ["event_id"] if "event_id" in events.columns else []
     return events.filter(F.col("type") == "play").select(
         *keep,
         "song_id",
-        pseudonym(F.col("user_id"), **kwargs).alias("user_hash"),
+        pseudonym(F.col("user_id"), salt).alias("user_hash"),
         "ts",
         minute_floor(F.col("ts")).alias("window_start"),
     )

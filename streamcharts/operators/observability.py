@@ -20,6 +20,7 @@ from streamcharts.constants import (
     RATE_WINDOW_SECONDS,
     SLO_THRESHOLDS,
 )
+from streamcharts.operators.ranking import percentiles
 
 
 def le_label(bound: float) -> str:
@@ -88,47 +89,55 @@ def histogram_p95(log: DataFrame, grain: str = "1 minute", q: float = 0.95) -> D
     )
 
 
-def counter_samples(log: DataFrame, series: tuple[str, ...] = ("service",), step_seconds: int = RATE_WINDOW_SECONDS,
-                    status_filter: Column | None = None) -> DataFrame:
-    """What a scraper would store: cumulative request counters per series at each step.
-
-    Requests are counted per (series, step) first; the running sum then runs
-    over one row per step of each series.
-    """
-    src = log if status_filter is None else log.filter(status_filter)
-    step = F.window(F.col("ts").cast("timestamp"), f"{int(step_seconds)} seconds")
-    per_step = src.groupBy(*series, step.alias("w")).agg(F.count(F.lit(1)).alias("n"))
-    running = Window.partitionBy(*series).orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)
-    return per_step.select(
-        *series, F.col("w.end").cast("timestamp_ntz").alias("ts"), F.col("n").cast("double").alias("value")
-    ).withColumn("value", F.sum("value").over(running))
-
-
 def counter_rate(samples: DataFrame, series: tuple[str, ...] = ("service",),
-                 window_seconds: int = RATE_WINDOW_SECONDS) -> DataFrame:
-    """Per-second rate of a cumulative counter, counter-reset aware.
-
-    The increase between consecutive samples of a series is ``value - prev``,
-    or ``value`` itself when the counter went down (the process restarted).
+                 window_seconds: int = RATE_WINDOW_SECONDS, grain_seconds: int = 5) -> DataFrame:
+    """Per-second rate of stored cumulative counter samples ``(series..., ts, value)`` over a
+    trailing window, reset-aware, at every scrape step of ``grain_seconds`` that has samples.
+
+    Samples are reduced to one row per (series, step) first: its first and last value and the increase
+    inside it. ``lag`` and the trailing sum then run over those rows. Between two samples the increase is
+    the difference, or the new value when the counter went down (the process restarted); a series' first
+    sample gives none. A window holds the increases that end in it, divided by its length.
     """
-    w = Window.partitionBy(*series).orderBy("ts")
-    prev = F.lag("value").over(w)
-    inc = F.when(prev.isNull(), F.col("value")).when(F.col("value") < prev, F.col("value")).otherwise(
-        F.col("value") - prev
-    )
-    return samples.select(*series, "ts", (inc / F.lit(float(window_seconds))).alias("rate"))
+    step = F.window(F.col("ts").cast("timestamp"), f"{int(grain_seconds)} seconds")
+    in_step = F.array_sort(F.collect_list(F.struct("ts", "value")))  # a step's samples: a few, by the scrape interval
+    grew = F.aggregate(
+        F.col("_s"), F.struct(F.lit(None).cast("double").alias("last"), F.lit(0.0).alias("sum")),
+        lambda acc, x: F.struct(
+            x["value"].alias("last"),
+            (acc["sum"] + F.coalesce(F.when(x["value"] < acc["last"], x["value"]).otherwise(x["value"] - acc["last"]),
+                                     F.lit(0.0))).alias("sum")))["sum"]
+    per_step = samples.select(*series, "ts", F.col("value").cast("double").alias("value")).filter(
+        "ts is not null and value is not null").groupBy(*series, step.alias("w")).agg(in_step.alias("_s")).select(
+        *series, F.unix_seconds(F.col("w.end")).alias("_end"), F.col("_s")[0]["value"].alias("_first"),
+        F.element_at("_s", -1)["value"].alias("_last"), grew.alias("_inside"))
+    order = Window.partitionBy(*series).orderBy("_end")
+    prev = F.lag("_last").over(order)
+    across = F.when(F.col("_first") < prev, F.col("_first")).otherwise(F.col("_first") - prev)
+    rows = per_step.withColumn("_inc", F.coalesce(across, F.lit(0.0)) + F.col("_inside"))
+    trailing = order.rangeBetween(-int(window_seconds) + 1, 0)
+    return rows.select(
+        *series, F.timestamp_seconds("_end").cast("timestamp_ntz").alias("ts"),
+        F.round(F.sum("_inc").over(trailing) / float(window_seconds), 6).alias("rate"))
 
 
 def throughput_rate(log: DataFrame, step_seconds: int = RATE_WINDOW_SECONDS,
                     status_filter: Column | None = None) -> DataFrame:
-    """``sum by (service) (rate(http_requests_total[1m]))`` per step, via counters."""
-    samples = counter_samples(log, ("service",), step_seconds, status_filter)
-    rate = counter_rate(samples, ("service",), step_seconds)
-    return rate.select(
-        "service",
-        (F.col("ts") - F.expr(f"INTERVAL {int(step_seconds)} SECONDS")).alias("window_start"),
-        F.round("rate", 6).alias("rate"),
-    )
+    """A16 over a request log: requests per second of each service in every calendar step.
+
+    Steps between a service's first and last request without a request (or without one that
+    passes the filter) have rate 0, as the dashboard draws them.
+    """
+    counted = F.lit(True) if status_filter is None else F.coalesce(status_filter, F.lit(False))
+    step = F.window(F.col("ts").cast("timestamp"), f"{int(step_seconds)} seconds")
+    per = log.groupBy("service", step.alias("w")).agg(F.count_if(counted).alias("n")).select(
+        "service", F.unix_seconds(F.col("w.start")).alias("at"), "n")
+    # a gap is filled from the step before it: one row per step of a service meets the window
+    after = F.lead("at").over(Window.partitionBy("service").orderBy("at"))
+    gap = F.sequence("at", F.coalesce(after, F.col("at") + step_seconds) - step_seconds, F.lit(int(step_seconds)).cast("long"))
+    return per.withColumn("_gap", gap).select("service", "n", "at", F.explode("_gap").alias("_at")).select(
+        "service", F.timestamp_seconds("_at").cast("timestamp_ntz").alias("window_start"),
+        F.round(F.when(F.col("_at") == F.col("at"), F.col("n")).otherwise(0) / float(step_seconds), 6).alias("rate"))
 
 
 def server_errors() -> Column:
@@ -157,24 +166,32 @@ def latest_up(log: DataFrame, by: str = "service") -> DataFrame:
 PCTS = (0.5, 0.9, 0.95, 0.99)
 
 
+def _with_percentiles(agg: DataFrame, pct: DataFrame, by: list[str]) -> DataFrame:
+    """Per-group aggregates with their percentiles; a group of null latencies only has none."""
+    p = pct.select(*[F.col(k).alias(f"_p_{k}") for k in by], "_p")
+    return agg.join(p, [F.col(k).eqNullSafe(F.col(f"_p_{k}")) for k in by], "left").drop(*[f"_p_{k}" for k in by])
+
+
 def load_summary(log: DataFrame, by: tuple[str, ...] = ("service",), exact: bool = True) -> DataFrame:
     """Count, req/s, failed share, avg/median/p90/p95/p99/max latency in ms.
 
-    Exact percentiles keep one (value -> count) map per group, merged across
-    tasks, so memory follows the number of distinct latencies, not requests;
+    Exact percentiles come from counted latencies in sort order (``ranking.percentiles``), so a
+    service with nearly as many latencies as requests needs no buffer of them;
     ``exact=False`` switches to the bounded-size ``percentile_approx`` sketch.
     """
-    ms = F.col("duration_seconds") * 1000.0
-    pct = F.percentile(ms, list(PCTS)) if exact else F.percentile_approx(ms, list(PCTS), 10000)
+    log = log.withColumn("_ms", F.col("duration_seconds") * 1000.0)
+    ms = F.col("_ms")
     span = (F.unix_micros(F.max("ts").cast("timestamp")) - F.unix_micros(F.min("ts").cast("timestamp"))) / 1e6
     agg = log.groupBy(*by).agg(
         F.count(F.lit(1)).alias("requests"),
         span.alias("_span"),
         (F.count_if(F.col("status") >= 400) / F.count(F.lit(1))).alias("error_rate"),
         F.avg(ms).alias("avg_ms"),
-        pct.alias("_p"),
+        *([] if exact else [F.percentile_approx(ms, list(PCTS), 10000).alias("_p")]),
         F.max(ms).alias("max_ms"),
     )
+    if exact:
+        agg = _with_percentiles(agg, percentiles(log, "_ms", PCTS, list(by)), list(by))
     return agg.select(
         *by,
         "requests",
@@ -212,10 +229,11 @@ def run_compare(log: DataFrame, run: str = "1 day") -> DataFrame:
     one row per run of a service.
     """
     w = F.window(F.col("ts").cast("timestamp"), run)
-    per_run = log.withColumn("run", w.start.cast("timestamp_ntz")).groupBy("service", "run").agg(
-        F.count(F.lit(1)).alias("requests"),
-        F.percentile(F.col("duration_seconds") * 1000.0, 0.95).alias("p95_ms"),
-    )
+    runs = log.withColumn("run", w.start.cast("timestamp_ntz")).withColumn("_ms", F.col("duration_seconds") * 1000.0)
+    per_run = _with_percentiles(
+        runs.groupBy("service", "run").agg(F.count(F.lit(1)).alias("requests")),
+        percentiles(runs, "_ms", (0.95,), ["service", "run"]), ["service", "run"],
+    ).withColumn("p95_ms", F.col("_p")[0])
     order = Window.partitionBy("service").orderBy("run")
     prev_n, prev_p = F.lag("requests").over(order), F.lag("p95_ms").over(order)
     return per_run.select(
@@ -229,10 +247,14 @@ def run_compare(log: DataFrame, run: str = "1 day") -> DataFrame:
 
 
 def upstream_share(parsed: DataFrame) -> DataFrame:
-    """Requests per upstream replica and their share of all requests."""
-    per = parsed.groupBy("upstream").agg(F.count(F.lit(1)).alias("requests"))
-    total = F.sum("requests").over(Window.partitionBy())  # one row per upstream: bounded
-    return per.select("upstream", "requests", F.round(F.col("requests") / total, 6).alias("share"))
+    """Requests per upstream replica that answered, and their share of all parsed lines.
+
+    Lines that do not parse are counted apart, as the row without an upstream; they have no share.
+    """
+    per = parsed.withColumn("upstream", F.when(F.col("parsed"), F.col("upstream"))).groupBy("upstream").agg(F.count(F.lit(1)).alias("requests"))
+    known = F.when(F.col("upstream").isNotNull(), F.col("requests"))
+    total = F.sum(known).over(Window.partitionBy())  # one row per upstream: bounded
+    return per.select("upstream", "requests", F.round(known / total, 6).alias("share"))
 
 
 def throttled_clients(log: DataFrame, window: str = "1 minute",

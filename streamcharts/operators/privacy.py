@@ -39,20 +39,28 @@ def erase_artists(erase_ids: DataFrame, artists: DataFrame, songs: DataFrame,
     return {"artists": kept_artists, "songs": kept_songs, "playlist_songs": kept_tracks}
 
 
-def cascade_counts(before: dict[str, DataFrame], after: dict[str, DataFrame]) -> DataFrame:
-    """Rows kept and erased per table.
+def cascade_flags(erase_ids: DataFrame, tables: dict[str, tuple[DataFrame, str]]) -> dict[str, DataFrame]:
+    """Each table with ``erased``, in one pass: the first by its own key column, every further one by the
+    keys (``id``) that the table before it loses.
 
-    Before and after rows are tagged and counted in one aggregate per table
-    (partial counts per task), so no join between the counts is needed.
+    ``tables``: name -> (frame, key column); the first table's key column is ``id``.
     """
+    gone, out = erase_ids.select(F.col("id").alias("_gone")).distinct(), {}
+    for name, (frame, key) in tables.items():
+        flagged = frame.join(gone, frame[key] == gone["_gone"], "left").withColumn(
+            "erased", F.col("_gone").isNotNull()).drop("_gone")
+        out[name] = flagged
+        # users lose playlists, artists lose songs: the dependent table's own ids go on
+        gone = flagged.filter("erased").select(F.col("id").alias("_gone")) if "id" in frame.columns else gone
+    return out
+
+
+def cascade_counts(flagged: dict[str, DataFrame]) -> DataFrame:
+    """Rows kept and erased per table: one aggregate over one scan each."""
     out = None
-    for name, frame in after.items():
-        tagged = before[name].select(F.lit(True).alias("_before")).unionByName(
-            frame.select(F.lit(False).alias("_before"))
-        )
-        counts = tagged.agg(
-            F.count_if(~F.col("_before")).alias("kept"),
-            (F.count_if(F.col("_before")) - F.count_if(~F.col("_before"))).alias("erased"),
+    for name, frame in flagged.items():
+        counts = frame.agg(
+            F.count_if(~F.col("erased")).alias("kept"), F.count_if("erased").alias("erased"),
         ).select(F.lit(name).alias("table"), "kept", "erased")
         out = counts if out is None else out.unionByName(counts)
     return out
@@ -60,26 +68,26 @@ def cascade_counts(before: dict[str, DataFrame], after: dict[str, DataFrame]) ->
 
 def export_users(export_ids: DataFrame, users: DataFrame, playlists: DataFrame,
                  playlist_songs: DataFrame) -> DataFrame:
-    """Q12 export: JSON lines, one per (user, playlist, track chunk), plus one for a user without playlists.
+    """Q12 export: JSON lines, one per (user, playlist, track); a playlist without tracks and a user
+    without playlists are one line each, with nulls.
 
-    The requested users narrow playlists, and those narrow the tracks, by
-    semi-joins *before* the per-playlist aggregation, so an export touches the
-    requested users' data only (beyond the scans).
+    The requested users narrow playlists, and those narrow the tracks, by semi-joins *before* the
+    tracks are ranked, so an export touches the requested users' data only (beyond the scans).
     """
-    from streamcharts.operators.catalog import playlist_track_chunks
+    from streamcharts.operators.catalog import playlist_tracks
 
     u = users.join(export_ids.select("id").distinct(), "id", "left_semi")
     mine = playlists.join(u.select(F.col("id").alias("user_id")), "user_id", "left_semi")
-    tracks = playlist_track_chunks(
+    tracks = playlist_tracks(
         playlist_songs.join(mine.select(F.col("id").alias("playlist_id")), "playlist_id", "left_semi")
     )
-    p = mine.join(tracks, mine["id"] == tracks["playlist_id"], "left").select(
-        F.col("user_id"),
+    p = mine.join(tracks.withColumnRenamed("playlist_id", "_playlist"), F.col("id") == F.col("_playlist"), "left").select(
+        "user_id",
         F.col("id").alias("playlist_id"),
         "name",
         F.date_format("created_at", "yyyy-MM-dd").alias("created"),
-        F.coalesce(F.col("chunk"), F.lit(0)).alias("chunk"),
-        F.coalesce(F.col("song_ids"), F.array().cast("array<bigint>")).alias("song_ids"),
+        "rank",
+        "song_id",
     )
     j = u.join(p, u["id"] == p["user_id"], "left")
     doc = F.to_json(
@@ -90,9 +98,9 @@ def export_users(export_ids: DataFrame, users: DataFrame, playlists: DataFrame,
             F.col("playlist_id"),
             F.col("name").alias("playlist_name"),
             F.col("created"),
-            F.col("chunk"),
-            F.col("song_ids"),
+            F.col("rank"),
+            F.col("song_id"),
         ),
         {"ignoreNullFields": "false"},
     )
-    return j.select(F.col("id").alias("user_id"), "playlist_id", "chunk", doc.alias("document"))
+    return j.select(F.col("id").alias("user_id"), "playlist_id", "rank", doc.alias("document"))

@@ -1,58 +1,84 @@
-"""Row numbers and successors in a sort order without a single hot task.
+"""Row numbers, running sums and successors in a sort order without a single hot task.
 
 A window partitioned by a key processes one key in one task; a global window
-processes everything in one task. Here rows are range-partitioned on
-(group, order), so any group -- or the whole table -- is cut into contiguous
-chunks over many tasks. Numbering and ``lead`` run inside each
-(chunk, group); chunks are stitched with a window over one summary row per
-chunk (at most ``partitions`` rows per group).
+processes everything in one task. Here a few bounds, drawn from a sample of the
+sort keys, cut any group -- or the whole table -- into contiguous chunks. The
+bounds are literals in the plan, so a row's chunk is a plain expression of the
+row: every reader agrees on it, also after an executor loss, and nothing has to
+be written in between. Numbering and ``lead`` run inside each (chunk, group);
+chunks are stitched with a window over one summary row per chunk and group.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from streamcharts.session import checkpoint_root
+# Sampled rows per bound: chunk sizes then differ by a small factor only.
+SAMPLES_PER_CHUNK = 20
+
+
+def chunk_of(df: DataFrame, keys: list[str], chunks: int) -> Column:
+    """The number of the contiguous chunk (by ``keys``) that a row of ``df`` is in.
+
+    The only job this starts collects about ``SAMPLES_PER_CHUNK * chunks`` sampled keys, whatever
+    the size of ``df``. Results built on the chunks do not depend on where the bounds fall.
+    """
+    total = df.count()
+    if chunks <= 1 or total == 0:
+        return F.lit(0)
+    key = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])
+    fraction = min(1.0, SAMPLES_PER_CHUNK * chunks / total)
+    sample = [r.j for r in df.sample(fraction, seed=7).select(key.alias("k")).orderBy("k").select(F.to_json("k").alias("j")).collect()]
+    step = max(1, len(sample) // chunks)
+    bounds = list(dict.fromkeys(sample[step::step]))
+    if not bounds:
+        return F.lit(0)
+    kind = df.select(key.alias("k")).schema["k"].dataType.simpleString()
+    table = F.from_json(F.lit("[" + ",".join(bounds) + "]"), f"array<{kind}>")  # folded to one literal
+    half = lambda s: F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+    search = F.aggregate(  # binary search: bounds up to the row's key
+        F.sequence(F.lit(1), F.lit(len(bounds).bit_length())),
+        F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi")),
+        lambda s, _: F.when(s["lo"] >= s["hi"], s).when(
+            F.get(table, half(s)) <= key, F.struct((half(s) + 1).alias("lo"), s["hi"].alias("hi"))).otherwise(
+            F.struct(s["lo"].alias("lo"), half(s).alias("hi"))))
+    return search["lo"]
 
 
 def ranked(df: DataFrame, order: list[str], group: list[str] | None = None, next_of: str | None = None,
-           partitions: int | None = None) -> DataFrame:
+           partitions: int | None = None, weight: str | None = None) -> DataFrame:
     """Add ``_rank`` (1-based position in ``order`` within ``group``) and, when
     ``next_of`` is given, ``_next`` = that column on the following row, wrapping
     to the group's first row. ``order`` must make rows unique within a group.
+    With ``weight`` (a count column) a row takes that many places; ``_rank`` is its first.
     """
     group = list(group or [])
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cut = df.repartitionByRange(n, *group, *order).withColumn("_chunk", F.spark_partition_id())
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = df.withColumn("_chunk", chunk_of(df, [*group, *order], n))
     in_chunk = Window.partitionBy("_chunk", *group).orderBy(*order)
-    local = cut.withColumn("_rn", F.row_number().over(in_chunk))
+    places = F.col(weight) if weight else F.lit(1)
+    upto = F.sum(places).over(in_chunk.rowsBetween(Window.unboundedPreceding, 0)) - places + 1 if weight else (
+        F.row_number().over(in_chunk))
+    local = cut.withColumn("_rn", upto)
     if next_of:
         local = local.withColumn("_lnext", F.lead(next_of).over(in_chunk))
-    # Chunk ids come from sampled range bounds and the rows are read twice below, so they
-    # are materialised once (reliable checkpoint under spark.checkpoint.dir): both readers
-    # see the same ids, also after an executor loss.
-    checkpoint_root(spark)
-    local = local.checkpoint(eager=True)
-    summary_aggs = [F.count(F.lit(1)).alias("_n")]
+    summary_aggs = [F.sum(places).alias("_n")]
     if next_of:
         summary_aggs.append(F.min_by(next_of, F.struct(*order)).alias("_head"))
-    chunks = local.groupBy("_chunk", *group).agg(*summary_aggs)
-    # range partitions are ordered, so chunk order is sort order within a group
+    chunks = cut.groupBy("_chunk", *group).agg(*summary_aggs)
+    # chunks are numbered in sort order
     by_chunk = Window.partitionBy(*group).orderBy("_chunk")
     cols = [
-        "_chunk",
-        *group,
+        F.col("_chunk").alias("_c__chunk"),
+        *[F.col(g).alias(f"_c_{g}") for g in group],
         F.coalesce(F.sum("_n").over(by_chunk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
     ]
     if next_of:
         cols += [F.lead("_head").over(by_chunk).alias("_next_head"), F.first("_head").over(by_chunk).alias("_first_head")]
-    chunks = chunks.select(*cols)
+    c = chunks.select(*cols)
     # null-safe on the group columns: a NULL group is a group too
-    c = chunks.select(*[F.col(x).alias(f"_c_{x}") for x in ["_chunk", *group]], *[x for x in chunks.columns
-                                                                                  if x not in ["_chunk", *group]])
-    cond = [local["_chunk"] == c["_c__chunk"]] + [local[g].eqNullSafe(c[f"_c_{g}"]) for g in group]
+    cond = [F.col("_chunk") == F.col("_c__chunk")] + [F.col(g).eqNullSafe(F.col(f"_c_{g}")) for g in group]
     out = local.join(c, cond, "inner").drop(*[f"_c_{x}" for x in ["_chunk", *group]]).withColumn(
         "_rank", (F.col("_before") + F.col("_rn")).cast("long")
     )
@@ -60,3 +86,29 @@ def ranked(df: DataFrame, order: list[str], group: list[str] | None = None, next
         out = out.withColumn("_next", F.coalesce(F.col("_lnext"), F.col("_next_head"), F.col("_first_head")))
         out = out.drop("_lnext", "_next_head", "_first_head")
     return out.drop("_chunk", "_rn", "_before")
+
+
+def percentiles(df: DataFrame, value: str, ps: tuple[float, ...], group: list[str]) -> DataFrame:
+    """Exact interpolated percentiles ``_p`` (an array) of ``value`` per group, nulls left out.
+
+    Equal values are counted first; distinct ones take their places from ``ranked`` (so no group has to
+    fit into one task), and the two neighbours of each rank are picked by a maximum that combines map-side.
+    """
+    counted = df.filter(F.col(value).isNotNull()).groupBy(*group, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_w"))
+    placed = ranked(counted, ["_v"], group, weight="_w")
+    totals = counted.groupBy(*[F.col(g).alias(f"_t_{g}") for g in group]).agg(F.sum("_w").alias("_total"))
+    cond = [F.col(g).eqNullSafe(F.col(f"_t_{g}")) for g in group]
+    rows = placed.join(totals, cond)  # one row per group on the right
+    first, last = F.col("_rank") - 1, F.col("_rank") - 1 + F.col("_w")
+    picks = []
+    for i, p in enumerate(ps):
+        at = F.lit(float(p)) * (F.col("_total") - 1)
+        for name, k in (("lo", F.floor(at)), ("hi", F.ceil(at))):
+            picks.append(F.max(F.when((first <= k) & (k < last), F.col("_v"))).alias(f"_{name}{i}"))
+    got = rows.groupBy(*group).agg(F.max("_total").alias("_total"), *picks)
+
+    def value_at(i: int, p: float) -> Column:
+        at = F.lit(float(p)) * (F.col("_total") - 1)
+        return F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (at - F.floor(at))
+
+    return got.select(*group, F.array(*[value_at(i, p) for i, p in enumerate(ps)]).alias("_p"))

@@ -161,15 +161,16 @@ def live_buckets(rows: DataFrame, asof: Column, ttl_seconds: int = TREND_TTL_SEC
     """Bucket keys still alive at ``asof``.
 
     Each write renews a key's expiry, so a key lives until its last write plus
-    the TTL. Global keys (one per minute) and genre keys (per genre and minute)
+    the TTL. A row written before that bound keeps no key alive and cannot be the
+    last write of one that lives, so the bound is applied first, at the scan. Global keys (one per minute) and genre keys (per genre and minute)
     are both reported, with ``scope`` telling them apart.
     """
     ttl = F.expr(f"INTERVAL {int(ttl_seconds)} SECONDS")
     # one pass: rollup gives (minute, genre) = genre keys and (minute) = global keys
-    keys = rows.rollup("minute", "genre").agg(
+    keys = rows.filter(F.col("written_at") > asof - ttl).rollup("minute", "genre").agg(
         (F.max("written_at") + ttl).alias("expires_at"), F.grouping_id().alias("_gid")
     )
-    return keys.filter((F.col("_gid") <= 1) & (F.col("expires_at") > asof)).select(
+    return keys.filter(F.col("_gid") <= 1).select(
         F.when(F.col("_gid") == 0, F.lit("genre")).otherwise(F.lit("global")).alias("scope"),
         "genre",
         "minute",

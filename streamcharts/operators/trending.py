@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,7 +24,6 @@ from streamcharts.constants import (
 )
 from streamcharts.functions.privacy import pseudonym
 from streamcharts.functions.scalars import clamp_limit
-from streamcharts.operators.joins import broadcast_if_bounded, distinct_count_bound
 
 
 def asof_column(asof: str | dt.datetime | Column | None) -> Column:
@@ -33,6 +33,8 @@ def asof_column(asof: str | dt.datetime | Column | None) -> Column:
     if isinstance(asof, Column):
         return asof.cast("timestamp_ntz")
     if isinstance(asof, dt.datetime):
+        if asof.tzinfo is not None:
+            asof = asof.astimezone(dt.timezone.utc)
         asof = asof.strftime("%Y-%m-%d %H:%M:%S.%f")
     return F.lit(str(asof)).cast("timestamp_ntz")
 
@@ -70,8 +72,7 @@ def per_song_genre(buckets: DataFrame, songs: DataFrame | None) -> DataFrame:
     Stored buckets carry the genre the event was published with. Raw plays
     without one are summed per song *first* and only then joined to the
     catalog for the genre: the join sees one row per song instead of one per
-    event, and unknown songs drop out before any ranking (the intake would
-    have refused them).
+    event. A song that the catalog does not know has no genre to be listed under.
     """
     if "genre" in buckets.columns:
         return buckets.groupBy("genre", "song_id").agg(F.sum("plays").cast("long").alias("plays"))
@@ -83,16 +84,17 @@ def per_song_genre(buckets: DataFrame, songs: DataFrame | None) -> DataFrame:
 
 def windowed_plays(buckets: DataFrame, asof=None, window_minutes: int = TRENDING_WINDOW_MINUTES,
                    genre: str | None = None, songs: DataFrame | None = None) -> DataFrame:
-    """Sum of plays per song over the trailing window."""
+    """Sum of plays per song over the trailing window.
+
+    Without a genre every id counts, known to the catalog or not; unknown ones leave after the
+    limit, when the cards are attached (P17), whether or not the buckets carry a genre.
+    """
     b = in_time_window(buckets, asof, window_minutes)
-    if "genre" in b.columns:
-        if genre:
-            b = b.filter(F.col("genre") == genre)
-        return b.groupBy("song_id").agg(F.sum("plays").cast("long").alias("plays"))
-    per = per_song_genre(b, songs)
+    if genre and "genre" not in b.columns:
+        return per_song_genre(b, songs).filter(F.col("genre") == genre).select("song_id", "plays")
     if genre:
-        per = per.filter(F.col("genre") == genre)
-    return per.select("song_id", "plays")
+        b = b.filter(F.col("genre") == genre)
+    return b.groupBy("song_id").agg(F.sum("plays").cast("long").alias("plays"))
 
 
 def top_songs(buckets: DataFrame, genre: str | None = None, limit=None, asof=None,
@@ -151,23 +153,12 @@ def top_per_genre(buckets: DataFrame, limit=None, asof=None,
     return per_song.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
 
 
-def genre_count_bound(buckets: DataFrame, songs: DataFrame, asof=None,
-                      window_minutes: int = TRENDING_WINDOW_MINUTES) -> int:
-    """How many genre lists there can be: genres carried by the stored buckets in the
-    window, or else the catalog's genres (counted up to the broadcast cap)."""
-    if "genre" in buckets.columns:
-        return distinct_count_bound(in_time_window(buckets, asof, window_minutes), "genre")
-    return distinct_count_bound(songs, "genre")
-
-
 def trending_by_genre(buckets: DataFrame, songs: DataFrame, artists: DataFrame, limit=None, asof=None,
                       window_minutes: int = TRENDING_WINDOW_MINUTES) -> DataFrame:
-    """Per-genre trending, enriched. The top lists hold n x genres rows; they are
-    broadcast into the catalog joins when that count is within the cap, else the
-    optimizer and AQE choose the join."""
+    """Per-genre trending, enriched. The top lists hold at most n rows a genre; adaptive execution sees
+    their size when they are there and broadcasts them into the catalog joins if it is small."""
     n = clamp_limit(limit, TRENDING_DEFAULT_LIMIT, TRENDING_MAX_LIMIT)
     top = top_per_genre(buckets, n, asof, window_minutes, songs)
-    top = broadcast_if_bounded(top, n * genre_count_bound(buckets, songs, asof, window_minutes))
     s = songs.select(F.col("id").alias("song_id"), "title", "cover_url", "artist_id")
     a = artists.select(F.col("id").alias("artist_id"), F.col("name").alias("artist"))
     return top.join(s, "song_id", "inner").join(a, "artist_id", "inner").select(
@@ -186,11 +177,17 @@ def trending_share(buckets: DataFrame, songs: DataFrame, artists: DataFrame, gen
 def sliding_trending(plays: DataFrame, window: str = "10 days", slide: str = "1 day") -> DataFrame:
     """R3 batch form: plays per song for every sliding window that has plays.
 
-    ``window()`` emits each row into window/slide windows (a fixed factor), then
-    a partial aggregate; no per-song partition has to fit anywhere.
+    ``window()`` emits each row into window/slide windows (a fixed factor); where the slide divides the
+    window, plays are counted per slide step before that. No per-song partition has to fit anywhere.
     """
-    w = F.window(F.col("ts").cast("timestamp"), window, slide)
-    return plays.groupBy(w.alias("w"), "song_id").agg(F.count(F.lit(1)).alias("plays")).select(
+    ts, plays_in = F.col("ts").cast("timestamp"), F.count(F.lit(1))
+    if pd.Timedelta(window) % pd.Timedelta(slide) == pd.Timedelta(0):
+        # every window is made of whole slide steps: count per (song, step) first, then expand those
+        step = F.window(ts, slide)
+        plays = plays.groupBy(step.alias("s"), "song_id").agg(plays_in.alias("n")).select(
+            F.col("s.start").alias("ts"), "song_id", "n")
+        ts, plays_in = F.col("ts"), F.sum("n")
+    return plays.groupBy(F.window(ts, window, slide).alias("w"), "song_id").agg(plays_in.cast("long").alias("plays")).select(
         F.col("w.start").cast("timestamp_ntz").alias("window_start"),
         F.col("w.end").cast("timestamp_ntz").alias("window_end"),
         "song_id",
@@ -214,19 +211,19 @@ def favourite_genre(affinity: DataFrame) -> DataFrame:
 
 def for_you(users: DataFrame, affinity: DataFrame, buckets: DataFrame, songs: DataFrame,
             artists: DataFrame, asof=None, window_minutes: int = TRENDING_WINDOW_MINUTES,
-            salt: str | bytes | None = None) -> DataFrame:
+            *, salt: str | bytes) -> DataFrame:
     """Q2 for every user at once: ``user_id, based_on, rank, id, title, genre, cover_url, artist``;
     a user whose list is empty gets one row with null song columns.
 
     Users are joined through the pseudonym to their favourite genre (J6), then
     to the per-genre top 10 or, with no affinity, to the global top 10. The
     lists hold 10 x (genres + 1) rows; users are never paired with songs
-    beyond those lists, and when that bound is small (checked) they are
-    broadcast so the user side is neither shuffled nor skewed by genre.
+    beyond those lists. Both lists come from one aggregate of the plays. Adaptive
+    execution broadcasts the cards when it sees that they are small, so the user
+    side is neither shuffled nor skewed by genre.
     """
-    kwargs = {} if salt is None else {"salt": salt}
     fav = favourite_genre(affinity).select("user_hash", F.col("genre").alias("fav_genre"))
-    u = users.select(F.col("id").alias("user_id"), pseudonym(F.col("id"), **kwargs).alias("user_hash"))
+    u = users.select(F.col("id").alias("user_id"), pseudonym(F.col("id"), salt).alias("user_hash"))
     picked = u.join(fav, "user_hash", "left").select(
         "user_id", F.coalesce(F.col("fav_genre"), F.lit(GLOBAL_TRENDING)).alias("based_on")
     )
@@ -237,16 +234,9 @@ def for_you(users: DataFrame, affinity: DataFrame, buckets: DataFrame, songs: Da
         F.lit(GLOBAL_TRENDING).alias("based_on"), "song_id", "rank"
     )
     lists = per_genre.unionByName(global_top)
-    # n x (genres + 1) rows at most, the genre count checked first
-    bound = FOR_YOU_LIMIT * (genre_count_bound(buckets, songs, asof, window_minutes) + 1)
-    lists = broadcast_if_bounded(lists, bound)
     s = songs.select(F.col("id").alias("song_id"), "title", "genre", "cover_url", "artist_id")
     a = artists.select(F.col("id").alias("artist_id"), F.col("name").alias("artist"))
-    cards = broadcast_if_bounded(
-        lists.join(s, "song_id", "inner").join(a, "artist_id", "inner").drop("artist_id"), bound
-    )
-    # few distinct `based_on` keys: a shuffle join would pile users onto a handful of
-    # reducers, so the bounded lists are broadcast and users are never shuffled here
+    cards = lists.join(s, "song_id", "inner").join(a, "artist_id", "inner").drop("artist_id")
     # left: a user whose list is empty still gets one row (null song), like an empty response
     return picked.join(cards, "based_on", "left").select(
         "user_id", "based_on", "rank", F.col("song_id").alias("id"), "title", "genre", "cover_url", "artist"
@@ -255,11 +245,11 @@ def for_you(users: DataFrame, affinity: DataFrame, buckets: DataFrame, songs: Da
 
 def for_user(user_id, users: DataFrame, affinity: DataFrame, buckets: DataFrame, songs: DataFrame,
              artists: DataFrame, asof=None, window_minutes: int = TRENDING_WINDOW_MINUTES,
-             salt: str | bytes | None = None) -> DataFrame:
+             *, salt: str | bytes) -> DataFrame:
     """Q2 for one user (the service call): ``based_on`` and the ranked songs, same plan as
     ``for_you`` on a one-row user frame, so the user's pseudonym is never computed apart."""
     one = users.filter(F.col("id") == F.lit(user_id))
-    return for_you(one, affinity, buckets, songs, artists, asof, window_minutes, salt).orderBy("rank")
+    return for_you(one, affinity, buckets, songs, artists, asof, window_minutes, salt=salt).orderBy("rank")
 
 
 def with_request_labels(trending_rows: DataFrame, genre: str | None = None,

@@ -6,7 +6,7 @@ code with the Spark plans except the pseudonym key pads.
 
 from __future__ import annotations
 
-from streamcharts.constants import DEFAULT_SALT, LATENCY_BUCKETS_SECONDS, SLO_THRESHOLDS
+from streamcharts.constants import LATENCY_BUCKETS_SECONDS, SLO_THRESHOLDS
 from streamcharts.functions.privacy import pseudonym_sql
 from streamcharts.plans import params as P
 
@@ -48,21 +48,27 @@ EV = """ev AS (
   FROM events)"""
 
 PLAYS = f"""plays AS (
-  SELECT e.event_id, e.song_id, s.genre, {pseudonym_sql('e.user_id', DEFAULT_SALT)} AS user_hash, e.ts,
+  SELECT e.event_id, e.song_id, s.genre, {pseudonym_sql('e.user_id', P.SALT)} AS user_hash, e.ts,
          date_trunc('minute', e.ts) AS window_start
   FROM ev e JOIN songs s ON s.id = e.song_id
   WHERE e.type = 'play')"""
 
 BASE = (SONGS, ARTISTS, USERS, EV, PLAYS)
 
+# Ids that the catalog does not know take part until the limit.
 WINDOWED = f"""w AS (
-  SELECT song_id, CAST(count(*) AS BIGINT) AS plays FROM plays
+  SELECT song_id, CAST(count(*) AS BIGINT) AS plays FROM {{plays}}
   WHERE window_start BETWEEN {WIN_LO} AND {WIN_HI} {{genre_filter}} GROUP BY song_id)"""
 
 
-def _trending(limit: int, genre: str | None = None) -> str:
+ANY_SONG = """anysong AS (
+  SELECT song_id, ts, date_trunc('minute', ts) AS window_start FROM ev WHERE type = 'play' AND song_id IS NOT NULL)"""
+
+
+def _trending(limit: int, genre: str | None = None, plays: str | None = None) -> str:
     gf = f"AND genre = '{genre}'" if genre else ""
-    return _with(*BASE, WINDOWED.format(genre_filter=gf), f"""top AS (
+    plays = plays or ("plays" if genre else "anysong")
+    return _with(*BASE, ANY_SONG, WINDOWED.format(genre_filter=gf, plays=plays), f"""top AS (
   SELECT song_id, plays,
          CAST(row_number() OVER (ORDER BY plays DESC, CAST(song_id AS VARCHAR) DESC) AS INTEGER) AS rank
   FROM w QUALIFY rank <= {limit})""")
@@ -115,7 +121,7 @@ ORACLE["user_genre_affinity"] = _with(*BASE, AFFINITY) + "SELECT user_hash, genr
 ORACLE["favourite_genre"] = _with(*BASE, AFFINITY, FAV) + "SELECT user_hash, genre, play_count FROM fav"
 
 ORACLE["for_you_all"] = _with(
-    *BASE, AFFINITY, FAV, PER_GENRE.format(limit=10), WINDOWED.format(genre_filter=""),
+    *BASE, AFFINITY, FAV, PER_GENRE.format(limit=10), ANY_SONG, WINDOWED.format(genre_filter="", plays="anysong"),
     """top AS (
   SELECT song_id, plays,
          CAST(row_number() OVER (ORDER BY plays DESC, CAST(song_id AS VARCHAR) DESC) AS INTEGER) AS rank
@@ -125,7 +131,7 @@ ORACLE["for_you_all"] = _with(
   UNION ALL SELECT 'global-trending', song_id, rank FROM top)""",
     f"""picked AS (
   SELECT u.id AS user_id, coalesce(f.genre, 'global-trending') AS based_on
-  FROM users u LEFT JOIN fav f ON f.user_hash = {pseudonym_sql('u.id', DEFAULT_SALT)})""",
+  FROM users u LEFT JOIN fav f ON f.user_hash = {pseudonym_sql('u.id', P.SALT)})""",
 ) + """
 SELECT p.user_id, p.based_on, c.rank, c.song_id AS id, c.title, c.genre, c.cover_url, c.artist
 FROM picked p LEFT JOIN (
@@ -146,7 +152,7 @@ FROM m"""
 ORACLE["decode_events"] = _with(*BASE, f"m AS ({MESSAGE_COLS})") + f"""
 SELECT type, CAST(song_id AS VARCHAR) AS "songId", genre, role,
        date_trunc('millisecond', ts) AS ts, date_trunc('minute', ts) AS window_start,
-       {pseudonym_sql('user_id', DEFAULT_SALT)} AS user_hash, song_id,
+       {pseudonym_sql('user_id', P.SALT)} AS user_hash, song_id,
        CASE WHEN type IS NULL OR type NOT IN ('play', 'skip', 'like') THEN 'unknown_type'
             WHEN song_id IS NULL THEN 'bad_song_id'
             WHEN ts IS NULL THEN 'bad_ts'
@@ -154,7 +160,7 @@ SELECT type, CAST(song_id AS VARCHAR) AS "songId", genre, role,
 FROM m"""
 
 ORACLE["pseudonymize"] = _with(EV) + f"""
-SELECT event_id, {pseudonym_sql('user_id', DEFAULT_SALT)} AS user_hash FROM ev"""
+SELECT event_id, {pseudonym_sql('user_id', P.SALT)} AS user_hash FROM ev"""
 
 ORACLE["events_by_type"] = _with(EV) + "SELECT type, CAST(count(*) AS BIGINT) AS events FROM ev GROUP BY type"
 
@@ -170,6 +176,9 @@ ORACLE["minute_unique_exact"] = _with(*BASE) + """
 SELECT song_id, window_start, CAST(count(DISTINCT user_hash) AS BIGINT) AS unique_listeners
 FROM plays GROUP BY song_id, window_start"""
 
+for _name in ("minute_unique_approx", "unique_union_sketch"):
+    ORACLE[_name] = _with(*BASE) + "SELECT DISTINCT song_id, window_start, true AS within_error FROM plays"
+
 ORACLE["unique_max_merge"] = _with(*BASE) + f"""
 SELECT song_id, window_start, CAST(max(u) AS BIGINT) AS unique_listeners
 FROM (SELECT song_id, window_start, event_id % {P.MERGE_BATCHES} AS epoch, count(DISTINCT user_hash) AS u
@@ -222,19 +231,14 @@ SELECT id, duration_sec,
          AS duration_text
 FROM songs"""
 
-CHUNKS = """chunks AS (
-  SELECT playlist_id, chunk, list(song_id ORDER BY rn) AS song_ids
-  FROM (SELECT playlist_id, song_id,
-               row_number() OVER (PARTITION BY playlist_id ORDER BY position, song_id) AS rn,
-               CAST((row_number() OVER (PARTITION BY playlist_id ORDER BY position, song_id) - 1) // 10000
-                    AS INTEGER) AS chunk
-        FROM ps)
-  GROUP BY playlist_id, chunk)"""
+RANKED = """ranked AS (
+  SELECT playlist_id, song_id,
+         CAST(row_number() OVER (PARTITION BY playlist_id ORDER BY position, song_id) AS BIGINT) AS rank
+  FROM ps)"""
 
-ORACLE["playlists"] = _with(PS, PL, CHUNKS) + """
-SELECT p.id, p.user_id, p.name, p.created_at, coalesce(c.chunk, 0) AS chunk,
-       CAST(to_json(coalesce(c.song_ids, CAST([] AS BIGINT[]))) AS VARCHAR) AS song_ids
-FROM pl p LEFT JOIN chunks c ON c.playlist_id = p.id"""
+ORACLE["playlists"] = _with(PS, PL, RANKED) + """
+SELECT p.id, p.user_id, p.name, p.created_at, r.rank, r.song_id
+FROM pl p LEFT JOIN ranked r ON r.playlist_id = p.id"""
 
 ORACLE["playlist_owner_check"] = _with(EV, PL) + """
 SELECT e.event_id, e.user_id, e.event_id AS playlist_id, e.song_id, coalesce(p.user_id = e.user_id, false) AS owned
@@ -262,21 +266,22 @@ NEIGHBOURS = """nb AS (
 
 ORACLE["next_track"] = _with(PS, NEIGHBOURS) + "SELECT playlist_id, song_id, next_song_id FROM nb"
 ORACLE["numbered_listing"] = _with(PS, NEIGHBOURS) + """
-SELECT playlist_id, song_id, track_no, lpad(CAST(track_no AS VARCHAR), 2, '0') AS label FROM nb"""
+SELECT playlist_id, song_id, track_no, CASE WHEN track_no < 10 THEN '0' ELSE '' END || CAST(track_no AS VARCHAR) AS label FROM nb"""
 
 REGS = """regs AS (
-  SELECT 's1-' || CAST(s_suppkey AS VARCHAR) AS request_id, lower(s_name) || '@x.io' AS email, s_name AS password
+  SELECT 's1-' || CAST(s_suppkey AS VARCHAR) AS request_id, s_suppkey * 2 AS requested_at, lower(s_name) || '@x.io' AS email, s_name AS password
   FROM supplier
   UNION ALL
-  SELECT 's2-' || CAST(s_suppkey AS VARCHAR), upper(s_name) || '@X.IO', repeat('p', s_nationkey) FROM supplier
+  SELECT 's2-' || CAST(s_suppkey AS VARCHAR), s_suppkey * 2 + CASE WHEN s_suppkey % 3 = 0 THEN -1 ELSE 1 END, upper(s_name) || '@X.IO', repeat('p', s_nationkey) FROM supplier
   UNION ALL
-  SELECT 'c-' || CAST(c_custkey AS VARCHAR), c_name || '@X.io', repeat('p', c_nationkey) FROM customer)"""
+  SELECT 'c-' || CAST(c_custkey AS VARCHAR), c_custkey, c_name || '@X.io', repeat('p', c_nationkey) FROM customer)"""
 
 ORACLE["register_split"] = _with(USERS, REGS, r"""r AS (
-  SELECT request_id, lower(email) AS email,
+  SELECT request_id, requested_at, lower(email) AS email,
          coalesce(regexp_matches(email, '^[^@\s]+@[^@\s]+\.[^@\s]+$'), false)
            AND coalesce(length(password) >= 8, false) AS valid
-  FROM regs)""", """f AS (SELECT email, min(request_id) AS first_id FROM r WHERE valid GROUP BY email)""",
+  FROM regs)""", """f AS (SELECT email, request_id AS first_id FROM r WHERE valid
+      QUALIFY row_number() OVER (PARTITION BY email ORDER BY requested_at, request_id) = 1)""",
     """t AS (SELECT DISTINCT lower(email) AS email FROM users)""") + """
 SELECT r.request_id, r.email, o.outcome, CASE WHEN o.outcome = 'accepted' THEN 'free' END AS role
 FROM r LEFT JOIN f ON f.email = r.email LEFT JOIN t ON t.email = r.email,
@@ -318,15 +323,13 @@ SELECT 'playlist_songs',
        CAST(count(*) FILTER (WHERE song_id IN (SELECT id FROM songs WHERE artist_id IN (SELECT id FROM ea))) AS BIGINT)
 FROM ps"""
 
-ORACLE["export_user"] = _with(USERS, PL, PS, ERASE, CHUNKS) + """
-SELECT u.id AS user_id, p.id AS playlist_id, CASE WHEN p.id IS NULL THEN NULL ELSE coalesce(c.chunk, 0) END AS chunk,
+ORACLE["export_user"] = _with(USERS, PL, PS, ERASE, RANKED) + """
+SELECT u.id AS user_id, p.id AS playlist_id, r.rank,
        CAST(json_object('user_id', u.id, 'email', u.email, 'role', u.role, 'playlist_id', p.id,
                         'playlist_name', p.name, 'created', strftime(p.created_at, '%Y-%m-%d'),
-                        'chunk', CASE WHEN p.id IS NULL THEN NULL ELSE coalesce(c.chunk, 0) END,
-                        'song_ids', CASE WHEN p.id IS NULL THEN NULL
-                                         ELSE coalesce(c.song_ids, CAST([] AS BIGINT[])) END) AS VARCHAR)
+                        'rank', r.rank, 'song_id', r.song_id) AS VARCHAR)
          AS document
-FROM users u LEFT JOIN pl p ON p.user_id = u.id LEFT JOIN chunks c ON c.playlist_id = p.id
+FROM users u LEFT JOIN pl p ON p.user_id = u.id LEFT JOIN ranked r ON r.playlist_id = p.id
 WHERE u.id IN (SELECT id FROM er)"""
 
 ACCEPT = """acc AS (
@@ -345,6 +348,13 @@ ORACLE["reject_reasons"] = _with(SONGS, USERS, EV, ACCEPT) + """
 SELECT reject_reason, CAST(count(*) AS BIGINT) AS rejected FROM acc WHERE reject_reason IS NOT NULL
 GROUP BY reject_reason"""
 
+ORACLE["find_users"] = _with(USERS, REGS) + """
+SELECT id, email, role FROM users WHERE lower(email) IN (SELECT lower(email) FROM regs)"""
+
+ORACLE["trending_labels"] = _trending(10, P.SEARCH_GENRE) + f"""
+SELECT t.song_id AS id, t.plays, t.rank, CAST({P.WINDOW_MINUTES} AS INTEGER) AS window_minutes, '{P.SEARCH_GENRE}' AS requested_genre
+FROM top t JOIN songs s ON s.id = t.song_id JOIN artists a ON a.id = s.artist_id"""
+
 # ------------------------------------------------------- observability
 
 REQ = """req AS (
@@ -391,13 +401,30 @@ ORACLE["histogram_p95"] = _with(REQ, f"""h AS (
   FROM req GROUP BY ALL)""") + f"""
 SELECT service, window_start, round({_quantile_sql(0.95)}, 6) AS p95_seconds FROM h"""
 
-ORACLE["throughput_rate"] = _with(REQ) + """
-SELECT service, date_trunc('minute', ts) AS window_start, round(count(*) / 60.0, 6) AS rate
-FROM req GROUP BY ALL"""
-
-ORACLE["error_rate"] = _with(REQ) + """
-SELECT service, date_trunc('minute', ts) AS window_start, round(count(*) / 60.0, 6) AS error_rate
-FROM req WHERE status BETWEEN 500 AND 599 GROUP BY ALL"""
+def _rates(name: str, counted: str) -> str:
+    """Every minute between a service's first and last request, also those without one."""
+    return _with(REQ, """steps AS (
+  SELECT service, unnest(generate_series(date_trunc('minute', min(ts)), date_trunc('minute', max(ts)), INTERVAL 1 MINUTE)) AS window_start
+  FROM req GROUP BY service)""", f"""n AS (
+  SELECT service, date_trunc('minute', ts) AS window_start, count(*) FILTER (WHERE {counted}) AS n FROM req GROUP BY ALL)""") + f"""
+SELECT steps.service, steps.window_start, round(coalesce(n.n, 0) / 60.0, 6) AS {name}
+FROM steps LEFT JOIN n ON n.service = steps.service AND n.window_start = steps.window_start"""
+
+
+ORACLE["throughput_rate"] = _rates("rate", "true")
+ORACLE["error_rate"] = _rates("error_rate", "status BETWEEN 500 AND 599")
+
+ORACLE["metric_rate"] = _with("""s AS (
+  SELECT 'svc-' || CAST(user_id % 5 AS VARCHAR) AS service, CAST(ts AS TIMESTAMP) AS ts, CAST(value AS DOUBLE) AS value
+  FROM events WHERE ts IS NOT NULL AND value IS NOT NULL)""", """d AS (
+  SELECT service, (epoch_us(ts) // 5000000 + 1) * 5 AS step_at, value, lag(value) OVER (PARTITION BY service ORDER BY ts, value) AS prev
+  FROM s)""", """i AS (
+  SELECT service, step_at, sum(CASE WHEN prev IS NULL THEN 0 WHEN value < prev THEN value ELSE value - prev END) AS inc
+  FROM d GROUP BY service, step_at)""") + f"""
+SELECT service, make_timestamp(step_at * 1000000) AS ts,
+       round(sum(inc) OVER (PARTITION BY service ORDER BY step_at RANGE BETWEEN {P.RATE_WINDOW_SECONDS - 1} PRECEDING AND CURRENT ROW)
+             / {float(P.RATE_WINDOW_SECONDS)}, 6) AS rate
+FROM i"""
 
 ORACLE["latest_up"] = _with(REQ) + """
 SELECT service, arg_max(CASE WHEN status < 500 THEN 1 ELSE 0 END,
@@ -442,10 +469,19 @@ SELECT service, run, requests, round(p95, 6) AS p95_ms,
        round((p95 - lag(p95) OVER w) / lag(p95) OVER w * 100.0, 6) AS p95_change_pct
 FROM r WINDOW w AS (PARTITION BY service ORDER BY run)"""
 
-ORACLE["upstream_share"] = _with(REQ) + f"""
-SELECT upstream, CAST(count(*) AS BIGINT) AS requests, round(count(*) / sum(count(*)) OVER (), 6) AS share
-FROM (SELECT service || ':' || CAST(4000 + event_id % {P.UPSTREAM_REPLICAS} AS VARCHAR) AS upstream FROM req)
-GROUP BY upstream"""
+ORACLE["upstream_share"] = _with(REQ, f"""u AS (
+  SELECT CASE WHEN event_id % 11 <> 0 THEN service || ':' || CAST(4000 + event_id % {P.UPSTREAM_REPLICAS} AS VARCHAR) END AS upstream
+  FROM req)""") + """
+SELECT upstream, CAST(count(*) AS BIGINT) AS requests,
+       round(CASE WHEN upstream IS NOT NULL THEN count(*) END
+             / sum(CASE WHEN upstream IS NOT NULL THEN count(*) END) OVER (), 6) AS share
+FROM u GROUP BY upstream"""
+
+ORACLE["access_log"] = _with(REQ) + """
+SELECT ok AS parsed, CASE WHEN ok THEN method ELSE '' END AS method, CASE WHEN ok THEN '/api/' || route ELSE '' END AS path,
+       CAST(CASE WHEN ok THEN status END AS INTEGER) AS status,
+       CAST(CASE WHEN ok THEN CASE WHEN event_id % 5 = 0 THEN 2 ELSE 1 END END AS INTEGER) AS tries, CAST(count(*) AS BIGINT) AS requests
+FROM (SELECT *, event_id % 11 <> 0 AS ok FROM req) GROUP BY ALL"""
 
 ORACLE["throttled_clients"] = _with(REQ) + """
 SELECT client, date_trunc('day', ts) AS window_start, CAST(count(*) AS BIGINT) AS attempts,
@@ -465,7 +501,10 @@ FROM h"""
 # The streaming job's read views must equal the batch rollups over the same events.
 ORACLE["stream_minute_counts"] = ORACLE["minute_play_counts"]
 ORACLE["stream_affinity"] = _with(*BASE, AFFINITY) + "SELECT user_hash, genre, play_count FROM aff"
-ORACLE["stream_trending"] = ORACLE["trending_global"]
+# the decoder refuses plays of unknown songs (they have no genre), so only known ones reach the stored buckets
+ORACLE["stream_trending"] = _trending(10, plays="plays") + """
+SELECT t.song_id AS id, s.title, s.genre, s.cover_url, a.name AS artist, t.plays, t.rank
+FROM top t JOIN songs s ON s.id = t.song_id JOIN artists a ON a.id = s.artist_id"""
 
 ORACLE["stream_intake_rejects"] = ORACLE["reject_reasons"]
 
@@ -480,3 +519,14 @@ GROUP BY acc.song_id, date_trunc('minute', e.ts)"""
 ORACLE["stream_windowed_counts"] = _with(*BASE) + """
 SELECT window_start, song_id, genre, CAST(count(*) AS BIGINT) AS plays
 FROM plays GROUP BY window_start, song_id, genre"""
+
+ORACLE["stream_deduplicated"] = ORACLE["stream_windowed_counts"]
+ORACLE["stream_late_dropped"] = _with(*BASE) + f"""
+SELECT window_start, song_id, genre, CAST(count(*) AS BIGINT) AS plays
+FROM plays WHERE ts >= TIMESTAMP '{P.STREAM_CUTS[1]}' GROUP BY window_start, song_id, genre"""
+ORACLE["stream_compacted_counts"] = ORACLE["minute_play_counts"]
+ORACLE["stream_batch_log"] = _with(*BASE) + """
+SELECT CAST(count(*) AS BIGINT) AS rows, CAST((SELECT count(*) FROM plays) AS BIGINT) AS plays,
+       CAST(count(*) FILTER (WHERE type IS NULL OR type NOT IN ('play', 'skip', 'like') OR e.song_id IS NULL OR ts IS NULL
+                             OR s.genre IS NULL) AS BIGINT) AS rejected
+FROM ev e LEFT JOIN songs s ON s.id = e.song_id"""

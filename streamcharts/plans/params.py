@@ -5,6 +5,8 @@ trending reads use a fixed anchor at the end of the data and a one-day trailing
 window instead of the service's ten minutes; operator defaults are unchanged.
 """
 
+# Key of the user pseudonym in the registered queries. Jobs must be given a secret of their own.
+SALT = "streamcharts-test-key"
 ASOF = "2024-01-30 23:59:00"
 WINDOW_MINUTES = 1440
 SEARCH_TEXT = "red"
@@ -18,3 +20,10 @@ MERGE_BATCHES = 3
 HISTOGRAM_GRAIN = "1 hour"
 RUN_GRAIN = "1 day"
 UPSTREAM_REPLICAS = 3
+# Micro-batches that the registered streaming queries aim at, and where the log is cut into weeks.
+STREAM_BATCHES = 3
+STREAM_CUTS = ("2024-01-08", "2024-01-15", "2024-01-23")
+# The counters are sparse in the test data; the dashboard's own window is a minute.
+RATE_WINDOW_SECONDS = 3600
+# Three standard errors of a sketch with 2 ** 12 registers, as the rollups keep them.
+SKETCH_ERROR = 0.05

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamcharts.functions.privacy import pseudonym
-from streamcharts.functions.timefns import minute_floor
+from streamcharts.functions.timefns import epoch_minute, minute_floor
 from streamcharts.operators import catalog as cat
 from streamcharts.operators import events as ev
 from streamcharts.operators import observability as ob
@@ -23,10 +23,11 @@ from streamcharts.session import scratch_path
 from streamcharts.sources import logs as lg
 from streamcharts.sources import tables as tb
 from streamcharts.sources.streams import message_stream
+from streamcharts.streaming import compaction as cp
 from streamcharts.streaming import intake as si
 from streamcharts.streaming import stateful as st
 from streamcharts.streaming import views as sv
-from streamcharts.streaming.processor import start_rollups
+from streamcharts.streaming.processor import RollupSink, start_rollups
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -42,13 +43,13 @@ def register(name: str):
 # ---------------------------------------------------------------- helpers
 def _plays(spark, sf):
     """Hashed plays without genre; rollups aggregate them before the catalog join."""
-    return ev.play_rows(tb.events(spark, sf, types=("play",)))
+    return ev.play_rows(tb.events(spark, sf, types=("play",)), P.SALT)
 
 
 def _buckets(spark, sf):
     """Raw plays as one-play buckets without a genre: the trending reads sum
     them per song and look the genre up in the catalog afterwards."""
-    e = tb.events(spark, sf, types=("play",))
+    e = tb.events(spark, sf, types=("play",)).filter(F.col("song_id").isNotNull())
     return e.select(
         "song_id", "ts", minute_floor(F.col("ts")).alias("window_start"), F.lit(1).cast("long").alias("plays")
     )
@@ -59,13 +60,14 @@ def _batch_epoch():
     return (F.col("event_id") % P.MERGE_BATCHES).cast("long")
 
 
-def _messages(spark, sf):
-    """Every event as a keyed wire record, genre and role looked up."""
+def _messages(spark, sf, keep=()):
+    """Every event as a keyed wire record, genre and role looked up (P19, K12); ``keep`` names event columns to
+    carry along."""
     e = tb.events(spark, sf)
     s = tb.songs(spark, sf).select(F.col("id").alias("song_id"), "genre")
     u = tb.users(spark, sf).select(F.col("id").alias("user_id"), "role")
     enriched = e.join(s, "song_id", "left").join(u, "user_id", "left")
-    return ev.to_messages(enriched)
+    return ev.to_messages(enriched, keep=keep)
 
 
 # ------------------------------------------------------------ trending
@@ -112,7 +114,7 @@ def favourite_genre(spark, sf):
 def for_you_all(spark, sf):
     aff = _affinity(spark, sf)
     return tr.for_you(tb.users(spark, sf), aff, _buckets(spark, sf), tb.songs(spark, sf), tb.artists(spark, sf),
-                      asof=P.ASOF, window_minutes=P.WINDOW_MINUTES)
+                      asof=P.ASOF, window_minutes=P.WINDOW_MINUTES, salt=P.SALT)
 
 
 # ------------------------------------------------------------- decode
@@ -123,7 +125,7 @@ def event_messages(spark, sf):
 
 @register("decode_events")
 def decode_events(spark, sf):
-    return ev.decode_messages(_messages(spark, sf)).select(
+    return ev.decode_messages(_messages(spark, sf), P.SALT).select(
         "type", "songId", "genre", "role", "ts", "window_start", "user_hash", "song_id", "decode_error"
     )
 
@@ -131,7 +133,7 @@ def decode_events(spark, sf):
 @register("pseudonymize")
 def pseudonymize(spark, sf):
     e = tb.events(spark, sf)
-    return e.select("event_id", pseudonym(F.col("user_id")).alias("user_hash"))
+    return e.select("event_id", pseudonym(F.col("user_id"), P.SALT).alias("user_hash"))
 
 
 @register("events_by_type")
@@ -150,9 +152,20 @@ def minute_unique_exact(spark, sf):
     return ru.known_songs(ru.unique_listeners_exact(_plays(spark, sf)), tb.songs(spark, sf))
 
 
+def _within_error(spark, sf, estimate):
+    """Each (song, minute) of the estimate with whether it is within the sketch's stated error of the
+    exact count; a key that either side lacks counts as outside."""
+    exact = ru.known_songs(ru.unique_listeners_exact(_plays(spark, sf)), tb.songs(spark, sf)).withColumnRenamed(
+        "unique_listeners", "exact")
+    both = exact.join(estimate, ["song_id", "window_start"], "full")
+    near = F.abs(F.col("unique_listeners") - F.col("exact")) <= F.greatest(F.lit(1.0), F.col("exact") * P.SKETCH_ERROR)
+    return both.select("song_id", "window_start", F.coalesce(near, F.lit(False)).alias("within_error"))
+
+
 @register("minute_unique_approx")
 def minute_unique_approx(spark, sf):
-    return ru.unique_listeners(ru.minute_deltas_from_plays(_plays(spark, sf), tb.songs(spark, sf)), mode="max")
+    return _within_error(spark, sf, ru.unique_listeners(
+        ru.minute_deltas_from_plays(_plays(spark, sf), tb.songs(spark, sf)), mode="max"))
 
 
 def _epoch_deltas(spark, sf):
@@ -163,7 +176,7 @@ def _epoch_deltas(spark, sf):
 
 @register("unique_union_sketch")
 def unique_union_sketch(spark, sf):
-    return ru.unique_listeners(_epoch_deltas(spark, sf), mode="union")
+    return _within_error(spark, sf, ru.unique_listeners(_epoch_deltas(spark, sf), mode="union"))
 
 
 @register("unique_max_merge")
@@ -187,7 +200,8 @@ def user_genre_affinity(spark, sf):
 
 @register("ttl_live_buckets")
 def ttl_live_buckets(spark, sf):
-    rows = ru.leaderboard_rows(ru.minute_deltas_from_plays(_plays(spark, sf), tb.songs(spark, sf)))
+    rows = ru.minute_deltas_from_plays(_plays(spark, sf), tb.songs(spark, sf)).withColumn(
+        "minute", epoch_minute(F.col("window_start")))
     return ru.live_buckets(rows, tr.asof_column(P.ASOF))
 
 
@@ -227,8 +241,7 @@ def duration_text(spark, sf):
 
 @register("playlists")
 def playlists(spark, sf):
-    out = cat.user_playlists(tb.playlists(spark, sf), tb.playlist_songs(spark, sf))
-    return out.withColumn("song_ids", F.to_json("song_ids"))
+    return cat.user_playlists(tb.playlists(spark, sf), tb.playlist_songs(spark, sf))
 
 
 def _playlist_requests(spark, sf):
@@ -280,21 +293,25 @@ def numbered_listing(spark, sf):
 
 def _registrations(spark, sf):
     """Sign-ups derived from the tables: suppliers register (twice, the second time
-    with an upper-cased address), customers re-register with a mixed-case address."""
+    with an upper-cased address), customers re-register with a mixed-case address.
+    ``requested_at`` is the order in which they come in."""
     s = tb.read(spark, sf, "supplier")
     c = tb.read(spark, sf, "customer")
     first = s.select(
         F.concat(F.lit("s1-"), s.s_suppkey.cast("string")).alias("request_id"),
+        (s.s_suppkey * 2).cast("long").alias("requested_at"),
         F.concat(F.lower(s.s_name), F.lit("@x.io")).alias("email"),
         s.s_name.alias("password"),
     )
     again = s.select(
         F.concat(F.lit("s2-"), s.s_suppkey.cast("string")).alias("request_id"),
+        (s.s_suppkey * 2 + F.when(s.s_suppkey % 3 == 0, -1).otherwise(1)).cast("long").alias("requested_at"),
         F.concat(F.upper(s.s_name), F.lit("@X.IO")).alias("email"),
         F.repeat(F.lit("p"), s.s_nationkey).alias("password"),
     )
     cust = c.select(
         F.concat(F.lit("c-"), c.c_custkey.cast("string")).alias("request_id"),
+        c.c_custkey.cast("long").alias("requested_at"),
         F.concat(c.c_name, F.lit("@X.io")).alias("email"),
         F.repeat(F.lit("p"), c.c_nationkey).alias("password"),
     )
@@ -319,13 +336,11 @@ def _erase_ids(spark, sf):
 
 @register("erase_user_cascade")
 def erase_user_cascade(spark, sf):
-    before = {
-        "users": tb.users(spark, sf),
-        "playlists": tb.playlists(spark, sf),
-        "playlist_songs": tb.playlist_songs(spark, sf),
-    }
-    after = pv.erase_users(_erase_ids(spark, sf), **before)
-    return pv.cascade_counts(before, after)
+    return pv.cascade_counts(pv.cascade_flags(_erase_ids(spark, sf), {
+        "users": (tb.users(spark, sf), "id"),
+        "playlists": (tb.playlists(spark, sf), "user_id"),
+        "playlist_songs": (tb.playlist_songs(spark, sf), "playlist_id"),
+    }))
 
 
 @register("erase_artist_cascade")
@@ -333,12 +348,11 @@ def erase_artist_cascade(spark, sf):
     """Artists with a negative balance are taken down with their songs."""
     s = tb.read(spark, sf, "supplier")
     ids = s.filter(s.s_acctbal < 0).select(s.s_suppkey.cast("long").alias("id"))
-    before = {
-        "artists": tb.artists(spark, sf),
-        "songs": tb.songs(spark, sf),
-        "playlist_songs": tb.playlist_songs(spark, sf),
-    }
-    return pv.cascade_counts(before, pv.erase_artists(ids, **before))
+    return pv.cascade_counts(pv.cascade_flags(ids, {
+        "artists": (tb.artists(spark, sf), "id"),
+        "songs": (tb.songs(spark, sf), "artist_id"),
+        "playlist_songs": (tb.playlist_songs(spark, sf), "song_id"),
+    }))
 
 
 @register("export_user")
@@ -349,7 +363,7 @@ def export_user(spark, sf):
 
 # ------------------------------------------------------------- intake
 def _requests(spark, sf):
-    return tb.events(spark, sf).select("event_id", "type", "user_id", "song_id")
+    return tb.events(spark, sf).select("event_id", "type", "user_id", "song_id", "ts")
 
 
 @register("accept_events")
@@ -418,19 +432,43 @@ def run_compare(spark, sf):
     return ob.run_compare(tb.request_log(spark, sf), P.RUN_GRAIN)
 
 
+@register("metric_rate")
+def metric_rate(spark, sf):
+    """Rates of stored counter samples: the event table's values, which come unevenly and go down as well."""
+    return ob.counter_rate(tb.metric_samples(spark, sf), window_seconds=P.RATE_WINDOW_SECONDS)
+
+
 def _access_lines(spark, sf):
-    """Gateway lines rendered from the request log; replicas take requests round-robin."""
+    """Gateway log lines of the request log: every fifth request was tried on another replica first, and
+    every eleventh line is cut short."""
     r = tb.request_log(spark, sf)
     addr = F.format_string("10.0.%d.%d", (r.client / 256).cast("long") % 256, r.client % 256)
-    upstream = F.concat(r.service, F.lit(":"), (F.lit(4000) + r.event_id % P.UPSTREAM_REPLICAS).cast("string"))
+    replica = lambda k: F.concat(r.service, F.lit(":"), (F.lit(4000) + k % P.UPSTREAM_REPLICAS).cast("string"))
+    answered = replica(r.event_id)
+    upstream = F.when(r.event_id % 5 == 0, F.concat(replica(r.event_id + 1), F.lit(", "), answered)).otherwise(answered)
     line = lg.format_access_line(addr, r.method, F.concat(F.lit("/api/"), r.route), r.status,
                                  r.duration_seconds, upstream)
+    line = F.when(r.event_id % 11 == 0, F.substring(line, 1, 12)).otherwise(line)
     return r.select(line.alias("value"))
 
 
+def _access_log(spark, sf) -> str:
+    """Those lines as files; returns their path."""
+    path = scratch_path(spark, "access-log")
+    _access_lines(spark, sf).write.text(path)
+    return path
+
+
+@register("access_log")
+def access_log(spark, sf):
+    """The log files read back: requests by method, path, status and number of tries; unparsed lines apart."""
+    return lg.read_access_log(spark, _access_log(spark, sf)).groupBy("parsed", "method", "path", "status", "tries").agg(
+        F.count(F.lit(1)).alias("requests"))
+
+
 @register("upstream_share")
 def upstream_share(spark, sf):
-    return ob.upstream_share(lg.parse_access_lines(_access_lines(spark, sf)))
+    return ob.upstream_share(lg.read_access_log(spark, _access_log(spark, sf)))
 
 
 @register("throttled_clients")
@@ -443,29 +481,71 @@ def service_overview(spark, sf):
     return ob.service_overview(tb.request_log(spark, sf))
 
 
-# ------------------------------------------------- streaming job, end to end
+@register("find_users")
+def find_users(spark, sf):
+    """Login lookups: every sign-up's address, in whatever case it was typed."""
+    return cat.find_users(tb.users(spark, sf), _registrations(spark, sf).select("email"))
+
 
-STREAM_FILES = 6       # the event log is written as this many record files ...
-STREAM_PER_TRIGGER = 2  # ... and consumed this many files per micro-batch
+@register("trending_labels")
+def trending_labels(spark, sf):
+    rows = tr.trending(_buckets(spark, sf), tb.songs(spark, sf), tb.artists(spark, sf), genre=P.SEARCH_GENRE,
+                       asof=P.ASOF, window_minutes=P.WINDOW_MINUTES)
+    return tr.with_request_labels(rows, P.SEARCH_GENRE, P.WINDOW_MINUTES).select(
+        "id", "plays", "rank", "window_minutes", "requested_genre")
+
+
+# ------------------------------------------------- streaming job, end to end
+def _log_files(spark, records: DataFrame, name: str) -> tuple[str, int]:
+    """Records as files, written by as many tasks as their size asks for; returns the path and how many files
+    a micro-batch takes so that a few batches read them all."""
+    path = scratch_path(spark, name)
+    records.write.option("maxRecordsPerFile", max(1, records.count() // P.STREAM_BATCHES)).json(path)
+    files = len(spark.read.text(path).inputFiles())
+    return path, max(1, files // P.STREAM_BATCHES)
 
 
 def _run_stream(spark, sf) -> str:
     """Publish the whole event log as keyed records, run the rollup job over it in
     several micro-batches (availableNow) and return the output root."""
-    src = scratch_path(spark, "stream-in")
-    _messages(spark, sf).repartition(STREAM_FILES).write.json(src)
+    src, per_batch = _log_files(spark, _messages(spark, sf), "stream-in")
     out, ck = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
-    q = start_rollups(message_stream(spark, "json", src, max_per_trigger=STREAM_PER_TRIGGER), out, ck,
-                      trigger={"availableNow": True})
+    q = start_rollups(message_stream(spark, "json", src, max_per_trigger=per_batch), out, ck,
+                      trigger={"availableNow": True}, salt=P.SALT)
     q.awaitTermination()
     return out
 
 
 @register("stream_minute_counts")
 def stream_minute_counts(spark, sf):
-    return sv.minute_play_counts(spark, _run_stream(spark, sf)).withColumn(
-        "window_start", F.col("window_start").cast("timestamp_ntz")
-    ).withColumn("window_end", F.col("window_end").cast("timestamp_ntz"))
+    return _ntz(sv.minute_play_counts(spark, _run_stream(spark, sf)))
+
+
+def _ntz(counts):
+    return counts.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")).withColumn(
+        "window_end", F.col("window_end").cast("timestamp_ntz"))
+
+
+@register("stream_batch_log")
+def stream_batch_log(spark, sf):
+    """The per-batch audit rows, added up over the batches."""
+    log = sv.batch_log(spark, _run_stream(spark, sf))
+    return log.agg(*[F.sum(c).cast("long").alias(c) for c in ("rows", "plays", "rejected")])
+
+
+@register("stream_compacted_counts")
+def stream_compacted_counts(spark, sf):
+    """Three epochs, a compaction and a clean-up, then the last epoch and a folded one delivered again."""
+    decoded = ev.decode_messages(_messages(spark, sf), P.SALT)
+    out = scratch_path(spark, "compacted")
+    sink = RollupSink(out, "r1")
+    for epoch in (0, 1, 2):
+        sink(decoded.filter(F.pmod(F.xxhash64("user_hash", "ts"), F.lit(3)) == epoch), epoch)
+    cp.compact(spark, out)
+    cp.vacuum(spark, out)
+    for epoch in (2, 0):
+        sink(decoded.filter(F.pmod(F.xxhash64("user_hash", "ts"), F.lit(3)) == epoch), epoch)
+    return _ntz(sv.minute_play_counts(spark, out))
 
 
 @register("stream_affinity")
@@ -484,13 +564,10 @@ REQUEST_SCHEMA = "event_id bigint, type string, user_id bigint, song_id bigint,
 
 def _run_intake(spark, sf) -> str:
     """Requests (every event, as a client call) through the intake stream; returns its output root."""
-    src = scratch_path(spark, "requests-in")
-    _requests(spark, sf).join(tb.events(spark, sf).select("event_id", "ts"), "event_id").repartition(
-        STREAM_FILES
-    ).write.json(src)
-    reqs = spark.readStream.schema(REQUEST_SCHEMA).option("maxFilesPerTrigger", STREAM_PER_TRIGGER).json(src)
+    src, per_batch = _log_files(spark, _requests(spark, sf), "requests-in")
+    reqs = spark.readStream.schema(REQUEST_SCHEMA).option("maxFilesPerTrigger", per_batch).json(src)
     out, ck = scratch_path(spark, "intake-out"), scratch_path(spark, "intake-ckpt")
-    si.start_intake(reqs, tb.songs(spark, sf), tb.users(spark, sf), out, ck,
+    si.start_intake(reqs, lambda s: tb.songs(s, sf), lambda s: tb.users(s, sf), out, ck,
                     trigger={"availableNow": True}).awaitTermination()
     return out
 
@@ -505,19 +582,47 @@ def stream_end_to_end(spark, sf):
     """Requests -> intake stream -> keyed log -> rollup stream -> minute play counts."""
     published = si.published_messages_path(_run_intake(spark, sf))
     out, ck = scratch_path(spark, "e2e-out"), scratch_path(spark, "e2e-ckpt")
-    start_rollups(message_stream(spark, "json", published, max_per_trigger=STREAM_PER_TRIGGER), out, ck,
-                  trigger={"availableNow": True}).awaitTermination()
+    start_rollups(message_stream(spark, "json", published, max_per_trigger=2), out, ck,
+                  trigger={"availableNow": True}, salt=P.SALT).awaitTermination()
     return sv.minute_play_counts(spark, out).select("song_id", "genre", "window_start", "play_count")
 
 
+def _windowed(spark, deliveries, watermark, dedupe_on=None):
+    """The watermark variant: each delivery arrives when the ones before it are processed. Current windows."""
+    src, out, ck = (scratch_path(spark, f"stateful-{x}") for x in ("in", "out", "ckpt"))
+    schema = "key string, value string" + (f", {dedupe_on} bigint" if dedupe_on else "")
+    for records in deliveries:
+        records.write.mode("append").json(src)
+        stream = spark.readStream.schema(schema).json(src)
+        st.start_windowed_counts(ev.decode_messages(stream, P.SALT), out, ck, watermark=watermark, dedupe_on=dedupe_on,
+                                 trigger={"availableNow": True}).awaitTermination()
+    return st.latest_windows(spark, out)
+
+
+def _between(messages, low, high):
+    at = lambda d: F.lit(d).cast("timestamp_ntz")
+    ts = F.col("ts")
+    return messages.filter((ts >= at(low) if low else F.lit(True)) & (ts < at(high) if high else F.lit(True))).drop("ts")
+
+
 @register("stream_windowed_counts")
 def stream_windowed_counts(spark, sf):
-    """Watermarked windowed counts (state kept by Spark), update mode, latest value per window."""
-    src = scratch_path(spark, "stateful-in")
-    _messages(spark, sf).repartition(STREAM_FILES).write.json(src)
-    decoded = ev.decode_messages(message_stream(spark, "json", src, max_per_trigger=STREAM_PER_TRIGGER))
-    out, ck = scratch_path(spark, "stateful-out"), scratch_path(spark, "stateful-ckpt")
-    # a watermark longer than the data's span: every event is on time, as in the batch rollup
-    st.start_windowed_counts(decoded, out, ck, watermark="3650 days",
-                             trigger={"availableNow": True}).awaitTermination()
-    return st.latest_windows(spark, out)
+    """Watermarked windowed counts, state kept by Spark, update mode. The log arrives week by week, so a
+    watermark of a day loses nothing and closes the windows of the weeks before."""
+    messages = _messages(spark, sf, keep=("ts",))
+    cuts = [None, *P.STREAM_CUTS, None]
+    return _windowed(spark, [_between(messages, a, b) for a, b in zip(cuts[:-1], cuts[1:])], "1 day")
+
+
+@register("stream_late_dropped")
+def stream_late_dropped(spark, sf):
+    """The log's first weeks arrive after the last ones, days behind the watermark: they are dropped."""
+    messages, cut = _messages(spark, sf, keep=("ts",)), P.STREAM_CUTS[1]
+    return _windowed(spark, [_between(messages, cut, None), _between(messages, None, cut)], "1 day")
+
+
+@register("stream_deduplicated")
+def stream_deduplicated(spark, sf):
+    """Every record is delivered again; its copy is within the watermark and is dropped by event id."""
+    messages = _messages(spark, sf, keep=("event_id",))
+    return _windowed(spark, [messages, messages], "40 days", dedupe_on="event_id")

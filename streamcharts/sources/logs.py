@@ -1,6 +1,7 @@
 """Gateway access-log lines (S10) and metric samples.
 
-Line format: ``addr "METHOD path PROTO" status <seconds>s -> upstream``.
+Line format: ``addr "METHOD path PROTO" status <seconds>s -> upstream``, where a request
+that the gateway tried again names every upstream, with commas between; the last one answered.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from streamcharts.sources.schemas import REQUEST_LOG
 
-ACCESS_LINE = r'^(\S+) "(\S+) (\S+)[^"]*" (\d{3}) ([0-9.]+)s -> (\S+)$'
+ACCESS_LINE = r'^(\S+) "(\S+) (\S+)[^"]*" (\d{3}) ([0-9.]+)s -> (\S+(?:\s*,\s*\S+)*)$'
 
 
 def format_access_line(addr: Column, method: Column, path: Column, status: Column, seconds: Column,
@@ -31,7 +32,8 @@ def parse_access_lines(lines: DataFrame, col: str = "value") -> DataFrame:
         grp(3).alias("path"),
         grp(4).try_cast("int").alias("status"),
         grp(5).try_cast("double").alias("request_seconds"),
-        grp(6).alias("upstream"),
+        F.nullif(F.regexp_extract(grp(6), r"([^\s,]+)$", 1), F.lit("")).alias("upstream"),
+        F.when(v.rlike(ACCESS_LINE), F.size(F.split(grp(6), ","))).alias("tries"),
         v.rlike(ACCESS_LINE).alias("parsed"),
     )
 

@@ -162,6 +162,16 @@ def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored counter samples (S11) ``(service, ts, value)``: what a scraper wrote at uneven times."""
+    e = read(spark, sf_dir, "events")
+    return e.select(
+        F.concat(F.lit("svc-"), (e.user_id % SERVICE_MODULUS).cast("string")).alias("service"),
+        e.ts.cast("timestamp_ntz").alias("ts"),
+        e.value.cast("double").alias("value"),
+    )
+
+
 def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str | None = None,
               lower_bound: int | None = None, upper_bound: int | None = None, num_partitions: int = 1,
               properties: dict | None = None, fetch_size: int = 10_000) -> DataFrame:

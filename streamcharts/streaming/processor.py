@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -42,7 +43,9 @@ def run_id_for(spark: SparkSession, checkpoint: str, output_root: str | None = N
     marker = f"{checkpoint.rstrip('/')}/_streamcharts_run"
     try:
         rows = spark.read.text(marker).take(1)
-    except Exception:  # noqa: BLE001 - absent marker: fresh checkpoint
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":  # only a missing marker means a fresh checkpoint
+            raise
         rows = []
     if rows:
         rid, _, root = rows[0][0].partition("\t")
@@ -124,7 +127,8 @@ def start_rollups(
     output_root: str,
     checkpoint: str | None = None,
     trigger: dict | None = None,
-    salt: str | bytes | None = None,
+    *,
+    salt: str | bytes,
     query_name: str | None = None,
     event_types: tuple[str, ...] = ("play",),
 ) -> StreamingQuery:
@@ -132,7 +136,8 @@ def start_rollups(
 
     ``trigger`` is passed to ``DataStreamWriter.trigger`` (default: every 5 s;
     tests use ``{"availableNow": True}``). ``checkpoint`` defaults to a folder
-    under the session's shared checkpoint root. ``event_types`` selects what is
+    under the session's shared checkpoint root. ``salt`` is the secret key of the user pseudonym.
+    ``event_types`` selects what is
     rolled up (the reference counted plays only; skips and likes were ignored).
     """
     spark = messages.sparkSession

@@ -4,7 +4,7 @@
         --bootstrap-servers broker:9092 --output s3://bucket/rollups
 
 The checkpoint defaults to a folder under ``spark.checkpoint.dir``; the HMAC
-salt is read from a file so it never appears in process listings.
+key is read from a file, which must be given, so it never appears in process listings.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--checkpoint", help="default: under spark.checkpoint.dir")
     p.add_argument("--trigger-seconds", type=int, default=5)
     p.add_argument("--once", action="store_true", help="process what is available, then stop")
-    p.add_argument("--salt-file", help="file holding the pseudonym key")
+    p.add_argument("--salt-file", required=True, help="file holding the pseudonym key")
     p.add_argument("--event-types", default="play", help="comma-separated types to roll up")
     return p.parse_args(argv)
 
@@ -44,10 +44,10 @@ def main(argv=None, spark: SparkSession | None = None):
     args = parse_args(argv)
     spark = spark or SparkSession.builder.appName("streamcharts-rollups").getOrCreate()
     ensure_conf(spark)
-    salt = None
-    if args.salt_file:
-        with open(args.salt_file, "rb") as f:
-            salt = f.read().strip()
+    with open(args.salt_file, "rb") as f:
+        salt = f.read().strip()
+    if not salt:
+        raise SystemExit("the key file is empty")
     stream = message_stream(spark, args.format, path=args.path, topic=args.topic,
                             bootstrap_servers=args.bootstrap_servers, starting_offsets=args.starting_offsets,
                             max_per_trigger=args.max_per_trigger)

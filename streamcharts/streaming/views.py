@@ -1,8 +1,9 @@
 """Read views over the delta log written by ``RollupSink`` (K4-K7, A4-A7, Q1 over stored state).
 
-Deltas are plain parquet partitioned by ``run``/``epoch``; every view is an
-aggregate over them, so late events and replayed batches need no merge step.
-Filters on ``window_start`` reach the scan as parquet predicates.
+Every view is an aggregate over the compacted base and the epochs above its pointer
+(``compaction.log_rows``), so late events and replayed batches need no merge step and a
+read touches the open epochs only. Filters on ``window_start`` and ``written_at`` reach
+the scans as parquet predicates.
 """
 
 from __future__ import annotations
@@ -11,16 +12,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamcharts.constants import TREND_TTL_SECONDS
+from streamcharts.functions.timefns import epoch_minute
 from streamcharts.operators import rollups as ru
 from streamcharts.operators import trending as tr
+from streamcharts.streaming import compaction
 
 
 def deltas(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """All deltas of one table; ``epoch`` becomes a cross-run order (first write time)."""
-    df = spark.read.parquet(f"{root.rstrip('/')}/{table}")
-    if "written_at" in df.columns:
-        df = df.withColumn("epoch", F.unix_micros("written_at"))
-    return df
+    """All rows of one table, folded or not; ``epoch`` is a cross-run order (first write time)."""
+    if table not in compaction.KEYS:
+        df = spark.read.parquet(f"{root.rstrip('/')}/{table}")
+        return df.withColumn("epoch", F.unix_micros("written_at"))
+    return compaction.log_rows(spark, root, table).withColumn("epoch", F.unix_micros("first_written")).drop("first_written")
 
 
 def minute_play_counts(spark: SparkSession, root: str) -> DataFrame:
@@ -43,7 +46,7 @@ def buckets(spark: SparkSession, root: str) -> DataFrame:
 
 
 def live_buckets(spark: SparkSession, root: str, asof=None, ttl_seconds: int = TREND_TTL_SECONDS) -> DataFrame:
-    rows = ru.leaderboard_rows(deltas(spark, root, "song_minute"))
+    rows = deltas(spark, root, "song_minute").withColumn("minute", epoch_minute(F.col("window_start")))
     return ru.live_buckets(rows, tr.asof_column(asof).cast("timestamp"), ttl_seconds)
 
 

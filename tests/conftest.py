@@ -24,3 +24,25 @@ def spark():
 @pytest.fixture()
 def scratch():
     return tempfile.mkdtemp(prefix="streamcharts-test-")
+
+
+# The library takes the pseudonym's key from its caller; the tests use the registered queries' one.
+def pseudonym(user, salt=None):
+    from streamcharts.functions import privacy
+    from streamcharts.plans.params import SALT
+
+    return privacy.pseudonym(user, salt or SALT)
+
+
+def decode_messages(messages, salt=None):
+    from streamcharts.operators import events
+    from streamcharts.plans.params import SALT
+
+    return events.decode_messages(messages, salt or SALT)
+
+
+def start_rollups(*args, **kwargs):
+    from streamcharts.plans.params import SALT
+    from streamcharts.streaming import processor
+
+    return processor.start_rollups(*args, **{"salt": SALT, **kwargs})

@@ -5,24 +5,23 @@ import glob
 from pyspark.sql import functions as F
 
 from streamcharts.plans import registry as R
-from streamcharts.operators.events import decode_messages
+from conftest import decode_messages
 from streamcharts.streaming.processor import RollupSink
 
 from conftest import SF_ORACLE, SF_SMALL
 
 
-def _joined(spark, name):
-    exact = R.QUERIES["minute_unique_exact"](spark, SF_ORACLE).withColumnRenamed("unique_listeners", "exact")
-    approx = R.QUERIES[name](spark, SF_ORACLE).withColumnRenamed("unique_listeners", "approx")
-    return exact.join(approx, ["song_id", "window_start"], "full_outer")
-
-
 def test_approx_and_sketch_within_tolerance(spark):
+    keys = R.QUERIES["minute_unique_exact"](spark, SF_ORACLE).count()
     for name in ("minute_unique_approx", "unique_union_sketch"):
-        j = _joined(spark, name)
-        assert j.filter(F.col("exact").isNull() | F.col("approx").isNull()).count() == 0
-        worst = j.select(F.max(F.abs(F.col("approx") - F.col("exact")) / F.col("exact"))).first()[0]
-        assert worst <= 0.05, (name, worst)
+        got = R.QUERIES[name](spark, SF_ORACLE)
+        assert got.count() == got.filter("within_error").count() == keys
+
+
+def test_within_error_sees_a_wrong_estimate(spark):
+    estimate = R.ru.unique_listeners(R._epoch_deltas(spark, SF_ORACLE), mode="union")
+    wrong = R._within_error(spark, SF_ORACLE, estimate.withColumn("unique_listeners", F.col("unique_listeners") + 2))
+    assert wrong.filter("within_error").count() == 0
 
 
 def test_no_raw_user_id_in_outputs(spark, scratch):

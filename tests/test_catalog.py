@@ -42,15 +42,27 @@ def test_genre_counts(spark):
     assert got == [("electronic", 1), ("pop", 1), ("rock", 2)]
 
 
-def test_playlists_arrays(spark):
+def test_playlists(spark):
     t = dt.datetime(2024, 1, 1)
     pl = spark.createDataFrame([(1, 7, "empty", t), (2, 7, "zeros", t + dt.timedelta(days=1)), (3, 8, "x", t)],
                                "id bigint, user_id bigint, name string, created_at timestamp_ntz")
     ps = spark.createDataFrame([(2, 30, 0), (2, 10, 0), (2, 20, 0), (3, 5, 2), (3, 6, 1)],
                                "playlist_id bigint, song_id bigint, position int")
-    got = [(r.id, r.song_ids) for r in cat.user_playlists(pl, ps, user_id=7).collect()]
-    assert got == [(2, [10, 20, 30]), (1, [])]  # newest first; all-zero positions by song id; empty -> []
-    assert cat.user_playlists(pl, ps).filter("id = 3").first().song_ids == [6, 5]
+    got = [(r.id, r.rank, r.song_id) for r in cat.user_playlists(pl, ps, user_id=7).collect()]
+    assert got == [(2, 1, 10), (2, 2, 20), (2, 3, 30), (1, None, None)]  # newest first; all-zero positions by song id
+    got = [(r.id, r.chunk, r.song_ids) for r in cat.user_playlists(pl, ps, user_id=7, chunk_size=2).collect()]
+    assert got == [(2, 0, [10, 20]), (2, 1, [30]), (1, 0, [])]
+    assert cat.user_playlists(pl, ps, chunk_size=10).filter("id = 3").first().song_ids == [6, 5]
+
+
+def test_song_ids_beyond_floats(spark):
+    s = spark.createDataFrame([(2**53 + 1, "t", 1)], "id bigint, title string, artist_id bigint").selectExpr(
+        "*", "'g' genre", "1 duration_sec", "'k' audio_key", "'c' cover_url", "false premium_only")
+    a = spark.createDataFrame([(1, "n")], "id bigint, name string")
+    assert cat.get_song(s, a, str(2**53 + 1)).count() == cat.get_song(s, a, 2**53 + 1).count() == 1
+    for bad in (str(2**63), "1e400", "nan", "0x1", 1.5):
+        with pytest.raises(ValueError):
+            cat.get_song(s, a, bad)
 
 
 def test_add_songs_owner_dedupe_anti(spark):
@@ -72,12 +84,12 @@ def test_create_playlists_dense_ids(spark):
 def test_register_users(spark):
     users = spark.createDataFrame([(1, "taken@x.io")], "id bigint, email string")
     reqs = spark.createDataFrame(
-        [("r1", "TAKEN@x.io", "longenough"), ("r2", "new@x.io", "longenough"), ("r3", "NEW@X.IO", "longenough"),
-         ("r4", "bad email@x.io", "longenough"), ("r5", "short@x.io", "short"), ("r6", "no-at-sign", "longenough")],
-        "request_id string, email string, password string",
+        [("r1", 1, "TAKEN@x.io", "longenough"), ("r10", 2, "new@x.io", "longenough"), ("r2", 3, "NEW@X.IO", "longenough"),
+         ("r4", 4, "bad email@x.io", "longenough"), ("r5", 5, "short@x.io", "short"), ("r6", 6, "no-at-sign", "longenough")],
+        "request_id string, requested_at bigint, email string, password string",
     )
     got = {r.request_id: r.outcome for r in cat.register_users(reqs, users).collect()}
-    assert got == {"r1": "conflict", "r2": "accepted", "r3": "conflict", "r4": "invalid", "r5": "invalid",
+    assert got == {"r1": "conflict", "r10": "accepted", "r2": "conflict", "r4": "invalid", "r5": "invalid",
                    "r6": "invalid"}
     assert "password" not in cat.register_users(reqs, users).columns
 

@@ -4,8 +4,9 @@ import json
 
 from pyspark.sql import functions as F
 
-from streamcharts.functions.privacy import pseudonym
-from streamcharts.operators.events import accept_events, decode_messages, good_plays
+from conftest import pseudonym
+from streamcharts.operators.events import accept_events, good_plays
+from conftest import decode_messages
 
 
 def _msgs(spark, values):

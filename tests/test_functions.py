@@ -4,7 +4,8 @@ import hmac
 import pytest
 from pyspark.sql import functions as F
 
-from streamcharts.functions.privacy import hmac_sha256_hex, pseudonym
+from streamcharts.functions.privacy import hmac_sha256_hex
+from conftest import pseudonym
 from streamcharts.functions.scalars import clamp_limit, duration_text, premium_allowed, role_at_least
 
 
@@ -78,3 +79,10 @@ def test_key_pads_are_redacted_in_plan_text(spark):
     text = buf.getvalue()
     assert "sha2" in text and "redacted" in text
     assert not re.search(r"0x[0-9A-Fa-f]{64,}", text)
+
+
+def test_numbered_pads_and_never_cuts(spark):
+    from streamcharts.functions.scalars import numbered
+
+    got = [r[0] for r in spark.createDataFrame([(1,), (9,), (10,), (99,), (100,), (1000,), (None,)], "n int").select(numbered(F.col("n"))).collect()]
+    assert got == ["01", "09", "10", "99", "100", "1000", None]

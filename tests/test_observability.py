@@ -36,7 +36,40 @@ def test_counter_rate_handles_reset(spark):
         "service string, ts timestamp_ntz, value double",
     )
     got = [r.rate for r in ob.counter_rate(samples).orderBy("ts").collect()]
-    assert got == pytest.approx([10 / 60, 1.0, 0.5])
+    assert got == pytest.approx([0.0, 1.0, 0.5])  # a first sample is no increase; a restart counts from 0
+
+
+def test_counter_rate_does_not_depend_on_the_scrape_interval(spark):
+    """A steady 2 requests a second, scraped each 5, 20 and 3 seconds."""
+    for every in (5, 20, 3):
+        rows = [("a", T0 + dt.timedelta(seconds=k), 2.0 * k) for k in range(0, 300, every)]
+        samples = spark.createDataFrame(rows, "service string, ts timestamp_ntz, value double")
+        got = [r.rate for r in ob.counter_rate(samples).orderBy("ts").collect()]
+        assert got[-5:] == pytest.approx([2.0] * 5, abs=0.2), every
+    uneven = [("a", T0 + dt.timedelta(seconds=k), v) for k, v in ((0, 5.0), (1, 7.0), (2, 1.0), (58, 4.0), (61, None), (200, 10.0))]
+    got = [r.rate for r in ob.counter_rate(
+        spark.createDataFrame(uneven, "service string, ts timestamp_ntz, value double")).orderBy("ts").collect()]
+    assert got == pytest.approx([3 / 60, 6 / 60, 6 / 60], abs=1e-6)
+
+
+def test_rates_are_zero_in_steps_without_requests(spark):
+    log = _log(spark, [(0, "a", 200, 0.1, 1), (1, "a", 500, 0.1, 1), (185, "a", 200, 0.1, 1)])
+    assert [r.rate for r in ob.throughput_rate(log).orderBy("window_start").collect()] == pytest.approx([2 / 60, 0, 0, 1 / 60], abs=1e-6)
+    errors = ob.throughput_rate(log, status_filter=ob.server_errors()).orderBy("window_start").collect()
+    assert [r.rate for r in errors] == pytest.approx([1 / 60, 0, 0, 0], abs=1e-6)
+
+
+def test_percentiles_are_exact_over_chunks(spark):
+    import random
+
+    import numpy as np
+    from streamcharts.operators.ranking import percentiles
+
+    rnd, ps = random.Random(1), (0.0, 0.5, 0.9, 0.95, 0.99, 1.0)
+    rows = [(rnd.choice(["a", "a", "a", None, "b"]), rnd.choice([rnd.random(), 0.25, None])) for _ in range(5000)] + [("one", 3.0)]
+    got = {r.g: r._p for r in percentiles(spark.createDataFrame(rows, "g string, v double"), "v", ps, ["g"]).collect()}
+    for g in ("a", None, "b", "one"):
+        assert got[g] == pytest.approx(np.quantile([v for k, v in rows if k == g and v is not None], ps))
 
 
 def test_summary_and_slo(spark):

@@ -50,10 +50,19 @@ def test_catalog_page_is_cut_before_the_artist_join(spark):
     assert plan.index("BroadcastHashJoin") < plan.index("TakeOrderedAndProject")
 
 
-def test_for_you_broadcasts_the_bounded_lists(spark):
-    plan = _plan(spark, "for_you_all")
-    top = plan.splitlines()[:3]
-    assert any("BroadcastHashJoin" in line for line in top), top
+def test_for_you_joins_users_by_broadcast_when_the_lists_are_small(spark):
+    from conftest import SF_SMALL
+    from streamcharts.plans.registry import QUERIES
+
+    df = QUERIES["for_you_all"](spark, SF_SMALL)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "isFinalPlan=true" in final and "BroadcastHashJoin [based_on" in final
+
+
+def test_numbering_needs_no_checkpoint_and_one_full_shuffle(spark):
+    plan = _plan(spark, "next_track")
+    assert "RDDScan" not in plan and "rangepartitioning" not in plan
 
 
 def test_scans_prune_columns(spark):

@@ -8,8 +8,9 @@ from streamcharts.plans import registry as R
 from streamcharts.sources.streams import message_stream
 from streamcharts.streaming import stateful
 from streamcharts.streaming import views as V
-from streamcharts.streaming.processor import RollupSink, run_id_for, start_rollups
-from streamcharts.operators.events import decode_messages
+from streamcharts.streaming.processor import RollupSink, run_id_for
+from conftest import start_rollups
+from conftest import decode_messages
 
 from conftest import SF_SMALL
 
@@ -231,3 +232,72 @@ def test_checkpoint_bound_to_its_output_root(spark, scratch):
     assert run_id_for(spark, f"{scratch}/ck", f"{scratch}/out1") == a
     with pytest.raises(ValueError):
         run_id_for(spark, f"{scratch}/ck", f"{scratch}/out2")
+
+
+def test_songs_added_while_the_intake_runs_are_known(spark, scratch):
+    from streamcharts.streaming.intake import refused_counts, start_intake
+
+    song = "id bigint, genre string, premium_only boolean"
+    load = lambda s: s.read.schema(song).parquet(f"{scratch}/songs")
+    users = lambda s: s.createDataFrame([(1, "free")], "id bigint, role string")
+    schema = "type string, user_id bigint, song_id bigint, ts timestamp_ntz"
+    for known, asked in ((1, 1), (2, 2)):
+        spark.createDataFrame([(known, "g", False)], song).write.mode("append").parquet(f"{scratch}/songs")
+        spark.createDataFrame([("play", 1, asked), ("play", 1, 77)], "type string, user_id bigint, song_id bigint").selectExpr(
+            "*", "timestamp_ntz'2024-01-01 00:00:00' ts").write.mode("append").json(f"{scratch}/in")
+        if known == 1:
+            q = start_intake(spark.readStream.schema(schema).json(f"{scratch}/in"), load, users, f"{scratch}/out", f"{scratch}/ck",
+                             trigger={"processingTime": "1 second"})
+        q.processAllAvailable()
+    q.stop()
+    assert {r.reject_reason: r.rejected for r in refused_counts(spark, f"{scratch}/out").collect()} == {"song_not_found": 2}
+
+
+def test_an_unreadable_run_marker_stops_the_start(spark, scratch):
+    import pytest
+
+    rid = run_id_for(spark, f"{scratch}/ck", f"{scratch}/out")
+    assert run_id_for(spark, f"{scratch}/ck", f"{scratch}/out") == rid
+
+    class Broken:
+        class read:  # noqa: N801
+            @staticmethod
+            def text(path):
+                raise OSError("permission denied")
+
+    with pytest.raises(OSError):
+        run_id_for(Broken, f"{scratch}/ck", f"{scratch}/out")
+    assert run_id_for(spark, f"{scratch}/ck") == rid
+
+
+def test_compaction_keeps_every_view_and_reads_open_epochs_only(spark, scratch):
+    from streamcharts.streaming import compaction as cp
+
+    decoded = decode_messages(R._messages(spark, SF_SMALL))
+    out = f"{scratch}/out"
+    part = lambda k: decoded.filter(F.pmod(F.xxhash64("ts", "user_hash"), F.lit(4)) == k)
+    sink = RollupSink(out, "r1")
+
+    def views():
+        return [_counts(V.minute_play_counts(spark, out)),
+                sorted(map(tuple, V.user_genre_affinity(spark, out).select("user_hash", "genre", "play_count").collect())),
+                sorted(tuple(r) for r in V.unique_listeners(spark, out).collect()),
+                sorted(map(str, V.live_buckets(spark, out, asof="2024-01-01", ttl_seconds=10**10).select("scope", "genre", "minute").collect()))]
+
+    for k in range(3):
+        sink(part(k), k)
+    before = views()
+    assert cp.compact(spark, out) == 1 and cp.compact(spark, out) == 1 and views() == before
+    gone = cp.vacuum(spark, out)
+    assert gone and views() == before
+    sink(part(2), 2), sink(part(0), 0)  # the newest epoch again, and a folded one
+    assert views() == before
+    sink(part(3), 3)
+    whole = views()
+    assert cp.compact(spark, out) == 2 and views() == whole
+    assert cp.pointer(spark, out) == (2, {"r1": 2})
+    files = cp.log_rows(spark, out, "user_genre").inputFiles()
+    plan = cp.open_epochs(spark.read.parquet(f"{out}/user_genre"), {"r1": 2})._jdf.queryExecution().toString()
+    assert files and "PartitionFilters" in plan
+    cp.vacuum(spark, out)
+    assert views() == whole

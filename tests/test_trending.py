@@ -1,5 +1,6 @@
 import datetime as dt
 
+from streamcharts.plans.params import SALT
 from streamcharts.operators import trending as tr
 
 T0 = dt.datetime(2024, 1, 1, 12, 0)
@@ -63,7 +64,7 @@ def test_favourite_genre_ties_by_name(spark):
 
 
 def test_for_you_falls_back_to_global(spark):
-    from streamcharts.functions.privacy import pseudonym
+    from conftest import pseudonym
     from pyspark.sql import functions as F
 
     users = spark.createDataFrame([(1,), (2,)], "id bigint")
@@ -71,7 +72,7 @@ def test_for_you_falls_back_to_global(spark):
     aff = spark.createDataFrame([(h1, "rock", 3)], "user_hash string, genre string, play_count bigint")
     b = _buckets(spark, [(1, "pop", T0, 4), (2, "rock", T0, 8)])
     songs, artists = _catalog(spark, [1, 2])
-    got = {(r.user_id, r.based_on, r.id) for r in tr.for_you(users, aff, b, songs, artists, asof=T0).collect()}
+    got = {(r.user_id, r.based_on, r.id) for r in tr.for_you(users, aff, b, songs, artists, asof=T0, salt=SALT).collect()}
     assert got == {(1, "rock", 2), (2, "global-trending", 2), (2, "global-trending", 1)}
 
 
@@ -84,14 +85,14 @@ def test_top_per_genre_plans_a_group_limit(spark):
 def test_for_you_empty_genre_list_still_answers(spark):
     from pyspark.sql import functions as F
 
-    from streamcharts.functions.privacy import pseudonym
+    from conftest import pseudonym
 
     users = spark.createDataFrame([(1,)], "id bigint")
     h1 = users.select(pseudonym(F.col("id"))).first()[0]
     aff = spark.createDataFrame([(h1, "jazz", 3)], "user_hash string, genre string, play_count bigint")
     b = _buckets(spark, [(1, "pop", T0, 4)])
     songs, artists = _catalog(spark, [1])
-    got = [(r.user_id, r.based_on, r.id) for r in tr.for_you(users, aff, b, songs, artists, asof=T0).collect()]
+    got = [(r.user_id, r.based_on, r.id) for r in tr.for_you(users, aff, b, songs, artists, asof=T0, salt=SALT).collect()]
     assert got == [(1, "jazz", None)]
 
 
@@ -102,9 +103,9 @@ def test_for_user_matches_the_batch_rows(spark):
     sf = SF_SMALL
     aff = R._affinity(spark, sf)
     args = (R.tb.users(spark, sf), aff, R._buckets(spark, sf), R.tb.songs(spark, sf), R.tb.artists(spark, sf))
-    everyone = tr.for_you(*args, asof="2024-01-30 23:59:00", window_minutes=1440)
+    everyone = tr.for_you(*args, asof="2024-01-30 23:59:00", window_minutes=1440, salt=SALT)
     uid = everyone.filter("based_on != 'global-trending'").first().user_id
-    one = tr.for_user(uid, *args, asof="2024-01-30 23:59:00", window_minutes=1440)
+    one = tr.for_user(uid, *args, asof="2024-01-30 23:59:00", window_minutes=1440, salt=SALT)
     assert [tuple(r) for r in one.collect()] == [tuple(r) for r in everyone.filter(f"user_id = {uid}").orderBy("rank").collect()]
 
 
@@ -115,3 +116,23 @@ def test_request_labels_default_to_all(spark):
     assert (r.window_minutes, r.requested_genre) == (10, "all")
     r = tr.with_request_labels(tr.trending(b, songs, artists, genre="pop", asof=T0), "pop", 10).first()
     assert r.requested_genre == "pop"
+
+
+def test_anchor_with_a_zone_is_read_as_utc(spark):
+    import datetime as dt
+
+    at = dt.datetime(2024, 1, 1, 12, 0, tzinfo=dt.timezone(dt.timedelta(hours=2)))
+    assert spark.range(1).select(tr.asof_column(at)).first()[0] == dt.datetime(2024, 1, 1, 10, 0)
+
+
+def test_unknown_songs_take_a_place_with_and_without_a_genre_column(spark):
+    import datetime as dt
+
+    t = dt.datetime(2024, 1, 1, 12, 0)
+    songs = spark.createDataFrame([(1, "a", "g", "c", 1), (2, "b", "g", "c", 1)],
+                                  "id bigint, title string, genre string, cover_url string, artist_id bigint")
+    artists = spark.createDataFrame([(1, "n")], "id bigint, name string")
+    plays = spark.createDataFrame([(9, t, 5), (1, t, 3), (2, t, 1)], "song_id bigint, window_start timestamp_ntz, plays bigint")
+    for b in (plays, plays.selectExpr("*", "'g' genre")):
+        got = [(r.id, r.rank) for r in tr.trending(b, songs, artists, limit=2, asof=t).collect()]
+        assert got == [(1, 2)]  # the unknown song 9 is first and leaves after the limit
