@@ -6,10 +6,11 @@ signature, picked by the node's key, send a document to one child each, so that
 stay together with about s times the branches per level. Where a node is small, its documents are compared with
 one another by signature; a larger one branches again. Independent trees repeat this up to the recall wanted.
 
-A node that cannot be split, thousands of near copies, is not compared pair by pair: its smallest document is
-compared with the others (a join on the node, whose tasks Spark can split), and what is then in one component
-needs no further comparison. Nodes that still hold several components branch again; after ``DEPTH`` levels
-documents outside the largest component of a node are compared with all of the node.
+A node that cannot be split, thousands of near copies, is not compared pair by pair. Its leader, the document
+nearest to the node's commonest signature, is compared with the others (a join on the node, whose tasks Spark can
+split); nodes with one leader are one cluster from then on. What is then in one component needs no further
+comparison. If most of a cluster resembles its leader, or few of it are outside its largest component, those
+outside are compared with all of it, in blocks, on the full sets; otherwise it branches again, up to ``DEPTH`` levels.
 
 Every link is confirmed on the full sets: first one link a document and node, then those between components.
 Components come from alternating large-star and small-star steps. Pair work stays near-linear: only pairs
@@ -39,10 +40,11 @@ from streamcharts.llm.words import pieces, words_of
 WIDTH = 5                  # words of a shingle
 SIMILAR = (75, 100)        # linked: 100 * intersection >= 75 * union
 COORDINATES = 64           # of a signature
-BRANCHES = 2               # coordinates chosen at a node
+BRANCHES = 4 / 3           # coordinates chosen at a node, on average: pairs below the threshold die out
 RECALL = 0.9999            # of a pair at the threshold, over all trees
-SMALL = 64                 # documents of a node that is compared exhaustively
-DEPTH = 12                 # levels before the last resort
+SMALL = 64                 # documents of a node that is compared exhaustively, or outside its largest component
+FEW, BLOCK = 512, 2048     # documents outside that are compared with so many of the cluster at a time
+DEPTH = 24                 # levels before the last resort
 LIKELY = 0.5               # signatures that agree so often make a candidate (4.6 deviations below the threshold)
 
 _U = np.uint64
@@ -54,10 +56,11 @@ _STEP = [_U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E377
 
 def trees(recall: float = RECALL) -> int:
     """Trees that keep a pair at the threshold together for two levels with this probability."""
-    s = SIMILAR[0] / SIMILAR[1]
-    one = 1 - (1 - s) ** BRANCHES
-    two = 1 - (1 - s * one) ** BRANCHES
-    return math.ceil(math.log(1 - recall) / math.log(1 - two))
+    s, more = SIMILAR[0] / SIMILAR[1], BRANCHES - 1
+    met = 1.0
+    for _ in range(2):
+        met = 1 - (1 - s * met) * (1 - more * s * met)
+    return math.ceil(math.log(1 - recall) / math.log(1 - met))
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -133,32 +136,31 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, COORDINATES)
 
 
-def _children(node: np.ndarray, sig: np.ndarray) -> list[np.ndarray]:
-    """The keys of each row's children: coordinates picked by the node's key, no coordinate twice."""
-    start, step = _mix(node + _STEP[0]), _mix(node + _STEP[4]) | _U(1)  # an odd step meets all 64 coordinates
-    out = []
-    for k in range(BRANCHES):
-        pick = (start + _U(k) * step) % _U(COORDINATES)
-        value = sig[np.arange(len(sig)), pick.astype(np.int64)].astype(np.uint64)
-        out.append(_mix(_mix(node ^ _STEP[1]) + value * _STEP[2] + pick * _STEP[3]))
-    return out
+def _children(node: np.ndarray, sig: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and the keys of their children. A node picks one coordinate, or two, by its key."""
+    pick, step = _mix(node + _STEP[0]) % _U(COORDINATES), _mix(node + _STEP[4]) % _U(COORDINATES - 1) + _U(1)
+    both = np.flatnonzero(_mix(node ^ _STEP[3]) < _U(int((BRANCHES - 1) * 2**64)))
+    rows = np.concatenate([np.arange(len(node)), both])
+    pick = np.concatenate([pick, (pick + step)[both] % _U(COORDINATES)])
+    value = sig[rows, pick.astype(np.int64)].astype(np.uint64)
+    return rows, _mix(_mix(node[rows] ^ _STEP[1]) + value * _STEP[2] + pick * _STEP[3])
+
+
+def _descend(node: np.ndarray, ids: pa.Array, sig: np.ndarray) -> pa.RecordBatch:
+    rows, kids = _children(node, sig)
+    return pa.RecordBatch.from_arrays([pa.array(kids.view(np.int64)), ids.take(pa.array(rows))], ["node", "id"])
 
 
 def _roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        if b.num_rows:
-            sig, n = _matrix(b.column(1)), trees()
-            kids = [k for t in range(n) for k in _children(np.full(len(sig), _mix(np.array([t + 1], np.uint64))[0]), sig)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(kids).view(np.int64)), pa.concat_arrays([b.column(0)] * len(kids))], ["node", "id"])
+        sig = _matrix(b.column(1))
+        for t in range(trees()):
+            yield _descend(np.full(len(sig), _mix(np.array([t + 1], np.uint64))[0]), b.column(0), sig)
 
 
 def _branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        if b.num_rows:
-            kids = _children(np.asarray(b.column(0)).view(np.uint64), _matrix(b.column(2)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(kids).view(np.int64)), pa.concat_arrays([b.column(1)] * len(kids))], ["node", "id"])
+        yield _descend(np.asarray(b.column(0)).view(np.uint64), b.column(1), _matrix(b.column(2)))
 
 
 def _compare_small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,11 +190,11 @@ def _compare_small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _compare_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b, sig_a, sig_b) whose signatures are likely."""
+    """Rows (node, a, b, sig_a, sig_b) whose signatures are likely."""
     for b in batches:
         if b.num_rows:
-            near = (_matrix(b.column(2)) == _matrix(b.column(3))).mean(1) >= LIKELY
-            yield b.filter(pa.array(near)).select([0, 1])
+            near = (_matrix(b.column(3)) == _matrix(b.column(4))).mean(1) >= LIKELY
+            yield b.filter(pa.array(near)).select([0, 1, 2])
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,6 +213,29 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.filter(pa.array(hold, pa.bool_())).select([0, 1])
 
 
+def _compare_full(table: pa.Table) -> pa.Table:
+    """Links between the few (``left``) and the others of a node's chunk that are in another component."""
+    left, ids, label = (np.asarray(table.column(k)) for k in ("left", "id", "label"))
+    sets = [np.frombuffer(x, np.uint64) for x in table.column("full").to_pylist()]
+    few, others = np.flatnonzero(left), np.flatnonzero(~left)
+    a, b = [], []
+    if len(few) and len(others):
+        values, at = np.unique(np.concatenate([sets[i] for i in others]), return_inverse=True)
+        sizes = np.array([len(sets[i]) for i in others])
+        starts = np.cumsum(sizes) - sizes
+        for i in few:
+            mine = np.zeros(len(values) + 1, bool)
+            place = np.searchsorted(values, sets[i])
+            place = place[(place < len(values))]
+            place = place[np.isin(values[place], sets[i])]
+            mine[place] = True
+            common = np.add.reduceat(mine[at].astype(np.int64), starts)
+            hold = (SIMILAR[1] * common >= SIMILAR[0] * (sizes + len(sets[i]) - common)) & (label[others] != label[i])
+            a += [ids[i]] * int(hold.sum())
+            b += ids[others[hold]].tolist()
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
 _PAIR = "a bigint, b bigint"
 
 
@@ -270,6 +295,9 @@ class _Search:
         fa = self.sets.select(F.col("id").alias("a"), F.col("full").alias("full_a"))
         fb = self.sets.select(F.col("id").alias("b"), F.col("full").alias("full_b"))
         held = pairs.distinct().join(fa, "a").join(fb, "b").select("a", "b", "full_a", "full_b").mapInArrow(_confirm, _PAIR)
+        self.add(held)
+
+    def add(self, held: DataFrame) -> None:
         new = written(held.distinct(), "near-links")
         if not new.isEmpty():
             # what is known is a forest of labels: only these and the new links are joined up
@@ -278,10 +306,10 @@ class _Search:
 
 
 def _nodes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows (node, id, leader) of small and of large nodes; nodes of one document are gone."""
-    sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("leader")).filter("n > 1")
+    """Rows (node, id, n) of small and of large nodes; nodes of one document are gone."""
+    sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     live = written(rows.join(sizes, "node"), "near-nodes")
-    return live.filter(F.col("n") <= SMALL).drop("n"), live.filter(F.col("n") > SMALL).drop("n")
+    return live.filter(F.col("n") <= SMALL), live.filter(F.col("n") > SMALL)
 
 
 def _small_pairs(search: _Search, small: DataFrame) -> DataFrame:
@@ -290,32 +318,61 @@ def _small_pairs(search: _Search, small: DataFrame) -> DataFrame:
         F.max("first").alias("first")), "near-pairs")
 
 
-def _star_pairs(search: _Search, large: DataFrame) -> DataFrame:
-    """Every document of a large node with its leader."""
-    heads = large.filter("id = leader").select("node", "leader").distinct().join(
-        search.reps.select(F.col("id").alias("leader"), F.col("sig").alias("head")), "leader")
-    met = large.filter("id <> leader").select("node", "id").join(search.reps, "id").join(heads, "node")
-    return written(met.select(F.col("leader").alias("a"), F.col("id").alias("b"), "head", "sig").mapInArrow(
-        _compare_pairs, _PAIR).distinct(), "near-stars")
+def _nearest(table: pa.Table) -> pa.Table:
+    """Of a node's chunk, the document that agrees most with the commonest value of each coordinate."""
+    sig = _matrix(table.column("sig").combine_chunks())
+    agree = np.zeros(len(sig), np.int64)
+    for k in range(COORDINATES):
+        values, at, n = np.unique(sig[:, k], return_inverse=True, return_counts=True)
+        agree += at == n.argmax()
+    ids = np.asarray(table.column("id"))
+    best = np.lexsort((ids, -agree))[0]
+    return pa.table({"node": table.column("node")[:1], "id": ids[best:best + 1], "agree": agree[best:best + 1]})
 
 
-def _mixed(search: _Search, large: DataFrame) -> DataFrame:
-    """Rows (node, id, label) of nodes that hold more than one component."""
-    labelled = large.select("node", "id").join(search.labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    labelled = written(labelled, "near-labelled")
-    nodes = labelled.groupBy("node").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).filter("_lo <> _hi")
-    return labelled.join(nodes.select("node"), "node", "left_semi")
+def _clusters(search: _Search, large: DataFrame, level: int) -> DataFrame:
+    """Rows (node, id, leader): nodes with the same leader as one."""
+    chunk = F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / BLOCK))
+    leaders = large.join(search.reps, "id").withColumn("chunk", chunk).groupBy("node", "chunk").applyInArrow(
+        _nearest, "node bigint, id bigint, agree bigint").groupBy("node").agg(
+        F.max_by("id", F.struct("agree", -F.col("id"))).alias("leader"))
+    merged = large.join(leaders, "node").select("leader", "id").distinct()
+    return written(merged.select(F.xxhash64("leader", F.lit(level)).alias("node"), "id", "leader"), "near-clusters")
 
 
-def _rest_pairs(search: _Search, mixed: DataFrame) -> DataFrame:
-    """The last resort: documents outside a node's largest component against all others of the node."""
-    parts = mixed.groupBy("node", "label").agg(F.count(F.lit(1)).alias("n"))
-    top = parts.groupBy("node").agg(F.max(F.struct("n", "label")).alias("top")).select("node", F.col("top.label").alias("top"))
-    rows = mixed.join(top, "node").join(search.reps, "id")
-    left = rows.filter("label <> top").select("node", F.col("id").alias("a"), F.col("label").alias("_la"), F.col("sig").alias("sig_a"))
-    right = rows.select("node", F.col("id").alias("b"), F.col("label").alias("_lb"), F.col("sig").alias("sig_b"))
-    return written(left.join(right, "node").filter("_la <> _lb").select("a", "b", "sig_a", "sig_b").mapInArrow(
-        _compare_pairs, _PAIR).distinct(), "near-rest")
+def _star_pairs(search: _Search, clusters: DataFrame) -> DataFrame:
+    """Every document of a cluster that resembles its leader: (node, a, b)."""
+    heads = clusters.select("node", "leader").distinct().join(
+        search.reps.select(F.col("id").alias("leader"), F.col("sig").alias("head")), "leader")
+    met = clusters.filter("id <> leader").select("node", "id").join(search.reps, "id").join(heads, "node")
+    return written(met.select("node", F.col("leader").alias("a"), F.col("id").alias("b"), "head", "sig").mapInArrow(
+        _compare_pairs, f"node bigint, {_PAIR}").distinct(), "near-stars")
+
+
+def _mixed(search: _Search, clusters: DataFrame, stars: DataFrame) -> DataFrame:
+    """Rows (node, id, label, n, few, top, done) of clusters that hold more than one component. few: rows outside
+    the largest, top; done: whether these are to be compared with all now."""
+    labelled = written(clusters.select("node", "id").join(search.labels, "id", "left").withColumn(
+        "label", F.coalesce("label", "id")), "near-labelled")
+    parts = labelled.groupBy("node", "label").agg(F.count(F.lit(1)).alias("m")).groupBy("node").agg(
+        F.sum("m").alias("n"), F.max(F.struct("m", "label")).alias("most"))
+    alike = stars.groupBy("node").agg(F.count(F.lit(1)).alias("alike"))
+    nodes = parts.join(alike, "node", "left").select(
+        "node", "n", (F.col("n") - F.col("most.m")).alias("few"), F.col("most.label").alias("top"),
+        F.coalesce(F.col("alike") * 2 >= F.col("n"), F.lit(False)).alias("_close")).filter("few > 0")
+    nodes = nodes.withColumn("done", F.col("_close") | (F.col("few") <= SMALL)).drop("_close")
+    return written(labelled.join(nodes, "node"), "near-mixed")
+
+
+def _few_against_all(search: _Search, mixed: DataFrame) -> DataFrame:
+    """Links of the rows outside a cluster's largest component, in blocks: FEW of them against BLOCK rows of it."""
+    blocks, chunks = F.ceil(F.col("few") / FEW), F.ceil(F.col("n") / BLOCK)
+    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+    own = lambda n: F.pmod(F.xxhash64("id"), n)
+    few = mixed.filter("label <> top").select(
+        "node", "id", "label", F.lit(True).alias("left"), own(blocks).alias("block"), upto(chunks).alias("chunk"))
+    others = mixed.select("node", "id", "label", F.lit(False).alias("left"), upto(blocks).alias("block"), own(chunks).alias("chunk"))
+    return few.unionByName(others).join(search.sets, "id").groupBy("node", "block", "chunk").applyInArrow(_compare_full, _PAIR)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -324,25 +381,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     signs = written(docs.mapInArrow(_sign, "doc_id bigint, n_shingles bigint, key binary, sig binary"), "near-signs")
     search = _Search(docs, signs)
     rows = search.reps.mapInArrow(_roots, "node bigint, id bigint")
-    pairs, large = None, None
-    for level in range(DEPTH):
+    pairs = None
+    for level in range(1, DEPTH + 1):
         small, large = _nodes(rows)
         found = _small_pairs(search, small)
         pairs = found if pairs is None else pairs.unionByName(found)
-        if level == 0:
+        if level == 1:
             search.with_sets(found.select(F.col("a").alias("id")).unionByName(found.select(F.col("b").alias("id"))).unionByName(
                 large.select("id")))
         if large.isEmpty():
-            large = None
             break
-        search.confirm(search.apart(_star_pairs(search, large)))
-        large = written(_mixed(search, large), "near-mixed")
-        if large.isEmpty():
-            large = None
+        clusters = _clusters(search, large, level)
+        stars = _star_pairs(search, clusters)
+        search.confirm(search.apart(stars.select("a", "b")))
+        mixed = _mixed(search, clusters, stars)
+        done = F.lit(level == DEPTH) | F.col("done")
+        search.add(_few_against_all(search, mixed.filter(done)))
+        again = mixed.filter(~done)
+        if again.isEmpty():
             break
-        rows = large.join(search.reps, "id").select("node", "id", "sig").mapInArrow(_branch, "node bigint, id bigint")
-    if large is not None:
-        search.confirm(_rest_pairs(search, large))
+        rows = again.select("node", "id").join(search.reps, "id").select("node", "id", "sig").mapInArrow(_branch, "node bigint, id bigint")
     search.confirm(search.apart(pairs.filter("first").select("a", "b")))
     search.confirm(search.apart(pairs.select("a", "b")))
 
