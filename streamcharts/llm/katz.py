@@ -47,7 +47,8 @@ from streamcharts.llm.words import pieces
 
 K = 5                    # counts up to this are discounted
 CHUNK = 16 << 20         # bytes of text in a chunk
-BUCKET = 3_000_000       # tokens that a bucket gets on average
+BUCKET = 2_000_000       # tokens that a bucket gets on average
+SHARE = 700_000          # tokens of a chunk whose pairs are worked out at a time
 FOLDS, FOLD = 7, 2       # held out: crc32 of the identifier modulo FOLDS is FOLD
 
 _U = np.uint64
@@ -102,6 +103,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     number = TaskContext.get().partitionId() << 32
     for batch in batches:
         for b in pieces(batch, 1, CHUNK):
+            pa.default_memory_pool().release_unused()
             hashes, at = word_hashes(b.column(1))
             lengths = np.diff(at) + 1
             stream = np.full(len(hashes) + len(lengths), END, np.uint64)
@@ -110,10 +112,11 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             inner[last] = False
             stream[inner] = hashes
             words, tokens = np.unique(stream, return_inverse=True)
+            del hashes, stream, inner
             ids = b.column(0).to_pylist()
             train = np.array([trains(i) for i in ids], bool)
             seen = np.bincount(tokens[np.repeat(train, lengths)], minlength=len(words))
-            yield _batch(_CHUNK_T, [(number, ids, pack(lengths), pack(tokens), _steps(words), pack(seen), len(stream),
+            yield _batch(_CHUNK_T, [(number, ids, pack(lengths), pack(tokens), _steps(words), pack(seen), len(tokens),
                                      int(lengths[train].sum()), int(train.sum()))])
             number += 1
 
@@ -206,40 +209,55 @@ def _deal_pairs(buckets: int, offsets: np.ndarray, uni: Unigrams, d_train: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for row in b.to_pylist():
-                answers = sorted(row["answers"], key=lambda x: x["bucket"])
-                number = np.concatenate([_sums(x["at"]) + offsets[x["bucket"]] for x in answers])
-                count = np.concatenate([unpack(x["count"]) for x in answers])
-                lengths, w = unpack(row["lengths"]), unpack(row["tokens"])
-                n_docs, n_words = len(lengths), len(number)
-                doc = np.repeat(np.arange(n_docs), lengths)
-                c = count[w]
-                base = np.log10((c + 1) / (uni.total + (uni.types + 1)))
-                yield _batch(_PAIRS_T, [(-1 - row["chunk"] % buckets, row["chunk"], "base", [
-                    pack(lengths), pack(np.bincount(doc, c > 0, n_docs).astype(np.int64)), _floats(np.bincount(doc, base, n_docs))], row["ids"])])
-                # local numbers of contexts: 0 is the start of a text
-                v = np.concatenate([[0], w[:-1] + 1])
-                v[np.cumsum(lengths)[:-1]] = 0
-                key, times = np.unique((v * n_words + w) * n_docs + doc, return_counts=True)
-                key, doc = np.divmod(key, n_docs)
-                v, w = np.divmod(key, n_words)
-                v_number, v_count = np.concatenate([[START], number]), np.concatenate([[d_train], count])
-                share = np.maximum(1, -(-v_count[v] // full)).astype(np.uint64)  # buckets that a context takes
-                spread = _mix(_mix(v_number[v].astype(np.uint64)) + _mix(number[w].astype(np.uint64)) % share)
-                to = (spread % _U(buckets)).astype(np.int64)
-                order = np.argsort(to, kind="stable")
-                v, w, doc, times = v[order], w[order], doc[order], times[order]
-                ends = np.searchsorted(to[order], np.arange(buckets + 1))
-                train = np.packbits(np.array([trains(i) for i in row["ids"]], bool)).tobytes()
-                for i, (x, y) in enumerate(zip(ends[:-1], ends[1:], strict=True)):
-                    if y > x:
-                        vs, ws = v[x:y], w[x:y]
-                        new = np.concatenate([[True], (vs[1:] != vs[:-1]) | (ws[1:] != ws[:-1])])
-                        at = np.flatnonzero(new)
-                        ctx, runs = np.unique(vs[at], return_counts=True)
-                        yield _batch(_PAIRS_T, [(i, row["chunk"], "pairs", [
-                            pack(np.diff(v_number[ctx], prepend=0)), pack(v_count[ctx]), pack(runs), pack(number[ws[at]]), pack(count[ws[at]]),
-                            pack(np.diff(at, append=y - x)), pack(doc[x:y]), pack(times[x:y]), train], None)])
+            for i in range(b.num_rows):
+                yield from chunk(b.slice(i, 1).to_pylist()[0])
+                pa.default_memory_pool().release_unused()
+
+    def chunk(row: dict) -> Iterator[pa.RecordBatch]:
+        answers = sorted(row["answers"], key=lambda x: x["bucket"])
+        number = np.concatenate([_sums(x["at"]) + offsets[x["bucket"]] for x in answers])
+        count = np.concatenate([unpack(x["count"]) for x in answers])
+        lengths, w = unpack(row["lengths"]), unpack(row["tokens"]).astype(np.int32)
+        doc = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
+        c = count[w]
+        known = np.bincount(doc, c > 0, len(lengths)).astype(np.int64)
+        base = np.bincount(doc, np.log10((c + 1) / (uni.total + (uni.types + 1))), len(lengths))
+        del c
+        yield _batch(_PAIRS_T, [(-1 - row["chunk"] % buckets, row["chunk"], "base", [pack(lengths), pack(known), _floats(base)], row["ids"])])
+        # local numbers of contexts: 0 is the start of a text
+        v = np.concatenate([np.zeros(1, np.int32), w[:-1] + np.int32(1)])
+        v[np.cumsum(lengths)[:-1]] = 0
+        train = np.packbits(np.array([trains(i) for i in row["ids"]], bool)).tobytes()
+        v_number, v_count = np.concatenate([[START], number]), np.concatenate([[d_train], count])
+        # a share of the contexts at a time
+        upto = np.cumsum(np.bincount(v, minlength=len(v_number)))
+        edges = np.unique(np.searchsorted(upto, np.arange(0, len(v), SHARE)))
+        for low, high in zip(edges, [*edges[1:], len(v_number)], strict=True):
+            own = np.flatnonzero((v >= low) & (v < high))
+            yield from deal(row["chunk"], v[own], w[own], doc[own], len(lengths), number, count, v_number, v_count, train)
+
+    def deal(chunk, v, w, doc, n_docs, number, count, v_number, v_count, train) -> Iterator[pa.RecordBatch]:
+        n_words = len(number)
+        key, times = np.unique((v.astype(np.int64) * n_words + w) * n_docs + doc, return_counts=True)
+        doc = (key % n_docs).astype(np.int32)
+        key //= n_docs
+        v, w, times = (key // n_words).astype(np.int32), (key % n_words).astype(np.int32), times.astype(np.int32)
+        share = np.maximum(1, -(-v_count[v] // full)).astype(np.uint64)  # buckets that a context takes
+        spread = _mix(_mix(v_number[v].astype(np.uint64)) + _mix(number[w].astype(np.uint64)) % share)
+        to = (spread % _U(buckets)).astype(np.int32)
+        order = np.argsort(to, kind="stable")
+        v, w, doc, times = v[order], w[order], doc[order], times[order]
+        ends = np.searchsorted(to[order], np.arange(buckets + 1))
+        for i, (x, y) in enumerate(zip(ends[:-1], ends[1:], strict=True)):
+            if y > x:
+                vs, ws = v[x:y], w[x:y]
+                new = np.concatenate([[True], (vs[1:] != vs[:-1]) | (ws[1:] != ws[:-1])])
+                at = np.flatnonzero(new)
+                ctx, runs = np.unique(vs[at], return_counts=True)
+                yield _batch(_PAIRS_T, [(i, chunk, "pairs", [
+                    pack(np.diff(v_number[ctx], prepend=0)), pack(v_count[ctx]), pack(runs), pack(number[ws[at]]), pack(count[ws[at]]),
+                    pack(np.diff(at, append=y - x)), pack(doc[x:y]), pack(times[x:y]), train], None)])
+
     return run, full
 
 
@@ -248,20 +266,25 @@ def _count_pairs(uni: Unigrams, full: int):
         bucket = table.column("bucket")[0].as_py()
         if bucket < 0:
             return table
-        held = [(c, p[8], [unpack(x) for x in p[:8]]) for c, p in zip(table.column("chunk").to_pylist(), table.column("parts").to_pylist(), strict=True)]
+        held = []
+        for c, p in zip(table.column("chunk").to_pylist(), table.column("parts"), strict=True):
+            p = p.as_py()
+            # run lengths, documents and repeats are small
+            held.append((c, p[8], [unpack(x) if i in (0, 1, 3, 4) else unpack(x).astype(np.int32) for i, x in enumerate(p[:8])]))
         v = np.concatenate([np.repeat(np.cumsum(p[0]), p[2]) for _, _, p in held])
         v_count = np.concatenate([np.repeat(p[1], p[2]) for _, _, p in held])
         w, w_count = (np.concatenate([p[k] for _, _, p in held]) for k in (3, 4))
         # occurrences: a pair in a document
         flags = [np.unpackbits(np.frombuffer(t, np.uint8)).astype(bool) for _, t, _ in held]
         trained = np.concatenate([np.where(f[p[6]], p[7], 0) for f, (_, _, p) in zip(flags, held, strict=True)])
-        pair = np.repeat(np.arange(len(v)), np.concatenate([p[5] for _, _, p in held]))
-        order = np.lexsort((w, v))
+        pair = np.repeat(np.arange(len(v), dtype=np.int32), np.concatenate([p[5] for _, _, p in held]))
+        order = np.lexsort((w, v)).astype(np.int32)
         new = np.concatenate([[True], (v[order][1:] != v[order][:-1]) | (w[order][1:] != w[order][:-1])])
-        own = np.empty(len(v), np.int64)
+        own = np.empty(len(v), np.int32)
         own[order] = np.cumsum(new) - 1
         rep = order[new]  # a member of each distinct pair
         c = np.bincount(own[pair], trained, len(rep)).astype(np.int64)
+        del order, new, pair, trained
         # contexts, their followers seen in training by count, and the P that these have without a context
         gv = v[rep]
         first = np.concatenate([[True], gv[1:] != gv[:-1]])
