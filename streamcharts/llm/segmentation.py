@@ -40,7 +40,7 @@ PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 SEED = 4
 BYTE_COST = 12.0   # natural log; a byte is so much less likely than the first piece
-TEXT = 12 << 20    # bytes of text worked on at a time
+TEXT = 2 << 20    # bytes of text worked on at a time
 
 _U = np.uint64
 
@@ -136,13 +136,16 @@ class Units:
         node = bare + unit[bare]
         # a character without a piece: its code, negative
         start.append(node), end.append(node + 1), piece.append(-codes[bare].astype(np.int64) - 1)
-        start, end, piece = np.concatenate(start), np.concatenate(end), np.concatenate(piece)
-        order = np.argsort(end, kind="stable")
+        start, end, piece = (np.concatenate([y.astype(np.int32) for y in x]) for x in (start, end, piece))
+        order = np.argsort(end, kind="stable").astype(np.int32)
         self.start, end, self.piece = start[order], end[order], piece[order]
-        width = 1 + (-self.piece - 1 >= 0x80) + (-self.piece - 1 >= 0x800) + (-self.piece - 1 >= 0x10000)
-        self.log = np.where(self.piece >= 0, lat.v.log[np.maximum(self.piece, 0)], lat.floor * width)
+        del start, piece, order
+        self.log = lat.v.log[np.maximum(self.piece, 0)]
+        bare = np.flatnonzero(self.piece < 0)
+        code = -self.piece[bare] - 1
+        self.log[bare] = lat.floor * (1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000))
         nodes = len(codes) + len(units)
-        self.edge = np.searchsorted(end, np.arange(nodes + 1))  # first edge of each node
+        self.edge = np.searchsorted(end, np.arange(nodes + 1)).astype(np.int32)  # first edge of each node
         # masses, position by position
         total, paths = np.zeros(nodes), np.ones(nodes)
         depth = np.arange(nodes) - np.repeat(self.first_node, lengths + 1)
@@ -161,9 +164,11 @@ class Units:
         self.total, self.z = total, total[self.last_node]
         self.node_paths, self.paths = paths, paths[self.last_node]
         self.lat = lat
-        chance = np.exp(total[self.start] + self.log - total[end])
-        cum = np.cumsum(chance)
-        self.cum = cum - np.concatenate([[0.0], cum])[self.edge[end]]
+        self.cum = total[self.start]
+        self.cum += self.log
+        self.cum -= total[end]
+        cum = np.cumsum(np.exp(self.cum, out=self.cum))
+        np.subtract(cum, np.concatenate([[0.0], cum])[self.edge[end]], out=self.cum)
         self.cum[self.edge[1:][count > 0] - 1] = 2.0  # the last edge takes what rounding leaves
 
     def sample(self, units: np.ndarray, draw) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -186,7 +191,7 @@ class Units:
             number[rows] += 1
             node[rows] = self.start[e]
             rows = rows[node[rows] > self.first_node[units[rows]]]
-        out, last = np.empty(int(number.sum()), np.int64), np.cumsum(number) - 1
+        out, last = np.empty(int(number.sum()), np.int32), np.cumsum(number) - 1
         for k, (r, p) in enumerate(steps):  # from the end of a unit to its beginning
             out[last[r] - k] = p
         return log, number, out
@@ -333,7 +338,7 @@ class TopK:
                 got = taken.setdefault((f, u), [tuple(store[s.place[u]:s.place[u] + s.number[u]].tolist())])
                 seg = self.units.sample_without(int(self.t[u]), got, lambda step, s=int(self.seed[d]), i=int(self.i[u]), r=r: _one(s, i, r, 5000 + step))
                 got.append(seg)
-                log[u], number[u], place[u] = self.units.lat.log(seg), len(seg), self._keep(np.array(seg, np.int64))
+                log[u], number[u], place[u] = self.units.lat.log(seg), len(seg), self._keep(np.array(seg, np.int32))
                 # what is left of the popped set
                 z = self.unit_z[u]
                 left = 1 - sum(np.exp(self.units.lat.log(x) - z) for x in got)
@@ -345,7 +350,7 @@ class TopK:
             fronts.append((s, self._front(s, np.where(np.isfinite(best), j - self.at[:-1], 1 << 60), best, 10 * r)))
 
     def pieces(self) -> np.ndarray:
-        self.store = [np.concatenate(self.store)] if self.store else [np.zeros(0, np.int64)]
+        self.store = [np.concatenate(self.store)] if self.store else [np.zeros(0, np.int32)]
         return self.store[0]
 
 
@@ -384,6 +389,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", samp
         lat = _lattices(packed.value)
         for batch in batches:
             for b in pieces(batch, 1, TEXT):
+                pa.default_memory_pool().release_unused()
                 keys, texts = b.column(0).to_pylist(), [t or "" for t in b.column(1).to_pylist()]
                 top = TopK(lat, texts, keys, samples, seed)
                 store = top.pieces()
