@@ -38,12 +38,3 @@ def hmac_sha256_hex(value: Column, salt: str | bytes) -> Column:
 def pseudonym(user: Column, salt: str | bytes) -> Column:
     """User pseudonym; a missing user id becomes the shared ``anon`` listener."""
     return F.coalesce(hmac_sha256_hex(user, salt), F.lit(ANON_USER))
-
-
-def pseudonym_sql(expr: str, salt: str | bytes) -> str:
-    """The same pseudonym as DuckDB SQL text (used by the oracle queries)."""
-    ipad, opad = hmac_pads(salt)
-    return (
-        f"coalesce(sha256(unhex('{opad.hex()}') || unhex(sha256(unhex('{ipad.hex()}') "
-        f"|| encode(cast({expr} AS VARCHAR))))), '{ANON_USER}')"
-    )

@@ -1,15 +1,24 @@
 """Independent DuckDB SQL for the registered queries (the correctness oracle).
 
 Written straight from the table mapping in ``sources.tables``; it shares no
-code with the Spark plans except the pseudonym key pads.
+code with the Spark plans, only their fixed values and query parameters.
 """
 
 from __future__ import annotations
 
 from streamcharts.constants import LATENCY_BUCKETS_SECONDS, SLO_THRESHOLDS
-from streamcharts.functions.privacy import pseudonym_sql
 from streamcharts.plans import params as P
 
+# HMAC-SHA256 by its definition, for a key of at most 64 bytes.
+_KEY = P.SALT.encode().ljust(64, b"\0")
+_INNER, _OUTER = (bytes(x ^ pad for x in _KEY).hex() for pad in (0x36, 0x5C))
+
+
+def pseudonym_sql(user: str) -> str:
+    inner = f"unhex(sha256(unhex('{_INNER}') || encode(CAST({user} AS VARCHAR))))"
+    return f"coalesce(sha256(unhex('{_OUTER}') || {inner}), 'anon')"
+
+
 ASOF = f"TIMESTAMP '{P.ASOF}'"
 WIN_LO = f"(date_trunc('minute', {ASOF}) - INTERVAL {P.WINDOW_MINUTES - 1} MINUTE)"
 WIN_HI = f"date_trunc('minute', {ASOF})"
@@ -48,7 +57,7 @@ EV = """ev AS (
   FROM events)"""
 
 PLAYS = f"""plays AS (
-  SELECT e.event_id, e.song_id, s.genre, {pseudonym_sql('e.user_id', P.SALT)} AS user_hash, e.ts,
+  SELECT e.event_id, e.song_id, s.genre, {pseudonym_sql('e.user_id')} AS user_hash, e.ts,
          date_trunc('minute', e.ts) AS window_start
   FROM ev e JOIN songs s ON s.id = e.song_id
   WHERE e.type = 'play')"""
@@ -131,7 +140,7 @@ ORACLE["for_you_all"] = _with(
   UNION ALL SELECT 'global-trending', song_id, rank FROM top)""",
     f"""picked AS (
   SELECT u.id AS user_id, coalesce(f.genre, 'global-trending') AS based_on
-  FROM users u LEFT JOIN fav f ON f.user_hash = {pseudonym_sql('u.id', P.SALT)})""",
+  FROM users u LEFT JOIN fav f ON f.user_hash = {pseudonym_sql('u.id')})""",
 ) + """
 SELECT p.user_id, p.based_on, c.rank, c.song_id AS id, c.title, c.genre, c.cover_url, c.artist
 FROM picked p LEFT JOIN (
@@ -152,7 +161,7 @@ FROM m"""
 ORACLE["decode_events"] = _with(*BASE, f"m AS ({MESSAGE_COLS})") + f"""
 SELECT type, CAST(song_id AS VARCHAR) AS "songId", genre, role,
        date_trunc('millisecond', ts) AS ts, date_trunc('minute', ts) AS window_start,
-       {pseudonym_sql('user_id', P.SALT)} AS user_hash, song_id,
+       {pseudonym_sql('user_id')} AS user_hash, song_id,
        CASE WHEN type IS NULL OR type NOT IN ('play', 'skip', 'like') THEN 'unknown_type'
             WHEN song_id IS NULL THEN 'bad_song_id'
             WHEN ts IS NULL THEN 'bad_ts'
@@ -160,7 +169,7 @@ SELECT type, CAST(song_id AS VARCHAR) AS "songId", genre, role,
 FROM m"""
 
 ORACLE["pseudonymize"] = _with(EV) + f"""
-SELECT event_id, {pseudonym_sql('user_id', P.SALT)} AS user_hash FROM ev"""
+SELECT event_id, {pseudonym_sql('user_id')} AS user_hash FROM ev"""
 
 ORACLE["events_by_type"] = _with(EV) + "SELECT type, CAST(count(*) AS BIGINT) AS events FROM ev GROUP BY type"
 
