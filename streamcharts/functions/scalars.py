@@ -27,6 +27,13 @@ def clamp_limit(limit, default: int, maximum: int) -> int:
     return int(max(1, math.floor(min(n, maximum))))  # +inf -> maximum; a fraction below 1 -> 1
 
 
+def clamped_limit(limit: Column, default: int, maximum: int) -> Column:
+    """``clamp_limit`` for a column of requested limits (text); a negative one, which a call refuses, is null."""
+    asked = F.coalesce(F.nanvl(limit.try_cast("double"), F.lit(0.0)), F.lit(0.0))
+    n = F.when(asked == 0, F.lit(float(default))).otherwise(asked)
+    return F.when(n >= 0, F.greatest(F.lit(1), F.floor(F.least(n, F.lit(float(maximum)))).cast("int")))
+
+
 def role_rank(role: Column) -> Column:
     expr = F.lit(None).cast("int")
     for name, rank in ROLE_RANK.items():

@@ -168,6 +168,15 @@ SELECT type, CAST(song_id AS VARCHAR) AS "songId", genre, role,
             WHEN genre IS NULL THEN 'missing_genre' END AS decode_error
 FROM m"""
 
+ORACLE["published_log"] = ORACLE["decode_events"]
+
+ORACLE["page_limits"] = """
+WITH a AS (SELECT event_id, CASE WHEN event_id % 7 > 1 THEN value - 20 END AS n FROM events)
+SELECT event_id,
+       CAST(CASE WHEN coalesce(n, 0) = 0 THEN 10 WHEN n > 0 THEN greatest(1, floor(least(n, 50))) END AS INTEGER) AS trending_limit,
+       CAST(CASE WHEN coalesce(n, 0) = 0 THEN 100 WHEN n > 0 THEN greatest(1, floor(least(n, 200))) END AS INTEGER) AS catalog_limit
+FROM a"""
+
 ORACLE["pseudonymize"] = _with(EV) + f"""
 SELECT event_id, {pseudonym_sql('user_id')} AS user_hash FROM ev"""
 

@@ -10,7 +10,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from streamcharts.constants import CATALOG_DEFAULT_LIMIT, CATALOG_MAX_LIMIT, TRENDING_DEFAULT_LIMIT, TRENDING_MAX_LIMIT
 from streamcharts.functions.privacy import pseudonym
+from streamcharts.functions.scalars import clamped_limit
 from streamcharts.functions.timefns import epoch_minute, minute_floor
 from streamcharts.operators import catalog as cat
 from streamcharts.operators import events as ev
@@ -22,7 +24,8 @@ from streamcharts.plans import params as P
 from streamcharts.session import scratch_path
 from streamcharts.sources import logs as lg
 from streamcharts.sources import tables as tb
-from streamcharts.sources.streams import message_stream
+from streamcharts.sources.schemas import MESSAGE_SCHEMA
+from streamcharts.sources.streams import message_stream, write_messages
 from streamcharts.streaming import compaction as cp
 from streamcharts.streaming import intake as si
 from streamcharts.streaming import stateful as st
@@ -130,6 +133,25 @@ def decode_events(spark, sf):
     )
 
 
+@register("published_log")
+def published_log(spark, sf):
+    """The whole log published in one batch write, read back and decoded."""
+    path = scratch_path(spark, "published")
+    write_messages(_messages(spark, sf), "json", path)
+    return ev.decode_messages(spark.read.schema(MESSAGE_SCHEMA).json(path), P.SALT).select(
+        "type", "songId", "genre", "role", "ts", "window_start", "user_hash", "song_id", "decode_error")
+
+
+@register("page_limits")
+def page_limits(spark, sf):
+    """Requested page sizes as clients send them (numbers, nothing, text) and what the two lists make of them."""
+    e = tb.read(spark, sf, "events")
+    asked = F.when(e.event_id % 7 == 0, F.lit(None)).when(e.event_id % 7 == 1, F.lit("many")).otherwise(
+        (e.value - 20).cast("string"))
+    return e.select("event_id", clamped_limit(asked, TRENDING_DEFAULT_LIMIT, TRENDING_MAX_LIMIT).alias("trending_limit"),
+                    clamped_limit(asked, CATALOG_DEFAULT_LIMIT, CATALOG_MAX_LIMIT).alias("catalog_limit"))
+
+
 @register("pseudonymize")
 def pseudonymize(spark, sf):
     e = tb.events(spark, sf)
