@@ -47,15 +47,16 @@ def chunk_of(df: DataFrame, keys: list[str], chunks: int) -> Column:
 
 
 def ranked(df: DataFrame, order: list[str], group: list[str] | None = None, next_of: str | None = None,
-           partitions: int | None = None, weight: str | None = None) -> DataFrame:
+           partitions: int | None = None, weight: str | None = None, bounds_from: DataFrame | None = None) -> DataFrame:
     """Add ``_rank`` (1-based position in ``order`` within ``group``) and, when
     ``next_of`` is given, ``_next`` = that column on the following row, wrapping
     to the group's first row. ``order`` must make rows unique within a group.
     With ``weight`` (a count column) a row takes that many places; ``_rank`` is its first.
+    ``bounds_from``: a cheaper frame with the same sort columns to draw the bounds from.
     """
     group = list(group or [])
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cut = df.withColumn("_chunk", chunk_of(df, [*group, *order], n))
+    cut = df.withColumn("_chunk", chunk_of(df if bounds_from is None else bounds_from, [*group, *order], n))
     in_chunk = Window.partitionBy("_chunk", *group).orderBy(*order)
     places = F.col(weight) if weight else F.lit(1)
     upto = F.sum(places).over(in_chunk.rowsBetween(Window.unboundedPreceding, 0)) - places + 1 if weight else (
@@ -94,9 +95,10 @@ def percentiles(df: DataFrame, value: str, ps: tuple[float, ...], group: list[st
     Equal values are counted first; distinct ones take their places from ``ranked`` (so no group has to
     fit into one task), and the two neighbours of each rank are picked by a maximum that combines map-side.
     """
-    counted = df.filter(F.col(value).isNotNull()).groupBy(*group, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_w"))
-    placed = ranked(counted, ["_v"], group, weight="_w")
-    totals = counted.groupBy(*[F.col(g).alias(f"_t_{g}") for g in group]).agg(F.sum("_w").alias("_total"))
+    values = df.filter(F.col(value).isNotNull()).select(*group, F.col(value).alias("_v"))
+    counted = values.groupBy(*group, "_v").agg(F.count(F.lit(1)).alias("_w"))
+    placed = ranked(counted, ["_v"], group, weight="_w", bounds_from=values)
+    totals = values.groupBy(*[F.col(g).alias(f"_t_{g}") for g in group]).agg(F.count(F.lit(1)).alias("_total"))
     cond = [F.col(g).eqNullSafe(F.col(f"_t_{g}")) for g in group]
     rows = placed.join(totals, cond)  # one row per group on the right
     first, last = F.col("_rank") - 1, F.col("_rank") - 1 + F.col("_w")
