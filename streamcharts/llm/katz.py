@@ -46,7 +46,7 @@ from streamcharts.llm.near_dedup import _mix, word_hashes
 from streamcharts.llm.words import pieces
 
 K = 5                    # counts up to this are discounted
-CHUNK = 16 << 20         # bytes of text in a chunk
+CHUNK = 10 << 20         # bytes of text in a chunk
 BUCKET = 2_000_000       # tokens that a bucket gets on average
 SHARE = 700_000          # tokens of a chunk whose pairs are worked out at a time
 FOLDS, FOLD = 7, 2       # held out: crc32 of the identifier modulo FOLDS is FOLD
@@ -85,6 +85,32 @@ def _as_floats(b: bytes) -> np.ndarray:
     return unpack(b).view(np.float64)
 
 
+_UNIT = float(1 << 32)
+
+
+def _sums_of_logs(a: np.ndarray) -> bytes:
+    """Sums of logarithms in units of 2 ** -32: a few of the eight planes hold anything."""
+    return pack(np.rint(a * _UNIT).astype(np.int64))
+
+
+def _as_sums_of_logs(b: bytes) -> np.ndarray:
+    return unpack(b) / _UNIT
+
+
+def _in_runs(values: np.ndarray, runs: np.ndarray) -> bytes:
+    """Values that ascend within runs, as differences there."""
+    step = np.diff(values, prepend=0)
+    start = np.cumsum(runs) - runs
+    step[start] = values[start]
+    return pack(step)
+
+
+def _from_runs(b: bytes, runs: np.ndarray) -> np.ndarray:
+    step = unpack(b)
+    total, start = np.cumsum(step), np.cumsum(runs) - runs
+    return total - np.repeat(total[start] - step[start], runs)
+
+
 def trains(doc_id) -> bool:
     return doc_id is None or zlib.crc32(str(doc_id).encode()) % FOLDS != FOLD
 
@@ -255,7 +281,7 @@ def _deal_pairs(buckets: int, offsets: np.ndarray, uni: Unigrams, d_train: int):
                 at = np.flatnonzero(new)
                 ctx, runs = np.unique(vs[at], return_counts=True)
                 yield _batch(_PAIRS_T, [(i, chunk, "pairs", [
-                    pack(np.diff(v_number[ctx], prepend=0)), pack(v_count[ctx]), pack(runs), pack(number[ws[at]]), pack(count[ws[at]]),
+                    pack(np.diff(v_number[ctx], prepend=0)), pack(v_count[ctx]), pack(runs), _in_runs(number[ws[at]], runs), pack(count[ws[at]]),
                     pack(np.diff(at, append=y - x)), pack(doc[x:y]), pack(times[x:y]), train], None)])
 
     return run, full
@@ -270,7 +296,9 @@ def _count_pairs(uni: Unigrams, full: int):
         for c, p in zip(table.column("chunk").to_pylist(), table.column("parts"), strict=True):
             p = p.as_py()
             # run lengths, documents and repeats are small
-            held.append((c, p[8], [unpack(x) if i in (0, 1, 3, 4) else unpack(x).astype(np.int32) for i, x in enumerate(p[:8])]))
+            runs = unpack(p[2]).astype(np.int32)
+            held.append((c, p[8], [unpack(p[0]), unpack(p[1]), runs, _from_runs(p[3], runs), unpack(p[4]),
+                                   *[unpack(x).astype(np.int32) for x in p[5:8]]]))
         v = np.concatenate([np.repeat(np.cumsum(p[0]), p[2]) for _, _, p in held])
         v_count = np.concatenate([np.repeat(p[1], p[2]) for _, _, p in held])
         w, w_count = (np.concatenate([p[k] for _, _, p in held]) for k in (3, 4))
@@ -295,8 +323,10 @@ def _count_pairs(uni: Unigrams, full: int):
         lower = np.bincount(ctx, np.where(c > 0, uni.p(w_count[rep]), 0.0), n_ctx)
         hot = cv > full
         stored = c > 0
+        followers = np.bincount(ctx[stored], minlength=n_ctx)
+        some = followers > 0
         rows = [(bucket, None, "table", [
-            pack(gv[first]), pack(np.bincount(ctx[stored], minlength=n_ctx)), pack(w[rep][stored]), pack(c[stored]), pack(cv),
+            pack(np.diff(gv[first], prepend=0)), pack(followers), _in_runs(w[rep][stored], followers[some]), pack(c[stored]), pack(cv),
             *[pack(x) for x in few], _floats(lower)], _stats(c[stored], []))]
         for i in np.flatnonzero(hot):
             rows.append((bucket, None, "hot", [np.int64(gv[first][i]).tobytes(), few[:, i].tobytes(), lower[i].tobytes()], None))
@@ -317,7 +347,7 @@ def _count_pairs(uni: Unigrams, full: int):
                 log = np.where(cq > 0, np.log10(np.maximum(cq, 1)) - np.log10(np.maximum(size, 1)), np.log10(uni.p(at_w)))
             seen_docs, d = np.unique(doc, return_inverse=True)
             m = [pack(np.bincount(d, times * (cq == r), len(seen_docs)).astype(np.int64)) for r in range(1, K + 1)]
-            rows.append((bucket, chunk, "sum", [pack(seen_docs), _floats(np.bincount(d, times * log, len(seen_docs))), *m], None))
+            rows.append((bucket, chunk, "sum", [_steps(seen_docs.astype(np.int64)), _sums_of_logs(np.bincount(d, times * log, len(seen_docs))), *m], None))
             for kind, mask in (("open", (cq == 0) & (cv[vq] > 0)), ("maybe", (cq > 0) & maybe[vq])):
                 if mask.any():
                     which, at = np.unique(vq[mask], return_inverse=True)
@@ -350,8 +380,8 @@ def _finish(d: np.ndarray, hot: dict[int, tuple[np.ndarray, float]], total: int)
         score = np.zeros(len(ids))
         for kind, _, parts, _ in rows:
             if kind == "sum":
-                value = _as_floats(parts[1]) + sum(unpack(m) * log_d[r] for r, m in enumerate(parts[2:], 1))
-                score[unpack(parts[0])] += value
+                value = _as_sums_of_logs(parts[1]) + sum(unpack(m) * log_d[r] for r, m in enumerate(parts[2:], 1))
+                score[_sums(parts[0])] += value
             elif kind in ("open", "maybe"):
                 doc, times, at, number, cv = (unpack(x) for x in parts[:5])
                 few, lower = np.stack([unpack(x) for x in parts[5:5 + K]]), _as_floats(parts[-1]).copy()
