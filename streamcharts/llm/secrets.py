@@ -25,7 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streamcharts.llm.words import word_counts
+from streamcharts.llm.common import in_batches
+from streamcharts.llm.words import most_frequent, word_counts
 
 WORDS, MIN_VALUE, MIN_GUESSES = 20_000, 6, 8.0
 KINDS = ("assign", "access", "hex", "guess")
@@ -128,7 +129,7 @@ def guess_spans(text: str, ranks: dict[str, int], longest: int) -> list[tuple[in
 def dictionary(docs: DataFrame, text_col: str = "text") -> dict[str, int]:
     """Rank of each of the most frequent words, from 1."""
     words = word_counts(docs, text_col).filter(F.col("word").rlike(r"^\p{L}{3,}$"))
-    return {r.word: k + 1 for k, r in enumerate(words.orderBy(F.desc("n"), "word").limit(WORDS).collect())}
+    return {w: k + 1 for k, w in enumerate(most_frequent(words, WORDS))}
 
 
 def _joined(spans) -> str:
@@ -158,5 +159,5 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
             yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(x, k) for x, k in zip(out, kinds, strict=True)]], names)
 
     schema = "n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string, n_guess bigint, guess_log10 double"
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
+    return in_batches(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))).mapInArrow(
         run, f"doc_id bigint, {schema}")

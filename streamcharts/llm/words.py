@@ -9,6 +9,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from streamcharts.llm.common import in_batches, written
+
 #: Bytes of text that are split into words at a time.
 PIECE = 4 << 20
 
@@ -44,5 +46,20 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """word, n over all documents; counted in each batch before the shuffle."""
-    return docs.select(F.col(text_col).alias("text")).mapInArrow(_count, "word string, n bigint").groupBy(
+    return in_batches(docs.select(F.col(text_col).alias("text"))).mapInArrow(_count, "word string, n bigint").groupBy(
         "word").agg(F.sum("n").alias("n"))
+
+
+def most_frequent(words: DataFrame, most: int) -> list[str]:
+    """The ``most`` words of the largest counts, ties in code point order.
+
+    A histogram over the counts' magnitudes (at most 64 * 16 rows) tells from which magnitude on to look, so that
+    tasks send the driver little more than what it keeps.
+    """
+    words = written(words.select("word", "n", F.floor(F.log2(F.col("n").cast("double")) * 16).alias("size")), "word-counts")
+    low, seen = 0, 0
+    for r in sorted(words.groupBy("size").count().collect(), reverse=True):
+        low, seen = r["size"], seen + r["count"]
+        if seen >= most:
+            break
+    return [r.word for r in words.filter(F.col("size") >= low).orderBy(F.desc("n"), "word").limit(most).collect()]

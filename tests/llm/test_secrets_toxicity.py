@@ -143,3 +143,14 @@ def test_labels_of_held_out_rows_do_not_matter(spark):
     turned = labels.withColumn("toxic", F.when(toxicity.held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
     a, b = (sorted(map(tuple, toxicity.score(docs, x).collect())) for x in (labels, turned))
     assert a == b
+
+
+def test_most_frequent_words(spark):
+    from collections import Counter
+
+    from streamcharts.llm.words import most_frequent, word_counts
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    want = Counter(w.decode() for r in docs.collect() for w in (r.text or "").encode().lower().split())
+    assert {r.word: r.n for r in word_counts(docs).collect()} == want
+    for k in (1, 50, 10**6):
+        assert most_frequent(word_counts(docs), k) == [w for w, _ in sorted(want.items(), key=lambda x: (-x[1], x[0].encode()))[:k]]
