@@ -28,6 +28,29 @@ def lower_ascii(text: Column) -> Column:
     )
 
 
+#: Bytes of an Arrow batch that a Python worker holds at a time. Texts are long, so rows are the wrong measure.
+ARROW_BYTES = "10m"
+
+
+def in_batches(df: DataFrame) -> DataFrame:
+    """``df`` for a Python stage: batches end at ARROW_BYTES, whatever the texts' lengths. A setting of the session."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
+    return df
+
+
+def smallest_hashes(df: DataFrame, most: int, *keys: str) -> DataFrame:
+    """The ``most`` rows with the smallest hashes of ``keys``: a sample that reruns agree on.
+
+    Rows far above the bound that so many rows would have are left out first, so that the tasks together
+    forward little more than what stays.
+    """
+    total, size = df.count(), 1 << 30
+    place = F.pmod(F.xxhash64(*keys), F.lit(size))
+    if total > 4 * most:
+        df = df.filter(place < int(size * (2 * most + 1000) / total))
+    return df.orderBy(place, *keys).limit(most)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared scratch folder, read back: cuts the lineage, outlives executors."""
     path = scratch_path(df.sparkSession, name)

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from streamcharts.llm.common import written
+from streamcharts.llm.common import smallest_hashes, written
 
 SCALE, TOP, EVERY = 256, 5, 50   # fixed values: the contract's scaling, results and queries
 SAMPLE, CHUNK, LEAF, FAN = 2_048, 1_024, 64, 16
@@ -142,7 +142,7 @@ def top_k(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
     n, width = rows.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
     if not n:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toArrow()
+    sample = smallest_hashes(rows, SAMPLE, "vec_id").toArrow()
     s_x, s_ids = _matrix(sample.column("v"), width), np.asarray(sample.column("vec_id"))
     walk, _, _ = farthest_first(s_x, min(PIVOTS, math.ceil(n / CHUNK)))
     pivots, coarse = s_x[walk], s_x[walk[:max(1, len(walk) // 16)]]

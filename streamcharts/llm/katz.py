@@ -41,12 +41,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streamcharts.llm.common import written
+from streamcharts.llm.common import in_batches, written
 from streamcharts.llm.near_dedup import _mix, word_hashes
 from streamcharts.llm.words import pieces
 
 K = 5                    # counts up to this are discounted
-CHUNK = 10 << 20         # bytes of text in a chunk
+CHUNK = 16 << 20         # bytes of text in a chunk at most; an Arrow batch has fewer, but for a longer text
 BUCKET = 2_000_000       # tokens that a bucket gets on average
 SHARE = 700_000          # tokens of a chunk whose pairs are worked out at a time
 FOLDS, FOLD = 7, 2       # held out: crc32 of the identifier modulo FOLDS is FOLD
@@ -401,7 +401,7 @@ def _finish(d: np.ndarray, hot: dict[int, tuple[np.ndarray, float]], total: int)
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_tokens: int = BUCKET) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document."""
     spark = docs.sparkSession
-    chunks = written(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
+    chunks = written(in_batches(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))).mapInArrow(
         _chunks, _CHUNK), "lm-chunks")
     tokens, d_train = chunks.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("d_train"), F.lit(0))).first()
     if not tokens:

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from streamcharts.llm.common import written
+from streamcharts.llm.common import in_batches, written
 from streamcharts.llm.words import pieces, words_of
 
 WIDTH = 5                  # words of a shingle
@@ -378,7 +378,7 @@ def _few_against_all(search: _Search, mixed: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    signs = written(docs.mapInArrow(_sign, "doc_id bigint, n_shingles bigint, key binary, sig binary"), "near-signs")
+    signs = written(in_batches(docs).mapInArrow(_sign, "doc_id bigint, n_shingles bigint, key binary, sig binary"), "near-signs")
     search = _Search(docs, signs)
     rows = search.reps.mapInArrow(_roots, "node bigint, id bigint")
     pairs = None

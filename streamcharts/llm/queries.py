@@ -55,6 +55,7 @@ def op10_stateful_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_katz_scoring, op2_pivotal_mixing, op3_cover_tree_search, op4_gumbel_segmentation, op5_guess_cost_secrets, op6_weak_supervision_pii, op7_chosen_path_near_dedup, op8_jump_sharding,
                                    op9_noisy_channel_toxicity, op10_stateful_dedup)}
 
+# Number 8: checksums bit by bit and the 64-bit generator in 128 bits, as DuckDB has neither.
 ORACLE = {
     "op3_cover_tree_search": """
         WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
@@ -88,6 +89,34 @@ ORACLE = {
                s.doc_id = coalesce(o.component_id, s.doc_id) AS kept
         FROM s LEFT JOIN c ON c.g = list_sort(s.g) LEFT JOIN o ON o.id = c.id
     """,
+    "op8_jump_sharding": """
+        WITH chunks AS (SELECT CAST(greatest(1, ceil(count(*) / (16384 * 24))) AS BIGINT) AS n FROM documents),
+        crc_table AS (
+            SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(CAST(n AS BIGINT), range(8)),
+                lambda c, i: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS t),
+        d AS (
+            SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+        s AS (
+            SELECT doc_id, octet_length(b) + 8 AS size,
+                   xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+                       list_transform(regexp_extract_all(hex(b), '..'), lambda x: CAST('0x' || x AS BIGINT))),
+                       lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]))) AS text_crc32,
+                   CASE WHEN doc_id < 0 THEN CAST(doc_id AS HUGEINT) + 18446744073709551616 ELSE CAST(doc_id AS HUGEINT) END AS key
+            FROM d, crc_table),
+        j AS (
+            SELECT *, list_reduce(list_prepend({'k': key, 'j': CAST(0 AS BIGINT), 's0': CAST(0 AS BIGINT), 's1': CAST(0 AS BIGINT)},
+                list_transform(range(25), lambda i: {'k': CAST(0 AS HUGEINT), 'j': CAST(0 AS BIGINT), 's0': CAST(0 AS BIGINT), 's1': CAST(0 AS BIGINT)})),
+                lambda a, i: CASE WHEN a.j >= 25 THEN a ELSE {
+                    'k': (a.k * 2862933555777941757 + 1) % 18446744073709551616,
+                    'j': CAST(floor((a.j + 1) * (CAST(2147483648 AS DOUBLE) /
+                              CAST(((a.k * 2862933555777941757 + 1) % 18446744073709551616) // 8589934592 + 1 AS DOUBLE))) AS BIGINT),
+                    's0': CASE WHEN a.j < 24 THEN a.j ELSE a.s0 END, 's1': a.j} END) AS e
+            FROM s)
+        SELECT doc_id, CAST(size AS BIGINT) AS size, text_crc32, 'key' AS law, CAST(e.s0 AS INTEGER) AS shard,
+               CAST(row_number() OVER (PARTITION BY e.s0 ORDER BY chunk, doc_id, text_crc32, size) - 1 AS BIGINT) AS slot,
+               CAST(e.s1 AS INTEGER) AS grown_shard
+        FROM (SELECT *, ((doc_id % n + n) % n + text_crc32) % n AS chunk FROM j, chunks)
+    """,
     "op10_stateful_dedup": """
         WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                                             'abcdefghijklmnopqrstuvwxyz') AS norm FROM documents)

@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from streamcharts.llm.common import in_batches
 from streamcharts.llm.words import pieces
 
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
@@ -82,10 +83,14 @@ class _Lattices:
             codes = np.frombuffer(name.encode("utf-32-le"), np.uint32).astype(np.uint64)
             by.setdefault(len(name), []).append((int(list(self.hashes(codes, len(name)))[-1][1][0]), i))
         self.by_length = {n: tuple(np.array(x, t) for x, t in zip(zip(*sorted(p), strict=True), (np.uint64, np.int64), strict=True)) for n, p in by.items()}
-        self.maybe = {}
+        # first place to look for a hash: its piece, -1 for none, -2 for several
+        self.slots = {}
         for n, (h, _) in self.by_length.items():
-            self.maybe[n] = np.zeros(1 << 20, bool)
-            self.maybe[n][h >> _U(44)] = True
+            slots, at = np.full(1 << 18, -1, np.int32), (h >> _U(46)).astype(np.int64)
+            slots[at] = np.arange(len(h))
+            several, number = np.unique(at, return_counts=True)
+            slots[several[number > 1]] = -2
+            self.slots[n] = slots
         inner = {c for p in v.names.values() if len(p) > 1 for c in p} - {" "}
         chars = "".join(map(re.escape, sorted(inner)))
         self.unit = re.compile(f" *[{chars}]+| +|[^ {chars}]" if chars else " +|[^ ]", re.DOTALL)
@@ -122,10 +127,12 @@ class Units:
         for n, (at, h) in enumerate(lat.hashes(codes, max(lat.by_length), left), 1):
             if not len(at) or n not in lat.by_length:
                 continue
-            hit = lat.maybe[n][h >> _U(44)]
-            at, h = at[hit], h[hit]
             known, ids = lat.by_length[n]
-            i = np.minimum(np.searchsorted(known, h), len(known) - 1)
+            i = lat.slots[n][h >> _U(46)]
+            hit = np.flatnonzero(i != -1)
+            at, h, i = at[hit], h[hit], i[hit]
+            several = np.flatnonzero(i == -2)
+            i[several] = np.minimum(np.searchsorted(known, h[several]), len(known) - 1)
             hit = known[i] == h
             node = at[hit] + unit[at[hit]]
             start.append(node), end.append(node + n), piece.append(ids[i[hit]])
@@ -408,7 +415,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", samp
                         pa.array(inclusion), pa.array([ids[ends[d]:ends[d + 1]].tobytes() for d in open_docs.tolist()], pa.binary())],
                         ["doc_id", "sample", "n_ids", "log_prob", "perturbed", "inclusion", "ids"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, _ROWS)
+    return in_batches(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))).mapInArrow(run, _ROWS)
 
 
 def decode(encoded: DataFrame, model: str = PIECES, ids_col: str = "ids") -> DataFrame:
@@ -423,4 +430,4 @@ def decode(encoded: DataFrame, model: str = PIECES, ids_col: str = "ids") -> Dat
                      for x in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], names)
 
-    return encoded.mapInArrow(run, StructType([*encoded.schema.fields, StructField("text", StringType())]))
+    return in_batches(encoded).mapInArrow(run, StructType([*encoded.schema.fields, StructField("text", StringType())]))

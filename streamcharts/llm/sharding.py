@@ -72,7 +72,7 @@ def shard(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str =
     """doc_id, size, text_crc32, law, shard, slot, grown_shard of every row of ``docs``.
 
     Slots number the rows of a shard from 0 without gaps. A shard is numbered in chunks of about
-    ``rows_per_chunk`` rows (by a hash, so that no shard is one task): a running count inside each
+    ``rows_per_chunk`` rows (by identifier and checksum, so that no shard is one task): a running count inside each
     chunk, plus the rows of the chunks before it. Equal rows are counted before the shuffle and
     spread out again at the end, so a row repeated any number of times is one row to the window.
     """
@@ -86,7 +86,7 @@ def shard(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str =
     j = jump_shards(F.col("doc_id"), (shards, shards + 1))
     placed = rows.withColumn("_j", j).select(
         "doc_id", "size", "text_crc32", "n", F.col("_j.s0").alias("shard"), F.col("_j.s1").alias("grown_shard"),
-        F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(chunks)).alias("chunk"),
+        F.pmod(F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(chunks)) + F.col("text_crc32"), F.lit(chunks)).alias("chunk"),
     )
     before = placed.groupBy("shard", "chunk").agg(F.sum("n").alias("n")).select(
         "shard", "chunk",

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from streamcharts.llm.common import written
+from streamcharts.llm.common import in_batches, smallest_hashes, written
 from streamcharts.llm.words import word_counts
 
 SAMPLE, TERMS, FOLDS = 20_000, 2_000, 5
@@ -151,7 +151,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     """text, toxic of the sample: the labelled training documents with the smallest hashes."""
     known = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col))).groupBy(
         F.col(id_col).alias("_label_id")).agg(F.max(label_col).cast("int").alias("toxic"))
-    sample = F.broadcast(known.orderBy(F.xxhash64("_label_id"), "_label_id").limit(SAMPLE))  # SAMPLE rows at most
+    sample = F.broadcast(smallest_hashes(known, SAMPLE, "_label_id"))  # SAMPLE rows at most
     return docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(
         sample, F.col("_id") == F.col("_label_id")).select("_id", "text", "toxic")
 
@@ -233,7 +233,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             s = 1 / (1 + np.exp(-np.clip(odds(b.column(1)), -50, 50)))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s)], ["doc_id", "score"])
 
-    scored = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
+    scored = in_batches(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))).mapInArrow(
         run, "doc_id bigint, score double")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
@@ -250,4 +250,4 @@ def clean_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
         for b in batches:
             yield b.filter(pa.array(odds(b.column(at)) < 0))
 
-    return docs.mapInArrow(run, docs.schema)
+    return in_batches(docs).mapInArrow(run, docs.schema)
