@@ -29,12 +29,12 @@ def lower_ascii(text: Column) -> Column:
 
 
 #: Bytes of an Arrow batch that a Python worker holds at a time. Texts are long, so rows are the wrong measure.
-ARROW_BYTES = "10m"
+ARROW_BYTES = "4m"
 
 
-def in_batches(df: DataFrame) -> DataFrame:
-    """``df`` for a Python stage: batches end at ARROW_BYTES, whatever the texts' lengths. A setting of the session."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
+def in_batches(df: DataFrame, size: str = ARROW_BYTES) -> DataFrame:
+    """``df`` for a Python stage: batches end at ``size``, whatever the texts' lengths. A setting of the session."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
     return df
 
 

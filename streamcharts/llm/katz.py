@@ -401,7 +401,7 @@ def _finish(d: np.ndarray, hot: dict[int, tuple[np.ndarray, float]], total: int)
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_tokens: int = BUCKET) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document."""
     spark = docs.sparkSession
-    chunks = written(in_batches(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))).mapInArrow(
+    chunks = written(in_batches(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), "10m").mapInArrow(
         _chunks, _CHUNK), "lm-chunks")
     tokens, d_train = chunks.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("d_train"), F.lit(0))).first()
     if not tokens:

@@ -47,6 +47,8 @@ FEW, BLOCK = 512, 2048     # documents outside that are compared with so many of
 DEPTH = 24                 # levels before the last resort
 LIKELY = 0.5               # signatures that agree so often make a candidate (4.6 deviations below the threshold)
 
+PIECE = 2 << 20             # bytes of text worked on at a time
+
 _U = np.uint64
 _rng = np.random.default_rng(20_011)
 _MULTIPLY = _rng.integers(1, 2**63, COORDINATES, dtype=np.uint64) * _U(2) + _U(1)
@@ -117,7 +119,8 @@ def _signatures(sets: list[np.ndarray]) -> list[bytes | None]:
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for b in pieces(batch, 1):
+        pa.default_memory_pool().release_unused()
+        for b in pieces(batch, 1, PIECE):
             sets = shingle_sets(b.column(1))
             keys = [xxhash.xxh128_digest(s.tobytes()) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
@@ -127,7 +130,8 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for b in pieces(batch, 1):
+        pa.default_memory_pool().release_unused()
+        for b in pieces(batch, 1, PIECE):
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([s.tobytes() for s in shingle_sets(b.column(1))], pa.binary())], ["id", "full"])
 

@@ -13,6 +13,8 @@ from streamcharts.llm.common import in_batches, written
 
 #: Bytes of text that are split into words at a time.
 PIECE = 4 << 20
+#: Distinct words that a task counts before it hands them on.
+HELD = 200_000
 
 
 def pieces(batch: pa.RecordBatch, column: int, size: int = PIECE) -> Iterator[pa.RecordBatch]:
@@ -34,18 +36,27 @@ def words_of(texts: pa.Array) -> pa.ListArray:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: dict[str, int] = {}
+
+    def counted() -> pa.RecordBatch:
+        held.pop("", None)
+        out = pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.string()), pa.array(held.values(), pa.int64())], ["word", "n"])
+        held.clear()
+        return out
+
     for batch in batches:
-        held: dict[str, int] = {}
         for part in pieces(batch, 0):
             got = pc.value_counts(words_of(part.column(0)).flatten())
             for w, n in zip(got.field("values").to_pylist(), got.field("counts").to_pylist(), strict=True):
                 held[w] = held.get(w, 0) + n
-        held.pop("", None)
-        yield pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.string()), pa.array(held.values(), pa.int64())], ["word", "n"])
+        if len(held) > HELD:
+            yield counted()
+            pa.default_memory_pool().release_unused()
+    yield counted()
 
 
 def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """word, n over all documents; counted in each batch before the shuffle."""
+    """word, n over all documents; counted in each task before the shuffle."""
     return in_batches(docs.select(F.col(text_col).alias("text"))).mapInArrow(_count, "word string, n bigint").groupBy(
         "word").agg(F.sum("n").alias("n"))
 
