@@ -8,9 +8,10 @@ one another by signature; a larger one branches again. Independent trees repeat
 
 A node that cannot be split, thousands of near copies, is not compared pair by pair. Its leader, the document
 nearest to the node's commonest signature, is compared with the others (a join on the node, whose tasks Spark can
-split); nodes with one leader are one cluster from then on. What is then in one component needs no further
-comparison. If most of a cluster resembles its leader, or few of it are outside its largest component, those
-outside are compared with all of it, in blocks, on the full sets; otherwise it branches again, up to ``DEPTH`` levels.
+split); for these comparisons nodes with one leader, of whatever tree, are one cluster. What is then in one component
+needs no further comparison. If most of a cluster resembles its leader, or few of it are outside its largest component,
+those outside are compared with all of it, in blocks, on the full sets; otherwise each of its nodes branches again by its
+own key, so that trees stay independent, up to ``DEPTH`` levels.
 
 Every link is confirmed on the full sets: first one link a document and node, then those between components.
 Components come from alternating large-star and small-star steps. Pair work stays near-linear: only pairs
@@ -334,14 +335,15 @@ def _nearest(table: pa.Table) -> pa.Table:
     return pa.table({"node": table.column("node")[:1], "id": ids[best:best + 1], "agree": agree[best:best + 1]})
 
 
-def _clusters(search: _Search, large: DataFrame, level: int) -> DataFrame:
-    """Rows (node, id, leader): nodes with the same leader as one."""
+def _clusters(search: _Search, large: DataFrame, level: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (node, id, leader): nodes with the same leader as one. Rows (node, cluster): the cluster of each node."""
     chunk = F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / BLOCK))
     leaders = large.join(search.reps, "id").withColumn("chunk", chunk).groupBy("node", "chunk").applyInArrow(
         _nearest, "node bigint, id bigint, agree bigint").groupBy("node").agg(
         F.max_by("id", F.struct("agree", -F.col("id"))).alias("leader"))
-    merged = large.join(leaders, "node").select("leader", "id").distinct()
-    return written(merged.select(F.xxhash64("leader", F.lit(level)).alias("node"), "id", "leader"), "near-clusters")
+    leaders = written(leaders.withColumn("cluster", F.xxhash64("leader", F.lit(level))), "near-leaders")
+    merged = large.join(leaders, "node").select(F.col("cluster").alias("node"), "id", "leader").distinct()
+    return written(merged, "near-clusters"), leaders.select("node", "cluster")
 
 
 def _star_pairs(search: _Search, clusters: DataFrame) -> DataFrame:
@@ -395,16 +397,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 large.select("id")))
         if large.isEmpty():
             break
-        clusters = _clusters(search, large, level)
+        clusters, cluster_of = _clusters(search, large, level)
         stars = _star_pairs(search, clusters)
         search.confirm(search.apart(stars.select("a", "b")))
         mixed = _mixed(search, clusters, stars)
         done = F.lit(level == DEPTH) | F.col("done")
         search.add(_few_against_all(search, mixed.filter(done)))
-        again = mixed.filter(~done)
+        again = mixed.filter(~done).select(F.col("node").alias("cluster")).distinct()
         if again.isEmpty():
             break
-        rows = again.select("node", "id").join(search.reps, "id").select("node", "id", "sig").mapInArrow(_branch, "node bigint, id bigint")
+        # the nodes themselves branch, not their clusters: a pair that one tree loses is left to the others
+        live = large.join(cluster_of.join(again, "cluster", "left_semi"), "node").select("node", "id")
+        rows = live.join(search.reps, "id").select("node", "id", "sig").mapInArrow(_branch, "node bigint, id bigint")
     search.confirm(search.apart(pairs.filter("first").select("a", "b")))
     search.confirm(search.apart(pairs.select("a", "b")))
 

@@ -67,6 +67,17 @@ def test_near_duplicates_against_all_pairs(spark, none):
     assert nd.near_duplicates(none).count() == 0
 
 
+def test_pairs_that_share_mostly_a_common_passage(spark):
+    """Planted pairs of 0.76 to 0.79, most of it a passage that thousands of other, longer documents hold as well."""
+    passage, pairs = [f"common{i}" for i in range(200)], 500
+    docs = [(2 * i + j, " ".join([*passage, *[f"both{i}x{k}" for k in range(45)], *[f"own{i}x{j}x{k}" for k in range(32 + i % 6)]]))
+            for i in range(pairs) for j in (0, 1)]
+    docs += [(10**6 + i, " ".join([*passage, *[f"long{i}x{k}" for k in range(250 + i * 37 % 500)]])) for i in range(3000)]
+    got = {r.doc_id: r.component_id for r in nd.near_duplicates(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+    assert sum(got[2 * i] == got[2 * i + 1] == 2 * i for i in range(pairs)) == pairs
+    assert all(got[i] == i for i in got if i >= 10**6)
+
+
 def test_last_resort_and_levels(spark, monkeypatch):
     """Hardly any levels and small nodes: the rest is compared across components."""
     rnd = np.random.default_rng(5)
