@@ -9,7 +9,8 @@ words of a pair do not change, so a source's total stays on its target.
 Sources are cut into buckets of about ``bucket_rows`` documents by a hash, each bucket is one group of
 ``applyInPandas`` and leaves at most one fractional document; these residuals meet in the next level of a
 reduction tree (``FAN_IN`` buckets a group) until one is left a source. Every level is written to the
-shared folder. Draws come from a hash of seed, document and level: reruns agree.
+shared folder. A hash of seed, document and level orders a group; its draws come from a generator seeded by seed, level,
+source and part, so they do not depend on that order. Reruns agree.
 
 The root's residual is what no pair can settle. ``finish="trim"``: the mix takes that document's words
 up to the target. ``finish="round"``: it is copied whole with its probability.
@@ -25,6 +26,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -66,11 +68,13 @@ def targets(rows: DataFrame, share: float = 1.5, weights: tuple[float, ...] = (3
             F.least(F.col("cap"), F.col("_to") * F.col("weight"))).alias("target"))
 
 
-def _pivot(group: pd.DataFrame) -> pd.DataFrame:
+def _pivot(key: tuple, group: pd.DataFrame, seed: int, level: int) -> pd.DataFrame:
     """Pair the documents of a group one after the other; at most one stays fractional."""
     group = group.sort_values(["u", "doc_id", "size"], kind="stable").reset_index(drop=True)
     p, size, copies = group["p"].to_numpy().copy(), group["size"].to_numpy(), group["copies"].to_numpy().copy()
-    draw = (group["u"].to_numpy().astype(np.uint64) >> np.uint64(11)).astype(np.float64) / float(1 << 53)
+    source, part = key
+    name = f"{seed}:{level}:{int(part)}:" + ("n" if source is None else f"s{source}")
+    draw = np.random.Generator(np.random.PCG64(xxhash.xxh64_intdigest(name.encode("utf-8", "surrogatepass")))).random(len(p))
     i = -1  # the document that is fractional so far
     for j in range(len(p)):
         if p[j] == 0.0 or p[j] == 1.0 or i < 0:
@@ -92,6 +96,10 @@ def _pivot(group: pd.DataFrame) -> pd.DataFrame:
     return group
 
 
+def _pivots(seed: int, level: int):
+    return lambda key, group: _pivot(key, group, seed, level)
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", share: float = 1.5,
         weights: tuple[float, ...] = (3, 1, 2), most: float = 2.0, seed: int = 17, bucket_rows: int = 1024,
         finish: str = "trim") -> DataFrame:
@@ -110,7 +118,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     done = []
     parts, level = max(1, math.ceil(biggest / bucket_rows)), 0
     while True:
-        state = written(state.groupBy("source", "part").applyInPandas(_pivot, _STATE), f"mix-level{level}")
+        state = written(state.groupBy("source", "part").applyInPandas(_pivots(seed, level), _STATE), f"mix-level{level}")
         if parts <= 1:
             break
         done.append(state.filter("p = 0"))

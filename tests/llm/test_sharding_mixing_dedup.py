@@ -145,6 +145,19 @@ def test_mix_tree(spark):
     check_mix(mixing.mix(df, bucket_rows=4).collect(), docs)
 
 
+def test_mix_keeps_the_expectation_of_every_length(spark):
+    """Long and short documents are copied alike: mean copies over many sources and seeds, and in levels of the tree."""
+    docs = spark.range(40 * 1024).selectExpr("id AS doc_id", "concat('s', id % 40) AS source",
+                                             "repeat('w ', if(id DIV 40 % 20 = 0, 40, 2)) AS text").cache()
+    for share, bucket_rows in ((0.2, 2048), (0.8, 2048), (0.8, 16)):
+        for seed in (17, 1017):
+            got = mixing.mix(docs, share=share, weights=(1,), seed=seed, bucket_rows=bucket_rows, finish="round").groupBy(
+                "size").agg(F.avg("copies").alias("mean"), F.count(F.lit(1)).alias("n")).collect()
+            assert len(got) == 2
+            for r in got:
+                assert abs(r["mean"] - share) < 5 * (share * (1 - share) / r.n) ** 0.5, (share, bucket_rows, seed, r)
+
+
 def test_mixed_documents(spark, odd):
     got, plan = mixing.mixed_documents(odd), mixing.mix(odd, finish="round").collect()
     assert got.columns == odd.columns
