@@ -29,8 +29,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sampled segmentations of every document of the mix."""
-    return segmentation.encode(docs)
+    """Sampled segmentations of every document of the mix, and digest and length of the text that each decodes to."""
+    return segmentation.encode(docs, spelled=True)
 
 
 STAGES = [

@@ -24,8 +24,8 @@ def op3_cover_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_gumbel_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each document's samples, the identifiers as a digest."""
-    return segmentation.encode(table(spark, sf_dir, "documents")).withColumn("ids_sha256", F.sha2("ids", 256)).drop("ids")
+    """Each document's samples, the identifiers as a digest, with digest and length of the text that they decode to."""
+    return segmentation.encode(table(spark, sf_dir, "documents"), spelled=True).withColumn("ids_sha256", F.sha2("ids", 256)).drop("ids")
 
 
 def op5_guess_cost_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,6 +23,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -38,7 +39,7 @@ from streamcharts.llm.common import in_batches
 from streamcharts.llm.words import pieces
 
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
-SAMPLES = 2
+SAMPLES = 4
 SEED = 4
 BYTE_COST = 12.0   # natural log; a byte is so much less likely than the first piece
 TEXT = 2 << 20    # bytes of text worked on at a time
@@ -376,6 +377,14 @@ def _ids(lat: _Lattices, pieces: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 _ROWS = "doc_id bigint, sample int, n_ids int, log_prob double, perturbed double, inclusion double, ids binary"
 
 
+_SPELLED = "text_sha256 string, text_length int"
+
+
+def _spell(table: list[bytes], ids: bytes) -> str:
+    """The text that 32-bit identifiers spell."""
+    return b"".join([table[i] for i in np.frombuffer(ids, "<i4").tolist()]).decode("utf-8", "replace")[1:]
+
+
 @lru_cache(2)
 def _lattices(packed: bytes) -> _Lattices:
     import pickle
@@ -384,9 +393,10 @@ def _lattices(packed: bytes) -> _Lattices:
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", samples: int = SAMPLES, model: str = PIECES,
-           seed: int = SEED) -> DataFrame:
+           seed: int = SEED, spelled: bool = False) -> DataFrame:
     """doc_id, sample (from 1, by falling perturbed value), n_ids, log_prob (of the segmentation, all summing to 1),
     perturbed (against the text's mass), inclusion (probability under the threshold), ids (32-bit, little-endian).
+    ``spelled``: also text_sha256 and text_length (characters) of what the identifiers of each row decode to.
     """
     import pickle
 
@@ -409,13 +419,23 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", samp
                     ids = ids.astype("<i4")
                     log = np.minimum(top._per_doc(s.log) - top.z, 0.0)[open_docs]
                     inclusion = -np.expm1(-np.exp(np.minimum(log - threshold[open_docs], 700.0)))
-                    yield pa.RecordBatch.from_arrays([
+                    packed_ids = [ids[ends[d]:ends[d + 1]].tobytes() for d in open_docs.tolist()]
+                    columns = [
                         pa.array([keys[d] for d in open_docs.tolist()], pa.int64()), pa.array(np.full(len(open_docs), n, np.int32)),
                         pa.array(np.diff(ends)[open_docs].astype(np.int32)), pa.array(log), pa.array((value - top.z)[open_docs]),
-                        pa.array(inclusion), pa.array([ids[ends[d]:ends[d + 1]].tobytes() for d in open_docs.tolist()], pa.binary())],
-                        ["doc_id", "sample", "n_ids", "log_prob", "perturbed", "inclusion", "ids"])
+                        pa.array(inclusion), pa.array(packed_ids, pa.binary())]
+                    names = ["doc_id", "sample", "n_ids", "log_prob", "perturbed", "inclusion", "ids"]
+                    if spelled:
+                        digests, lengths = [], []
+                        for x in packed_ids:
+                            text = _spell(lat.v.bytes, x)
+                            digests.append(hashlib.sha256(text.encode()).hexdigest()), lengths.append(len(text))
+                        columns += [pa.array(digests, pa.string()), pa.array(lengths, pa.int32())]
+                        names += ["text_sha256", "text_length"]
+                    yield pa.RecordBatch.from_arrays(columns, names)
 
-    return in_batches(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))).mapInArrow(run, _ROWS)
+    return in_batches(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))).mapInArrow(
+        run, f"{_ROWS}, {_SPELLED}" if spelled else _ROWS)
 
 
 def decode(encoded: DataFrame, model: str = PIECES, ids_col: str = "ids") -> DataFrame:
@@ -426,8 +446,7 @@ def decode(encoded: DataFrame, model: str = PIECES, ids_col: str = "ids") -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
         for b in batches:
-            texts = [None if x is None else b"".join([table[i] for i in np.frombuffer(x, "<i4").tolist()]).decode("utf-8", "replace")[1:]
-                     for x in b.column(at).to_pylist()]
+            texts = [None if x is None else _spell(table, x) for x in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], names)
 
     return in_batches(encoded).mapInArrow(run, StructType([*encoded.schema.fields, StructField("text", StringType())]))

@@ -1,3 +1,4 @@
+import hashlib
 import math
 from collections import Counter, defaultdict
 
@@ -115,3 +116,11 @@ def test_query(spark):
     assert set(per) == set(docs) and max(per.values()) == sg.SAMPLES
     back = sg.decode(sg.encode(spark.read.parquet(f"{SF}/documents.parquet"))).collect()
     assert len(back) == len(rows) and all(r.text == docs[r.doc_id] for r in back)
+
+
+def test_query_decodes_every_sample(spark):
+    """More than two samples a text, all of which spell it."""
+    docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = QUERIES["op4_gumbel_segmentation"](spark, SF).collect()
+    assert max(r.sample for r in rows) > 2
+    assert all((r.text_sha256, r.text_length) == (hashlib.sha256(docs[r.doc_id].encode()).hexdigest(), len(docs[r.doc_id])) for r in rows)
