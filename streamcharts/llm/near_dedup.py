@@ -18,8 +18,9 @@ Components come from alternating large-star and small-star steps. Pair work stay
 that the signatures hold similar reach the confirmation.
 
 Defined results: null text, empty text and text without words have an empty set and link with nothing; fewer than
-five words are one shingle; rows that share an identifier count as one document; without an identifier a row
-joins its class but lends it no number; repeated rows and equal texts share a component; an empty table gives an
+five words are one shingle; rows that share an identifier count as one document; rows without one go by a 64-bit hash
+of their text, so those of equal texts are one document: they are compared and linked like others, but a component is
+numbered by its identifiers only (null if it has none; then the smallest hash is kept); repeated rows and equal texts share a component; an empty table gives an
 empty result; other columns are ignored.
 """
 
@@ -32,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from streamcharts.llm.common import in_batches, written
@@ -126,7 +127,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys = [xxhash.xxh128_digest(s.tobytes()) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()),
-                 pa.array(_signatures(sets), pa.binary())], ["doc_id", "n_shingles", "key", "sig"])
+                 pa.array(_signatures(sets), pa.binary()), b.column(2)], ["doc_id", "n_shingles", "key", "sig", "named"])
 
 
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -278,7 +279,7 @@ class _Search:
         self.spark: SparkSession = docs.sparkSession
         self.docs = docs
         self.reps = written(signs.filter("n_shingles > 0").groupBy("key").agg(
-            F.min("doc_id").alias("id"), F.first("sig").alias("sig")).filter("id is not null").select("id", "sig"), "near-reps")
+            F.min("doc_id").alias("id"), F.first("sig").alias("sig")).select("id", "sig"), "near-reps")
         self.labels = self.spark.createDataFrame([], "id bigint, label bigint")
         self.sets: DataFrame | None = None
 
@@ -381,10 +382,23 @@ def _few_against_all(search: _Search, mixed: DataFrame) -> DataFrame:
     return few.unionByName(others).join(search.sets, "id").groupBy("node", "block", "chunk").applyInArrow(_compare_full, _PAIR)
 
 
+def _own(id_col: str, text_col: str) -> Column:
+    """What a row goes by: its identifier, or else a hash of its text."""
+    return F.coalesce(F.col(id_col).cast("long"), F.xxhash64(F.lit("no identifier"), F.col(text_col)))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row."""
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    signs = written(in_batches(docs).mapInArrow(_sign, "doc_id bigint, n_shingles bigint, key binary, sig binary"), "near-signs")
+    return _labelled(docs, id_col, text_col).select(
+        F.when(F.col("named"), F.col("own")).alias("doc_id"), "n_shingles", "component_id", "kept")
+
+
+def _labelled(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """own, named, n_shingles, component_id, kept of every row."""
+    docs = docs.select(_own(id_col, text_col).alias("doc_id"), F.col(text_col).alias("text"),
+                       F.col(id_col).cast("long").isNotNull().alias("named"))
+    signs = written(in_batches(docs).mapInArrow(
+        _sign, "doc_id bigint, n_shingles bigint, key binary, sig binary, named boolean"), "near-signs")
     search = _Search(docs, signs)
     rows = search.reps.mapInArrow(_roots, "node bigint, id bigint")
     pairs = None
@@ -416,16 +430,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         search.labels, "id", "left").select("key", F.coalesce("label", "id").alias("component"))
     out = signs.drop("sig").join(classes, "key", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"),
-                      F.col("doc_id").eqNullSafe(component).alias("kept"))
+    out = out.select(F.col("doc_id").alias("own"), "named", "n_shingles", component.alias("component_id"))
+    if signs.filter(~F.col("named")).isEmpty():
+        return out.withColumn("kept", F.col("own") == F.col("component_id"))
+    heads = out.groupBy("component_id").agg(F.min(F.when(F.col("named"), F.col("own"))).alias("_first"), F.min("own").alias("_any"))
+    return out.join(heads, "component_id").select("own", "named", "n_shingles", F.col("_first").alias("component_id"),
+                                                  (F.col("own") == F.coalesce("_first", "_any")).alias("kept"))
 
 
 def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that stay, one of each component, with the columns of ``docs``."""
-    stay = written(near_duplicates(docs, id_col, text_col).filter("kept").groupBy(F.col("doc_id").alias("__near_id")).agg(
+    stay = written(_labelled(docs, id_col, text_col).filter("kept").groupBy(F.col("own").alias("__near_id")).agg(
         F.count(F.lit(1)).alias("__near_n")), "near-kept")
-    kept = docs.join(stay, docs[id_col].cast("long").eqNullSafe(stay["__near_id"]))
+    kept = docs.withColumn("__near_own", _own(id_col, text_col)).join(stay, F.col("__near_own") == F.col("__near_id"))
     if not stay.filter("__near_n > 1").isEmpty():  # rows that share an identifier: the first of them
         order = Window.partitionBy("__near_id").orderBy(*docs.columns)
         kept = kept.withColumn("__near_n", F.row_number().over(order)).filter("__near_n = 1")
-    return kept.select(*[kept[c] for c in docs.columns])
+    return kept.select(*docs.columns)

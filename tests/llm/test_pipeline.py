@@ -95,6 +95,24 @@ def test_near_duplicates_odd_rows(spark, odd):
     assert kept.schema == odd.schema and Counter(r.doc_id for r in kept.collect())[4] == 1
 
 
+def test_documents_without_an_identifier(spark):
+    """Different texts all stay; near copies leave one, that with an identifier if there is one."""
+    words = lambda g, edit="": " ".join([*[f"g{g}w{k}" for k in range(60)], f"end{g}{edit}"])
+    rows = [(None, words(g)) for g in range(6)] + [(None, words(2, e)) for e in "ab"] + [(None, words(3))]
+    rows += [(7, words(4, "x")), (8, words(9)), (None, ""), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = nd.near_duplicates(docs).collect()
+    assert Counter(r.doc_id for r in got) == Counter(i for i, _ in rows)
+    assert Counter(r.component_id for r in got) == {None: 10, 7: 2, 8: 1}
+    kept = nd.kept_documents(docs)
+    assert kept.schema == docs.schema
+    kept = [tuple(r) for r in kept.collect()]
+    twos = {t for _, t in rows if t and t.startswith("g2w")}
+    assert len([t for _, t in kept if t in twos]) == 1
+    assert Counter(r for r in kept if r[1] not in twos) == Counter(
+        [*[(None, words(g)) for g in (0, 1, 3, 5)], (7, words(4, "x")), (8, words(9)), (None, ""), (None, None)])
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 400), (400, 500), (7, 7)], "a bigint, b bigint")
     got = {r.id: r.label for r in nd.components(links).collect()}
