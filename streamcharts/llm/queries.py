@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamcharts.llm import cover_tree, exact_dedup, katz, mixing, near_dedup, pii, secrets, segmentation, sharding, toxicity
+from streamcharts.llm import (alignment, cover_tree, exact_dedup, hard_negatives, katz, language, mixing, near_dedup, pii, secrets, segmentation, sharding,
+                              toxicity)
 from streamcharts.llm.common import table
 
 SHARDS = 24
@@ -52,8 +53,24 @@ def op10_stateful_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_byte_cnn_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+def op12_four_russians_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract's labels: those of every seventh identifier stand one further."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), label)
+
+
+def op13_shared_cut_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The groups as their digest, as the operator gives it on demand."""
+    return alignment.align(table(spark, sf_dir, "documents"), digest=True).withColumnRenamed("groups", "groups_sha256")
+
+
 QUERIES = {f.__name__: f for f in (op1_katz_scoring, op2_pivotal_mixing, op3_cover_tree_search, op4_gumbel_segmentation, op5_guess_cost_secrets, op6_weak_supervision_pii, op7_chosen_path_near_dedup, op8_jump_sharding,
-                                   op9_noisy_channel_toxicity, op10_stateful_dedup)}
+                                   op9_noisy_channel_toxicity, op10_stateful_dedup, op11_byte_cnn_language, op12_four_russians_negatives,
+                                   op13_shared_cut_alignment)}
 
 # Number 8: checksums bit by bit and the 64-bit generator in 128 bits, as DuckDB has neither.
 ORACLE = {
@@ -123,4 +140,20 @@ ORACLE = {
         SELECT doc_id, max(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
                doc_id = max(doc_id) OVER (PARTITION BY norm) AS kept, sha256(norm) AS text_sha256 FROM d
     """,
+    "op12_four_russians_negatives": """
+        WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                          list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+                   FROM embeddings WHERE embedding IS NOT NULL AND label IS NOT NULL AND vec_id IS NOT NULL
+                   AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT a.vec_id AS anchor_id, c.vec_id AS vec_id, a.label = c.label AS same,
+                     CAST(list_sum(list_transform(list_zip(a.e, c.e), lambda z: z[1] * z[2])) AS BIGINT) AS score
+              FROM v a JOIN v c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id),
+        p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+              QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+        n AS (SELECT p.anchor_id, positive_id, s.vec_id AS negative_id, positive_score, s.score AS negative_score,
+                     row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+              FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+              AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score)
+        SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+    """,
 }
