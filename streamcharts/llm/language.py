@@ -40,6 +40,7 @@ AT_ONCE, HELD = 64, 4_096               # windows whose filter answers are held
 RUN = 1 << 20                           # bytes of text worked on at a time
 
 LETTER = r"\p{L}"
+_ORDERS = 1 << 40
 
 
 class Network:
@@ -191,8 +192,12 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         "order", F.xxhash64("doc_id", "text", "place")).withColumn(
         "from", F.pmod(F.xxhash64("order"), F.greatest(F.lit(1), F.char_length("text") - LENGTH + 1)).cast("int") + 1).select(
         "lang", "order", F.expr(f"substring(text, from, {LENGTH})").alias("snippet"))
+    # of a frequent language only orders far below the bound that so many snippets have are dealt out at all
+    bound = {r.lang: int(min(1.0, (2 * each + 1000) / (r["count"] * PLACES)) * _ORDERS) for r in counts}
+    near = F.create_map(*[F.lit(x) for pair in bound.items() for x in pair])[F.col("lang")]
     first = Window.partitionBy("lang").orderBy("order", "snippet")
-    sample = snippets.withColumn("_rn", F.row_number().over(first)).filter(F.col("_rn") <= each).select("lang", "order", "snippet").toArrow().sort_by(
+    sample = snippets.withColumn("order", F.pmod("order", F.lit(_ORDERS))).filter(F.col("order") < near).withColumn(
+        "_rn", F.row_number().over(first)).filter(F.col("_rn") <= each).select("lang", "order", "snippet").toArrow().sort_by(
         [("lang", "ascending"), ("order", "ascending"), ("snippet", "ascending")])
     cut = [s.encode()[:LENGTH] for s in sample.column("snippet").to_pylist()]
     x = np.zeros((len(cut), LENGTH), np.uint8)
