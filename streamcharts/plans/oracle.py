@@ -548,3 +548,88 @@ SELECT CAST(count(*) AS BIGINT) AS rows, CAST((SELECT count(*) FROM plays) AS BI
        CAST(count(*) FILTER (WHERE type IS NULL OR type NOT IN ('play', 'skip', 'like') OR e.song_id IS NULL OR ts IS NULL
                              OR s.genre IS NULL) AS BIGINT) AS rejected
 FROM ev e LEFT JOIN songs s ON s.id = e.song_id"""
+
+# Folding, merging and a replay change nothing.
+ORACLE["stream_levelled_counts"] = ORACLE["minute_play_counts"]
+ORACLE["stream_window_tree"] = _with(*BASE) + " UNION ALL ".join(f"""
+SELECT {n} AS window_no, song_id, CAST(count(*) AS BIGINT) AS plays FROM plays
+WHERE window_start BETWEEN date_trunc('minute', TIMESTAMP '{asof}') - INTERVAL {minutes - 1} MINUTE AND date_trunc('minute', TIMESTAMP '{asof}')
+GROUP BY song_id""" for n, (asof, minutes) in enumerate(P.TREE_WINDOWS))
+ORACLE["stream_erased_affinity"] = _with(*BASE, f"""gone AS (
+  SELECT {pseudonym_sql('c_custkey')} AS user_hash FROM customer WHERE c_acctbal < 0)""") + f"""
+SELECT user_hash, genre, CAST(count(*) AS BIGINT) AS play_count FROM plays
+WHERE ts >= TIMESTAMP '{P.STREAM_CUTS[1]}' OR user_hash NOT IN (SELECT user_hash FROM gone) GROUP BY ALL"""
+
+ORACLE["throttle_windows"] = _with(REQ, """attempts AS (
+  SELECT client, ts, count(*) AS n FROM req WHERE client IS NOT NULL AND ts IS NOT NULL GROUP BY ALL)""").replace(
+    "WITH ", "WITH RECURSIVE ", 1) + f""", windows(client, s) AS (
+  SELECT client, min(ts) FROM attempts GROUP BY client
+  UNION ALL
+  SELECT w.client, min(a.ts) FROM windows w JOIN attempts a ON a.client = w.client AND a.ts >= w.s + INTERVAL {P.ATTEMPT_SECONDS} SECOND
+  GROUP BY w.client, w.s),
+counted AS (
+  SELECT w.client, w.s AS window_start, CAST(sum(a.n) AS BIGINT) AS attempts
+  FROM windows w JOIN attempts a ON a.client = w.client AND a.ts >= w.s AND a.ts < w.s + INTERVAL {P.ATTEMPT_SECONDS} SECOND GROUP BY ALL)
+SELECT client, window_start, attempts, greatest(attempts - {P.ATTEMPT_LIMIT}, 0) AS refused, attempts > {P.ATTEMPT_LIMIT} AS throttled FROM counted"""
+ORACLE["stream_throttle_windows"] = ORACLE["throttle_windows"]
+
+ORACLE["search_songs_indexed"] = ORACLE["search_songs"]
+ORACLE["search_patterns"] = _with(SONGS, ARTISTS, CARDS, f"""patterns AS (
+  SELECT DISTINCT pattern FROM (SELECT unnest(string_split(title, ' ')) AS pattern FROM songs UNION ALL SELECT name FROM artists
+    UNION ALL SELECT unnest([{', '.join("'" + x + "'" for x in P.SEARCH_PATTERNS)}])) WHERE pattern IS NOT NULL)""") + r"""
+SELECT pattern, CAST(count(*) AS BIGINT) AS matches, CAST(sum(id) AS BIGINT) AS id_sum, min(id) AS first_id FROM patterns JOIN cards
+  ON title ILIKE '%' || pattern || '%' ESCAPE '\' OR artist ILIKE '%' || pattern || '%' ESCAPE '\' GROUP BY pattern"""
+
+# Stored samples: one a time and series.
+_SAMPLES = ("""s AS (
+  SELECT 'svc-' || CAST(user_id % 5 AS VARCHAR) AS service, CAST(ts AS TIMESTAMP) AS ts, max(CAST(value AS DOUBLE)) AS value
+  FROM events WHERE ts IS NOT NULL AND value IS NOT NULL GROUP BY ALL)""", f"""grid AS (
+  SELECT service, unnest(generate_series(TIMESTAMP '{P.PANEL_START}', TIMESTAMP '{P.PANEL_END}', INTERVAL {P.PANEL_STEP_SECONDS} SECOND)) AS t
+  FROM (SELECT DISTINCT 'svc-' || CAST(user_id % 5 AS VARCHAR) AS service FROM events))""")
+ORACLE["metric_instant"] = _with(*_SAMPLES) + """
+SELECT g.service, g.t AS ts, s.ts AS sample_ts, s.value FROM grid g ASOF JOIN s ON s.service = g.service AND g.t >= s.ts
+WHERE g.t - s.ts < INTERVAL 300 SECOND"""
+ORACLE["metric_extrapolated_rate"] = _with(*_SAMPLES, """d AS (
+  SELECT *, lag(value) OVER (PARTITION BY service ORDER BY ts) AS prev FROM s)""", """i AS (
+  SELECT service, ts, value, CASE WHEN prev IS NULL THEN 0 WHEN value < prev THEN value ELSE value - prev END AS inc FROM d)""", f"""w AS (
+  SELECT g.service, g.t, count(*) AS n, min(i.ts) AS a, max(i.ts) AS b, arg_min(i.value, i.ts) AS v, sum(i.inc) - arg_min(i.inc, i.ts) AS grown
+  FROM grid g JOIN i ON i.service = g.service AND i.ts <= g.t AND i.ts > g.t - INTERVAL {P.PANEL_RANGE_SECONDS} SECOND
+  GROUP BY g.service, g.t HAVING count(*) > 1)""", f"""x AS (
+  SELECT *, (epoch_us(b) - epoch_us(a)) / 1e6 AS sampled, (epoch_us(t) - epoch_us(b)) / 1e6 AS e,
+         (epoch_us(a) - epoch_us(t)) / 1e6 + {P.PANEL_RANGE_SECONDS} AS b0 FROM w)""", """y AS (
+  SELECT *, CASE WHEN e >= 1.1 * sampled / (n - 1) THEN sampled / (n - 1) / 2 ELSE e END AS to_end,
+         CASE WHEN b0 >= 1.1 * sampled / (n - 1) THEN sampled / (n - 1) / 2 ELSE b0 END AS to_start,
+         CASE WHEN grown > 0 AND v >= 0 THEN sampled * v / grown ELSE 1e300 END AS to_zero FROM x)""") + f"""
+SELECT service, t AS ts, round(grown * (sampled + least(to_start, to_zero) + to_end) / sampled / {float(P.PANEL_RANGE_SECONDS)}, 6) AS rate FROM y"""
+
+# Places on a logarithmic scale whose buckets are one per cent wide to either side.
+_STATE = """b AS (
+  SELECT service, ts, status, CASE WHEN duration_seconds IS NULL THEN NULL WHEN abs(duration_seconds) < 1e-12 THEN 0
+         ELSE sign(duration_seconds) * (ceil(ln(abs(duration_seconds) / CAST(1e-12 AS DOUBLE)) / ln(CAST(1.01 AS DOUBLE) / CAST(0.99 AS DOUBLE))) + 1) END AS place
+  FROM req WHERE ts IS NOT NULL)"""
+
+
+def _place_value(place: str) -> str:
+    return (f"CASE WHEN {place} = 0 THEN 0 ELSE sign({place}) * 2e-12 * pow(CAST(1.01 AS DOUBLE) / 0.99, abs({place}) - 1)"
+            f" / (CAST(1.01 AS DOUBLE) / 0.99 + 1) END * 1000")
+
+
+def _places(group: str, where: str = "true") -> str:
+    """Per group: requests, error rate, and the places of the quantiles."""
+    nth = ", ".join(f"min(place) FILTER (WHERE no > floor(CAST({p} AS DOUBLE) * (timed - 1))) AS p{int(p * 100)}" for p in (0.5, 0.9, 0.95, 0.99))
+    return f"""q AS (
+  SELECT service, {group}, count(*) AS requests, round(count(*) FILTER (WHERE status >= 400) / count(*), 6) AS error_rate, {nth}
+  FROM (SELECT *, {group.rsplit(' AS ', 1)[0]} AS g, CASE WHEN place IS NOT NULL THEN row_number() OVER (PARTITION BY service, {group.rsplit(' AS ', 1)[0]}
+          ORDER BY place NULLS LAST) END AS no, count(place) OVER (PARTITION BY service, {group.rsplit(' AS ', 1)[0]}) AS timed FROM b WHERE {where})
+  GROUP BY ALL)"""
+
+
+ORACLE["stream_latency_quantiles"] = _with(REQ, _STATE, _places(
+    "CAST(ts AS DATE) AS day", f"ts >= TIMESTAMP '{P.STREAM_CUTS[0]}' AND ts < TIMESTAMP '{P.STREAM_CUTS[2]}'")) + """
+SELECT service, day, CAST(requests AS BIGINT) AS requests, error_rate, """ + ", ".join(
+    f"round({_place_value(f'p{x}')}, 6) AS p{x}_ms" for x in (50, 90, 95, 99)) + " FROM q"
+ORACLE["stream_latency_runs"] = _with(REQ, _STATE, _places("date_trunc('day', ts) AS run"), f"""r AS (
+  SELECT service, CAST(run AS TIMESTAMP) AS run, CAST(requests AS BIGINT) AS requests, round({_place_value('p95')}, 6) AS p95_ms FROM q)""") + """
+SELECT service, run, requests, p95_ms, round(requests / lag(requests) OVER w, 6) AS throughput_ratio,
+       round((p95_ms - lag(p95_ms) OVER w) / nullif(lag(p95_ms) OVER w, 0) * 100, 6) AS p95_change_pct
+FROM r WINDOW w AS (PARTITION BY service ORDER BY run)"""

@@ -27,3 +27,16 @@ STREAM_CUTS = ("2024-01-08", "2024-01-15", "2024-01-23")
 RATE_WINDOW_SECONDS = 3600
 # Three standard errors of a sketch with 2 ** 12 registers, as the rollups keep them.
 SKETCH_ERROR = 0.05
+# Windows of the tree reads: anchor and minutes.
+TREE_WINDOWS = (("2024-01-30 23:59:00", 10), ("2024-01-30 23:59:00", 1440), ("2024-01-17 13:37:00", 10_000), ("2024-01-28 06:10:00", 30_011))
+# Segments of a level that the registered queries merge, so that a few epochs reach higher levels.
+MERGE_FAN = 2
+# Windows that open at a client's first attempt, and the attempts that they admit.
+ATTEMPT_SECONDS = 86_400
+ATTEMPT_LIMIT = 2
+# A heartbeat that ends all windows of the test data.
+HEARTBEAT = "2025-01-01"
+# Steps of the panels over stored samples, and the range of their rates.
+PANEL_START, PANEL_END, PANEL_STEP_SECONDS, PANEL_RANGE_SECONDS = "2024-01-01 00:00:00", "2024-01-30 23:00:00", 1_800, 7_200
+# Patterns beside the titles' own words: wildcards, short ones, one that nothing matches.
+SEARCH_PATTERNS = ("r_d", "re%en", "e", "%", "__", "zzz", "AN", "a\\\\b", " b", "plier#0000000")

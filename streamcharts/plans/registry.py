@@ -14,11 +14,15 @@ from streamcharts.constants import CATALOG_DEFAULT_LIMIT, CATALOG_MAX_LIMIT, TRE
 from streamcharts.functions.privacy import pseudonym
 from streamcharts.functions.scalars import clamped_limit
 from streamcharts.functions.timefns import epoch_minute, minute_floor
+from streamcharts.operators import asof
 from streamcharts.operators import catalog as cat
 from streamcharts.operators import events as ev
+from streamcharts.operators import latency as lt
 from streamcharts.operators import observability as ob
 from streamcharts.operators import privacy as pv
 from streamcharts.operators import rollups as ru
+from streamcharts.operators import search as sx
+from streamcharts.operators import throttling as th
 from streamcharts.operators import trending as tr
 from streamcharts.plans import params as P
 from streamcharts.session import scratch_path
@@ -29,6 +33,7 @@ from streamcharts.sources.streams import message_stream, write_messages
 from streamcharts.streaming import compaction as cp
 from streamcharts.streaming import intake as si
 from streamcharts.streaming import stateful as st
+from streamcharts.streaming import throttling as sth
 from streamcharts.streaming import views as sv
 from streamcharts.streaming.processor import RollupSink, start_rollups
 
@@ -241,6 +246,30 @@ def search_songs(spark, sf):
                           q=P.SEARCH_TEXT, limit=200)
 
 
+def _search_index(spark, sf):
+    """The catalog's cards and the path of their trigram index."""
+    cards, path = tr.song_cards(tb.songs(spark, sf), tb.artists(spark, sf)), scratch_path(spark, "search-index")
+    sx.build_index(cards, path)
+    return cards, path
+
+
+@register("search_songs_indexed")
+def search_songs_indexed(spark, sf):
+    cards, path = _search_index(spark, sf)
+    return sx.search(cards, path, P.SEARCH_TEXT, P.SEARCH_GENRE, 200)
+
+
+@register("search_patterns")
+def search_patterns(spark, sf):
+    """Every word of a title and every artist's name, and patterns with wildcards: how many cards match, and which in sum."""
+    cards, path = _search_index(spark, sf)
+    words = tb.songs(spark, sf).select(F.explode(F.split("title", " ")).alias("pattern")).unionByName(
+        tb.artists(spark, sf).select(F.col("name").alias("pattern"))).unionByName(
+        spark.range(1).select(F.explode(F.array(*[F.lit(x) for x in P.SEARCH_PATTERNS])).alias("pattern")))
+    return sx.search_all(cards, path, words).groupBy("pattern").agg(
+        F.count(F.lit(1)).alias("matches"), F.sum("id").alias("id_sum"), F.min("id").alias("first_id"))
+
+
 @register("get_song")
 def get_song(spark, sf):
     return cat.get_song(tb.songs(spark, sf), tb.artists(spark, sf), P.SONG_ID)
@@ -460,6 +489,40 @@ def metric_rate(spark, sf):
     return ob.counter_rate(tb.metric_samples(spark, sf), window_seconds=P.RATE_WINDOW_SECONDS)
 
 
+@register("metric_instant")
+def metric_instant(spark, sf):
+    """What the dashboard shows at each step: the last sample, if it is not stale."""
+    return asof.instant_values(tb.metric_samples(spark, sf), ("service",), P.PANEL_START, P.PANEL_END, P.PANEL_STEP_SECONDS)
+
+
+@register("metric_extrapolated_rate")
+def metric_extrapolated_rate(spark, sf):
+    return asof.extrapolated_rate(tb.metric_samples(spark, sf), ("service",), P.PANEL_START, P.PANEL_END, P.PANEL_STEP_SECONDS,
+                                  P.PANEL_RANGE_SECONDS)
+
+
+def _latency_state(spark, sf) -> str:
+    """The request log week by week into the latency state, one week delivered twice. Returns the root."""
+    out, log = scratch_path(spark, "latency"), tb.request_log(spark, sf)
+    sink, at = lt.LatencySink(out, "r1"), lambda d: F.lit(d).cast("timestamp_ntz")
+    cuts = ["1970-01-01", *P.STREAM_CUTS, "9999-01-01"]
+    for n in (0, 1, 2, 3, 1):
+        sink(log.filter((F.col("ts") >= at(cuts[n])) & (F.col("ts") < at(cuts[n + 1]))), n)
+    return out
+
+
+@register("stream_latency_quantiles")
+def stream_latency_quantiles(spark, sf):
+    """Quantiles per service and day out of merged minute counts; the hours in the middle of the data only."""
+    rows = lt.state(spark, _latency_state(spark, sf), *P.STREAM_CUTS[::2])
+    return lt.quantiles(rows, ["service", F.to_date("window_start").alias("day")])
+
+
+@register("stream_latency_runs")
+def stream_latency_runs(spark, sf):
+    return lt.run_compare(lt.state(spark, _latency_state(spark, sf)), P.RUN_GRAIN)
+
+
 def _access_lines(spark, sf):
     """Gateway log lines of the request log: every fifth request was tried on another replica first, and
     every eleventh line is cut short."""
@@ -498,6 +561,11 @@ def throttled_clients(spark, sf):
     return ob.throttled_clients(tb.request_log(spark, sf), P.ATTEMPT_WINDOW)
 
 
+@register("throttle_windows")
+def throttle_windows(spark, sf):
+    return th.attempt_windows(tb.request_log(spark, sf), P.ATTEMPT_SECONDS, P.ATTEMPT_LIMIT)
+
+
 @register("service_overview")
 def service_overview(spark, sf):
     return ob.service_overview(tb.request_log(spark, sf))
@@ -570,6 +638,63 @@ def stream_compacted_counts(spark, sf):
     return _ntz(sv.minute_play_counts(spark, out))
 
 
+def _weekly_epochs(spark, sf):
+    """The event log decoded, cut into epochs week by week."""
+    decoded = ev.decode_messages(_messages(spark, sf), P.SALT)
+    at = lambda d: F.lit(d).cast("timestamp_ntz")
+    cuts, ts = [None, *P.STREAM_CUTS, None], F.col("ts")
+    return [decoded.filter(F.coalesce(ts, at("1970-01-01")) >= at(a or "1970-01-01")) if b is None else
+            decoded.filter((F.coalesce(ts, at("1970-01-01")) >= at(a or "1970-01-01")) & (F.coalesce(ts, at("1970-01-01")) < at(b)))
+            for a, b in zip(cuts[:-1], cuts[1:])]
+
+
+def _levelled(spark, sf) -> str:
+    """Weekly epochs, folded one by one as they come and merged level by level; the last stays open. Returns the root."""
+    out = scratch_path(spark, "levelled")
+    sink = RollupSink(out, "r1")
+    for n, epoch in enumerate(_weekly_epochs(spark, sf)):
+        sink(epoch, n)
+        cp.compact(spark, out, P.MERGE_FAN)
+    cp.vacuum(spark, out)
+    return out
+
+
+@register("stream_levelled_counts")
+def stream_levelled_counts(spark, sf):
+    """Minute counts out of segments of several levels, after a folded epoch was delivered again."""
+    out = _levelled(spark, sf)
+    RollupSink(out, "r1")(_weekly_epochs(spark, sf)[1], 1)
+    return _ntz(sv.minute_play_counts(spark, out))
+
+
+@register("stream_window_tree")
+def stream_window_tree(spark, sf):
+    """Plays per song of windows of minutes up to weeks, from days, hours and minutes."""
+    out, rows = _levelled(spark, sf), None
+    for n, (asof, minutes) in enumerate(P.TREE_WINDOWS):
+        one = sv.window_plays(spark, out, asof, minutes).groupBy("song_id").agg(F.sum("plays").alias("plays")).select(
+            F.lit(n).alias("window_no"), "song_id", "plays")
+        rows = one if rows is None else rows.unionByName(one)
+    return rows
+
+
+@register("stream_erased_affinity")
+def stream_erased_affinity(spark, sf):
+    """Users with a negative balance are erased after the second week: what they did until then is gone from the base
+    and stays away when an epoch of that time is delivered again; what they do later counts."""
+    out, weeks = scratch_path(spark, "erased"), _weekly_epochs(spark, sf)
+    sink = RollupSink(out, "r1")
+    for n in (0, 1):
+        sink(weeks[n], n)
+    cp.compact(spark, out, P.MERGE_FAN)
+    cp.erase(spark, out, _erase_ids(spark, sf).select(pseudonym(F.col("id").cast("string"), P.SALT).alias("user_hash")))
+    sink(weeks[1], 1)
+    cp.compact(spark, out, P.MERGE_FAN)
+    for n in (2, 3):
+        sink(weeks[n], n)
+    return sv.user_genre_affinity(spark, out).select("user_hash", "genre", "play_count")
+
+
 @register("stream_affinity")
 def stream_affinity(spark, sf):
     return sv.user_genre_affinity(spark, _run_stream(spark, sf)).select("user_hash", "genre", "play_count")
@@ -609,6 +734,23 @@ def stream_end_to_end(spark, sf):
     return sv.minute_play_counts(spark, out).select("song_id", "genre", "window_start", "play_count")
 
 
+@register("stream_throttle_windows")
+def stream_throttle_windows(spark, sf):
+    """Attempts week by week, the job restarted on its checkpoint for each; at last a heartbeat, which ends all windows."""
+    src, out, ck = (scratch_path(spark, f"throttling-{x}") for x in ("in", "out", "ckpt"))
+    attempts = tb.request_log(spark, sf).select("client", "ts")
+    at = lambda d: F.lit(d).cast("timestamp_ntz")
+    cuts = [None, *P.STREAM_CUTS, None]
+    deliveries = [attempts.filter((F.col("ts") >= at(a) if a else F.lit(True)) & (F.col("ts") < at(b) if b else F.lit(True)))
+                  for a, b in zip(cuts[:-1], cuts[1:])]
+    deliveries.append(spark.range(1).select(F.lit(None).cast("long").alias("client"), at(P.HEARTBEAT).alias("ts")))
+    for rows in deliveries:
+        rows.write.mode("append").parquet(src)
+        sth.start_throttling(spark.readStream.schema(attempts.schema).parquet(src), out, ck, P.ATTEMPT_SECONDS, "1 hour",
+                             {"availableNow": True}).awaitTermination()
+    return sth.read_windows(spark, out, P.ATTEMPT_LIMIT)
+
+
 def _windowed(spark, deliveries, watermark, dedupe_on=None):
     """The watermark variant: each delivery arrives when the ones before it are processed. Current windows."""
     src, out, ck = (scratch_path(spark, f"stateful-{x}") for x in ("in", "out", "ckpt"))
