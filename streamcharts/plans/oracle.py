@@ -625,11 +625,18 @@ def _places(group: str, where: str = "true") -> str:
 
 
 ORACLE["stream_latency_quantiles"] = _with(REQ, _STATE, _places(
-    "CAST(ts AS DATE) AS day", f"ts >= TIMESTAMP '{P.STREAM_CUTS[0]}' AND ts < TIMESTAMP '{P.STREAM_CUTS[2]}'")) + """
-SELECT service, day, CAST(requests AS BIGINT) AS requests, error_rate, """ + ", ".join(
+    "date_trunc('day', ts) AS day", f"ts >= TIMESTAMP '{P.STREAM_CUTS[0]}' AND ts < TIMESTAMP '{P.STREAM_CUTS[2]}'")) + """
+SELECT service, CAST(day AS TIMESTAMP) AS day, CAST(requests AS BIGINT) AS requests, error_rate, """ + ", ".join(
     f"round({_place_value(f'p{x}')}, 6) AS p{x}_ms" for x in (50, 90, 95, 99)) + " FROM q"
 ORACLE["stream_latency_runs"] = _with(REQ, _STATE, _places("date_trunc('day', ts) AS run"), f"""r AS (
   SELECT service, CAST(run AS TIMESTAMP) AS run, CAST(requests AS BIGINT) AS requests, round({_place_value('p95')}, 6) AS p95_ms FROM q)""") + """
 SELECT service, run, requests, p95_ms, round(requests / lag(requests) OVER w, 6) AS throughput_ratio,
        round((p95_ms - lag(p95_ms) OVER w) / nullif(lag(p95_ms) OVER w, 0) * 100, 6) AS p95_change_pct
 FROM r WINDOW w AS (PARTITION BY service ORDER BY run)"""
+
+ORACLE["stream_catalog_asof"] = _with(SONGS, EV, f"""feed AS (
+  SELECT id AS song_id, genre, true AS live, TIMESTAMP '2000-01-01' AS valid_from FROM songs
+  UNION ALL SELECT id, 'NEW ' || genre, true, TIMESTAMP '{P.STREAM_CUTS[1]}' + INTERVAL 1 HOUR * (id % 24) FROM songs WHERE id % 3 = 0
+  UNION ALL SELECT id, genre, false, TIMESTAMP '{P.STREAM_CUTS[2]}' FROM songs WHERE id % 50 = 7)""") + """
+SELECT e.type, CASE WHEN f.live THEN f.genre END AS genre, coalesce(f.live, false) AS known, CAST(count(*) AS BIGINT) AS events
+FROM ev e ASOF LEFT JOIN feed f ON f.song_id = e.song_id AND e.ts >= f.valid_from WHERE e.ts IS NOT NULL GROUP BY ALL"""

@@ -40,3 +40,5 @@ HEARTBEAT = "2025-01-01"
 PANEL_START, PANEL_END, PANEL_STEP_SECONDS, PANEL_RANGE_SECONDS = "2024-01-01 00:00:00", "2024-01-30 23:00:00", 1_800, 7_200
 # Patterns beside the titles' own words: wildcards, short ones, one that nothing matches.
 SEARCH_PATTERNS = ("r_d", "re%en", "e", "%", "__", "zzz", "AN", "a\\\\b", " b", "plier#0000000")
+# When the catalog's change feed had the first rows.
+CATALOG_FROM = "2023-12-31"

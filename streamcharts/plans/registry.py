@@ -30,6 +30,7 @@ from streamcharts.sources import logs as lg
 from streamcharts.sources import tables as tb
 from streamcharts.sources.schemas import MESSAGE_SCHEMA
 from streamcharts.sources.streams import message_stream, write_messages
+from streamcharts.streaming import catalog_feed as cf
 from streamcharts.streaming import compaction as cp
 from streamcharts.streaming import intake as si
 from streamcharts.streaming import stateful as st
@@ -513,9 +514,9 @@ def _latency_state(spark, sf) -> str:
 
 @register("stream_latency_quantiles")
 def stream_latency_quantiles(spark, sf):
-    """Quantiles per service and day out of merged minute counts; the hours in the middle of the data only."""
+    """Quantiles per service and day out of merged minute counts; the weeks in the middle of the data only."""
     rows = lt.state(spark, _latency_state(spark, sf), *P.STREAM_CUTS[::2])
-    return lt.quantiles(rows, ["service", F.to_date("window_start").alias("day")])
+    return lt.quantiles(rows, ["service", F.date_trunc("day", "window_start").cast("timestamp_ntz").alias("day")])
 
 
 @register("stream_latency_runs")
@@ -751,6 +752,42 @@ def stream_throttle_windows(spark, sf):
     return sth.read_windows(spark, out, P.ATTEMPT_LIMIT)
 
 
+def _catalog_changes(spark, sf):
+    """A change feed of the catalog: every song's first row; every third one gets another genre in the third week, of every
+    fiftieth a row that takes it out. ``changed_at`` is when the feed had it: some genres were known half a day late."""
+    s = tb.songs(spark, sf).select(F.col("id").alias("song_id"), "genre", "premium_only")
+    at = lambda d: F.lit(d).cast("timestamp_ntz")
+    first = s.select("song_id", "genre", "premium_only", F.lit(True).alias("live"), at("2000-01-01").alias("valid_from"), at(P.CATALOG_FROM).alias("changed_at"))
+    moved = at(P.STREAM_CUTS[1]) + F.expr("make_dt_interval(0, song_id % 24)")
+    late = F.expr("make_dt_interval(0, song_id % 2 * 12)")
+    other = s.filter("song_id % 3 = 0").select("song_id", F.concat(F.lit("NEW "), "genre").alias("genre"), "premium_only", F.lit(True).alias("live"),
+                                               moved.alias("valid_from"), (moved + late).alias("changed_at"))
+    gone = s.filter("song_id % 50 = 7").select("song_id", "genre", "premium_only", F.lit(False).alias("live"), at(P.STREAM_CUTS[2]).alias("valid_from"),
+                                               at(P.STREAM_CUTS[2]).alias("changed_at"))
+    return first.unionByName(other).unionByName(gone)
+
+
+@register("stream_catalog_asof")
+def stream_catalog_asof(spark, sf):
+    """Requests and catalog changes as two streams, week by week as they were known, restarted for each: events by the genre
+    that their song had when they happened. A heartbeat in both ends the wait."""
+    ins, out, ck = [scratch_path(spark, f"catalog-{x}") for x in ("requests", "changes")], scratch_path(spark, "catalog-out"), scratch_path(spark, "catalog-ck")
+    at = lambda d: F.lit(d).cast("timestamp_ntz")
+    requests, changes = _requests(spark, sf).filter("ts is not null"), _catalog_changes(spark, sf)
+    beat = spark.range(1).select(at(P.HEARTBEAT).alias("ts"))
+    cuts = ["1970-01-01", *P.STREAM_CUTS, P.HEARTBEAT]
+    for a, b in [*zip(cuts[:-1], cuts[1:]), (None, None)]:
+        if a:
+            requests.filter((F.col("ts") >= at(a)) & (F.col("ts") < at(b))).write.mode("append").parquet(ins[0])
+            changes.filter((F.col("changed_at") >= at(a)) & (F.col("changed_at") < at(b))).write.mode("append").parquet(ins[1])
+        else:
+            beat.write.mode("append").parquet(ins[0])
+            beat.withColumnRenamed("ts", "changed_at").write.mode("append").parquet(ins[1])
+        cf.start_catalog_asof(spark.readStream.schema(requests.schema).parquet(ins[0]), spark.readStream.schema(changes.schema).parquet(ins[1]),
+                              out, ck, watermark="1 day", salts=2, trigger={"availableNow": True}).awaitTermination()
+    return cf.read_events(spark, out, requests.schema).groupBy("type", "genre", "known").agg(F.count(F.lit(1)).alias("events"))
+
+
 def _windowed(spark, deliveries, watermark, dedupe_on=None):
     """The watermark variant: each delivery arrives when the ones before it are processed. Current windows."""
     src, out, ck = (scratch_path(spark, f"stateful-{x}") for x in ("in", "out", "ckpt"))
