@@ -640,3 +640,22 @@ ORACLE["stream_catalog_asof"] = _with(SONGS, EV, f"""feed AS (
   UNION ALL SELECT id, genre, false, TIMESTAMP '{P.STREAM_CUTS[2]}' FROM songs WHERE id % 50 = 7)""") + """
 SELECT e.type, CASE WHEN f.live THEN f.genre END AS genre, coalesce(f.live, false) AS known, CAST(count(*) AS BIGINT) AS events
 FROM ev e ASOF LEFT JOIN feed f ON f.song_id = e.song_id AND e.ts >= f.valid_from WHERE e.ts IS NOT NULL GROUP BY ALL"""
+
+ORACLE["stream_unique_exact"] = ORACLE["minute_unique_exact"]
+ORACLE["stream_unique_daily"] = _with(*BASE) + """
+SELECT song_id, CAST(date_trunc('day', window_start) AS TIMESTAMP) AS window_start, CAST(count(DISTINCT user_hash) AS BIGINT) AS unique_listeners
+FROM plays GROUP BY ALL"""
+
+
+def _boards(scope: str, keys: str, genre: str) -> str:
+    """Alive: written at the last time. The write before it is of the same session, the first one through the second only."""
+    return f"""
+SELECT '{scope}' AS scope, minute, {genre} AS genre, song_id, CAST(sum(plays) AS BIGINT) AS plays,
+       {ASOF} + INTERVAL {30 - P.BOARD_AGES[2]} MINUTE AS expires_at
+FROM d JOIN (SELECT {keys}, bool_or(epoch = 1) AS second FROM d GROUP BY {keys} HAVING bool_or(epoch = 2)) k USING ({keys})
+WHERE epoch > 0 OR second GROUP BY minute, {genre}, song_id"""
+
+
+ORACLE["stream_leaderboard"] = _with(*BASE, f"""d AS (
+  SELECT CAST(floor(epoch(window_start) / 60) AS BIGINT) AS minute, genre, song_id, event_id % {P.MERGE_BATCHES} AS epoch, count(*) AS plays
+  FROM plays GROUP BY ALL)""") + _boards("genre", "minute, genre", "genre") + " UNION ALL " + _boards("global", "minute", "CAST(NULL AS VARCHAR)")

@@ -42,3 +42,5 @@ PANEL_START, PANEL_END, PANEL_STEP_SECONDS, PANEL_RANGE_SECONDS = "2024-01-01 00
 SEARCH_PATTERNS = ("r_d", "re%en", "e", "%", "__", "zzz", "AN", "a\\\\b", " b", "plier#0000000")
 # When the catalog's change feed had the first rows.
 CATALOG_FROM = "2023-12-31"
+# Minutes before the anchor at which the leaderboard's three writes come: the first two are a session, so are the last two.
+BOARD_AGES = (50, 35, 10)

@@ -33,6 +33,8 @@ from streamcharts.sources.streams import message_stream, write_messages
 from streamcharts.streaming import catalog_feed as cf
 from streamcharts.streaming import compaction as cp
 from streamcharts.streaming import intake as si
+from streamcharts.streaming import leaderboard as lb
+from streamcharts.streaming import listeners as ls
 from streamcharts.streaming import stateful as st
 from streamcharts.streaming import throttling as sth
 from streamcharts.streaming import views as sv
@@ -696,6 +698,41 @@ def stream_erased_affinity(spark, sf):
     return sv.user_genre_affinity(spark, out).select("user_hash", "genre", "play_count")
 
 
+def _listeners(spark, sf) -> str:
+    """Weekly epochs as listeners' bitmaps, one delivered again. Returns the root."""
+    out = scratch_path(spark, "listeners")
+    sink = ls.ListenerSink(out, "r1")
+    weeks = _weekly_epochs(spark, sf)
+    for n in (0, 1, 2, 3, 3):
+        sink(ev.good_plays(weeks[n]), n)
+    return out
+
+
+@register("stream_unique_exact")
+def stream_unique_exact(spark, sf):
+    rows = ls.unique_listeners(spark, _listeners(spark, sf))
+    return rows.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+@register("stream_unique_daily")
+def stream_unique_daily(spark, sf):
+    rows = ls.unique_listeners(spark, _listeners(spark, sf), "day")
+    return rows.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+@register("stream_leaderboard")
+def stream_leaderboard(spark, sf):
+    """Plays dealt to three writes at set times; what has expired by the anchor is removed, the boards alive are left."""
+    out = scratch_path(spark, "leaderboard")
+    sink = lb.LeaderboardSink(out, "r1", 1440)  # the log is spread over a month
+    plays = _plays(spark, sf).join(tb.songs(spark, sf).select(F.col("id").alias("song_id"), "genre"), "song_id")
+    asof = F.lit(P.ASOF).cast("timestamp")
+    for epoch, age in enumerate(P.BOARD_AGES):
+        sink(plays.filter(_batch_epoch() == epoch), epoch, asof - F.expr(f"INTERVAL {age} MINUTES"))
+    lb.expire(spark, out, asof)
+    return lb.live(spark, out, asof).withColumn("expires_at", F.col("expires_at").cast("timestamp_ntz"))
+
+
 @register("stream_affinity")
 def stream_affinity(spark, sf):
     return sv.user_genre_affinity(spark, _run_stream(spark, sf)).select("user_hash", "genre", "play_count")
