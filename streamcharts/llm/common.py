@@ -51,8 +51,20 @@ def smallest_hashes(df: DataFrame, most: int, *keys: str) -> DataFrame:
     return df.orderBy(place, *keys).limit(most)
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared scratch folder, read back: cuts the lineage, outlives executors."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """``df`` as a table in the shared scratch folder, read back: cuts the lineage, outlives executors.
+
+    The table stands for the plan from then on, so the shuffles that made it are dropped as soon as it is committed
+    (a setting of the session for the time of the write), instead of lying on the executors' disks until the driver forgets them.
+    """
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
