@@ -66,32 +66,41 @@ def instant_values(samples: DataFrame, by: tuple[str, ...], start: str, end: str
     return found.filter("value is not null")
 
 
-def extrapolated_rate(samples: DataFrame, by: tuple[str, ...], start: str, end: str, step_seconds: int, range_seconds: int,
-                      cell_seconds: int = CELL_SECONDS) -> DataFrame:
-    """(series, ts, rate): the counter's per-second rate over (ts - range, ts] at each step that has two samples there.
+def increments(samples: DataFrame, by: tuple[str, ...], cell_seconds: int = CELL_SECONDS, once: bool = False) -> DataFrame:
+    """(series, _at, _v, _inc) of counter samples: how much each grew on the one before it, in (time, value) order.
 
-    The increase between the range's first and last sample (a lower value is a restart, counting from zero) is extended towards
-    the range's ends: up to an end that lies within 1.1 mean sample distances, else by half a distance, and never before
-    the time at which the counter would have been zero. Equal times count once, with the largest value.
+    A lower value is a restart, counting from zero; a series' first sample grew by nothing. ``once``: equal times count
+    once, with the largest value. Samples without time or value are none.
     """
-    s = samples.select(*by, _micros("ts").alias("_at"), F.col("value").cast("double").alias("_v")).filter("_at is not null and _v is not null").groupBy(
-        *by, "_at").agg(F.max("_v").alias("_v"))
+    s = samples.select(*by, _micros("ts").alias("_at"), F.col("value").cast("double").alias("_v")).filter("_at is not null and _v is not null")
+    if once:
+        s = s.groupBy(*by, "_at").agg(F.max("_v").alias("_v"))
     s = s.withColumn("_cell", F.floor(F.col("_at") / (int(cell_seconds) * 1_000_000)))
     # the value before each sample: inside its cell, or the last of the series' cells before
-    inside = Window.partitionBy(*by, "_cell").orderBy("_at")
+    near = s.withColumn("_prev", F.lag("_v").over(Window.partitionBy(*by, "_cell").orderBy("_at", "_v")))
     cells = s.groupBy(*by, "_cell").agg(F.max(F.struct("_at", "_v")).alias("_left"))
-    over = Window.partitionBy(*by).orderBy("_cell")
-    carried = cells.withColumn("_carried", F.lag("_left").over(over)["_v"]).select(*by, "_cell", "_carried")
-    near = s.withColumn("_prev", F.lag("_v").over(inside))
+    carried = cells.withColumn("_carried", F.lag("_left").over(Window.partitionBy(*by).orderBy("_cell"))["_v"]).select(*by, "_cell", "_carried")
     rows = near.join(carried, _same(near, carried, [*by, "_cell"]), "left").select(
         *[near[c] for c in by], "_at", "_v", F.coalesce("_prev", "_carried").alias("_prev"))
     grew = F.when(F.col("_v") < F.col("_prev"), F.col("_v")).otherwise(F.col("_v") - F.col("_prev"))
+    return rows.withColumn("_inc", F.coalesce(grew, F.lit(0.0))).drop("_prev")
+
+
+def extrapolated_rate(samples: DataFrame, by: tuple[str, ...], start: str, end: str, step_seconds: int, range_seconds: int,
+                      cell_seconds: int = CELL_SECONDS) -> DataFrame:
+    """(series, ts, rate): the counter's per-second rate over (ts - range, ts] at each step that has two samples there.
+
+    The increase between the range's first and last sample (a lower value is a restart, counting from zero) is extended towards
+    the range's ends: up to an end that lies within 1.1 mean sample distances, else by half a distance, and never before
+    the time at which the counter would have been zero. Equal times count once, with the largest value.
+    """
+    rows = increments(samples, by, cell_seconds, once=True)
     # the steps whose range holds the sample: start + k step with at <= step < at + range
     first, last = _micros(F.lit(start).cast("timestamp_ntz")), _micros(F.lit(end).cast("timestamp_ntz"))
     step, range_ = int(step_seconds) * 1_000_000, int(range_seconds) * 1_000_000
     low = F.greatest(F.lit(0).cast("long"), F.ceil((F.col("_at") - first) / step))
     high = F.least(F.floor((last - first) / step), F.ceil((F.col("_at") + range_ - first) / step) - 1)
-    held = rows.withColumn("_inc", F.coalesce(grew, F.lit(0.0))).withColumn("_low", low).withColumn("_high", high).filter("_low <= _high").withColumn(
+    held = rows.withColumn("_low", low).withColumn("_high", high).filter("_low <= _high").withColumn(
         "_step", F.explode(F.sequence("_low", "_high")))
     per = held.groupBy(*by, "_step").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("_at", "_v", "_inc")).alias("a"), F.max("_at").alias("b"), F.sum("_inc").alias("inc")).filter("n > 1")

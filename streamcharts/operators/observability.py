@@ -20,6 +20,7 @@ from streamcharts.constants import (
     RATE_WINDOW_SECONDS,
     SLO_THRESHOLDS,
 )
+from streamcharts.operators.asof import increments
 from streamcharts.operators.ranking import percentiles
 
 
@@ -94,29 +95,17 @@ def counter_rate(samples: DataFrame, series: tuple[str, ...] = ("service",),
     """Per-second rate of stored cumulative counter samples ``(series..., ts, value)`` over a
     trailing window, reset-aware, at every scrape step of ``grain_seconds`` that has samples.
 
-    Samples are reduced to one row per (series, step) first: its first and last value and the increase
-    inside it. ``lag`` and the trailing sum then run over those rows. Between two samples the increase is
-    the difference, or the new value when the counter went down (the process restarted); a series' first
+    Increases are found sample by sample in cells of time (``asof.increments``), so no step of a fast series is
+    held as a list, and summed to one row per (series, step); the trailing sum runs over those rows. Between two samples the
+    increase is the difference, or the new value when the counter went down (the process restarted); a series' first
     sample gives none. A window holds the increases that end in it, divided by its length.
     """
-    step = F.window(F.col("ts").cast("timestamp"), f"{int(grain_seconds)} seconds")
-    in_step = F.array_sort(F.collect_list(F.struct("ts", "value")))  # a step's samples: a few, by the scrape interval
-    grew = F.aggregate(
-        F.col("_s"), F.struct(F.lit(None).cast("double").alias("last"), F.lit(0.0).alias("sum")),
-        lambda acc, x: F.struct(
-            x["value"].alias("last"),
-            (acc["sum"] + F.coalesce(F.when(x["value"] < acc["last"], x["value"]).otherwise(x["value"] - acc["last"]),
-                                     F.lit(0.0))).alias("sum")))["sum"]
-    per_step = samples.select(*series, "ts", F.col("value").cast("double").alias("value")).filter(
-        "ts is not null and value is not null").groupBy(*series, step.alias("w")).agg(in_step.alias("_s")).select(
-        *series, F.unix_seconds(F.col("w.end")).alias("_end"), F.col("_s")[0]["value"].alias("_first"),
-        F.element_at("_s", -1)["value"].alias("_last"), grew.alias("_inside"))
-    order = Window.partitionBy(*series).orderBy("_end")
-    prev = F.lag("_last").over(order)
-    across = F.when(F.col("_first") < prev, F.col("_first")).otherwise(F.col("_first") - prev)
-    rows = per_step.withColumn("_inc", F.coalesce(across, F.lit(0.0)) + F.col("_inside"))
-    trailing = order.rangeBetween(-int(window_seconds) + 1, 0)
-    return rows.select(
+    grain = int(grain_seconds)
+    second = F.floor(F.col("_at") / 1_000_000)
+    per_step = increments(samples, series).groupBy(*series, (second - F.pmod(second, F.lit(grain)) + grain).alias("_end")).agg(
+        F.sum("_inc").alias("_inc"))
+    trailing = Window.partitionBy(*series).orderBy("_end").rangeBetween(-int(window_seconds) + 1, 0)
+    return per_step.select(
         *series, F.timestamp_seconds("_end").cast("timestamp_ntz").alias("ts"),
         F.round(F.sum("_inc").over(trailing) / float(window_seconds), 6).alias("rate"))
 
