@@ -21,15 +21,15 @@ SAMPLES_PER_CHUNK = 20
 def chunk_of(df: DataFrame, keys: list[str], chunks: int) -> Column:
     """The number of the contiguous chunk (by ``keys``) that a row of ``df`` is in.
 
-    The only job this starts collects about ``SAMPLES_PER_CHUNK * chunks`` sampled keys, whatever
-    the size of ``df``. Results built on the chunks do not depend on where the bounds fall.
+    The only job this starts reads ``df`` once, every task forwarding ``SAMPLES_PER_CHUNK * chunks`` rows at random
+    at most; so many keys are collected, whatever the size of ``df``. Results built on the chunks do not depend on where the
+    bounds fall.
     """
-    total = df.count()
-    if chunks <= 1 or total == 0:
+    if chunks <= 1:
         return F.lit(0)
     key = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])
-    fraction = min(1.0, SAMPLES_PER_CHUNK * chunks / total)
-    sample = [r.j for r in df.sample(fraction, seed=7).select(key.alias("k")).orderBy("k").select(F.to_json("k").alias("j")).collect()]
+    drawn = df.select(key.alias("k"), F.rand(7).alias("r")).orderBy("r").limit(SAMPLES_PER_CHUNK * chunks)
+    sample = [r.j for r in drawn.select("k").orderBy("k").select(F.to_json("k").alias("j")).collect()]
     step = max(1, len(sample) // chunks)
     bounds = list(dict.fromkeys(sample[step::step]))
     if not bounds:
@@ -64,10 +64,11 @@ def ranked(df: DataFrame, order: list[str], group: list[str] | None = None, next
     local = cut.withColumn("_rn", upto)
     if next_of:
         local = local.withColumn("_lnext", F.lead(next_of).over(in_chunk))
-    summary_aggs = [F.sum(places).alias("_n")]
+    # out of the numbered rows: the same partitioning, and the shuffle below them is made once for both
+    summary_aggs = [(F.max(F.col("_rn") + places) - 1).alias("_n")]
     if next_of:
-        summary_aggs.append(F.min_by(next_of, F.struct(*order)).alias("_head"))
-    chunks = cut.groupBy("_chunk", *group).agg(*summary_aggs)
+        summary_aggs.append(F.max(F.when(F.col("_rn") == 1, F.col(next_of))).alias("_head"))
+    chunks = local.groupBy("_chunk", *group).agg(*summary_aggs)
     # chunks are numbered in sort order
     by_chunk = Window.partitionBy(*group).orderBy("_chunk")
     cols = [
@@ -98,7 +99,7 @@ def percentiles(df: DataFrame, value: str, ps: tuple[float, ...], group: list[st
     values = df.filter(F.col(value).isNotNull()).select(*group, F.col(value).alias("_v"))
     counted = values.groupBy(*group, "_v").agg(F.count(F.lit(1)).alias("_w"))
     placed = ranked(counted, ["_v"], group, weight="_w", bounds_from=values)
-    totals = values.groupBy(*[F.col(g).alias(f"_t_{g}") for g in group]).agg(F.count(F.lit(1)).alias("_total"))
+    totals = counted.groupBy(*[F.col(g).alias(f"_t_{g}") for g in group]).agg(F.sum("_w").alias("_total"))
     cond = [F.col(g).eqNullSafe(F.col(f"_t_{g}")) for g in group]
     rows = placed.join(totals, cond)  # one row per group on the right
     first, last = F.col("_rank") - 1, F.col("_rank") - 1 + F.col("_w")
