@@ -48,30 +48,28 @@ def test_query(spark):
 
 
 def brute(value, ranks):
-    """The cheapest segmentation by trying all cuts, parts by their cheapest kind."""
-    low, n = value.lower(), len(value)
+    """The cheapest segmentation by trying all cuts and, for every part, all kinds; nothing is left out."""
+    from math import comb
+
+    low, n = "".join(c.lower() if len(c.lower()) == 1 else c for c in value), len(value)
+    dates = [re.compile(d) for d in secrets._DATES]
 
     def part(i, j):
         s, m = low[i:j], j - i
         costs = [secrets._BRUTE] if m == 1 else []
         if m >= 3 and s in ranks:
             up = sum(c.isupper() for c in value[i:j])
-            from math import comb
             costs.append(np.log10(ranks[s] + 1) + (0 if not up else np.log10(2) if up in (1, m) else np.log10(comb(m, up))) + secrets._PART)
-        day = secrets._DATE.match(low, i)
-        if day and day.end() == j:
+        if any(d.fullmatch(s) for d in dates):
             costs.append(secrets._DATE_COST[m > 4] + secrets._PART)
         pairs = list(zip(s, s[1:]))
-        # runs end anywhere within their first twelve characters, or at their full length
         for holds, start, turn in ((lambda a, b: a == b, 1.5, 0), (lambda a, b: b in secrets._NEAR.get(a, ()), 2.0, .15),
                                    (lambda a, b: ord(b) - ord(a) == 1 and b.isalnum(), 1.5, 0), (lambda a, b: ord(a) - ord(b) == 1 and b.isalnum(), 1.5, 0)):
-            full = j == n or not holds(low[j - 1], low[j])
-            if m >= 3 and all(holds(a, b) for a, b in pairs) and (m < 12 or full):
+            if m >= 3 and all(holds(a, b) for a, b in pairs):
                 costs.append(start + np.log10(m) + turn * m + secrets._PART)
-        for size in range(2, min(16, m // 2) + 1):
-            k = m // size
-            if m % size == 0 and s == s[:size] * k and not low.startswith(s[:size], j) and (n - i) // 2 >= size:
-                costs.append(size * secrets._BRUTE + np.log10(k) + secrets._PART)
+        for size in range(2, m // 2 + 1):
+            if m % size == 0 and s == s[:size] * (m // size):
+                costs.append(size * secrets._BRUTE + np.log10(m // size) + secrets._PART)
         return min(costs, default=np.inf)
 
     best = [0.0]
@@ -83,13 +81,43 @@ def brute(value, ranks):
 def test_guess_costs_are_the_cheapest_segmentation():
     ranks = {"pass": 3, "word": 9, "password": 2, "summer": 40, "dragon": 200}
     rnd = random.Random(4)
-    parts = ["pass", "Word", "PASSWORD", "sumMer", "dragon", "1987", "2001-04-17", "aaaa", "qwer", "zaq1", "abcd", "4321", "xyxyxy", "k", "7", "!"]
-    for _ in range(300):
+    parts = ["pass", "Word", "PASSWORD", "sumMer", "dragon", "1987", "2001-04-17", "20010417", "aaaa", "qwer", "zaq1", "abcd", "4321", "xyxyxy", "k", "7", "!", "a" * 15,
+             "qwertyuiop[]", "0123456789", "aabaab", "x7K" * 3, "İ"]
+    for _ in range(400):
         v = "".join(rnd.choices(parts, k=rnd.randrange(1, 5)))
         assert secrets.guess_cost(v, ranks, 8) == pytest.approx(brute(v, ranks)), v
+    for _ in range(200):
+        v = "".join(rnd.choices("aab1", k=rnd.randrange(1, 30)))
+        assert secrets.guess_cost(v, ranks) == pytest.approx(brute(v, ranks)), v
+    unit = "".join(rnd.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJ0123456789", k=17))
+    assert secrets.guess_cost(unit * 3, ranks) == pytest.approx(brute(unit * 3, ranks)) and secrets.guess_cost(unit * 3, ranks) < 18
     assert secrets.guess_cost("password1987", ranks, 8) < 4 < 15 < secrets.guess_cost("x9Tq0vLm2Rw8zKp4", ranks, 8)
 
 
+def test_repetitions_by_scales_are_those_of_all_periods():
+    rnd = random.Random(5)
+    primitive = lambda u: (u + u).find(u, 1) == len(u)
+    for _ in range(1500):
+        few = "abcd"[:rnd.choice([1, 2, 2, 3, 4])]
+        t = "".join(rnd.choices(few, k=rnd.randrange(4, 50)))
+        if rnd.random() < 0.5:
+            unit = "".join(rnd.choices(few, k=rnd.randrange(1, 20)))
+            t = unit * rnd.randrange(1, 5) + t + unit * 3
+        codes = np.frombuffer(t.encode("utf-32-le"), np.uint32).astype(np.int64)
+        every, found = set(secrets._repetitions_short(codes)), set(secrets._repetitions_long(codes))
+        assert {x for x in every if primitive(t[x[0]:x[0] + x[2]])} <= found <= every, t
+
+
+def test_long_values_take_no_square_of_their_length():
+    import time
+
+    rnd = random.Random(6)
+    start = time.process_time()
+    for v in ("a" * 100_000, "x9Kq" * 25_000, "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=100_000))):
+        secrets.guess_cost(v, {"password": 1})
+    assert time.process_time() - start < 60
+
+
 def test_weak_values_are_no_guess_spans():
     ranks = {"password": 1, "changeme": 5}
     spans = secrets.guess_spans("pwd: changeme pass = password1 login => kX93vq-1Zt0 bearer: x", ranks, 8)
