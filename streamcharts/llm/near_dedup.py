@@ -125,9 +125,11 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batch, 1, PIECE):
             sets = shingle_sets(b.column(1))
             keys = [xxhash.xxh128_digest(s.tobytes()) if len(s) else None for s in sets]
+            signed = _signatures(sets)  # low: the lowest byte of each coordinate, which is what small nodes compare
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()),
-                 pa.array(_signatures(sets), pa.binary()), b.column(2)], ["doc_id", "n_shingles", "key", "sig", "named"])
+                 pa.array(signed, pa.binary()), pa.array([None if s is None else s[::4] for s in signed], pa.binary()), b.column(2)],
+                ["doc_id", "n_shingles", "key", "sig", "low", "named"])
 
 
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,7 +178,7 @@ def _compare_small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         members = batch.column("members")
         at, flat = np.asarray(members.offsets), members.values
         ids = np.asarray(flat.field("id"))
-        sig = _matrix(flat.field("sig")).astype(np.uint8) if len(flat) else np.zeros((0, COORDINATES), np.uint8)
+        sig = np.frombuffer(b"".join(flat.field("low").to_pylist()), np.uint8).reshape(len(flat), COORDINATES)
         sizes = np.diff(at)
         two = at[:-1][sizes == 2]
         if len(two):
@@ -279,7 +281,7 @@ class _Search:
         self.spark: SparkSession = docs.sparkSession
         self.docs = docs
         self.reps = written(signs.filter("n_shingles > 0").groupBy("key").agg(
-            F.min("doc_id").alias("id"), F.first("sig").alias("sig")).select("id", "sig"), "near-reps")
+            F.min("doc_id").alias("id"), F.first("sig").alias("sig"), F.first("low").alias("low")).select("id", "sig", "low"), "near-reps")
         self.labels = self.spark.createDataFrame([], "id bigint, label bigint")
         self.sets: DataFrame | None = None
 
@@ -319,7 +321,8 @@ def _nodes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _small_pairs(search: _Search, small: DataFrame) -> DataFrame:
-    members = small.join(search.reps, "id").groupBy("node").agg(F.collect_list(F.struct("id", "sig")).alias("members"))
+    members = small.select("node", "id").join(search.reps.select("id", "low"), "id").groupBy("node").agg(
+        F.collect_list(F.struct("id", "low")).alias("members"))
     return written(members.select("members").mapInArrow(_compare_small, f"{_PAIR}, first boolean").groupBy("a", "b").agg(
         F.max("first").alias("first")), "near-pairs")
 
@@ -339,7 +342,7 @@ def _nearest(table: pa.Table) -> pa.Table:
 def _clusters(search: _Search, large: DataFrame, level: int) -> tuple[DataFrame, DataFrame]:
     """Rows (node, id, leader): nodes with the same leader as one. Rows (node, cluster): the cluster of each node."""
     chunk = F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / BLOCK))
-    leaders = large.join(search.reps, "id").withColumn("chunk", chunk).groupBy("node", "chunk").applyInArrow(
+    leaders = large.join(search.reps.select("id", "sig"), "id").withColumn("chunk", chunk).groupBy("node", "chunk").applyInArrow(
         _nearest, "node bigint, id bigint, agree bigint").groupBy("node").agg(
         F.max_by("id", F.struct("agree", -F.col("id"))).alias("leader"))
     leaders = written(leaders.withColumn("cluster", F.xxhash64("leader", F.lit(level))), "near-leaders")
@@ -351,7 +354,7 @@ def _star_pairs(search: _Search, clusters: DataFrame) -> DataFrame:
     """Every document of a cluster that resembles its leader: (node, a, b)."""
     heads = clusters.select("node", "leader").distinct().join(
         search.reps.select(F.col("id").alias("leader"), F.col("sig").alias("head")), "leader")
-    met = clusters.filter("id <> leader").select("node", "id").join(search.reps, "id").join(heads, "node")
+    met = clusters.filter("id <> leader").select("node", "id").join(search.reps.select("id", "sig"), "id").join(heads, "node")
     return written(met.select("node", F.col("leader").alias("a"), F.col("id").alias("b"), "head", "sig").mapInArrow(
         _compare_pairs, f"node bigint, {_PAIR}").distinct(), "near-stars")
 
@@ -398,9 +401,9 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     docs = docs.select(_own(id_col, text_col).alias("doc_id"), F.col(text_col).alias("text"),
                        F.col(id_col).cast("long").isNotNull().alias("named"))
     signs = written(in_batches(docs).mapInArrow(
-        _sign, "doc_id bigint, n_shingles bigint, key binary, sig binary, named boolean"), "near-signs")
+        _sign, "doc_id bigint, n_shingles bigint, key binary, sig binary, low binary, named boolean"), "near-signs")
     search = _Search(docs, signs)
-    rows = search.reps.mapInArrow(_roots, "node bigint, id bigint")
+    rows = search.reps.select("id", "sig").mapInArrow(_roots, "node bigint, id bigint")
     pairs = None
     for level in range(1, DEPTH + 1):
         small, large = _nodes(rows)
@@ -422,13 +425,13 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             break
         # the nodes themselves branch, not their clusters: a pair that one tree loses is left to the others
         live = large.join(cluster_of.join(again, "cluster", "left_semi"), "node").select("node", "id")
-        rows = live.join(search.reps, "id").select("node", "id", "sig").mapInArrow(_branch, "node bigint, id bigint")
+        rows = live.join(search.reps.select("id", "sig"), "id").select("node", "id", "sig").mapInArrow(_branch, "node bigint, id bigint")
     search.confirm(search.apart(pairs.filter("first").select("a", "b")))
     search.confirm(search.apart(pairs.select("a", "b")))
 
     classes = signs.filter("n_shingles > 0").groupBy("key").agg(F.min("doc_id").alias("id")).join(
         search.labels, "id", "left").select("key", F.coalesce("label", "id").alias("component"))
-    out = signs.drop("sig").join(classes, "key", "left")
+    out = signs.drop("sig", "low").join(classes, "key", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
     out = out.select(F.col("doc_id").alias("own"), "named", "n_shingles", component.alias("component_id"))
     if signs.filter(~F.col("named")).isEmpty():
