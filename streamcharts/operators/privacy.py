@@ -4,7 +4,7 @@ Deleting a user removes their account, their playlists and those playlists'
 tracks; deleting an artist removes their songs and every playlist entry of
 those songs. Each step is an anti-join against the erased keys (semi-joins
 find the dependent keys), so nothing is collected to the driver.
-Pseudonymous rollups are keyed by hash, not by user id, and are untouched.
+The stored rollups are keyed by the user's hash; ``streaming.compaction.erase`` takes hashes out of them.
 """
 
 from __future__ import annotations
