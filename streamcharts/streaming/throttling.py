@@ -1,8 +1,10 @@
-"""First-attempt rate-limit windows on a stream (A22): a state machine per client with event-time timers.
+"""First-attempt rate-limit windows on a stream (A22): a state machine for a bucket of clients with event-time timers.
 
-State, in RocksDB: the open window (its start and attempts so far) and the attempts that the watermark has not reached.
+State, in RocksDB: each client's open window (its start and attempts so far) and the attempts that the watermark has not reached. Clients are hashed
+to ``buckets`` keys, whose open windows are one value of the state and whose attempts a value for some thousands, so calls to the state
+store are counted by buckets and parts and not by clients or attempts. The number of buckets stays with a checkpoint.
 Attempts are taken in the order of their times once the watermark has passed them, so the order in which they arrive
-within the watermark's delay does not matter. A timer wakes the client for its next waiting attempt or the end of its open
+within the watermark's delay does not matter. A timer wakes the bucket for its next waiting attempt or the end of its earliest open
 window, whichever comes first; a window is emitted once, when the watermark has passed its end. Results equal
 ``operators.throttling.attempt_windows`` over the same attempts.
 
@@ -14,79 +16,75 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import IntegralType, LongType, StructField, StructType
 
 from streamcharts.constants import RATE_LIMIT_MAX_ATTEMPTS, RATE_LIMIT_WINDOW_SECONDS
 from streamcharts.operators.throttling import micros, verdicts
 from streamcharts.session import ensure_conf, scratch_path
-from streamcharts.streaming.stateful import use_rocksdb_state
+from streamcharts.streaming.stateful import Alarm, WaitingRows, frames, packed, unpacked, use_rocksdb_state
+
+
+BUCKETS = 256
+_OUT = {"client": None, "begun": "int64", "attempts": "int64"}
 
 
 class FirstAttemptWindows(StatefulProcessor):
-    def __init__(self, window_seconds: int):
+    def __init__(self, window_seconds: int, client: pa.DataType):
         self.window = int(window_seconds) * 1_000_000
+        self.attempt = pa.schema([("at", pa.int64()), ("client", client), ("n", pa.int64())])
+        self.opened = pa.schema([("client", client), ("start", pa.int64()), ("attempts", pa.int64())])
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.open = handle.getValueState("open", "start bigint, attempts bigint")
-        self.waiting = handle.getMapState("waiting", "at bigint", "n bigint")
-        self.timer = handle.getValueState("timer", "at bigint")
+        self.open = handle.getValueState("open", "rows binary")
+        self.waiting = WaitingRows(handle, "waiting", self.attempt)
+        self.alarm = Alarm(handle)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N803 - the engine's names
-        if key[0] is None:  # heartbeats
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N803 - the engine's names
+        if key[0] < 0:  # heartbeats
             return
-        new: dict[int, int] = {}
-        for r in rows:
-            new[r["at"]] = new.get(r["at"], 0) + r["n"]
-        for at, n in new.items():
-            before = self.waiting.getValue((at,))
-            self.waiting.updateValue((at,), (n + (before[0] if before else 0),))
-        yield from self._advance(key, timerValues.getCurrentWatermarkInMs() * 1000)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        self.timer.clear()
-        yield from self._advance(key, timerValues.getCurrentWatermarkInMs() * 1000)
-
-    def _advance(self, key, watermark: int) -> Iterator[Row]:
-        """Takes the waiting attempts before the watermark in order, emits the windows that end by it, sets the timer."""
-        waiting = sorted((k[0], v[0]) for k, v in self.waiting.iterator())
-        open_ = self.open.get() if self.open.exists() else None
-        start, attempts = open_ if open_ else (None, 0)
-        for at, n in waiting:
-            if at >= watermark:
-                break
-            if start is None or at >= start + self.window:
-                if start is not None:
-                    yield Row(client=key[0], begun=start, attempts=attempts)
-                start, attempts = at, 0
-            attempts += n
-            self.waiting.removeKey((at,))
-        later = [at for at, _ in waiting if at >= watermark]
-        if start is not None and start + self.window <= watermark:
-            yield Row(client=key[0], begun=start, attempts=attempts)
-            start = None
-        if start is None:
-            self.open.clear()
+        self.waiting.load()
+        self.waiting.add(r for frame in rows for r in zip(*[frame[c].tolist() for c in ("at", "client", "n")]))
+        due, watermark = self.alarm.at(), timerValues.getCurrentWatermarkInMs() * 1000
+        due = min(x for x in (due, self.waiting.soonest()) if x is not None)
+        if due <= watermark:
+            yield from frames(self._advance(watermark), _OUT)
         else:
-            self.open.update((start, attempts))
-        self._wake(min([*later[:1], *([start + self.window] if start is not None else [])], default=None))
+            self.waiting.store()
+            self.alarm.set(due)
 
-    def _wake(self, at: int | None) -> None:
-        due = None if at is None else at // 1000 + 1
-        old = self.timer.get()[0] if self.timer.exists() else None
-        if old == due:
-            return
-        if old is not None:
-            self.handle.deleteTimer(old)
-        if due is None:
-            self.timer.clear()
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.alarm.rang()
+        self.waiting.load()
+        yield from frames(self._advance(timerValues.getCurrentWatermarkInMs() * 1000), _OUT)
+
+    def _advance(self, watermark: int) -> Iterator[tuple]:
+        """Takes the waiting attempts before the watermark in order, emits the windows that end by it, sets the timer."""
+        opened = {client: (start, n) for client, start, n in unpacked(self.open.get()[0])} if self.open.exists() else {}
+        for at, client, n in self.waiting.take(watermark):
+            start, attempts = opened.get(client, (None, 0))
+            if start is not None and at >= start + self.window:
+                yield client, start, attempts
+                start, attempts = None, 0
+            opened[client] = (at if start is None else start, attempts + n)
+        self.waiting.store()
+        rest = []
+        for client, (start, attempts) in opened.items():
+            if start + self.window <= watermark:
+                yield client, start, attempts
+            else:
+                rest.append((client, start, attempts))
+        if rest:
+            self.open.update((packed(rest, self.opened),))
         else:
-            self.handle.registerTimer(due)
-            self.timer.update((due,))
+            self.open.clear()
+        ends = min((start + self.window for _, start, _ in rest), default=None)
+        self.alarm.set(min((x for x in (ends, self.waiting.soonest()) if x is not None), default=None))
 
     def close(self) -> None:
         pass
@@ -99,15 +97,19 @@ def _combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from t.rename_columns(["client", "ts", "n"]).to_batches()
 
 
-def attempt_windows(attempts: DataFrame, window_seconds: int = RATE_LIMIT_WINDOW_SECONDS, watermark: str = "10 minutes") -> DataFrame:
+def attempt_windows(attempts: DataFrame, window_seconds: int = RATE_LIMIT_WINDOW_SECONDS, watermark: str = "10 minutes",
+                    buckets: int = BUCKETS) -> DataFrame:
     """Closed windows ``(client, begun, attempts)`` of a stream of ``(client, ts)``; append mode."""
     kind = attempts.schema["client"].dataType
     rows = attempts.select("client", F.col("ts").cast("timestamp").alias("ts")).filter(F.col("ts").isNotNull())
     counted = rows.mapInArrow(_combined, StructType([*rows.schema.fields, StructField("n", LongType())])).withWatermark(
         "ts", watermark).withColumn("at", micros(F.col("ts")))
     out = StructType([StructField("client", kind), StructField("begun", LongType()), StructField("attempts", LongType())])
-    return counted.groupBy("client").transformWithState(
-        FirstAttemptWindows(window_seconds), out, outputMode="Append", timeMode="EventTime")
+    counted = counted.withColumn("bucket", F.when(F.col("client").isNull(), F.lit(-1)).otherwise(F.pmod(F.xxhash64("client"), F.lit(buckets)).cast("int")))
+    if isinstance(kind, IntegralType):  # pandas would turn numbers beside a heartbeat's null into doubles
+        counted = counted.withColumn("client", F.coalesce("client", F.lit(0).cast(kind)))
+    return counted.groupBy("bucket").transformWithStateInPandas(
+        FirstAttemptWindows(window_seconds, to_arrow_type(kind)), out, outputMode="Append", timeMode="EventTime")
 
 
 def start_throttling(attempts: DataFrame, output: str, checkpoint: str | None = None, window_seconds: int = RATE_LIMIT_WINDOW_SECONDS,
