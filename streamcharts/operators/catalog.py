@@ -73,9 +73,9 @@ def song_durations(songs: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------- playlists
-def playlist_tracks(playlist_songs: DataFrame) -> DataFrame:
+def playlist_tracks(playlist_songs: DataFrame, bounds_from: DataFrame | None = None) -> DataFrame:
     """``playlist_id, rank, song_id``: every track's place by (position, song id), from 1."""
-    return ranked(playlist_songs, ["position", "song_id"], ["playlist_id"]).select(
+    return ranked(playlist_songs, ["position", "song_id"], ["playlist_id"], bounds_from=bounds_from).select(
         "playlist_id", F.col("_rank").alias("rank"), "song_id")
 
 
@@ -157,13 +157,13 @@ def create_playlists(new_rows: DataFrame, playlists: DataFrame) -> DataFrame:
     return r.select((base + F.col("_rank")).cast("long").alias("id"), "user_id", "name")
 
 
-def track_neighbours(playlist_songs: DataFrame, partitions: int | None = None) -> DataFrame:
+def track_neighbours(playlist_songs: DataFrame, partitions: int | None = None, bounds_from: DataFrame | None = None) -> DataFrame:
     """Per playlist, the 1-based track number (``01``) and the next track, wrapping around.
 
     A window partitioned by playlist would put a playlist holding a third of all
     rows into one task; ``ranking.ranked`` cuts large playlists into range chunks.
     """
-    r = ranked(playlist_songs, ["position", "song_id"], ["playlist_id"], next_of="song_id", partitions=partitions)
+    r = ranked(playlist_songs, ["position", "song_id"], ["playlist_id"], next_of="song_id", partitions=partitions, bounds_from=bounds_from)
     track_no = F.col("_rank").cast("int")
     return r.select(
         "playlist_id",

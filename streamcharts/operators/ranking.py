@@ -11,6 +11,8 @@ chunks are stitched with a window over one summary row per chunk and group.
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,24 +20,33 @@ from pyspark.sql import functions as F
 SAMPLES_PER_CHUNK = 20
 
 
-def chunk_of(df: DataFrame, keys: list[str], chunks: int) -> Column:
-    """The number of the contiguous chunk (by ``keys``) that a row of ``df`` is in.
+def chunk_of(df: DataFrame, keys: list[str], chunks: int, group: int = 0) -> Column | None:
+    """The number of the contiguous chunk (by ``keys``) that a row of ``df`` is in; none if nothing has to be cut.
 
     The only job this starts reads ``df`` once, every task forwarding ``SAMPLES_PER_CHUNK * chunks`` rows at random
     at most; so many keys are collected, whatever the size of ``df``. Results built on the chunks do not depend on where the
     bounds fall.
+
+    The first ``group`` keys name a row's group. Of a group, all of whose rows fit into a chunk or two, nothing is cut: bounds count
+    only where two of them or more fall into the same group, and only rows of such groups are compared with them.
     """
     if chunks <= 1:
-        return F.lit(0)
+        return None
     key = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])
-    drawn = df.select(key.alias("k"), F.rand(7).alias("r")).orderBy("r").limit(SAMPLES_PER_CHUNK * chunks)
-    sample = [r.j for r in drawn.select("k").orderBy("k").select(F.to_json("k").alias("j")).collect()]
+    name = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys[:group])]) if group else F.lit(0)
+    drawn = df.select(key.alias("k"), name.alias("g"), F.rand(7).alias("r")).orderBy("r").limit(SAMPLES_PER_CHUNK * chunks)
+    options = {"ignoreNullFields": "false"}
+    as_text = [F.to_json("k", options).alias("j"), (F.to_json("g", options) if group else F.lit("")).alias("g")]
+    sample = [(r.j, r.g) for r in drawn.select("k", "g").orderBy("k").select(*as_text).collect()]
     step = max(1, len(sample) // chunks)
     bounds = list(dict.fromkeys(sample[step::step]))
+    if group:
+        often = Counter(g for _, g in bounds)
+        bounds = [(j, g) for j, g in bounds if often[g] > 1]
     if not bounds:
-        return F.lit(0)
+        return None
     kind = df.select(key.alias("k")).schema["k"].dataType.simpleString()
-    table = F.from_json(F.lit("[" + ",".join(bounds) + "]"), f"array<{kind}>")  # folded to one literal
+    table = F.from_json(F.lit("[" + ",".join(j for j, _ in bounds) + "]"), f"array<{kind}>")  # folded to one literal
     half = lambda s: F.floor((s["lo"] + s["hi"]) / 2).cast("int")
     search = F.aggregate(  # binary search: bounds up to the row's key
         F.sequence(F.lit(1), F.lit(len(bounds).bit_length())),
@@ -43,7 +54,11 @@ def chunk_of(df: DataFrame, keys: list[str], chunks: int) -> Column:
         lambda s, _: F.when(s["lo"] >= s["hi"], s).when(
             F.get(table, half(s)) <= key, F.struct((half(s) + 1).alias("lo"), s["hi"].alias("hi"))).otherwise(
             F.struct(s["lo"].alias("lo"), half(s).alias("hi"))))
-    return search["lo"]
+    if not group:
+        return search["lo"]
+    kind = df.select(name.alias("g")).schema["g"].dataType.simpleString()
+    large = F.from_json(F.lit("[" + ",".join(dict.fromkeys(g for _, g in bounds)) + "]"), f"array<{kind}>")
+    return F.when(F.array_contains(large, name), search["lo"]).otherwise(F.lit(0))
 
 
 def ranked(df: DataFrame, order: list[str], group: list[str] | None = None, next_of: str | None = None,
@@ -56,14 +71,22 @@ def ranked(df: DataFrame, order: list[str], group: list[str] | None = None, next
     """
     group = list(group or [])
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cut = df.withColumn("_chunk", chunk_of(df if bounds_from is None else bounds_from, [*group, *order], n))
-    in_chunk = Window.partitionBy("_chunk", *group).orderBy(*order)
     places = F.col(weight) if weight else F.lit(1)
-    upto = F.sum(places).over(in_chunk.rowsBetween(Window.unboundedPreceding, 0)) - places + 1 if weight else (
-        F.row_number().over(in_chunk))
-    local = cut.withColumn("_rn", upto)
-    if next_of:
-        local = local.withColumn("_lnext", F.lead(next_of).over(in_chunk))
+
+    def numbered(window, rank: str, following: str, frame: DataFrame) -> DataFrame:
+        upto = F.sum(places).over(window.rowsBetween(Window.unboundedPreceding, 0)) - places + 1 if weight else F.row_number().over(window)
+        out = frame.withColumn(rank, upto)
+        return out.withColumn(following, F.lead(next_of).over(window)) if next_of else out
+
+    chunk = chunk_of(df if bounds_from is None else bounds_from, [*group, *order], n, len(group))
+    if chunk is None and group:  # no group is larger than a task may hold
+        whole = Window.partitionBy(*group)
+        out = numbered(whole.orderBy(*order), "_rank", "_next", df).withColumn("_rank", F.col("_rank").cast("long"))
+        if next_of:
+            out = out.withColumn("_next", F.coalesce("_next", F.max(F.when(F.col("_rank") == 1, F.col(next_of))).over(whole)))
+        return out
+    cut = df.withColumn("_chunk", F.lit(0) if chunk is None else chunk)
+    local = numbered(Window.partitionBy("_chunk", *group).orderBy(*order), "_rn", "_lnext", cut)
     # out of the numbered rows: the same partitioning, and the shuffle below them is made once for both
     summary_aggs = [(F.max(F.col("_rn") + places) - 1).alias("_n")]
     if next_of:
@@ -79,8 +102,8 @@ def ranked(df: DataFrame, order: list[str], group: list[str] | None = None, next
     if next_of:
         cols += [F.lead("_head").over(by_chunk).alias("_next_head"), F.first("_head").over(by_chunk).alias("_first_head")]
     c = chunks.select(*cols)
-    # null-safe on the group columns: a NULL group is a group too
-    cond = [F.col("_chunk") == F.col("_c__chunk")] + [F.col(g).eqNullSafe(F.col(f"_c_{g}")) for g in group]
+    # null-safe on the group columns: a NULL group is a group too; on the chunk, for no filter on one side to keep the shuffle from being made once
+    cond = [F.col("_chunk").eqNullSafe(F.col("_c__chunk"))] + [F.col(g).eqNullSafe(F.col(f"_c_{g}")) for g in group]
     out = local.join(c, cond, "inner").drop(*[f"_c_{x}" for x in ["_chunk", *group]]).withColumn(
         "_rank", (F.col("_before") + F.col("_rn")).cast("long")
     )

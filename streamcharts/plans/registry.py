@@ -333,14 +333,14 @@ def playlist_create(spark, sf):
 
 @register("next_track")
 def next_track(spark, sf):
-    return cat.track_neighbours(tb.playlist_songs(spark, sf)).select(
+    return cat.track_neighbours(tb.playlist_songs(spark, sf), bounds_from=tb.playlist_rows(spark, sf)).select(
         "playlist_id", "song_id", "next_song_id"
     )
 
 
 @register("numbered_listing")
 def numbered_listing(spark, sf):
-    return cat.track_neighbours(tb.playlist_songs(spark, sf)).select(
+    return cat.track_neighbours(tb.playlist_songs(spark, sf), bounds_from=tb.playlist_rows(spark, sf)).select(
         "playlist_id", "song_id", "track_no", "label"
     )
 

@@ -96,23 +96,28 @@ def playlists(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def playlist_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def playlist_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tracks per playlist as stored, a pair perhaps more than once."""
+    li = read(spark, sf_dir, "lineitem")
+    return li.select(
+        li.l_orderkey.cast("long").alias("playlist_id"),
+        li.l_partkey.cast("long").alias("song_id"),
+        li.l_linenumber.cast("int").alias("position"),
+    )
+
+
+def playlist_songs(spark: SparkSession, sf_dir: str, of: DataFrame | None = None) -> DataFrame:
     """Tracks per playlist with the (playlist_id, song_id) key enforced.
 
     The source may repeat a pair; the first position wins. The dedupe is a
     hash aggregate with map-side combine on the composite key, so a very
-    large playlist still spreads over many reducers.
+    large playlist still spreads over many reducers. ``of``: a frame of the ``playlist_id`` wanted; the others'
+    rows are left out first, and one shuffle by playlist serves that and the dedupe.
     """
-    li = read(spark, sf_dir, "lineitem")
-    return (
-        li.select(
-            li.l_orderkey.cast("long").alias("playlist_id"),
-            li.l_partkey.cast("long").alias("song_id"),
-            li.l_linenumber.cast("int").alias("position"),
-        )
-        .groupBy("playlist_id", "song_id")
-        .agg(F.min("position").alias("position"))
-    )
+    rows = playlist_rows(spark, sf_dir)
+    if of is not None:
+        rows = rows.join(of, "playlist_id", "left_semi")
+    return rows.groupBy("playlist_id", "song_id").agg(F.min("position").alias("position"))
 
 
 def song_id_from_props(props: Column) -> Column:
