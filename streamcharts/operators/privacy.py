@@ -67,19 +67,20 @@ def cascade_counts(flagged: dict[str, DataFrame]) -> DataFrame:
 
 
 def export_users(export_ids: DataFrame, users: DataFrame, playlists: DataFrame,
-                 playlist_songs: DataFrame) -> DataFrame:
+                 playlist_songs: DataFrame, bounds_from: DataFrame | None = None) -> DataFrame:
     """Q12 export: JSON lines, one per (user, playlist, track); a playlist without tracks and a user
     without playlists are one line each, with nulls.
 
     The requested users narrow playlists, and those narrow the tracks, by semi-joins *before* the
-    tracks are ranked, so an export touches the requested users' data only (beyond the scans).
+    tracks are ranked, so an export touches the requested users' data only (beyond the scans). ``bounds_from``: a cheaper frame of tracks, of any playlists, for ``ranked``.
     """
     from streamcharts.operators.catalog import playlist_tracks
 
     u = users.join(export_ids.select("id").distinct(), "id", "left_semi")
     mine = playlists.join(u.select(F.col("id").alias("user_id")), "user_id", "left_semi")
     tracks = playlist_tracks(
-        playlist_songs.join(mine.select(F.col("id").alias("playlist_id")), "playlist_id", "left_semi")
+        playlist_songs.join(mine.select(F.col("id").alias("playlist_id")), "playlist_id", "left_semi"),
+        bounds_from,
     )
     p = mine.join(tracks.withColumnRenamed("playlist_id", "_playlist"), F.col("id") == F.col("_playlist"), "left").select(
         "user_id",

@@ -411,8 +411,9 @@ def erase_artist_cascade(spark, sf):
 
 @register("export_user")
 def export_user(spark, sf):
-    return pv.export_users(_erase_ids(spark, sf), tb.users(spark, sf), tb.playlists(spark, sf),
-                           tb.playlist_songs(spark, sf))
+    ids, playlists = _erase_ids(spark, sf), tb.playlists(spark, sf)
+    theirs = playlists.join(ids.withColumnRenamed("id", "user_id"), "user_id", "left_semi").select(F.col("id").alias("playlist_id"))
+    return pv.export_users(ids, tb.users(spark, sf), playlists, tb.playlist_songs(spark, sf, theirs), tb.playlist_rows(spark, sf))
 
 
 # ------------------------------------------------------------- intake
