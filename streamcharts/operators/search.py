@@ -5,7 +5,7 @@ posting lists in pieces of ``PIECE`` consecutive ids, so that a frequent trigram
 catalog, in ``BUCKETS`` folders by the trigram's hash; beside it how many rows hold each trigram.
 
 A pattern's literal runs name trigrams that every match must hold. The ``RAREST`` of them are looked up, the ids that all of
-them list are candidates, and ``ilike`` on the candidates' rows decides, with ``%`` and ``_`` as wildcards. So results equal
+them list are candidates (the lists meet piece by piece, before they become rows), and ``ilike`` on the candidates' rows decides, with ``%`` and ``_`` as wildcards. So results equal
 the scan's. A pattern without a literal run of three characters, or with a backslash, names no trigram: it is answered by the
 scan itself.
 """
@@ -22,6 +22,7 @@ from streamcharts.functions.scalars import clamp_limit
 BUCKETS = 64
 PIECE = 1 << 16   # ids to a posting row
 RAREST = 3        # trigrams of a pattern that are looked up
+LONGER = 4        # but none that so many times more rows hold than the rarest: its list costs more than it excludes
 
 
 def trigrams(text: Column) -> Column:
@@ -73,10 +74,14 @@ def _candidates(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
     counts = spark.read.parquet(f"{path}/grams")
     each = wanted.select("pattern", F.explode("grams").alias("gram")).join(counts, "gram", "left")
     order = Window.partitionBy("pattern").orderBy(F.col("n").asc_nulls_first(), "gram")  # a row a trigram of the pattern
-    rare = each.withColumn("_rn", F.row_number().over(order)).filter(F.col("_rn") <= RAREST)
+    rare = each.withColumn("_rn", F.row_number().over(order)).withColumn(
+        "_least", F.min(F.coalesce("n", F.lit(0))).over(Window.partitionBy("pattern"))).filter(
+        (F.col("_rn") <= RAREST) & (F.col("n") <= LONGER * F.col("_least")))
     rare = rare.withColumn("_k", F.count(F.lit(1)).over(Window.partitionBy("pattern"))).withColumn("bucket", _bucket(F.col("gram")))
-    ids = rare.join(spark.read.parquet(f"{path}/postings"), ["bucket", "gram"]).select("pattern", "_k", F.explode("ids").alias("id"))
-    return ids.groupBy("pattern", "id").agg(F.count(F.lit(1)).alias("_n"), F.first("_k").alias("_k")).filter("_n = _k").select("pattern", "id")
+    lists = rare.join(spark.read.parquet(f"{path}/postings"), ["bucket", "gram"]).groupBy("pattern", "piece").agg(
+        F.collect_list("ids").alias("_lists"), F.first("_k").alias("_k")).filter(F.size("_lists") == F.col("_k"))
+    common = F.aggregate(F.slice("_lists", 2, RAREST), F.col("_lists")[0], F.array_intersect)  # at most RAREST lists of PIECE ids
+    return lists.select("pattern", F.explode(common).alias("id"))
 
 
 def search_all(cards: DataFrame, path: str, patterns: DataFrame, columns: tuple[str, ...] = ("title", "artist")) -> DataFrame:
