@@ -7,6 +7,7 @@ and one job writes it: an append is committed whole, so a batch that breaks off
 
 Numbers are dealt in ``LANES``: a user's hash names a lane, a lane numbers its new users in the order of their hashes after
 those it has, and lanes interleave. So no window runs over all users, and numbers stay dense as lanes are filled evenly.
+The dictionary grows with the log: it is joined by merging, never broadcast, so it does not pass the driver.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ class ListenerSink:
         self._number(plays)
         users = plays.sparkSession.read.parquet(f"{self.root}/users").select("user_hash", "user_no")
         # one row a listener and minute before the dictionary is met
-        heard = plays.select("song_id", "window_start", "user_hash").distinct().join(users, "user_hash")
+        heard = plays.select("song_id", "window_start", "user_hash").distinct().join(users.hint("merge"), "user_hash")
         bitmaps = heard.groupBy("song_id", "window_start", F.bitmap_bucket_number("user_no").alias("piece")).agg(
             F.bitmap_construct_agg(F.bitmap_bit_position("user_no")).alias("listeners"))
         bitmaps.withColumn("day", F.to_date("window_start")).withColumn("run", F.lit(self.run_id)).withColumn(
@@ -46,7 +47,7 @@ class ListenerSink:
             users = users.withColumn("used", F.lit(0))
         else:
             used = known.groupBy(F.pmod(F.xxhash64("user_hash"), F.lit(self.lanes)).alias("lane")).agg(F.count(F.lit(1)).alias("used"))  # a row a lane
-            users = users.join(known.select("user_hash"), "user_hash", "left_anti").join(used, "lane", "left")
+            users = users.join(known.select("user_hash").hint("merge"), "user_hash", "left_anti").join(used, "lane", "left")
         place = F.row_number().over(Window.partitionBy("lane").orderBy("user_hash")) - 1 + F.coalesce("used", F.lit(0))
         new = users.select("user_hash", (place * self.lanes + F.col("lane") + 1).cast("long").alias("user_no"))
         new.write.mode("append").parquet(f"{self.root}/users")
