@@ -630,51 +630,59 @@ def stream_batch_log(spark, sf):
 @register("stream_compacted_counts")
 def stream_compacted_counts(spark, sf):
     """Three epochs, a compaction and a clean-up, then the last epoch and a folded one delivered again."""
-    decoded = ev.decode_messages(_messages(spark, sf), P.SALT)
+    epochs = _stored_epochs(spark, sf, F.pmod(F.xxhash64("user_hash", "ts"), F.lit(3)).cast("int"), 3)
     out = scratch_path(spark, "compacted")
     sink = RollupSink(out, "r1")
     for epoch in (0, 1, 2):
-        sink(decoded.filter(F.pmod(F.xxhash64("user_hash", "ts"), F.lit(3)) == epoch), epoch)
+        sink(epochs[epoch], epoch)
     cp.compact(spark, out)
     cp.vacuum(spark, out)
     for epoch in (2, 0):
-        sink(decoded.filter(F.pmod(F.xxhash64("user_hash", "ts"), F.lit(3)) == epoch), epoch)
+        sink(epochs[epoch], epoch)
     return _ntz(sv.minute_play_counts(spark, out))
 
 
+def _stored_epochs(spark, sf, epoch, count: int):
+    """The event log decoded and stored once, by the number of the epoch that a row comes in: an epoch reads its own rows."""
+    decoded = ev.decode_messages(_messages(spark, sf), P.SALT).withColumn("_epoch", epoch)
+    path = scratch_path(spark, "decoded")
+    decoded.write.partitionBy("_epoch").parquet(path)
+    rows = spark.read.schema(decoded.schema).parquet(path)
+    return [rows.filter(F.col("_epoch") == n).drop("_epoch") for n in range(count)]
+
+
 def _weekly_epochs(spark, sf):
     """The event log decoded, cut into epochs week by week."""
-    decoded = ev.decode_messages(_messages(spark, sf), P.SALT)
-    at = lambda d: F.lit(d).cast("timestamp_ntz")
-    cuts, ts = [None, *P.STREAM_CUTS, None], F.col("ts")
-    return [decoded.filter(F.coalesce(ts, at("1970-01-01")) >= at(a or "1970-01-01")) if b is None else
-            decoded.filter((F.coalesce(ts, at("1970-01-01")) >= at(a or "1970-01-01")) & (F.coalesce(ts, at("1970-01-01")) < at(b)))
-            for a, b in zip(cuts[:-1], cuts[1:])]
+    ts = F.coalesce(F.col("ts"), F.lit("1970-01-01").cast("timestamp_ntz"))
+    week = F.lit(0)
+    for d in P.STREAM_CUTS:
+        week = week + (ts >= F.lit(d).cast("timestamp_ntz")).cast("int")
+    return _stored_epochs(spark, sf, week, len(P.STREAM_CUTS) + 1)
 
 
-def _levelled(spark, sf) -> str:
-    """Weekly epochs, folded one by one as they come and merged level by level; the last stays open. Returns the root."""
-    out = scratch_path(spark, "levelled")
+def _levelled(spark, sf) -> tuple:
+    """Weekly epochs, folded one by one as they come and merged level by level; the last stays open. Returns the root and the epochs."""
+    out, weeks = scratch_path(spark, "levelled"), _weekly_epochs(spark, sf)
     sink = RollupSink(out, "r1")
-    for n, epoch in enumerate(_weekly_epochs(spark, sf)):
+    for n, epoch in enumerate(weeks):
         sink(epoch, n)
         cp.compact(spark, out, P.MERGE_FAN)
     cp.vacuum(spark, out)
-    return out
+    return out, weeks
 
 
 @register("stream_levelled_counts")
 def stream_levelled_counts(spark, sf):
     """Minute counts out of segments of several levels, after a folded epoch was delivered again."""
-    out = _levelled(spark, sf)
-    RollupSink(out, "r1")(_weekly_epochs(spark, sf)[1], 1)
+    out, weeks = _levelled(spark, sf)
+    RollupSink(out, "r1")(weeks[1], 1)
     return _ntz(sv.minute_play_counts(spark, out))
 
 
 @register("stream_window_tree")
 def stream_window_tree(spark, sf):
     """Plays per song of windows of minutes up to weeks, from days, hours and minutes."""
-    out, rows = _levelled(spark, sf), None
+    (out, _), rows = _levelled(spark, sf), None
     for n, (asof, minutes) in enumerate(P.TREE_WINDOWS):
         one = sv.window_plays(spark, out, asof, minutes).groupBy("song_id").agg(F.sum("plays").alias("plays")).select(
             F.lit(n).alias("window_no"), "song_id", "plays")
