@@ -14,7 +14,8 @@ those outside are compared with all of it, in blocks, on the full sets; otherwis
 own key, so that trees stay independent, up to ``DEPTH`` levels.
 
 Every link is confirmed on the full sets: first one link a document and node, then those between components.
-Components come from alternating large-star and small-star steps. Pair work stays near-linear: only pairs
+Signatures and full sets lie in buckets by identifier, so that levels and confirmations move rows to them instead.
+Components come from chunks of links joined up in a task each, then alternating large-star and small-star steps. Pair work stays near-linear: only pairs
 that the signatures hold similar reach the confirmation.
 
 Defined results: null text, empty text and text without words have an empty set and link with nothing; fewer than
@@ -36,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from streamcharts.llm.common import in_batches, written
+from streamcharts.llm.common import bucketed, in_batches, written
 from streamcharts.llm.words import pieces, words_of
 
 WIDTH = 5                  # words of a shingle
@@ -49,6 +50,7 @@ FEW, BLOCK = 512, 2048     # documents outside that are compared with so many of
 DEPTH = 24                 # levels before the last resort
 LIKELY = 0.5               # signatures that agree so often make a candidate (4.6 deviations below the threshold)
 
+CHUNK = 1 << 18            # links that a task joins up at once
 PIECE = 2 << 20             # bytes of text worked on at a time
 
 _U = np.uint64
@@ -244,12 +246,48 @@ def _compare_full(table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
-_PAIR = "a bigint, b bigint"
+_PAIR, _LABEL = "a bigint, b bigint", "id bigint, label bigint"
 
 
-def components(links: DataFrame) -> DataFrame:
-    """id, label: the smallest id reachable, for every id in ``links`` (a, b)."""
-    edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "cc")
+def _forest(most: int):
+    """Links (a, b) to labels: id, the smallest identifier that it reaches by the links of its chunk of at most about ``most``."""
+
+    def labelled(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        a, b = (np.concatenate([np.asarray(x.column(k)) for x in held]) for k in (0, 1))
+        ids, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+        a, b, label = at[:len(a)], at[len(a):], np.arange(len(ids))
+        while (label[a] != label[b]).any():
+            x, y = label[a], label[b]
+            np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
+            while (label[label] != label).any():
+                label = label[label]
+        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(ids[label])], ["id", "label"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            held.append(batch)
+            n += batch.num_rows
+            if n >= most:
+                yield labelled(held)
+                held, n = [], 0
+        if n:
+            yield labelled(held)
+
+    return run
+
+
+def components(links: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """id, label: the smallest id reachable, for every id in ``links`` (a, b).
+
+    Links are joined up in chunks first, each in a task. More than one chunk: what these find goes through star steps.
+    """
+    links = links.filter("a <> b")
+    n = links.count()
+    labels = written(links.coalesce(max(1, math.ceil(n / chunk))).mapInArrow(_forest(chunk), _LABEL), "cc")
+    if n < chunk:
+        return labels
+    edges = written(labels.filter("id <> label").select(F.col("id").alias("u"), F.col("label").alias("v")).distinct(), "cc")
 
     def star(e: DataFrame, both: bool) -> DataFrame:
         sym = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))) if both else e
@@ -270,8 +308,8 @@ def components(links: DataFrame) -> DataFrame:
             break
         before = now
     # every edge now leads from a node to the smallest of its component
-    return edges.select(F.col("u").alias("id"), F.col("v").alias("label")).unionByName(
-        edges.select(F.col("v").alias("id"), F.col("v").alias("label")).distinct())
+    return written(edges.select(F.col("u").alias("id"), F.col("v").alias("label")).unionByName(
+        edges.select(F.col("v").alias("id"), F.col("v").alias("label")).distinct()), "cc")
 
 
 class _Search:
@@ -280,16 +318,17 @@ class _Search:
     def __init__(self, docs: DataFrame, signs: DataFrame):
         self.spark: SparkSession = docs.sparkSession
         self.docs = docs
-        self.reps = written(signs.filter("n_shingles > 0").groupBy("key").agg(
-            F.min("doc_id").alias("id"), F.first("sig").alias("sig"), F.first("low").alias("low")).select("id", "sig", "low"), "near-reps")
-        self.labels = self.spark.createDataFrame([], "id bigint, label bigint")
+        # by identifier: each level meets signatures and sets by it
+        self.reps = bucketed(signs.filter("n_shingles > 0").groupBy("key").agg(
+            F.min("doc_id").alias("id"), F.first("sig").alias("sig"), F.first("low").alias("low")).select("id", "sig", "low"), "near-reps", "id")
+        self.labels = self.spark.createDataFrame([], _LABEL)
         self.sets: DataFrame | None = None
 
     def with_sets(self, ids: DataFrame) -> None:
-        """Full sets of the representatives that may be compared, written once."""
+        """Full sets of the representatives that may be compared, written once, by identifier."""
         ids = ids.select(F.col("id").alias("_near_id")).distinct()
-        self.sets = written(self.docs.join(ids, F.col("doc_id") == F.col("_near_id"), "left_semi").mapInArrow(
-            _full_sets, "id bigint, full binary").dropDuplicates(["id", "full"]), "near-sets")
+        self.sets = bucketed(self.docs.join(ids, F.col("doc_id") == F.col("_near_id"), "left_semi").mapInArrow(
+            _full_sets, "id bigint, full binary"), "near-sets", "id", distinct=True)
 
     def apart(self, pairs: DataFrame) -> DataFrame:
         """Pairs whose ends are not in one component yet."""
@@ -299,10 +338,15 @@ class _Search:
             F.coalesce("_la", "a") != F.coalesce("_lb", "b")).select("a", "b")
 
     def confirm(self, pairs: DataFrame) -> None:
-        """Add the pairs that the full sets link, and bring the components up to date."""
-        fa = self.sets.select(F.col("id").alias("a"), F.col("full").alias("full_a"))
+        """Add the pairs that the full sets link, and bring the components up to date.
+
+        Sets of the ends a, which may be few and common, are dealt out again, so that Spark can split the join with them.
+        """
+        pairs = written(pairs.distinct(), "near-asked")
         fb = self.sets.select(F.col("id").alias("b"), F.col("full").alias("full_b"))
-        held = pairs.distinct().join(fa, "a").join(fb, "b").select("a", "b", "full_a", "full_b").mapInArrow(_confirm, _PAIR)
+        ids = pairs.select(F.col("a").alias("id")).distinct()
+        fa = self.sets.join(ids, "id", "left_semi").select(F.col("id").alias("a"), F.col("full").alias("full_a"))
+        held = pairs.join(fb, "b").join(fa, "a").select("a", "b", "full_a", "full_b").mapInArrow(_confirm, _PAIR)
         self.add(held)
 
     def add(self, held: DataFrame) -> None:
@@ -419,7 +463,8 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         search.confirm(search.apart(stars.select("a", "b")))
         mixed = _mixed(search, clusters, stars)
         done = F.lit(level == DEPTH) | F.col("done")
-        search.add(_few_against_all(search, mixed.filter(done)))
+        if not mixed.filter(done).isEmpty():
+            search.add(_few_against_all(search, mixed.filter(done)))
         again = mixed.filter(~done).select(F.col("node").alias("cluster")).distinct()
         if again.isEmpty():
             break
