@@ -30,6 +30,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -95,8 +96,27 @@ class _Lattices:
         inner = {c for p in v.names.values() if len(p) > 1 for c in p} - {" "}
         chars = "".join(map(re.escape, sorted(inner)))
         self.unit = re.compile(f" *[{chars}]+| +|[^ {chars}]" if chars else " +|[^ ]", re.DOTALL)
+        self.kind = np.zeros(0x110000, np.uint8)  # of a character: 0 stands alone, 1 a blank, 2 inside longer pieces
+        self.kind[[ord(c) for c in inner]] = 2
+        self.kind[32] = 1
         self.floor = float(v.log[list(v.names)].max()) - BYTE_COST
 
+    def cut(self, texts: list[str]) -> tuple[np.ndarray, pa.StringArray]:
+        """Number of units of each text with a blank before it, and the units one after the other (``unit`` on every text)."""
+        whole = "".join([f" {t}" for t in texts if t])
+        codes = np.frombuffer(whole.encode("utf-32-le"), np.uint32)
+        kind = self.kind[codes]
+        begin = np.ones(len(codes), bool)  # a blank goes on with blanks, an inner character with either
+        begin[1:] = ~(((kind[1:] == 1) & (kind[:-1] == 1)) | ((kind[1:] == 2) & (kind[:-1] > 0)))
+        sizes = np.array([len(t) + 1 if t else 0 for t in texts], np.int64)
+        ends = np.cumsum(sizes)
+        begin[(ends - sizes)[sizes > 0]] = True
+        at = np.flatnonzero(begin)
+        width = 1 + (codes >= 0x80).astype(np.int8) + (codes >= 0x800) + (codes >= 0x10000)
+        place = np.concatenate([[0], np.cumsum(width, dtype=np.int64)])[np.append(at, len(codes))].astype(np.int32)
+        number = np.diff(np.searchsorted(at, np.concatenate([[0], ends])))
+        return number, pa.StringArray.from_buffers(len(at), pa.py_buffer(place), pa.py_buffer(whole.encode()))
+
     def log(self, segmentation: tuple[int, ...]) -> float:
         return sum(float(self.v.log[p]) if p >= 0 else self.floor * len(chr(-p - 1).encode("utf-8", "surrogatepass")) for p in segmentation)
 
@@ -116,9 +136,9 @@ class _Lattices:
 class Units:
     """The lattices of a list of distinct units: nodes in a row, edges by the node they lead to."""
 
-    def __init__(self, lat: _Lattices, units: list[str]):
-        lengths = np.array([len(u) for u in units], np.int64)
-        codes = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    def __init__(self, lat: _Lattices, units: pa.StringArray):
+        lengths = np.asarray(pc.utf8_length(units)).astype(np.int64)
+        codes = np.frombuffer("".join(units.to_pylist()).encode("utf-32-le"), np.uint32).astype(np.uint64)
         begin = np.cumsum(lengths) - lengths
         self.first_node = begin + np.arange(len(units))       # node of nothing
         self.last_node = self.first_node + lengths
@@ -160,15 +180,19 @@ class Units:
         by_depth = np.argsort(depth, kind="stable")
         cut = np.searchsorted(depth[by_depth], np.arange(int(depth.max(initial=0)) + 2))
         count = np.diff(self.edge)
+        n = count[by_depth]
+        begin = np.concatenate([[0], np.cumsum(n, dtype=np.int64)])  # of a node's edges, by depth
+        e = np.repeat((self.edge[by_depth] - begin[:-1]).astype(np.int32), n) + np.arange(begin[-1], dtype=np.int32)
+        start, log = self.start[e], self.log[e]
         for d in range(1, len(cut) - 1):
-            at = by_depth[cut[d]:cut[d + 1]]
-            n = count[at]
-            e = np.repeat(self.edge[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            value = total[self.start[e]] + self.log[e]
-            seg = np.cumsum(n) - n
+            at, k = by_depth[cut[d]:cut[d + 1]], n[cut[d]:cut[d + 1]]
+            low, high = begin[cut[d]], begin[cut[d + 1]]
+            via, seg = start[low:high], begin[cut[d]:cut[d + 1]] - low
+            value = total[via] + log[low:high]
             top = np.maximum.reduceat(value, seg)
-            total[at] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, n)), seg))
-            paths[at] = np.minimum(np.add.reduceat(paths[self.start[e]], seg), 1e300 / (1 + len(lat.by_length)))
+            total[at] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, k)), seg))
+            paths[at] = np.minimum(np.add.reduceat(paths[via], seg), 1e300 / (1 + len(lat.by_length)))
+        del e, start, log, begin
         self.total, self.z = total, total[self.last_node]
         self.node_paths, self.paths = paths, paths[self.last_node]
         self.lat = lat
@@ -184,21 +208,22 @@ class Units:
 
         ``draw(rows, step)`` gives numbers in (0, 1).
         """
-        node, log = self.last_node[units].copy(), np.zeros(len(units))
+        log, number = np.zeros(len(units)), np.zeros(len(units), np.int64)
         rows, steps = np.arange(len(units)), []
-        number = np.zeros(len(units), np.int64)
+        node, first = self.last_node[units], self.first_node[units]  # of the rows that go on
         while len(rows):
-            u, n = draw(rows, len(steps)), node[rows]
-            e = self.edge[n].copy()
+            u = draw(rows, len(steps))
+            e = self.edge[node]
             on = np.flatnonzero(self.cum[e] < u)
             while len(on):
                 e[on] += 1
                 on = on[self.cum[e[on]] < u[on]]
             steps.append((rows, self.piece[e]))
             log[rows] += self.log[e]
-            number[rows] += 1
-            node[rows] = self.start[e]
-            rows = rows[node[rows] > self.first_node[units[rows]]]
+            number[rows] = len(steps)
+            node = self.start[e]
+            on = np.flatnonzero(node > first)
+            rows, node, first = rows[on], node[on], first[on]
         out, last = np.empty(int(number.sum()), np.int32), np.cumsum(number) - 1
         for k, (r, p) in enumerate(steps):  # from the end of a unit to its beginning
             out[last[r] - k] = p
@@ -209,12 +234,16 @@ class Units:
         node, out, k = int(self.last_node[unit]), [], 0
         left = [t for t in taken]
         while node > self.first_node[unit]:
-            weights, edges = [], range(int(self.edge[node]), int(self.edge[node + 1]))
-            here = float(self.total[node])
-            for e in edges:
-                via = [t for t in left if t and t[-1] == int(self.piece[e])]
-                w = np.exp(self.total[self.start[e]] + self.log[e] - here) - sum(np.exp(self.lat.log(t) - here) for t in via)
-                weights.append(max(float(w), 1e-300) if self.node_paths[self.start[e]] > len(via) else 0.0)
+            first, last = int(self.edge[node]), int(self.edge[node + 1])
+            here, edges, start = float(self.total[node]), range(first, last), self.start[first:last]
+            weights = np.exp(self.total[start] + self.log[first:last] - here).tolist()
+            paths, piece, sure = self.node_paths[start].tolist(), self.piece[first:last].tolist(), []
+            for w, ways, p in zip(weights, paths, piece, strict=True):
+                via = [t for t in left if t and t[-1] == p]
+                if via:
+                    w -= sum(float(np.exp(self.lat.log(t) - here)) for t in via)
+                sure.append(max(w, 1e-300) if ways > len(via) else 0.0)
+            weights = sure
             u = float(draw(k)) * sum(weights)
             for e, w in zip(edges, weights, strict=True):
                 u -= w
@@ -228,16 +257,27 @@ class Units:
         return tuple(reversed(out))
 
 
-def _uniform(*parts) -> np.ndarray:
-    """Numbers in (0, 1) from the parts of a draw's name."""
-    x = np.array([0x243F6A8885A308D3], np.uint64)
+def _named(*parts, x: np.ndarray | None = None) -> np.ndarray:
+    """The parts of a draw's name, mixed; ``x``: parts before them."""
+    x = np.array([0x243F6A8885A308D3], np.uint64) if x is None else x
     for p in parts:
-        x = (x ^ np.asarray(p).astype(np.uint64)) * _U(0x9E3779B97F4A7C15)
-        x = (x ^ (x >> _U(32))) * _U(0xD6E8FEB86659FD93)
-        x = x ^ (x >> _U(29))
+        x = x ^ np.asarray(p).astype(np.uint64)
+        x *= _U(0x9E3779B97F4A7C15)
+        x ^= x >> _U(32)
+        x *= _U(0xD6E8FEB86659FD93)
+        x ^= x >> _U(29)
+    return x
+
+
+def _number(x: np.ndarray) -> np.ndarray:
     return ((x >> _U(11)).astype(np.float64) + 0.5) / float(1 << 53)
 
 
+def _uniform(*parts) -> np.ndarray:
+    """Numbers in (0, 1) from the parts of a draw's name."""
+    return _number(_named(*parts))
+
+
 def _one(*parts: int) -> float:
     """The same of a single draw."""
     x, m = 0x243F6A8885A308D3, (1 << 64) - 1
@@ -259,11 +299,10 @@ class TopK:
     """Gumbel top-k over the segmentations of a run of texts. Results: ``found``, ``threshold``, ``z``."""
 
     def __init__(self, lat: _Lattices, texts: list[str], keys: list, k: int, seed: int):
-        lists = [lat.unit.findall(" " + t) if t else [] for t in texts]
-        number = np.array([len(x) for x in lists], np.int64)
-        coded = pa.array([u for x in lists for u in x], pa.string()).dictionary_encode()
+        number, units = lat.cut(texts)
+        coded = units.dictionary_encode()
         self.t = np.asarray(coded.indices).astype(np.int64)
-        self.units = Units(lat, coded.dictionary.to_pylist())
+        self.units = Units(lat, coded.dictionary)
         self.at = np.concatenate([[0], np.cumsum(number)])
         self.doc = np.repeat(np.arange(len(texts)), number)
         self.i = np.arange(len(self.t)) - self.at[self.doc]
@@ -293,8 +332,8 @@ class TopK:
         return place
 
     def _draw(self, rows: np.ndarray, sample: int):
-        s, i = self.seed[self.doc[rows]], self.i[rows]
-        return lambda r, step: _uniform(s[r], i[r], sample, step)
+        named = _named(self.seed[self.doc[rows]], self.i[rows], sample)
+        return lambda r, step: _number(_named(step, x=named[r]))
 
     def _truncated(self, at: np.ndarray, phi: np.ndarray, bound: np.ndarray, stream: int) -> np.ndarray:
         """Gumbel variables at phi, below bound."""
@@ -340,19 +379,24 @@ class TopK:
             log[rest], number[rest], new = self.units.sample(self.t[rest], self._draw(rest, r))
             place[rest] = self._keep(new) + np.cumsum(number[rest]) - number[rest]
             store = self.pieces()
-            for d in open_docs.tolist():
+            phis = np.full(len(open_docs), -np.inf)
+            for n, d in enumerate(open_docs.tolist()):
                 f, u = int(which[d]), int(j[d])
-                s, values = fronts[f]
+                s, _ = fronts[f]
                 got = taken.setdefault((f, u), [tuple(store[s.place[u]:s.place[u] + s.number[u]].tolist())])
                 seg = self.units.sample_without(int(self.t[u]), got, lambda step, s=int(self.seed[d]), i=int(self.i[u]), r=r: _one(s, i, r, 5000 + step))
                 got.append(seg)
                 log[u], number[u], place[u] = self.units.lat.log(seg), len(seg), self._keep(np.array(seg, np.int32))
                 # what is left of the popped set
-                z = self.unit_z[u]
-                left = 1 - sum(np.exp(self.units.lat.log(x) - z) for x in got)
-                phi = (s.log[self.at[d]:u].sum() + z + np.log(max(left, 1e-16)) + self.after[u]
-                       if self.units.paths[self.t[u]] > len(got) else -np.inf)
-                values[u] = self._truncated(np.array([u]), np.array([phi]), best[d:d + 1], 10 * r + 7)[0]
+                if self.units.paths[self.t[u]] > len(got):
+                    z = self.unit_z[u]
+                    left = 1 - sum(np.exp(self.units.lat.log(x) - z) for x in got)
+                    phis[n] = s.log[self.at[d]:u].sum() + z + np.log(max(left, 1e-16)) + self.after[u]
+            popped = j[open_docs]
+            rest_of = self._truncated(popped, phis, best[open_docs], 10 * r + 7)
+            for f, (_, values) in enumerate(fronts):
+                own = which[open_docs] == f
+                values[popped[own]] = rest_of[own]
             s = _Sample(log, number, place)
             self.found.append((open_docs, s, best))
             fronts.append((s, self._front(s, np.where(np.isfinite(best), j - self.at[:-1], 1 << 60), best, 10 * r)))
@@ -385,6 +429,15 @@ def _spell(table: list[bytes], ids: bytes) -> str:
     return b"".join([table[i] for i in np.frombuffer(ids, "<i4").tolist()]).decode("utf-8", "replace")[1:]
 
 
+def _spelled(table: pa.Array, ids: np.ndarray, begin: np.ndarray, end: np.ndarray) -> Iterator[str]:
+    """The texts that identifiers from ``begin`` to ``end`` spell. ``table``: bytes of all pieces."""
+    spelled = table.take(pa.array(ids))
+    at = np.asarray(pa.Array.from_buffers(pa.int32(), len(ids) + 1, [None, spelled.buffers()[1]]))
+    data = memoryview(spelled.buffers()[2] or b"")
+    for a, b in zip(at[begin].tolist(), at[end].tolist(), strict=True):
+        yield str(data[a:b], "utf-8", "replace")[1:]
+
+
 @lru_cache(2)
 def _lattices(packed: bytes) -> _Lattices:
     import pickle
@@ -404,6 +457,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", samp
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lat = _lattices(packed.value)
+        table = pa.array(lat.v.bytes, pa.binary())
         for batch in batches:
             for b in pieces(batch, 1, TEXT):
                 pa.default_memory_pool().release_unused()
@@ -427,8 +481,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", samp
                     names = ["doc_id", "sample", "n_ids", "log_prob", "perturbed", "inclusion", "ids"]
                     if spelled:
                         digests, lengths = [], []
-                        for x in packed_ids:
-                            text = _spell(lat.v.bytes, x)
+                        for text in _spelled(table, ids, ends[open_docs], ends[open_docs + 1]):
                             digests.append(hashlib.sha256(text.encode()).hexdigest()), lengths.append(len(text))
                         columns += [pa.array(digests, pa.string()), pa.array(lengths, pa.int32())]
                         names += ["text_sha256", "text_length"]

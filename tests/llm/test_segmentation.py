@@ -124,3 +124,26 @@ def test_query_decodes_every_sample(spark):
     rows = QUERIES["op4_gumbel_segmentation"](spark, SF).collect()
     assert max(r.sample for r in rows) > 2
     assert all((r.text_sha256, r.text_length) == (hashlib.sha256(docs[r.doc_id].encode()).hexdigest(), len(docs[r.doc_id])) for r in rows)
+
+
+def test_units_are_those_of_the_pattern(lat):
+    """Cut by classes of characters, the units of every text are what the pattern finds in it."""
+    rnd = np.random.default_rng(9)
+    alphabet = list(" \n\tabétheing.,!?&#12▁日本語😀\x00̀ßů²") + ["  ", " the", "ing "]
+    texts = TEXTS + ["".join(rnd.choice(alphabet, n)) for n in rnd.integers(0, 60, 400)] + ["", " ", "\U0010ffff a"]
+    number, units = lat.cut(texts)
+    want = [lat.unit.findall(" " + t) if t else [] for t in texts]
+    assert number.tolist() == [len(x) for x in want] and units.to_pylist() == [u for x in want for u in x]
+    assert lat.cut([])[1].to_pylist() == lat.cut([""])[1].to_pylist() == []
+
+
+def test_spelled_texts_as_one_by_one(lat):
+    """Texts from one gather are those of each row's identifiers, broken bytes too."""
+    import pyarrow as pa
+
+    rnd = np.random.default_rng(10)
+    sizes = rnd.integers(0, 40, 200)
+    ends = np.cumsum(sizes)
+    ids = rnd.integers(0, len(lat.v.bytes), int(ends[-1])).astype("<i4")
+    got = list(sg._spelled(pa.array(lat.v.bytes, pa.binary()), ids, ends - sizes, ends))
+    assert got == [sg._spell(lat.v.bytes, ids[e - n:e].tobytes()) for e, n in zip(ends, sizes, strict=True)]
