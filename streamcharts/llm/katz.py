@@ -14,12 +14,14 @@ a smaller count, or none at all, the rest are d(r) = r / (r + 1).
 
 How it runs. Documents are read once, in chunks of about ``CHUNK`` bytes; a chunk keeps its distinct words and
 its texts as numbers into them. Words are dealt to buckets by hash; a bucket adds up its words' counts over all
-chunks and tells every chunk the numbers and counts of its own words. Chunks then deal their pairs of words to
-buckets by the first word; pairs of a word so frequent that it would fill a bucket are dealt by the second
-word, too. A bucket adds up its pairs, stores them (the n-gram table, one row of packed columns a bucket) and answers
-each chunk with its documents' sums. What depends on the discounts, known only when all buckets are counted, is
-kept symbolic: a document's tokens by count, and its unseen pairs with their context's statistics. The last step
-brings a chunk's answers together. No step holds more than a chunk or a bucket, and no count is cut off.
+chunks and tells every chunk the numbers and counts of its own words. Chunks then add up their pairs of words and
+deal each distinct one to a bucket by the first word; pairs of a word so frequent that it would fill a bucket are
+dealt by the second word, too. A bucket adds up its pairs, stores them (the n-gram table, one row of packed columns a
+bucket) and answers each chunk with the counts of the chunk's pairs, in the order in which these came. What depends on
+the discounts, known only when all buckets are counted, is kept symbolic: contexts that the chunk has unseen pairs of
+come with their statistics. The last step brings a chunk's texts and answers together. No step holds more than a
+chunk or a bucket, and no count is cut off. A chunk and a bucket exchange one row each way, whatever they share; work
+in a bucket is one sort of what it gets.
 
 Packed columns: 64-bit integers as byte planes under zstd, so that small numbers take little room.
 
@@ -37,18 +39,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from streamcharts.llm.common import in_batches, written
-from streamcharts.llm.near_dedup import _mix, word_hashes
-from streamcharts.llm.words import pieces
+from streamcharts.llm.near_dedup import _mix
+from streamcharts.llm.words import pieces, words_of
 
 K = 5                    # counts up to this are discounted
-CHUNK = 16 << 20         # bytes of text in a chunk at most; an Arrow batch has fewer, but for a longer text
-BUCKET = 2_000_000       # tokens that a bucket gets on average
-SHARE = 700_000          # tokens of a chunk whose pairs are worked out at a time
+CHUNK = 16 << 20         # bytes of text in a chunk, but for a longer text
+ROWS = 100_000           # texts in a chunk at most
+BUCKET = 3_000_000       # tokens that a bucket gets on average, and words of chunks that a bucket of words gets
 FOLDS, FOLD = 7, 2       # held out: crc32 of the identifier modulo FOLDS is FOLD
 
 _U = np.uint64
@@ -85,18 +88,6 @@ def _as_floats(b: bytes) -> np.ndarray:
     return unpack(b).view(np.float64)
 
 
-_UNIT = float(1 << 32)
-
-
-def _sums_of_logs(a: np.ndarray) -> bytes:
-    """Sums of logarithms in units of 2 ** -32: a few of the eight planes hold anything."""
-    return pack(np.rint(a * _UNIT).astype(np.int64))
-
-
-def _as_sums_of_logs(b: bytes) -> np.ndarray:
-    return unpack(b) / _UNIT
-
-
 def _in_runs(values: np.ndarray, runs: np.ndarray) -> bytes:
     """Values that ascend within runs, as differences there."""
     step = np.diff(values, prepend=0)
@@ -115,36 +106,71 @@ def trains(doc_id) -> bool:
     return doc_id is None or zlib.crc32(str(doc_id).encode()) % FOLDS != FOLD
 
 
+def _training(ids: list) -> np.ndarray:
+    return np.array([trains(i) for i in ids], bool)
+
+
 def _batch(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
 
 
 # ------------------------------------------------------------------ chunks
-_CHUNK = "chunk bigint, ids array<bigint>, lengths binary, tokens binary, words binary, seen binary, n bigint, n_train bigint, d_train bigint"
+_CHUNK = ("chunk bigint, ids array<bigint>, lengths binary, tokens binary, words binary, seen binary, n bigint, n_words bigint, "
+          "n_train bigint, d_train bigint")
 _CHUNK_T = pa.schema([("chunk", pa.int64()), ("ids", pa.list_(pa.int64())), ("lengths", pa.binary()), ("tokens", pa.binary()),
-                      ("words", pa.binary()), ("seen", pa.binary()), ("n", pa.int64()), ("n_train", pa.int64()), ("d_train", pa.int64())])
+                      ("words", pa.binary()), ("seen", pa.binary()), ("n", pa.int64()), ("n_words", pa.int64()), ("n_train", pa.int64()),
+                      ("d_train", pa.int64())])
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a task in runs of about ``CHUNK`` bytes of text, however the batches end."""
+    held, size, rows = [], 0, 0
+    for batch in batches:
+        for b in pieces(batch, 1, CHUNK // 8):
+            n = pc.sum(pc.binary_length(b.column(1))).as_py() or 0
+            if held and (size + n > CHUNK or rows + b.num_rows > ROWS):
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held, size, rows = [], 0, 0
+            held.append(b)
+            size, rows = size + n, rows + b.num_rows
+    if rows:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def _numbered(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the distinct words and of the end, sorted; all texts' words and ends as numbers into them; tokens of each text."""
+    lists = words_of(texts)
+    coded = lists.flatten().dictionary_encode()
+    if isinstance(coded, pa.ChunkedArray):
+        coded = coded.combine_chunks()
+    hashes = np.array([END, *map(xxhash.xxh64_intdigest, coded.dictionary.to_pylist())], np.uint64)
+    real = np.asarray(pc.binary_length(coded.dictionary)) > 0
+    codes = np.asarray(coded.indices)
+    kept = real[codes] if len(codes) else np.zeros(0, bool)
+    at = np.concatenate([[0], np.cumsum(kept)])[np.asarray(lists.offsets) - lists.offsets[0].as_py()]
+    words, number = np.unique(hashes[np.concatenate([[True], real])], return_inverse=True)
+    of_code = np.zeros(len(real), np.int32)
+    of_code[real] = number[1:]
+    lengths = np.diff(at) + 1
+    tokens = np.full(int(lengths.sum()), number[0], np.int32)
+    inner = np.ones(len(tokens), bool)
+    inner[np.cumsum(lengths) - 1] = False
+    tokens[inner] = of_code[codes[kept]] if len(codes) else 0
+    return words, tokens, lengths
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     number = TaskContext.get().partitionId() << 32
-    for batch in batches:
-        for b in pieces(batch, 1, CHUNK):
-            pa.default_memory_pool().release_unused()
-            hashes, at = word_hashes(b.column(1))
-            lengths = np.diff(at) + 1
-            stream = np.full(len(hashes) + len(lengths), END, np.uint64)
-            last = np.cumsum(lengths) - 1
-            inner = np.ones(len(stream), bool)
-            inner[last] = False
-            stream[inner] = hashes
-            words, tokens = np.unique(stream, return_inverse=True)
-            del hashes, stream, inner
-            ids = b.column(0).to_pylist()
-            train = np.array([trains(i) for i in ids], bool)
-            seen = np.bincount(tokens[np.repeat(train, lengths)], minlength=len(words))
-            yield _batch(_CHUNK_T, [(number, ids, pack(lengths), pack(tokens), _steps(words), pack(seen), len(tokens),
-                                     int(lengths[train].sum()), int(train.sum()))])
-            number += 1
+    for b in _gathered(batches):
+        words, tokens, lengths = _numbered(b.column(1))
+        ids = b.column(0).to_pylist()
+        train = _training(ids)
+        seen = np.bincount(tokens[np.repeat(train, lengths)], minlength=len(words))
+        yield _batch(_CHUNK_T, [(number, ids, pack(lengths), pack(tokens), _steps(words), pack(seen), len(tokens), len(words),
+                                 int(lengths[train].sum()), int(train.sum()))])
+        del words, tokens, lengths, seen
+        pa.default_memory_pool().release_unused()
+        number += 1
 
 
 # ------------------------------------------------------------------- words
@@ -229,135 +255,139 @@ _PAIRS_T = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("kind", pa
                       ("ids", pa.list_(pa.int64()))])
 
 
-def _deal_pairs(buckets: int, offsets: np.ndarray, uni: Unigrams, d_train: int):
-    """offsets: the number of the first word of each bucket of words."""
-    full = max(1, (uni.total + buckets - 1) // buckets // 4)  # contexts above this are dealt by the second word, too
+class Chunk:
+    """A chunk's texts, its words' numbers and counts, and how its distinct pairs are dealt. From its rows of kinds text and words."""
+
+    def __init__(self, rows: list[dict], offsets: np.ndarray, d_train: int):
+        """offsets: the number of the first word of each bucket of words."""
+        text = next(r for r in rows if r["kind"] == "text")
+        answers = sorted((r for r in rows if r["kind"] == "words"), key=lambda r: r["bucket"])
+        self.ids, self.lengths, self.w = text["ids"], unpack(text["parts"][0]), unpack(text["parts"][1])
+        self.number = np.concatenate([_sums(r["parts"][0]) + offsets[r["bucket"]] for r in answers])
+        self.count = np.concatenate([unpack(r["parts"][1]) for r in answers])
+        # contexts: 0 is the start of a text
+        self.v_number, self.v_count = np.concatenate([[START], self.number]), np.concatenate([[d_train], self.count])
+        v = np.concatenate([[0], self.w[:-1] + 1])
+        v[np.cumsum(self.lengths)[:-1]] = 0
+        self.key = v * len(self.number) + self.w  # of each token's pair
+
+    def deal(self, pairs: np.ndarray, buckets: int, full: int) -> None:
+        """pairs: the distinct keys, sorted. Sets their order by bucket, where each bucket ends and the contexts' runs in that order."""
+        v, w = np.divmod(pairs, len(self.number))
+        share = np.maximum(1, -(-self.v_count // full)).astype(np.uint64)  # buckets that a context takes
+        to = _mix(_mix(self.v_number.astype(np.uint64))[v] + _mix(self.number.astype(np.uint64))[w] % share[v]) % _U(buckets)
+        ordered = np.sort((to << _U(40)) | np.arange(len(pairs), dtype=np.uint64))
+        self.order = (ordered & _U((1 << 40) - 1)).astype(np.int64)
+        self.v, self.w_of = v[self.order], w[self.order]
+        to = (ordered >> _U(40)).astype(np.int64)
+        self.ends = np.searchsorted(to, np.arange(buckets + 1))
+        self.runs = np.flatnonzero(np.concatenate([[True], (self.v[1:] != self.v[:-1]) | (to[1:] != to[:-1])]))
+        self.run_ends = np.searchsorted(self.runs, self.ends)
+
+    def shares(self) -> Iterator[tuple[int, slice, slice]]:
+        """Of each bucket that gets something: its number, its pairs and its runs."""
+        for i in np.flatnonzero(np.diff(self.ends)).tolist():
+            yield i, slice(self.ends[i], self.ends[i + 1]), slice(self.run_ends[i], self.run_ends[i + 1])
+
+
+def _deal_pairs(buckets: int, full: int, offsets: np.ndarray, d_train: int):
+    """full: contexts above this are dealt by the second word, too."""
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        c = Chunk(rows, offsets, d_train)
+        chunk = rows[0]["chunk"]
+        del rows
+        # each token's pair, and whether it trains
+        tokens = np.sort(c.key * 2 + np.repeat(_training(c.ids), c.lengths))
+        c.key = c.w = None
+        new = np.flatnonzero(np.concatenate([[True], tokens[1:] >> 1 != tokens[:-1] >> 1]))
+        trained = np.add.reduceat(tokens & 1, new)
+        pairs = tokens[new] >> 1
+        del tokens, new
+        c.deal(pairs, buckets, full)
+        v, trained = c.v[c.runs], trained[c.order]
+        w, w_count = c.number[c.w_of], c.count[c.w_of]
+        lengths = np.diff(c.runs, append=len(pairs))
+        out = []
+        for i, x, r in c.shares():
+            out.append((i, chunk, "pairs", [pack(np.diff(c.v_number[v[r]], prepend=0)), pack(c.v_count[v[r]]), pack(lengths[r]),
+                                            _in_runs(w[x], lengths[r]), pack(w_count[x]), pack(trained[x])], None))
+        return pa.Table.from_batches([_batch(_PAIRS_T, out)])
+    return run
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for i in range(b.num_rows):
-                yield from chunk(b.slice(i, 1).to_pylist()[0])
-                pa.default_memory_pool().release_unused()
-
-    def chunk(row: dict) -> Iterator[pa.RecordBatch]:
-        answers = sorted(row["answers"], key=lambda x: x["bucket"])
-        number = np.concatenate([_sums(x["at"]) + offsets[x["bucket"]] for x in answers])
-        count = np.concatenate([unpack(x["count"]) for x in answers])
-        lengths, w = unpack(row["lengths"]), unpack(row["tokens"]).astype(np.int32)
-        doc = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
-        c = count[w]
-        known = np.bincount(doc, c > 0, len(lengths)).astype(np.int64)
-        base = np.bincount(doc, np.log10((c + 1) / (uni.total + (uni.types + 1))), len(lengths))
-        del c
-        yield _batch(_PAIRS_T, [(-1 - row["chunk"] % buckets, row["chunk"], "base", [pack(lengths), pack(known), _floats(base)], row["ids"])])
-        # local numbers of contexts: 0 is the start of a text
-        v = np.concatenate([np.zeros(1, np.int32), w[:-1] + np.int32(1)])
-        v[np.cumsum(lengths)[:-1]] = 0
-        train = np.packbits(np.array([trains(i) for i in row["ids"]], bool)).tobytes()
-        v_number, v_count = np.concatenate([[START], number]), np.concatenate([[d_train], count])
-        # a share of the contexts at a time
-        upto = np.cumsum(np.bincount(v, minlength=len(v_number)))
-        edges = np.unique(np.searchsorted(upto, np.arange(0, len(v), SHARE)))
-        for low, high in zip(edges, [*edges[1:], len(v_number)], strict=True):
-            own = np.flatnonzero((v >= low) & (v < high))
-            yield from deal(row["chunk"], v[own], w[own], doc[own], len(lengths), number, count, v_number, v_count, train)
-
-    def deal(chunk, v, w, doc, n_docs, number, count, v_number, v_count, train) -> Iterator[pa.RecordBatch]:
-        n_words = len(number)
-        key, times = np.unique((v.astype(np.int64) * n_words + w) * n_docs + doc, return_counts=True)
-        doc = (key % n_docs).astype(np.int32)
-        key //= n_docs
-        v, w, times = (key // n_words).astype(np.int32), (key % n_words).astype(np.int32), times.astype(np.int32)
-        share = np.maximum(1, -(-v_count[v] // full)).astype(np.uint64)  # buckets that a context takes
-        spread = _mix(_mix(v_number[v].astype(np.uint64)) + _mix(number[w].astype(np.uint64)) % share)
-        to = (spread % _U(buckets)).astype(np.int32)
-        order = np.argsort(to, kind="stable")
-        v, w, doc, times = v[order], w[order], doc[order], times[order]
-        ends = np.searchsorted(to[order], np.arange(buckets + 1))
-        for i, (x, y) in enumerate(zip(ends[:-1], ends[1:], strict=True)):
-            if y > x:
-                vs, ws = v[x:y], w[x:y]
-                new = np.concatenate([[True], (vs[1:] != vs[:-1]) | (ws[1:] != ws[:-1])])
-                at = np.flatnonzero(new)
-                ctx, runs = np.unique(vs[at], return_counts=True)
-                yield _batch(_PAIRS_T, [(i, chunk, "pairs", [
-                    pack(np.diff(v_number[ctx], prepend=0)), pack(v_count[ctx]), pack(runs), _in_runs(number[ws[at]], runs), pack(count[ws[at]]),
-                    pack(np.diff(at, append=y - x)), pack(doc[x:y]), pack(times[x:y]), train], None)])
-
-    return run, full
+
+def _by_pair(v: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """The order by v, then w."""
+    low, size = int(v.min()), int(w.max()) + 1
+    if (int(v.max()) - low + 1) * size < 1 << 63:
+        return np.argsort((v - low) * size + w, kind="stable")  # chunks come sorted, which this makes use of
+    return np.lexsort((w, v))
 
 
 def _count_pairs(uni: Unigrams, full: int):
     def run(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
-        if bucket < 0:
-            return table
-        held = []
-        for c, p in zip(table.column("chunk").to_pylist(), table.column("parts"), strict=True):
-            p = p.as_py()
-            # run lengths, documents and repeats are small
-            runs = unpack(p[2]).astype(np.int32)
-            held.append((c, p[8], [unpack(p[0]), unpack(p[1]), runs, _from_runs(p[3], runs), unpack(p[4]),
-                                   *[unpack(x).astype(np.int32) for x in p[5:8]]]))
-        v = np.concatenate([np.repeat(np.cumsum(p[0]), p[2]) for _, _, p in held])
-        v_count = np.concatenate([np.repeat(p[1], p[2]) for _, _, p in held])
-        w, w_count = (np.concatenate([p[k] for _, _, p in held]) for k in (3, 4))
-        # occurrences: a pair in a document
-        flags = [np.unpackbits(np.frombuffer(t, np.uint8)).astype(bool) for _, t, _ in held]
-        trained = np.concatenate([np.where(f[p[6]], p[7], 0) for f, (_, _, p) in zip(flags, held, strict=True)])
-        pair = np.repeat(np.arange(len(v), dtype=np.int32), np.concatenate([p[5] for _, _, p in held]))
-        order = np.lexsort((w, v)).astype(np.int32)
-        new = np.concatenate([[True], (v[order][1:] != v[order][:-1]) | (w[order][1:] != w[order][:-1])])
-        own = np.empty(len(v), np.int32)
+        chunks, columns = [], [[] for _ in range(6)]
+        for chunk, parts in zip(table.column("chunk").to_pylist(), table.column("parts"), strict=True):
+            p = parts.as_py()
+            runs = unpack(p[2])
+            chunks.append(chunk)
+            for held, x in zip(columns, (np.cumsum(unpack(p[0])), unpack(p[1]), runs, _from_runs(p[3], runs), unpack(p[4]),
+                                         unpack(p[5]).astype(np.int32)), strict=True):
+                held.append(x)
+        run_ends, ends = (np.cumsum([0, *map(len, columns[k])]) for k in (0, 3))  # of chunks
+        run_v, run_count, runs, w, w_count, trained = (np.concatenate(x) for x in columns)
+        del columns
+        v = np.repeat(run_v, runs)
+        order = _by_pair(v, w)
+        sorted_v, sorted_w = v[order], w[order]
+        new = np.concatenate([[True], (sorted_v[1:] != sorted_v[:-1]) | (sorted_w[1:] != sorted_w[:-1])])
+        gv, gw = sorted_v[new], sorted_w[new]  # the distinct pairs
+        del sorted_v, sorted_w, v, w
+        own = np.empty(len(order), np.int32)  # of each pair of a chunk
         own[order] = np.cumsum(new) - 1
-        rep = order[new]  # a member of each distinct pair
-        c = np.bincount(own[pair], trained, len(rep)).astype(np.int64)
-        del order, new, pair, trained
+        w_count = w_count[order[new]]
+        del order, new
+        c = np.bincount(own, trained, len(gv)).astype(np.int64)
+        del trained
         # contexts, their followers seen in training by count, and the P that these have without a context
-        gv = v[rep]
         first = np.concatenate([[True], gv[1:] != gv[:-1]])
-        ctx = np.cumsum(first) - 1
-        cv = v_count[rep][first]
-        n_ctx = len(cv)
-        few = np.stack([np.bincount(ctx, c == r, n_ctx).astype(np.int64) for r in range(1, K + 1)])
-        lower = np.bincount(ctx, np.where(c > 0, uni.p(w_count[rep]), 0.0), n_ctx)
+        ctx = (np.cumsum(first) - 1).astype(np.int32)
+        n_ctx = int(ctx[-1]) + 1
+        starts = np.cumsum(runs) - runs
+        run_ctx = ctx[own[starts]]
+        cv = np.empty(n_ctx, np.int64)
+        cv[run_ctx] = run_count
+        few = np.stack([np.bincount(ctx[c == r], minlength=n_ctx) for r in range(1, K + 1)])
+        lower = np.bincount(ctx, np.where(c > 0, uni.p(w_count), 0.0), n_ctx)
         hot = cv > full
         stored = c > 0
         followers = np.bincount(ctx[stored], minlength=n_ctx)
-        some = followers > 0
         rows = [(bucket, None, "table", [
-            pack(np.diff(gv[first], prepend=0)), pack(followers), _in_runs(w[rep][stored], followers[some]), pack(c[stored]), pack(cv),
+            pack(np.diff(gv[first], prepend=0)), pack(followers), _in_runs(gw[stored], followers[followers > 0]), pack(c[stored]), pack(cv),
             *[pack(x) for x in few], _floats(lower)], _stats(c[stored], []))]
         for i in np.flatnonzero(hot):
-            rows.append((bucket, None, "hot", [np.int64(gv[first][i]).tobytes(), few[:, i].tobytes(), lower[i].tobytes()], None))
-        # the chunks' documents
-        start = pairs_before = 0
-        maybe = hot & (few.sum(0) == 0)  # nothing may be left for unseen followers; other buckets know more
-        for (chunk, _, p) in held:
-            x = slice(start, start + len(p[6]))
-            start += len(p[6])
-            q = own[np.repeat(np.arange(len(p[3])), p[5]) + pairs_before]
-            pairs_before += len(p[3])
-            doc, times, cq, vq = p[6], p[7], c[q], ctx[q]
-            assert len(doc) == x.stop - x.start
-            bare = ~hot & (few.sum(0) == 0)
-            size = cv[vq] + bare[vq]
-            at_w = w_count[rep][q]
-            with np.errstate(divide="ignore"):
-                log = np.where(cq > 0, np.log10(np.maximum(cq, 1)) - np.log10(np.maximum(size, 1)), np.log10(uni.p(at_w)))
-            seen_docs, d = np.unique(doc, return_inverse=True)
-            m = [pack(np.bincount(d, times * (cq == r), len(seen_docs)).astype(np.int64)) for r in range(1, K + 1)]
-            rows.append((bucket, chunk, "sum", [_steps(seen_docs.astype(np.int64)), _sums_of_logs(np.bincount(d, times * log, len(seen_docs))), *m], None))
-            for kind, mask in (("open", (cq == 0) & (cv[vq] > 0)), ("maybe", (cq > 0) & maybe[vq])):
-                if mask.any():
-                    which, at = np.unique(vq[mask], return_inverse=True)
-                    rows.append((bucket, chunk, kind, [
-                        pack(doc[mask]), pack(times[mask]), pack(at), pack(gv[first][which]), pack(cv[which]),
-                        *[pack(y) for y in few[:, which]], _floats(lower[which])], None))
+            rows.append((bucket, None, "hot", None, [int(gv[first][i]), *few[:, i].tolist(), int(lower[i:i + 1].view(np.int64)[0])]))
+        # the chunks' answers
+        seen = c[own]
+        bare = ((few.sum(0) == 0) & ~hot)[run_ctx]  # nothing is left for unseen followers; of hot contexts other buckets know more
+        open_ = _open(seen, starts, run_count, full)
+        for k, chunk in enumerate(chunks):
+            r = slice(run_ends[k], run_ends[k + 1])
+            at = run_ctx[r][open_[r]]
+            rows.append((bucket, chunk, "pairs", [
+                pack(seen[ends[k]:ends[k + 1]]), np.packbits(bare[r]).tobytes() if bare[r].any() else b"", pack(few[:, at].ravel()),
+                _floats(lower[at])], None))
         return pa.Table.from_batches([_batch(_PAIRS_T, rows)])
     return run
 
 
+def _open(seen: np.ndarray, starts: np.ndarray, run_count: np.ndarray, full: int) -> np.ndarray:
+    """Runs that come with their context's statistics: it is known and not hot, and some pair is not seen in training."""
+    return (np.minimum.reduceat(seen, starts) == 0) & (run_count > 0) & (run_count <= full)
+
+
 # ----------------------------------------------------------------- scores
 _SCORES = ("doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
 _SCORES_T = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
@@ -371,64 +401,85 @@ def log_backoff(d: np.ndarray, cv: np.ndarray, few: np.ndarray, lower: np.ndarra
     return np.log10(left) - np.log10(1 - lower)
 
 
-def _finish(d: np.ndarray, hot: dict[int, tuple[np.ndarray, float]], total: int):
-    log_d = np.log10(d)
+def _finish(d: np.ndarray, hot: list[list[int]], buckets: int, full: int, offsets: np.ndarray, uni: Unigrams, d_train: int):
+    """hot: number, followers with count 1 .. K and the bits of the followers' P; a row for each bucket that has the context."""
+    got = np.array(hot, np.int64).reshape(-1, K + 2)
+    hot_number, at = np.unique(got[:, 0], return_inverse=True)
+    hot_few = np.stack([np.bincount(at, x, len(hot_number)).astype(np.int64) for x in got[:, 1:K + 1].T])
+    hot_lower = np.bincount(at, np.ascontiguousarray(got[:, K + 1]).view(np.float64), len(hot_number))
+    log_d = np.log10(np.append(d, 1.0))
 
     def run(table: pa.Table) -> pa.Table:
-        rows = sorted(zip(*[table.column(k).to_pylist() for k in ("kind", "bucket", "parts", "ids")], strict=True), key=lambda r: r[:2])
-        ids, (lengths, known, base) = next((i, p) for k, _, p, i in rows if k == "base")
-        score = np.zeros(len(ids))
-        for kind, _, parts, _ in rows:
-            if kind == "sum":
-                value = _as_sums_of_logs(parts[1]) + sum(unpack(m) * log_d[r] for r, m in enumerate(parts[2:], 1))
-                score[_sums(parts[0])] += value
-            elif kind in ("open", "maybe"):
-                doc, times, at, number, cv = (unpack(x) for x in parts[:5])
-                few, lower = np.stack([unpack(x) for x in parts[5:5 + K]]), _as_floats(parts[-1]).copy()
-                for i in np.flatnonzero(np.isin(number, list(hot))) if hot else ():
-                    few[:, i], lower[i] = hot[int(number[i])]
-                if kind == "open":
-                    value = log_backoff(d, cv, few, lower)
-                else:
-                    value = np.where(few.sum(0) == 0, np.log10(cv) - np.log10(cv + 1), 0.0)
-                score += np.bincount(doc, times * value[at], len(ids))
-        out = [(i, not trains(i), int(n), int(k), total, float(b), float(s)) for i, n, k, b, s in zip(
-            ids, unpack(lengths), unpack(known), _as_floats(base), score, strict=True)]
-        return pa.Table.from_batches([_batch(_SCORES_T, out)])
+        rows = table.to_pylist()
+        c = Chunk(rows, offsets, d_train)
+        answers = [r["parts"] for r in sorted((r for r in rows if r["kind"] == "pairs"), key=lambda r: r["bucket"])]
+        del rows
+        by_key = np.argsort(c.key)
+        key = c.key[by_key]
+        new = np.concatenate([[True], key[1:] != key[:-1]])
+        c.deal(key[new], buckets, full)
+        pair = np.empty(len(key), np.int32)  # of each token
+        pair[by_key] = np.cumsum(new) - 1
+        del by_key, key, new
+        seen = np.concatenate([unpack(p[0]) for p in answers])
+        v = c.v[c.runs]
+        cv, lengths = c.v_count[v], np.diff(c.runs, append=len(seen))
+        bare, few, lower = np.zeros(len(v), bool), np.zeros((K, len(v)), np.int64), np.zeros(len(v))
+        open_ = _open(seen, c.runs, cv, full)
+        for (_, _, r), p in zip(c.shares(), answers, strict=True):
+            if p[1]:
+                bare[r] = np.unpackbits(np.frombuffer(p[1], np.uint8), count=r.stop - r.start)
+            some = np.flatnonzero(open_[r]) + r.start
+            few[:, some], lower[some] = unpack(p[2]).reshape(K, -1), _as_floats(p[3])
+        is_hot = np.flatnonzero(cv > full)
+        if len(is_hot):
+            which = np.searchsorted(hot_number, c.v_number[v[is_hot]])
+            few[:, is_hot], lower[is_hot] = hot_few[:, which], hot_lower[which]
+            bare[is_hot] = few[:, is_hot].sum(0) == 0
+            open_[is_hot] = True
+        alpha = np.zeros(len(v))  # of unknown contexts nothing is taken
+        alpha[open_] = log_backoff(d, cv[open_], few[:, open_], lower[open_])
+        size = np.log10(np.maximum(cv + bare, 1))
+        value = np.empty(len(seen))
+        value[c.order] = np.where(seen > 0, np.log10(np.maximum(seen, 1)) + log_d[np.minimum(seen, K + 1)] - np.repeat(size, lengths),
+                                  np.log10(uni.p(c.count))[c.w_of] + np.repeat(alpha, lengths))
+        starts = np.cumsum(c.lengths) - c.lengths
+        score = np.add.reduceat(value[pair], starts)
+        known = np.add.reduceat((c.count > 0).astype(np.int64)[c.w], starts)
+        base = np.add.reduceat(np.log10((c.count + 1) / (uni.total + (uni.types + 1)))[c.w], starts)
+        return pa.Table.from_arrays([pa.array(x, f.type) for x, f in zip((
+            c.ids, ~_training(c.ids), c.lengths, known, np.full(len(c.ids), uni.total), base, score), _SCORES_T, strict=True)], schema=_SCORES_T)
     return run
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_tokens: int = BUCKET) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document."""
     spark = docs.sparkSession
-    chunks = written(in_batches(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), "10m").mapInArrow(
+    chunks = written(in_batches(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))).mapInArrow(
         _chunks, _CHUNK), "lm-chunks")
-    tokens, d_train = chunks.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("d_train"), F.lit(0))).first()
+    tokens, entries, d_train = chunks.agg(*[F.coalesce(F.sum(k), F.lit(0)) for k in ("n", "n_words", "d_train")]).first()
     if not tokens:
         return spark.createDataFrame([], _SCORES)
-    buckets = max(16, -(-tokens // bucket_tokens))
 
-    counted = written(chunks.select("chunk", "words", "seen").mapInArrow(_deal_words(buckets), _WORDS).groupBy(
+    counted = written(chunks.select("chunk", "words", "seen").mapInArrow(_deal_words(max(16, -(-entries // bucket_tokens))), _WORDS).groupBy(
         "bucket").applyInArrow(_count_words, _COUNTED), "lm-unigrams")
     per_bucket = counted.filter("chunk is null").select("bucket", "stats").collect()  # K + 4 numbers a bucket
     total = [sum(x) for x in zip(*[r.stats for r in per_bucket], strict=True)]
     uni = Unigrams(total[1], total[2], total[3:])
-    sizes = np.zeros(buckets + 1, np.int64)
+    sizes = np.zeros(max(r.bucket for r in per_bucket) + 2, np.int64)
     for r in per_bucket:
         sizes[r.bucket + 1] = r.stats[0]
     offsets = np.cumsum(sizes)[:-1]
 
-    answers = counted.filter("chunk is not null").groupBy("chunk").agg(
-        F.collect_list(F.struct("bucket", "at", "count")).alias("answers"))  # one a bucket
-    deal, full = _deal_pairs(buckets, offsets, uni, d_train)
-    pairs = chunks.select("chunk", "ids", "lengths", "tokens").join(answers, "chunk").mapInArrow(deal, _PAIRS)
-    tables = written(pairs.groupBy("bucket").applyInArrow(_count_pairs(uni, full), _PAIRS), "lm-bigrams")
+    buckets = max(16, -(-tokens // bucket_tokens))
+    full = max(1, (uni.total + buckets - 1) // buckets // 4)
+    texts = chunks.select(F.lit(0).alias("bucket"), "chunk", F.lit("text").alias("kind"), F.array("lengths", "tokens").alias("parts"), "ids").union(
+        counted.filter("chunk is not null").select("bucket", "chunk", F.lit("words"), F.array("at", "count"), F.lit(None).cast("array<bigint>")))
+    tables = written(texts.groupBy("chunk").applyInArrow(_deal_pairs(buckets, full, offsets, d_train), _PAIRS).groupBy("bucket").applyInArrow(
+        _count_pairs(uni, full), _PAIRS), "lm-bigrams")
 
     seen = tables.filter("kind = 'table'").select("ids").collect()
-    d = discounts([sum(x) for x in zip(*[r.ids for r in seen], strict=True)] if seen else [0] * (K + 1))
-    hot: dict[int, tuple[np.ndarray, float]] = {}
-    for r in tables.filter("kind = 'hot'").select("parts").collect():  # at most 4 contexts a bucket, in 8 rows
-        v = int(np.frombuffer(r.parts[0], np.int64)[0])
-        few, lower = hot.get(v, (np.zeros(K, np.int64), 0.0))
-        hot[v] = few + np.frombuffer(r.parts[1], np.int64), lower + float(np.frombuffer(r.parts[2], np.float64)[0])
-    return tables.filter("chunk is not null").groupBy("chunk").applyInArrow(_finish(d, hot, uni.total), _SCORES)
+    d = discounts([sum(x) for x in zip(*[r.ids for r in seen], strict=True)])
+    hot = [r.ids for r in tables.filter("kind = 'hot'").select("ids").collect()]  # at most 4 contexts a bucket, in 8 rows
+    return texts.union(tables.filter("chunk is not null")).groupBy("chunk").applyInArrow(
+        _finish(d, hot, buckets, full, offsets, uni, d_train), _SCORES)

@@ -113,3 +113,23 @@ def test_no_training_rows(spark):
     held = [i for i in range(50) if not katz.trains(i)][:3]
     rows = katz.score(spark.createDataFrame([(i, "a b") for i in held], "doc_id bigint, text string")).collect()
     assert {(r.n_tokens, r.n_known, r.train_tokens, r.score) for r in rows} == {(3, 0, 0, 0.0)}
+
+
+def test_chunks_go_by_bytes_and_share_one_row_with_a_bucket(spark, monkeypatch):
+    """Short Arrow batches do not make more chunks; a chunk and a bucket exchange one row each way, so that rows do not
+    grow with a chunk's contexts."""
+    kept = {}
+    monkeypatch.setattr(katz, "written", lambda df, name, write=katz.written: kept.setdefault(name, write(df, name)))
+    rnd = random.Random(9)
+    vocabulary = [f"w{int(rnd.paretovariate(.8))}" for _ in range(3000)]
+    docs = [(i, " ".join(rnd.choices(vocabulary, k=rnd.randrange(60)))) for i in range(600)]
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    try:
+        check(katz.score(spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3), bucket_tokens=400).collect(), docs)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    assert kept["lm-chunks"].count() == 3
+    answers = kept["lm-bigrams"].filter("chunk is not null")
+    assert answers.groupBy("chunk", "bucket").count().agg({"count": "max"}).first()[0] == 1
+    assert answers.count() <= 3 * kept["lm-bigrams"].filter("kind = 'table'").count()
