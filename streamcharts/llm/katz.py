@@ -49,7 +49,7 @@ from streamcharts.llm.near_dedup import _mix
 from streamcharts.llm.words import pieces, words_of
 
 K = 5                    # counts up to this are discounted
-CHUNK = 16 << 20         # bytes of text in a chunk, but for a longer text
+CHUNK = 12 << 20         # bytes of text in a chunk, but for a longer text
 ROWS = 100_000           # texts in a chunk at most
 BUCKET = 3_000_000       # tokens that a bucket gets on average, and words of chunks that a bucket of words gets
 FOLDS, FOLD = 7, 2       # held out: crc32 of the identifier modulo FOLDS is FOLD
@@ -60,9 +60,8 @@ START = -1
 
 
 def pack(a: np.ndarray) -> bytes:
-    a = np.ascontiguousarray(a).astype("<i8", copy=False)
-    planes = np.ascontiguousarray(a.view(np.uint8).reshape(-1, 8).T)
-    return len(a).to_bytes(8, "little") + pa.Codec("zstd").compress(planes.tobytes(), asbytes=True)
+    planes = np.ascontiguousarray(np.ascontiguousarray(a).astype("<i8", copy=False).view(np.uint8).reshape(-1, 8).T)
+    return len(a).to_bytes(8, "little") + pa.Codec("zstd").compress(planes, asbytes=True)
 
 
 def unpack(b: bytes) -> np.ndarray:
@@ -125,29 +124,38 @@ _CHUNK_T = pa.schema([("chunk", pa.int64()), ("ids", pa.list_(pa.int64())), ("le
 def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of a task in runs of about ``CHUNK`` bytes of text, however the batches end."""
     held, size, rows = [], 0, 0
+
+    def gathered() -> pa.RecordBatch:
+        whole = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        held.clear()
+        return whole
+
     for batch in batches:
         for b in pieces(batch, 1, CHUNK // 8):
             n = pc.sum(pc.binary_length(b.column(1))).as_py() or 0
             if held and (size + n > CHUNK or rows + b.num_rows > ROWS):
-                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-                held, size, rows = [], 0, 0
+                yield gathered()
+                size = rows = 0
             held.append(b)
             size, rows = size + n, rows + b.num_rows
     if rows:
-        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        yield gathered()
 
 
 def _numbered(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of the distinct words and of the end, sorted; all texts' words and ends as numbers into them; tokens of each text."""
     lists = words_of(texts)
-    coded = lists.flatten().dictionary_encode()
+    coded, ends = lists.flatten().dictionary_encode(), np.asarray(lists.offsets) - lists.offsets[0].as_py()
+    del lists
     if isinstance(coded, pa.ChunkedArray):
         coded = coded.combine_chunks()
-    hashes = np.array([END, *map(xxhash.xxh64_intdigest, coded.dictionary.to_pylist())], np.uint64)
-    real = np.asarray(pc.binary_length(coded.dictionary)) > 0
-    codes = np.asarray(coded.indices)
+    dictionary, codes = coded.dictionary, np.asarray(coded.indices)
+    hashes = np.empty(len(dictionary) + 1, np.uint64)
+    hashes[0] = END
+    hashes[1:] = np.fromiter(map(xxhash.xxh64_intdigest, dictionary.to_pylist()), np.uint64, len(dictionary))
+    real = np.asarray(pc.binary_length(dictionary)) > 0
     kept = real[codes] if len(codes) else np.zeros(0, bool)
-    at = np.concatenate([[0], np.cumsum(kept)])[np.asarray(lists.offsets) - lists.offsets[0].as_py()]
+    at = ends - np.searchsorted(np.flatnonzero(~kept), ends)
     words, number = np.unique(hashes[np.concatenate([[True], real])], return_inverse=True)
     of_code = np.zeros(len(real), np.int32)
     of_code[real] = number[1:]
