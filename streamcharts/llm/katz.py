@@ -51,7 +51,7 @@ from streamcharts.llm.words import pieces, words_of
 K = 5                    # counts up to this are discounted
 CHUNK = 12 << 20         # bytes of text in a chunk, but for a longer text
 ROWS = 100_000           # texts in a chunk at most
-BUCKET = 3_000_000       # tokens that a bucket gets on average, and words of chunks that a bucket of words gets
+BUCKET = 2_000_000       # tokens that a bucket gets on average, and words of chunks that a bucket of words gets
 FOLDS, FOLD = 7, 2       # held out: crc32 of the identifier modulo FOLDS is FOLD
 
 _U = np.uint64
@@ -286,7 +286,7 @@ class Chunk:
         to = _mix(_mix(self.v_number.astype(np.uint64))[v] + _mix(self.number.astype(np.uint64))[w] % share[v]) % _U(buckets)
         ordered = np.sort((to << _U(40)) | np.arange(len(pairs), dtype=np.uint64))
         self.order = (ordered & _U((1 << 40) - 1)).astype(np.int64)
-        self.v, self.w_of = v[self.order], w[self.order]
+        self.v, self.w_of = v[self.order].astype(np.int32), w[self.order].astype(np.int32)
         to = (ordered >> _U(40)).astype(np.int64)
         self.ends = np.searchsorted(to, np.arange(buckets + 1))
         self.runs = np.flatnonzero(np.concatenate([[True], (self.v[1:] != self.v[:-1]) | (to[1:] != to[:-1])]))
@@ -321,16 +321,27 @@ def _deal_pairs(buckets: int, full: int, offsets: np.ndarray, d_train: int):
         for i, x, r in c.shares():
             out.append((i, chunk, "pairs", [pack(np.diff(c.v_number[v[r]], prepend=0)), pack(c.v_count[v[r]]), pack(lengths[r]),
                                             _in_runs(w[x], lengths[r]), pack(w_count[x]), pack(trained[x])], None))
+        pa.default_memory_pool().release_unused()
         return pa.Table.from_batches([_batch(_PAIRS_T, out)])
     return run
 
 
-def _by_pair(v: np.ndarray, w: np.ndarray) -> np.ndarray:
-    """The order by v, then w."""
+def _by_pair(v: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The order by v, then w; where a pair is new in it; the distinct pairs. Overwrites v."""
     low, size = int(v.min()), int(w.max()) + 1
     if (int(v.max()) - low + 1) * size < 1 << 63:
-        return np.argsort((v - low) * size + w, kind="stable")  # chunks come sorted, which this makes use of
-    return np.lexsort((w, v))
+        v -= low
+        v *= size
+        v += w
+        order = np.argsort(v, kind="stable").astype(np.int32)  # chunks come sorted, which this makes use of
+        v = v[order]
+        new = np.concatenate([[True], v[1:] != v[:-1]])
+        gv, gw = np.divmod(v[new], size)
+        return order, new, gv + low, gw
+    order = np.lexsort((w, v)).astype(np.int32)
+    v, w = v[order], w[order]
+    new = np.concatenate([[True], (v[1:] != v[:-1]) | (w[1:] != w[:-1])])
+    return order, new, v[new], w[new]
 
 
 def _count_pairs(uni: Unigrams, full: int):
@@ -345,14 +356,9 @@ def _count_pairs(uni: Unigrams, full: int):
                                          unpack(p[5]).astype(np.int32)), strict=True):
                 held.append(x)
         run_ends, ends = (np.cumsum([0, *map(len, columns[k])]) for k in (0, 3))  # of chunks
-        run_v, run_count, runs, w, w_count, trained = (np.concatenate(x) for x in columns)
-        del columns
-        v = np.repeat(run_v, runs)
-        order = _by_pair(v, w)
-        sorted_v, sorted_w = v[order], w[order]
-        new = np.concatenate([[True], (sorted_v[1:] != sorted_v[:-1]) | (sorted_w[1:] != sorted_w[:-1])])
-        gv, gw = sorted_v[new], sorted_w[new]  # the distinct pairs
-        del sorted_v, sorted_w, v, w
+        run_v, run_count, runs, w, w_count, trained = (np.concatenate(columns.pop(0)) for _ in range(6))
+        order, new, gv, gw = _by_pair(np.repeat(run_v, runs), w)
+        del w
         own = np.empty(len(order), np.int32)  # of each pair of a chunk
         own[order] = np.cumsum(new) - 1
         w_count = w_count[order[new]]
@@ -387,6 +393,7 @@ def _count_pairs(uni: Unigrams, full: int):
             rows.append((bucket, chunk, "pairs", [
                 pack(seen[ends[k]:ends[k + 1]]), np.packbits(bare[r]).tobytes() if bare[r].any() else b"", pack(few[:, at].ravel()),
                 _floats(lower[at])], None))
+        pa.default_memory_pool().release_unused()
         return pa.Table.from_batches([_batch(_PAIRS_T, rows)])
     return run
 
@@ -429,6 +436,7 @@ def _finish(d: np.ndarray, hot: list[list[int]], buckets: int, full: int, offset
         pair = np.empty(len(key), np.int32)  # of each token
         pair[by_key] = np.cumsum(new) - 1
         del by_key, key, new
+        c.key = None
         seen = np.concatenate([unpack(p[0]) for p in answers])
         v = c.v[c.runs]
         cv, lengths = c.v_count[v], np.diff(c.runs, append=len(seen))
@@ -451,6 +459,7 @@ def _finish(d: np.ndarray, hot: list[list[int]], buckets: int, full: int, offset
         value = np.empty(len(seen))
         value[c.order] = np.where(seen > 0, np.log10(np.maximum(seen, 1)) + log_d[np.minimum(seen, K + 1)] - np.repeat(size, lengths),
                                   np.log10(uni.p(c.count))[c.w_of] + np.repeat(alpha, lengths))
+        pa.default_memory_pool().release_unused()
         starts = np.cumsum(c.lengths) - c.lengths
         score = np.add.reduceat(value[pair], starts)
         known = np.add.reduceat((c.count > 0).astype(np.int64)[c.w], starts)
