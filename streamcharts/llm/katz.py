@@ -469,6 +469,17 @@ def _finish(d: np.ndarray, hot: list[list[int]], buckets: int, full: int, offset
     return run
 
 
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    """``written``; its shuffles' files go when it is written, not when the driver happens to collect garbage."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, "false")
+    conf.set(key, "true")
+    try:
+        return written(df.select("*"), name)
+    finally:
+        conf.set(key, before)
+
+
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_tokens: int = BUCKET) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document."""
     spark = docs.sparkSession
@@ -478,7 +489,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucke
     if not tokens:
         return spark.createDataFrame([], _SCORES)
 
-    counted = written(chunks.select("chunk", "words", "seen").mapInArrow(_deal_words(max(16, -(-entries // bucket_tokens))), _WORDS).groupBy(
+    counted = _kept(chunks.select("chunk", "words", "seen").mapInArrow(_deal_words(max(16, -(-entries // bucket_tokens))), _WORDS).groupBy(
         "bucket").applyInArrow(_count_words, _COUNTED), "lm-unigrams")
     per_bucket = counted.filter("chunk is null").select("bucket", "stats").collect()  # K + 4 numbers a bucket
     total = [sum(x) for x in zip(*[r.stats for r in per_bucket], strict=True)]
@@ -492,7 +503,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucke
     full = max(1, (uni.total + buckets - 1) // buckets // 4)
     texts = chunks.select(F.lit(0).alias("bucket"), "chunk", F.lit("text").alias("kind"), F.array("lengths", "tokens").alias("parts"), "ids").union(
         counted.filter("chunk is not null").select("bucket", "chunk", F.lit("words"), F.array("at", "count"), F.lit(None).cast("array<bigint>")))
-    tables = written(texts.groupBy("chunk").applyInArrow(_deal_pairs(buckets, full, offsets, d_train), _PAIRS).groupBy("bucket").applyInArrow(
+    tables = _kept(texts.groupBy("chunk").applyInArrow(_deal_pairs(buckets, full, offsets, d_train), _PAIRS).groupBy("bucket").applyInArrow(
         _count_pairs(uni, full), _PAIRS), "lm-bigrams")
 
     seen = tables.filter("kind = 'table'").select("ids").collect()
